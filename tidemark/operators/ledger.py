@@ -7,7 +7,7 @@ tables already reduced to one row per run or per (partition, run).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import (
@@ -131,7 +131,9 @@ def largest_partition(objects: DataFrame, value: str = "rows") -> DataFrame:
     return totals.agg(best.alias("partition"), F.max(value).alias(value))
 
 
-_BY_RUN = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _upto_run() -> WindowSpec:
+    """All runs up to this one; used on tables with one row per run."""
+    return Window.orderBy("run").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def cumulative_lake(writes: DataFrame) -> DataFrame:
@@ -155,9 +157,9 @@ def cumulative_lake(writes: DataFrame) -> DataFrame:
     )
     return per_run.select(
         "run",
-        F.sum("row_delta").over(_BY_RUN).alias("rows_in_lake"),
-        F.sum("put_delta").over(_BY_RUN).alias("put_requests"),
-        F.sum("object_delta").over(_BY_RUN).alias("objects"),
+        F.sum("row_delta").over(_upto_run()).alias("rows_in_lake"),
+        F.sum("put_delta").over(_upto_run()).alias("put_requests"),
+        F.sum("object_delta").over(_upto_run()).alias("objects"),
     )
 
 
@@ -174,7 +176,7 @@ def cumulative_distinct(posts: DataFrame, runs: DataFrame, loaded: DataFrame, sl
         posts.select("id", slot.alias("slot_date")).join(first_run, "slot_date").groupBy("id").agg(F.min("run").alias("run"))
     )
     fresh = per_id.groupBy("run").agg(F.count(F.lit(1)).alias("new_posts"))
-    return fresh.select("run", "new_posts", F.sum("new_posts").over(_BY_RUN).alias("distinct_posts"))
+    return fresh.select("run", "new_posts", F.sum("new_posts").over(_upto_run()).alias("distinct_posts"))
 
 
 def partition_running_rows(writes: DataFrame) -> DataFrame:

@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 # Fixed value: days the recent-search window reaches back.
 LOOKBACK_DAYS = 7
 
-_PREVIOUS_RUNS = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-
-
 def _days(column: str, n: int) -> Column:
     return F.expr(f"{column} + make_dt_interval({n})")
 
@@ -138,7 +135,8 @@ def high_water(runs: DataFrame) -> DataFrame:
     The window has one row per scheduled run.
     """
     good = F.when(F.col("state") == "success", F.col("window_end"))
-    return runs.withColumn("high_water", F.max(good).over(_PREVIOUS_RUNS))
+    earlier = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    return runs.withColumn("high_water", F.max(good).over(earlier))
 
 
 def incremental_windows(runs: DataFrame) -> DataFrame:
