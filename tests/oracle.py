@@ -69,7 +69,7 @@ def main() -> int:
     spark.sparkContext.setLogLevel("OFF")
     con = duck(sf_dir)
     bad = []
-    for name, q in REGISTRY.items():
+    for name, q in sorted(REGISTRY.items()):
         if args and not any(name == a or name.startswith(a) for a in args):
             continue
         start = time.time()

@@ -34,6 +34,16 @@ def utc_instant(created_at: Column) -> Column:
     )
 
 
+def to_event_time(instant: Column) -> Column:
+    """A UTC instant as ``TIMESTAMP``, which watermarks need, whatever the session time zone."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), instant).cast("timestamp")
+
+
+def from_event_time(moment: Column) -> Column:
+    """The UTC instant of a ``TIMESTAMP``."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), moment.cast("timestamp_ntz"))
+
+
 def utc_date(instant: Column) -> Column:
     return instant.cast("date")
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.dates import utc_instant
+from tidemark.functions.dates import from_event_time, to_event_time, utc_instant
 from tidemark.operators.enrich import LEXICON_SCORER, Scorer, enrich
 from tidemark.operators.normalize import normalize
 from tidemark.operators.summary import score_units
@@ -27,17 +27,25 @@ def enrich_stream(raw: DataFrame, scorer: Scorer = LEXICON_SCORER) -> DataFrame:
     return enrich(posts, scorer).withColumn("created_ts", utc_instant(F.col("created_at")))
 
 
+def with_event_time(posts: DataFrame) -> DataFrame:
+    return posts.withColumn("event_time", to_event_time(F.col("created_ts")))
+
+
 def dedupe_stream(posts: DataFrame, delay: str = ID_DELAY, keys: tuple[str, ...] = ("id",)) -> DataFrame:
     """First row of each id within the watermark. ``delay`` must cover the lookback."""
-    return posts.withWatermark("created_ts", delay).dropDuplicatesWithinWatermark(list(keys))
+    timed = with_event_time(posts).withWatermark("event_time", delay)
+    return timed.dropDuplicatesWithinWatermark(list(keys))
+
 
+def tumbling_summary(posts: DataFrame, delay: str = ID_DELAY) -> DataFrame:
+    """Daily totals, each day emitted once the watermark has passed its end.
 
-def tumbling_summary(posts: DataFrame, delay: str = ID_DELAY, watermarked: bool = False) -> DataFrame:
-    """Daily totals, each day emitted once the watermark has passed its end."""
-    late_bounded = posts if watermarked else posts.withWatermark("created_ts", delay)
+    Posts that already went through ``dedupe_stream`` keep the watermark set there.
+    """
+    late_bounded = posts if "event_time" in posts.columns else with_event_time(posts).withWatermark("event_time", delay)
     label = F.col("sentiment_label")
     return (
-        late_bounded.groupBy(F.window("created_ts", "1 day").alias("w"))
+        late_bounded.groupBy(F.window("event_time", "1 day").alias("w"))
         .agg(
             F.count(F.lit(1)).alias("post_count"),
             F.sum("engagement_total").alias("total_engagement"),
@@ -46,7 +54,7 @@ def tumbling_summary(posts: DataFrame, delay: str = ID_DELAY, watermarked: bool
             F.count_if(label == "neutral").alias("neutral"),
             F.count_if(label == "negative").alias("negative"),
         )
-        .select(F.col("w.start").cast("date").cast("string").alias("event_day"), F.expr("* except (w)"))
+        .select(from_event_time(F.col("w.start")).cast("date").cast("string").alias("event_day"), F.expr("* except (w)"))
     )
 
 
@@ -64,7 +72,11 @@ def merge_stream(enriched: DataFrame, root: str, checkpoint: str) -> StreamingQu
     """Merge each batch into the lake by id, so a batch that is run again replaces its own rows."""
 
     def merge(batch: DataFrame, _epoch: int) -> None:
-        merge_posts(batch.drop("created_ts"), root)
+        batch = batch.drop("created_ts", "event_time").persist()
+        try:
+            merge_posts(batch, root)
+        finally:
+            batch.unpersist()
 
     query = (
         enriched.writeStream.foreachBatch(merge)
