@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import threading
 import time
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -41,10 +42,15 @@ def rows_of(columns, rows):
     return sorted(columns), sorted(out, key=repr)
 
 
-def compare(spark, con, q, sf_dir):
-    """None when equal, else a short reason."""
-    df = q.build(spark, sf_dir)
-    mine = rows_of(df.columns, df.collect())
+def compare(spark, con, q, sf_dir, limit=120):
+    """None when equal, else a short reason. A query that runs past ``limit`` seconds is cancelled."""
+    timer = threading.Timer(limit, spark.sparkContext.cancelAllJobs)
+    timer.start()
+    try:
+        df = q.build(spark, sf_dir)
+        mine = rows_of(df.columns, df.collect())
+    finally:
+        timer.cancel()
     if q.sql is None:
         return None, len(mine[1])
     cur = con.execute(q.sql)

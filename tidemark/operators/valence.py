@@ -13,7 +13,7 @@ Words without valence never reach the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -58,6 +58,15 @@ def _lookup(table: Mapping[str, float], key: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), key)
 
 
+def _step(value: Column, rule: Callable[[Column], Column]) -> Column:
+    """Apply ``rule`` to ``value`` through a lambda variable.
+
+    Each rule names its input several times. Written out, a chain of them grows exponentially when
+    the optimizer inlines it; bound to a variable, it stays as long as it reads.
+    """
+    return F.get(F.transform(F.array(value), lambda x: rule(x)), F.lit(0))
+
+
 def valence_words(text: Column) -> Column:
     """Words with punctuation stripped, unless two or fewer characters would remain."""
     def strip(word: Column) -> Column:
@@ -143,11 +152,11 @@ def _context_rows(texts: DataFrame, key: str, text: str, rules: ValenceRules) ->
 
 def _with_lexicon(rows: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Keep lexicon words and marker rows; add ``lex`` and membership of the neighbours."""
-    lex = broadcast_checked(lexicon.select(F.col("token").alias("lex_token"), F.col("valence").alias("lex")))
-    hit = rows.join(lex, F.col("low") == F.col("lex_token"), "left").drop("lex_token")
+    table = broadcast_checked(lexicon.select(F.col("token").alias("lex_token"), F.col("valence").alias("lex")))
+    hit = rows.join(table, F.col("low") == F.col("lex_token"), "left").drop("lex_token")
     hit = hit.filter(F.col("lex").isNotNull() | (F.col("pos") == F.col("n")))
     for name in ("low_b1", "low_b2", "low_b3", "low_a1"):
-        known = broadcast_checked(lexicon.select(F.col("token").alias(f"{name}_token")))
+        known = table.select(F.col("lex_token").alias(f"{name}_token"))
         hit = hit.join(known, F.col(name) == F.col(f"{name}_token"), "left").withColumn(
             f"{name}_lex", F.col(f"{name}_token").isNotNull()
         ).drop(f"{name}_token")
@@ -162,59 +171,71 @@ def word_valences(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, key
     rows = _with_lexicon(_context_rows(texts, key, text, rules), lexicon)
     b1, b2, b3 = F.col("low_b1"), F.col("low_b2"), F.col("low_b3")
     low, a1, a2 = F.col("low"), F.col("low_a1"), F.col("low_a2")
-    v = F.col("v")
-    signed = lambda amount: F.when(v > 0, amount).otherwise(-amount)
-    is_no = lambda c: F.coalesce(c == "no", F.lit(False))
     same = lambda c, *options: F.coalesce(c.isin(*options), F.lit(False))
+    phrase = lambda *parts: F.concat_ws(" ", *parts)
+
+    def emphasis_of(v: Column) -> Column:
+        return F.when(v > 0, F.lit(rules.capital)).otherwise(F.lit(-rules.capital))
 
     def negates(word: Column) -> Column:
         listed = same(word, *rules.negators) if rules.negators else F.lit(False)
         return listed | F.coalesce(word.contains("n't"), F.lit(False))
 
-    # "no" before a lexicon word stands for nothing itself and turns that word around.
-    start = F.when((low == "no") & F.col("low_a1_lex"), F.lit(0.0)).otherwise(F.col("lex"))
-    turned = is_no(b1) | is_no(b2) | (is_no(b3) & same(b1, "or", "nor"))
-    rows = rows.withColumn("v", F.when(turned, F.col("lex") * rules.negation).otherwise(start))
-    loud = is_upper(F.col("raw")) & F.col("mixed_caps")
-    rows = rows.withColumn("v", F.when(loud, v + signed(F.lit(rules.capital))).otherwise(v))
-
-    turn_at = {
-        1: F.when(negates(b1), v * rules.negation),
-        2: F.when(same(b2, "never") & same(b1, "so", "this"), v * NEVER_SO)
-        .when(same(b2, "without") & same(b1, "doubt"), v)
-        .when(negates(b2), v * rules.negation),
-        # "so" or "this" right before the word lifts it whatever came earlier: kept as is.
-        3: F.when((same(b3, "never") & same(b2, "so", "this")) | same(b1, "so", "this"), v * NEVER_SO)
-        .when(same(b3, "without") & (same(b2, "doubt") | same(b1, "doubt")), v)
-        .when(negates(b3), v * rules.negation),
-    }
-    for k in (1, 2, 3):
-        near = F.col(f"low_b{k}")
-        applies = near.isNotNull() & ~F.col(f"low_b{k}_lex")
-        boost = _lookup(rules.boosters, near)
+    def boosted(v: Column, k: int) -> Column:
+        boost = _lookup(rules.boosters, F.col(f"low_b{k}"))
         boost = F.when(v < 0, -boost).otherwise(boost)
         shouted = is_upper(F.col(f"raw_b{k}")) & F.col("mixed_caps")
-        boost = F.when(shouted, boost + signed(F.lit(rules.capital))).otherwise(boost) * DECAY[k]
-        rows = rows.withColumn("v", F.when(applies, v + F.coalesce(boost, F.lit(0.0))).otherwise(v))
-        rows = rows.withColumn("v", F.when(applies, F.coalesce(turn_at[k], v)).otherwise(v))
-        if k == 3 and (rules.idioms or rules.boosters):
-            phrase = lambda *parts: F.concat_ws(" ", *parts)
-            behind = [phrase(b1, low), phrase(b2, b1, low), phrase(b2, b1), phrase(b3, b2, b1), phrase(b3, b2)]
-            ahead = [
-                F.when(a2.isNotNull(), _lookup(rules.idioms, phrase(low, a1, a2))),
-                F.when(a1.isNotNull(), _lookup(rules.idioms, phrase(low, a1))),
-            ]
-            idiom = F.coalesce(*ahead, *[_lookup(rules.idioms, p) for p in behind], v)
-            rows = rows.withColumn("v", F.when(applies, idiom).otherwise(v))
-            for p in (phrase(b3, b2, b1), phrase(b3, b2), phrase(b2, b1)):
-                extra = F.coalesce(_lookup(rules.boosters, p), F.lit(0.0))
-                rows = rows.withColumn("v", F.when(applies, v + extra).otherwise(v))
+        boost = F.when(shouted, boost + emphasis_of(v)).otherwise(boost) * DECAY[k]
+        return v + F.coalesce(boost, F.lit(0.0))
+
+    def turned(v: Column, k: int) -> Column:
+        against = v * rules.negation
+        if k == 1:
+            return F.when(negates(b1), against).otherwise(v)
+        if k == 2:
+            return (
+                F.when(same(b2, "never") & same(b1, "so", "this"), v * NEVER_SO)
+                .when(same(b2, "without") & same(b1, "doubt"), v)
+                .when(negates(b2), against)
+                .otherwise(v)
+            )
+        # "so" or "this" right before the word lifts it whatever came earlier: kept as is.
+        return (
+            F.when((same(b3, "never") & same(b2, "so", "this")) | same(b1, "so", "this"), v * NEVER_SO)
+            .when(same(b3, "without") & (same(b2, "doubt") | same(b1, "doubt")), v)
+            .when(negates(b3), against)
+            .otherwise(v)
+        )
+
+    def with_idioms(v: Column) -> Column:
+        behind = [phrase(b1, low), phrase(b2, b1, low), phrase(b2, b1), phrase(b3, b2, b1), phrase(b3, b2)]
+        ahead = [
+            F.when(a2.isNotNull(), _lookup(rules.idioms, phrase(low, a1, a2))),
+            F.when(a1.isNotNull(), _lookup(rules.idioms, phrase(low, a1))),
+        ]
+        out = F.coalesce(*ahead, *[_lookup(rules.idioms, p) for p in behind], v)
+        for p in (phrase(b3, b2, b1), phrase(b3, b2), phrase(b2, b1)):
+            out = out + F.coalesce(_lookup(rules.boosters, p), F.lit(0.0))
+        return out
 
+    # "no" before a lexicon word stands for nothing itself and turns that word around.
+    after_no = same(b1, "no") | same(b2, "no") | (same(b3, "no") & same(b1, "or", "nor"))
+    v = (
+        F.when(after_no, F.col("lex") * rules.negation)
+        .when((low == "no") & F.col("low_a1_lex"), F.lit(0.0))
+        .otherwise(F.col("lex"))
+    )
+    loud = is_upper(F.col("raw")) & F.col("mixed_caps")
+    v = _step(v, lambda x: F.when(loud, x + emphasis_of(x)).otherwise(x))
+    for k in (1, 2, 3):
+        applies = F.col(f"low_b{k}").isNotNull() & ~F.col(f"low_b{k}_lex")
+        v = _step(v, lambda x, k=k, on=applies: F.when(on, boosted(x, k)).otherwise(x))
+        v = _step(v, lambda x, k=k, on=applies: F.when(on, turned(x, k)).otherwise(x))
+        if k == 3:
+            v = _step(v, lambda x, on=applies: F.when(on, with_idioms(x)).otherwise(x))
     least = same(b1, "least") & ~F.col("low_b1_lex") & ~same(b2, "at", "very")
-    rows = rows.withColumn("v", F.when(least, v * rules.negation).otherwise(v))
-    silent = F.lit(False)
-    if rules.boosters:
-        silent = same(low, *rules.boosters)
+    v = _step(v, lambda x: F.when(least, x * rules.negation).otherwise(x))
+    silent = same(low, *rules.boosters) if rules.boosters else F.lit(False)
     silent = silent | ((low == "kind") & same(a1, "of"))
     return rows.select(
         key,
