@@ -44,6 +44,7 @@ def rows_of(columns, rows):
 
 def compare(spark, con, q, sf_dir, limit=120):
     """None when equal, else a short reason. A query that runs past ``limit`` seconds is cancelled."""
+    start = time.time()
     timer = threading.Timer(limit, spark.sparkContext.cancelAllJobs)
     timer.start()
     try:
@@ -51,6 +52,7 @@ def compare(spark, con, q, sf_dir, limit=120):
         mine = rows_of(df.columns, df.collect())
     finally:
         timer.cancel()
+    compare.spark_seconds = time.time() - start
     if q.sql is None:
         return None, len(mine[1])
     cur = con.execute(q.sql)
@@ -84,7 +86,7 @@ def main() -> int:
         except Exception as exc:  # noqa: BLE001  report every failure
             reason, n = f"{type(exc).__name__}: {str(exc)[:900]}", -1
         mark = "ok " if reason is None else "BAD"
-        print(f"{mark} {name:32s} {n:8d} rows {time.time() - start:6.2f}s {'' if q.sql else '(no sql)'} {reason or ''}", flush=True)
+        print(f"{mark} {name:32s} {n:8d} rows  spark {compare.spark_seconds:6.2f}s  all {time.time() - start:6.2f}s {'' if q.sql else '(no sql)'} {reason or ''}", flush=True)
         if reason:
             bad.append(name)
     print(f"{len(bad)} failing: {bad}")

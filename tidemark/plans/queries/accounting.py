@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import attempts as att
@@ -14,7 +15,7 @@ from tidemark.sources.reference import POSTS_SIZES, PRICES, SUMMARY_SIZES, price
 
 
 def _objects(spark, sf):
-    return ledger.live_objects(v.writes_as_written(spark, sf))
+    return ledger.live_objects(v.RunBook(spark, sf).as_written)
 
 
 @query(
@@ -22,7 +23,7 @@ def _objects(spark, sf):
     v.with_ctes(*v.LAKE_SQL, body="SELECT key, dataset, partition, rows, run, attempt, seq FROM writes"),
 )
 def q_write_log(spark, sf):
-    return v.writes_as_written(spark, sf)
+    return v.RunBook(spark, sf).as_written
 
 
 @query(
@@ -30,7 +31,7 @@ def q_write_log(spark, sf):
     v.with_ctes(*v.IDEMPOTENT_SQL, body="SELECT key, dataset, partition, rows, run, attempt, seq FROM writes"),
 )
 def q_idempotent_write_log(spark, sf):
-    return v.writes_idempotent(spark, sf)
+    return v.RunBook(spark, sf).idempotent
 
 
 @query(
@@ -38,7 +39,7 @@ def q_idempotent_write_log(spark, sf):
     v.with_ctes(*v.IDEMPOTENT_SQL, body="SELECT key, dataset, partition, rows, writes FROM objects"),
 )
 def q_live_objects(spark, sf):
-    return ledger.live_objects(v.writes_idempotent(spark, sf)).drop("run")
+    return ledger.live_objects(v.RunBook(spark, sf).idempotent).drop("run")
 
 
 @query(
@@ -47,7 +48,7 @@ def q_live_objects(spark, sf):
 SELECT key, run, attempt, row_number() OVER (PARTITION BY key ORDER BY seq) > 1 AS replaced FROM writes"""),
 )
 def q_replaced_writes(spark, sf):
-    return ledger.flag_replaced(v.writes_idempotent(spark, sf)).select("key", "run", "attempt", "replaced")
+    return ledger.flag_replaced(v.RunBook(spark, sf).idempotent).select("key", "run", "attempt", "replaced")
 
 
 @query(
@@ -78,7 +79,8 @@ SELECT CAST(sum(rows) FILTER (dataset = 'posts') AS BIGINT) AS rows_in_lake,
 FROM objects"""),
 )
 def q_lake_totals(spark, sf):
-    return ledger.lake_totals(_objects(spark, sf), stored_posts(spark, sf))
+    book = v.RunBook(spark, sf)
+    return ledger.lake_totals(ledger.live_objects(book.as_written), stored_posts(v.facts(spark, sf), book))
 
 
 @query(
@@ -88,7 +90,7 @@ SELECT dataset, count(*) AS put_requests, count(DISTINCT key) AS objects, count(
 FROM writes GROUP BY dataset"""),
 )
 def q_put_counts(spark, sf):
-    return ledger.put_counts(v.writes_idempotent(spark, sf))
+    return ledger.put_counts(v.RunBook(spark, sf).idempotent)
 
 
 @query(
@@ -112,7 +114,7 @@ SELECT run, CAST(sum(CASE WHEN dataset = 'posts' THEN rows ELSE 0 END) AS BIGINT
 FROM standing GROUP BY run"""),
 )
 def q_cumulative_lake(spark, sf):
-    return ledger.cumulative_lake(v.writes_idempotent(spark, sf))
+    return ledger.cumulative_lake(v.RunBook(spark, sf).idempotent)
 
 
 @query(
@@ -126,7 +128,7 @@ SELECT run, CAST(sum(CASE WHEN dataset = 'posts' THEN rows ELSE 0 END) AS BIGINT
 FROM standing GROUP BY run"""),
 )
 def q_cumulative_lake_as_written(spark, sf):
-    return ledger.cumulative_lake(v.writes_as_written(spark, sf))
+    return ledger.cumulative_lake(v.RunBook(spark, sf).as_written)
 
 
 @query(
@@ -138,7 +140,7 @@ SELECT DISTINCT partition, run,
 FROM writes WHERE dataset = 'posts'"""),
 )
 def q_partition_running_rows(spark, sf):
-    return ledger.partition_running_rows(v.writes_idempotent(spark, sf))
+    return ledger.partition_running_rows(v.RunBook(spark, sf).idempotent)
 
 
 @query(
@@ -165,7 +167,7 @@ steps AS (SELECT *, lag(rows) OVER (ORDER BY run) AS p, lag(puts) OVER (ORDER BY
 SELECT count(*) AS decreasing_runs FROM steps WHERE rows < p OR puts < q"""),
 )
 def q_lake_never_shrinks(spark, sf):
-    fell = audit.decreasing_steps(ledger.cumulative_lake(v.writes_idempotent(spark, sf)), ["rows_in_lake", "put_requests"])
+    fell = audit.decreasing_steps(ledger.cumulative_lake(v.RunBook(spark, sf).idempotent), ["rows_in_lake", "put_requests"])
     return fell.agg(F.count(F.lit(1)).alias("decreasing_runs"))
 
 
@@ -179,7 +181,7 @@ SELECT dataset, CAST(standing AS BIGINT) AS standing_rows, CAST(written AS BIGIN
 FROM flow JOIN live USING (dataset)"""),
 )
 def q_rows_balance(spark, sf):
-    return audit.rows_balance(v.writes_idempotent(spark, sf))
+    return audit.rows_balance(v.RunBook(spark, sf).idempotent)
 
 
 @query(
@@ -189,7 +191,7 @@ SELECT (SELECT count(*) FROM writes) AS put_requests, CAST(sum(writes) AS BIGINT
 FROM objects"""),
 )
 def q_put_balance(spark, sf):
-    return audit.put_balance(v.writes_idempotent(spark, sf))
+    return audit.put_balance(v.RunBook(spark, sf).idempotent)
 
 
 @query(
@@ -213,9 +215,10 @@ WHERE created_ts < (SELECT max(window_end) FROM states WHERE state = 'success')
                  WHERE run IN (SELECT run FROM attempts WHERE task = 'load'))"""),
 )
 def q_lost_posts(spark, sf):
-    good = att.last_good_run(v.run_states(spark, sf)).select("window_end").scalar()
+    book = v.RunBook(spark, sf)
+    good = att.last_good_run(book.states).select("window_end").scalar()
     source = v.facts(spark, sf).select("id", "created_at", "created_ts")
-    return audit.lost_posts(stored_posts(spark, sf), source, good).drop("created_ts")
+    return audit.lost_posts(stored_posts(source, book), source, good).drop("created_ts")
 
 
 @query(
@@ -250,7 +253,8 @@ SELECT partition, CAST(coalesce(r.rows, 0) AS BIGINT) AS run_date_rows, CAST(coa
 FROM by_run r FULL JOIN by_event e USING (partition)"""),
 )
 def q_partition_skew(spark, sf):
-    return audit.partition_skew(_objects(spark, sf), ledger.live_objects(v.writes_idempotent(spark, sf)))
+    book = v.RunBook(spark, sf)
+    return audit.partition_skew(ledger.live_objects(book.as_written), ledger.live_objects(book.idempotent))
 
 
 # ------------------------------------------------------------------------------- attempts
@@ -265,7 +269,7 @@ SELECT run, count(*) AS attempts, count(*) FILTER (attempt > 1) AS retries,
 FROM attempts GROUP BY run"""),
 )
 def q_attempt_rollup(spark, sf):
-    return att.attempt_rollup(v.task_attempts(spark, sf))
+    return att.attempt_rollup(v.RunBook(spark, sf).attempts)
 
 
 @query(
@@ -277,7 +281,7 @@ SELECT run, task, attempt, state, duration_min,
 FROM attempts"""),
 )
 def q_attempt_offsets(spark, sf):
-    return att.attempt_offsets(v.task_attempts(spark, sf)).drop("task_ord")
+    return att.attempt_offsets(v.RunBook(spark, sf).attempts).drop("task_ord")
 
 
 @query(
@@ -289,7 +293,7 @@ SELECT count(*) AS runs, count(*) FILTER (NOT done) AS failed_runs, CAST(sum(n)
        CAST(sum(retries) AS BIGINT) AS retries, count(*) FILTER (done AND n < 3) AS short_runs FROM per_run"""),
 )
 def q_attempt_totals(spark, sf):
-    return att.attempt_totals(v.task_attempts(spark, sf))
+    return att.attempt_totals(v.RunBook(spark, sf).attempts)
 
 
 # ---------------------------------------------------------------------------- size and cost
@@ -363,7 +367,7 @@ SELECT partition, bytes FROM (SELECT partition, CAST(sum(bytes) AS BIGINT) AS by
 ORDER BY bytes DESC, partition LIMIT 1"""),
 )
 def q_largest_day_bytes(spark, sf):
-    objects = ledger.live_objects(v.writes_idempotent(spark, sf))
+    objects = ledger.live_objects(v.RunBook(spark, sf).idempotent)
     return ledger.largest_partition(cost.estimate_bytes(objects, size_points(spark)), "bytes")
 
 
@@ -411,10 +415,9 @@ FROM stepped WHERE rows > 655.35 AND r0 <= 655.35 ORDER BY days LIMIT 1"""),
 )
 def q_payload_crossing(spark, sf):
     """The day on which cumulated rows of a hundred bytes pass a 65,535 byte column."""
-    per_slot = win.slot_counts(v.instants(spark, sf)).groupBy("slot_date").agg(F.sum("rows").alias("rows"))
-    daily = per_slot.join(v.runs(spark, sf).select("run", F.col("run_ts").cast("date").alias("slot_date")), "slot_date")
-    from pyspark.sql import Window
-
+    book = v.RunBook(spark, sf)
+    per_slot = book.counts.groupBy("slot_date").agg(F.sum("rows").alias("rows"))
+    daily = per_slot.join(book.runs.select("run", F.col("run_ts").cast("date").alias("slot_date")), "slot_date")
     upto = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     series = daily.select((F.col("run") + 1).alias("days"), F.sum("rows").over(upto).alias("rows"))
     return cost.first_crossing(series, "days", "rows", 655.35)
@@ -461,7 +464,6 @@ def q_cost_report(spark, sf):
             F.lit(layout).alias("layout"), "bytes", "put_requests", scan.alias("scan_bytes")
         )
 
-    both = usage("run_date", v.writes_as_written(spark, sf), False).unionByName(
-        usage("event_date", v.writes_idempotent(spark, sf), True)
-    )
+    book = v.RunBook(spark, sf)
+    both = usage("run_date", book.as_written, False).unionByName(usage("event_date", book.idempotent, True))
     return cost.cost_report(both, prices(spark))

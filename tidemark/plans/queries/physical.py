@@ -53,7 +53,9 @@ def _by_day(lake: DataFrame) -> DataFrame:
 
 @query("event_date_write", _BY_DAY)
 def q_event_date_write(spark, sf):
-    return _by_day(scan.read_lake(spark, written_lake(spark, sf), ENRICHED))
+    root = scratch_path(spark, "event-date")
+    sink.write_event_date(enriched(spark, sf), root)
+    return _by_day(scan.read_lake(spark, root, ENRICHED))
 
 
 @query(

@@ -132,7 +132,7 @@ SELECT run, state, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end,
        strftime(high_water, '%Y-%m-%d %H:%M:%S') AS high_water FROM marked"""),
 )
 def q_carried_high_water(spark, sf):
-    return win.high_water(v.run_states(spark, sf)).select("run", "state", _stamp("window_end"), _stamp("high_water"))
+    return win.high_water(v.RunBook(spark, sf).states).select("run", "state", _stamp("window_end"), _stamp("high_water"))
 
 
 @query(
@@ -141,7 +141,7 @@ def q_carried_high_water(spark, sf):
 SELECT max(run) AS run, strftime(max(window_end), '%Y-%m-%d %H:%M:%S') AS window_end FROM states WHERE state = 'success'"""),
 )
 def q_last_good_run(spark, sf):
-    return last_good_run(v.run_states(spark, sf)).select("run", _stamp("window_end"))
+    return last_good_run(v.RunBook(spark, sf).states).select("run", _stamp("window_end"))
 
 
 @query(
@@ -152,7 +152,7 @@ WHERE (SELECT max(window_end) FROM states WHERE state = 'success') IS NULL
    OR created_ts >= (SELECT max(window_end) FROM states WHERE state = 'success')"""),
 )
 def q_posts_after_high_water(spark, sf):
-    return win.newer_than_last_good(v.facts(spark, sf), v.run_states(spark, sf)).select("id", "created_at")
+    return win.newer_than_last_good(v.facts(spark, sf), v.RunBook(spark, sf).states).select("id", "created_at")
 
 
 @query(
@@ -165,7 +165,7 @@ FROM spans LEFT JOIN facts ON created_ts >= window_start AND created_ts < window
 )
 def q_incremental_reads(spark, sf):
     """Each run reads from where the last successful one ended."""
-    return win.run_extracts(v.instants(spark, sf), win.incremental_windows(v.run_states(spark, sf)))
+    return win.run_extracts(v.instants(spark, sf), win.incremental_windows(v.RunBook(spark, sf).states))
 
 
 @query(
@@ -216,8 +216,9 @@ fresh AS (SELECT run, count(*) AS new_posts FROM seen GROUP BY run)
 SELECT run, new_posts, CAST(sum(new_posts) OVER (ORDER BY run) AS BIGINT) AS distinct_posts FROM fresh"""),
 )
 def q_cumulative_distinct(spark, sf):
+    book = v.RunBook(spark, sf)
     return cumulative_distinct(
-        v.instants(spark, sf), v.runs(spark, sf), v.load_attempts(spark, sf), win.slot_date(F.col("created_ts"))
+        v.instants(spark, sf), book.runs, book.load_attempts, win.slot_date(F.col("created_ts"))
     )
 
 
@@ -228,15 +229,15 @@ _LAKE_IDS_SQL = """
 """
 
 
-def stored_posts(spark, sf):
-    """Posts that some run with a load attempt wrote, one row per post. Filters on its slot."""
+def stored_posts(facts, book):
+    """Posts that some run with a load attempt wrote, one row per post: a filter on their slot."""
     reached = (
-        win.run_slots(v.runs(spark, sf))
-        .join(v.load_attempts(spark, sf).select("run").distinct(), "run", "left_semi")
+        win.run_slots(book.runs)
+        .join(book.load_attempts.select("run").distinct(), "run", "left_semi")
         .select("slot_date")
         .distinct()
     )
-    dated = v.facts(spark, sf).withColumn("slot_date", win.slot_date(F.col("created_ts")))
+    dated = facts.withColumn("slot_date", win.slot_date(F.col("created_ts")))
     return dated.join(reached, "slot_date", "left_semi").drop("slot_date")
 
 
@@ -246,8 +247,9 @@ def stored_posts(spark, sf):
 SELECT source, count(*) AS post_count FROM facts JOIN lake USING (id) GROUP BY source"""),
 )
 def q_stored_in_source(spark, sf):
-    ids = present_in(stored_posts(spark, sf), v.facts(spark, sf))
-    return v.facts(spark, sf).join(ids, "id").groupBy("source").agg(F.count(F.lit(1)).alias("post_count"))
+    facts = v.facts(spark, sf)
+    ids = present_in(stored_posts(facts.select("id", "created_ts"), v.RunBook(spark, sf)), facts)
+    return facts.join(ids, "id").groupBy("source").agg(F.count(F.lit(1)).alias("post_count"))
 
 
 @query(
@@ -256,8 +258,9 @@ def q_stored_in_source(spark, sf):
 SELECT id, created_at FROM facts WHERE id NOT IN (SELECT id FROM lake)"""),
 )
 def q_missing_from_lake(spark, sf):
-    source = v.facts(spark, sf).select("id", "created_at")
-    return missing_from(stored_posts(spark, sf).filter(F.col("id").isNotNull()), source)
+    facts = v.facts(spark, sf)
+    lake = stored_posts(facts.select("id", "created_ts"), v.RunBook(spark, sf))
+    return missing_from(lake, facts.select("id", "created_at"))
 
 
 @query(
@@ -268,7 +271,8 @@ SELECT id, created_at FROM facts JOIN lake USING (id) WHERE source = 'signup'"""
 def q_unknown_to_source(spark, sf):
     """Against a source that has withdrawn its signup posts."""
     source = v.facts(spark, sf).filter(F.col("source") != "signup")
-    return unknown_to(source, stored_posts(spark, sf).select("id", "created_at"))
+    lake = stored_posts(v.facts(spark, sf).select("id", "created_at", "created_ts"), v.RunBook(spark, sf))
+    return unknown_to(source, lake.drop("created_ts"))
 
 
 @query(

@@ -6,6 +6,8 @@ queries; ``posts`` takes its text from ``documents`` and serves the text queries
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,8 +15,8 @@ from pyspark.sql import types as T
 from tidemark.operators import attempts as attempt_ops
 from tidemark.operators import ledger
 from tidemark.operators.lexicon import NEGATIVE_WORDS, POSITIVE_WORDS
-from tidemark.operators.windows import incremental_windows, schedule, slot_counts
-from tidemark.session import spread
+from tidemark.operators.windows import incremental_windows, schedule
+from tidemark.session import settle, spread
 
 PREFIX = "lake"
 
@@ -79,90 +81,116 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily runs with a seven day lookback over the events."""
-    return schedule(table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp_ntz").alias("created_ts")))
-
+class RunBook:
+    """Runs, task attempts and write logs read out of the events, from one pass over them.
 
-def task_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A task-attempt log read out of the events.
+    The pass counts events by day, third of the day and type: at most fifteen rows per day. That
+    table is settled in the shared folder, and everything below starts from it.
 
-    Each day is a run, event types stand for tasks, and the thirds of a day are a task's attempts.
-    An attempt is done when its mean value reaches ``DONE_CENTS``; later attempts then do not
-    happen, and a task starts only when the tasks before it were done. All steps after the first
-    aggregate see at most nine rows per day.
+    The attempt log: each day is a run, event types stand for tasks, and the thirds of a day are a
+    task's attempts. An attempt is done when its mean value reaches ``DONE_CENTS``; later attempts
+    then do not happen, and a task starts only when the tasks before it were done.
     """
-    events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type", "value")
-    first = events.agg(F.min(F.col("ts").cast("date"))).scalar()
-    task = (
-        F.when(F.col("event_type").isin("click", "view"), "extract")
-        .when(F.col("event_type").isin("error", "signup"), "transform")
-        .otherwise("load")
-    )
-    cells = events.groupBy(
-        F.datediff(F.col("ts").cast("date"), first).cast("bigint").alias("run"),
-        task.alias("task"),
-        F.expr("hour(ts) div 8 + 1").cast("bigint").alias("third"),
-    ).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.floor(F.col("value") * 100).cast("bigint")).alias("cents"),
-    ).withColumn("done", F.col("cents") >= F.col("n") * DONE_CENTS)
-    ends = cells.groupBy("run", "task").agg(
-        F.min(F.when(F.col("done"), F.col("third"))).alias("done_at"), F.max("third").alias("last_third")
-    )
-    done = ends.groupBy("run").agg(
-        F.max((F.col("task") == "extract") & F.col("done_at").isNotNull()).alias("extracted"),
-        F.max((F.col("task") == "transform") & F.col("done_at").isNotNull()).alias("transformed"),
-    )
-    started = (
-        (F.col("task") == "extract")
-        | ((F.col("task") == "transform") & F.col("extracted"))
-        | ((F.col("task") == "load") & F.col("extracted") & F.col("transformed"))
-    )
-    state = (
-        F.when(F.col("done"), "success")
-        .when(F.col("third") == F.col("last_third"), "failed")
-        .otherwise("up_for_retry")
-    )
-    ordinal = F.when(F.col("task") == "extract", 1).when(F.col("task") == "transform", 2).otherwise(3)
-    return (
-        cells.join(ends, ["run", "task"])
-        .join(done, "run")
-        .filter(started & (F.col("third") <= F.coalesce("done_at", "last_third")))
-        .select(
-            "run",
-            "task",
-            ordinal.cast("bigint").alias("task_ord"),
-            F.col("third").alias("attempt"),
-            state.alias("state"),
-            F.col("n").alias("duration_min"),
-        )
-    )
-
-
-def run_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs with ``state`` from the attempt log; a run without attempts failed."""
-    states = attempt_ops.attempt_rollup(task_attempts(spark, sf_dir)).select("run", "state")
-    return runs(spark, sf_dir).join(states, "run", "left").withColumn("state", F.coalesce("state", F.lit("failed")))
-
-
-def load_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return task_attempts(spark, sf_dir).filter(F.col("task") == "load").select("run", "attempt")
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        events = table(spark, sf_dir, "events").select(
+            F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type", "value"
+        )
+        self.cells = settle(
+            events.groupBy(
+                F.col("ts").cast("date").alias("day"),
+                F.expr("hour(ts) div 8 + 1").cast("bigint").alias("third"),
+                "event_type",
+            ).agg(
+                F.count(F.lit(1)).alias("n"),
+                F.sum(F.floor(F.col("value") * 100).cast("bigint")).alias("cents"),
+            ),
+            "cells",
+        )
+        self.counts = self.cells.groupBy(
+            F.date_add("day", 1).alias("slot_date"), F.col("day").cast("string").alias("event_day")
+        ).agg(F.sum("n").alias("rows"))
+        self.runs = schedule(self.cells.select(F.col("day").cast("timestamp_ntz").alias("created_ts")))
+
+    @cached_property
+    def attempts(self) -> DataFrame:
+        return settle(self._attempts(), "attempts")
+
+    def _attempts(self) -> DataFrame:
+        first = self.cells.agg(F.min("day")).scalar()
+        task = (
+            F.when(F.col("event_type").isin("click", "view"), "extract")
+            .when(F.col("event_type").isin("error", "signup"), "transform")
+            .otherwise("load")
+        )
+        tried = (
+            self.cells.groupBy(F.datediff("day", first).cast("bigint").alias("run"), task.alias("task"), "third")
+            .agg(F.sum("n").alias("n"), F.sum("cents").alias("cents"))
+            .withColumn("done", F.col("cents") >= F.col("n") * DONE_CENTS)
+        )
+        ends = tried.groupBy("run", "task").agg(
+            F.min(F.when(F.col("done"), F.col("third"))).alias("done_at"), F.max("third").alias("last_third")
+        )
+        reached = ends.groupBy("run").agg(
+            F.max((F.col("task") == "extract") & F.col("done_at").isNotNull()).alias("extracted"),
+            F.max((F.col("task") == "transform") & F.col("done_at").isNotNull()).alias("transformed"),
+        )
+        started = (
+            (F.col("task") == "extract")
+            | ((F.col("task") == "transform") & F.col("extracted"))
+            | ((F.col("task") == "load") & F.col("extracted") & F.col("transformed"))
+        )
+        state = (
+            F.when(F.col("done"), "success")
+            .when(F.col("third") == F.col("last_third"), "failed")
+            .otherwise("up_for_retry")
+        )
+        ordinal = F.when(F.col("task") == "extract", 1).when(F.col("task") == "transform", 2).otherwise(3)
+        return (
+            tried.join(ends, ["run", "task"])
+            .join(reached, "run")
+            .filter(started & (F.col("third") <= F.coalesce("done_at", "last_third")))
+            .select(
+                "run",
+                "task",
+                ordinal.cast("bigint").alias("task_ord"),
+                F.col("third").alias("attempt"),
+                state.alias("state"),
+                F.col("n").alias("duration_min"),
+            )
+        )
 
-def writes_as_written(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The write log of overlapping windows, run-date partitions and stamped keys."""
-    counts = slot_counts(instants(spark, sf_dir))
-    return ledger.lake_writes(counts, runs(spark, sf_dir), load_attempts(spark, sf_dir), prefix=PREFIX)
+    @cached_property
+    def load_attempts(self) -> DataFrame:
+        return self.attempts.filter(F.col("task") == "load").select("run", "attempt")
+
+    @cached_property
+    def states(self) -> DataFrame:
+        """Runs with ``state`` from the attempt log; a run without attempts failed."""
+        rolled = attempt_ops.attempt_rollup(self.attempts).select("run", "state")
+        return self.runs.join(rolled, "run", "left").withColumn("state", F.coalesce("state", F.lit("failed")))
+
+    @cached_property
+    def as_written(self) -> DataFrame:
+        """The write log of overlapping windows, run-date partitions and stamped keys.
+
+        Settled too: one row per object write, and the accounting queries read it several times.
+        """
+        return settle(ledger.lake_writes(self.counts, self.runs, self.load_attempts, prefix=PREFIX), "writes")
+
+    @cached_property
+    def idempotent(self) -> DataFrame:
+        """The write log of incremental windows, event-date partitions and deterministic keys."""
+        windows = incremental_windows(self.states)
+        log = ledger.lake_writes(
+            self.counts, windows, self.load_attempts, ledger.EVENT_DATE, deterministic=True, prefix=PREFIX
+        )
+        return settle(log, "writes")
 
 
-def writes_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The write log of incremental windows, event-date partitions and deterministic keys."""
-    counts = slot_counts(instants(spark, sf_dir))
-    windows = incremental_windows(run_states(spark, sf_dir))
-    return ledger.lake_writes(
-        counts, windows, load_attempts(spark, sf_dir), ledger.EVENT_DATE, deterministic=True, prefix=PREFIX
-    )
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily runs with a seven day lookback over the events."""
+    return schedule(table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp_ntz").alias("created_ts")))
 
 
 # --------------------------------------------------------------------------- SQL counterparts

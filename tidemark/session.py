@@ -69,3 +69,14 @@ def broadcast_checked(table: DataFrame, max_rows: int = 200_000) -> DataFrame:
     if table.limit(max_rows + 1).count() > max_rows:
         return table
     return F.broadcast(table)
+
+
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """Write ``df`` below the shared folder and read it back.
+
+    For a small aggregate that several branches of a plan use: the big scan behind it then runs
+    once, and a lost executor rereads the table instead of repeating the scan.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
