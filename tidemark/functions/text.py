@@ -16,7 +16,7 @@ WORD_SEPARATORS = (
 # Fixed value: the punctuation taken off both ends of a word before lexicon lookup.
 EDGE_PUNCTUATION = ".,!?;:\"'"
 
-SPLIT_PATTERN = f"[{WORD_SEPARATORS}]+"
+SPLIT_PATTERN = f"[{WORD_SEPARATORS}]++"
 
 
 def words(text: Column) -> Column:

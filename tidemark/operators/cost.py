@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import round_half_up
+from tidemark.session import broadcast_checked
 
 # Unit sizes of the price list and the assumed query load.
 BYTES_PER_GB = 1e9
@@ -34,7 +35,7 @@ def size_segments(points: DataFrame) -> DataFrame:
     first = F.col("prev_rows").isNull()
     return laid.select(
         "dataset",
-        F.when(first, F.lit(1)).otherwise(F.col("rows")).cast("bigint").alias("low_rows"),
+        F.when(first, F.lit(-(2**62))).otherwise(F.col("rows")).cast("bigint").alias("low_rows"),
         F.coalesce("next_rows", F.lit(2**62)).cast("bigint").alias("high_rows"),
         F.col("rows").alias("at_rows"),
         F.col("bytes").alias("at_bytes"),
@@ -47,10 +48,11 @@ def size_segments(points: DataFrame) -> DataFrame:
 def estimate_bytes(objects: DataFrame, points: DataFrame) -> DataFrame:
     """Adds ``bytes`` and ``extrapolated`` to objects that have ``dataset`` and ``rows``.
 
-    An equi-join on dataset with the row range as a condition on the joined row; the point table
-    is a handful of measurements, so the segments of one dataset are few.
+    An equi-join on dataset with the row range as a condition on the joined row. There are only two
+    datasets, so shuffling on them would be hopelessly skewed; the segments are counted and sent
+    to every task instead.
     """
-    seg = size_segments(points)
+    seg = broadcast_checked(size_segments(points), 10_000)
     match = (
         (objects["dataset"] == seg["dataset"])
         & (objects["rows"] >= seg["low_rows"])

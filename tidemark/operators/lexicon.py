@@ -119,9 +119,9 @@ def prefix_token_hits(texts: DataFrame, lexicon: DataFrame, key: str, text: str
     An equi-join, so a long list never turns into a nested loop over words and list. A word that
     matches several entries counts once per polarity sign.
     """
-    lengths = lexicon.select(F.length("token").alias("cut")).distinct()
-    rows = word_rows(texts, key, text)
-    cuts = rows.join(broadcast_checked(lengths, 10_000), F.length("token") >= F.col("cut"))
+    lengths = lexicon.agg(F.collect_set(F.length("token"))).scalar()  # as many as word lengths
+    fitting = F.filter(lengths, lambda n: n <= F.length("token"))
+    cuts = word_rows(texts, key, text).withColumn("cut", F.explode(fitting))
     cuts = cuts.withColumn("stem", F.expr("substring(token, 1, cut)")).drop("token")
     stems = lexicon.withColumnRenamed("token", "stem")
     hit = cuts.join(broadcast_checked(stems), "stem").select(key, "position", "polarity").distinct()

@@ -15,9 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from heapq import heappop, heappush
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.numbers import round_half_even
 from tidemark.functions.text import words
@@ -50,12 +53,12 @@ class ValenceRules:
     contrast: str = "but"
 
 
-def _lookup(table: Mapping[str, float], key: Column) -> Column:
-    """The value of a short literal table, null when absent."""
+def _literal_map(table: Mapping[str, float]) -> Column:
+    """A short table as one map literal, parsed once rather than built value by value."""
     if not table:
-        return F.lit(None).cast("double")
-    pairs = [F.lit(x) for k, v in table.items() for x in (k, float(v))]
-    return F.try_element_at(F.create_map(*pairs), key)
+        return F.expr("cast(map() as map<string, double>)")
+    quoted = (k.replace("\\", "\\\\").replace("'", "\\'") for k in table)
+    return F.expr("map(" + ", ".join(f"'{k}', {float(v)!r}D" for k, v in zip(quoted, table.values())) + ")")
 
 
 def _step(value: Column, rule: Callable[[Column], Column]) -> Column:
@@ -171,7 +174,11 @@ def word_valences(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, key
     rows = _with_lexicon(_context_rows(texts, key, text, rules), lexicon)
     b1, b2, b3 = F.col("low_b1"), F.col("low_b2"), F.col("low_b3")
     low, a1, a2 = F.col("low"), F.col("low_a1"), F.col("low_a2")
+    booster_map, idiom_map = _literal_map(rules.boosters), _literal_map(rules.idioms)
+    b32, b21, b321 = F.concat_ws(" ", b3, b2), F.concat_ws(" ", b2, b1), F.concat_ws(" ", b3, b2, b1)
     same = lambda c, *options: F.coalesce(c.isin(*options), F.lit(False))
+    booster = lambda c: F.try_element_at(booster_map, c)
+    idiom = lambda c: F.try_element_at(idiom_map, c)
     phrase = lambda *parts: F.concat_ws(" ", *parts)
 
     def emphasis_of(v: Column) -> Column:
@@ -182,7 +189,7 @@ def word_valences(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, key
         return listed | F.coalesce(word.contains("n't"), F.lit(False))
 
     def boosted(v: Column, k: int) -> Column:
-        boost = _lookup(rules.boosters, F.col(f"low_b{k}"))
+        boost = booster(F.col(f"low_b{k}"))
         boost = F.when(v < 0, -boost).otherwise(boost)
         shouted = is_upper(F.col(f"raw_b{k}")) & F.col("mixed_caps")
         boost = F.when(shouted, boost + emphasis_of(v)).otherwise(boost) * DECAY[k]
@@ -208,14 +215,14 @@ def word_valences(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, key
         )
 
     def with_idioms(v: Column) -> Column:
-        behind = [phrase(b1, low), phrase(b2, b1, low), phrase(b2, b1), phrase(b3, b2, b1), phrase(b3, b2)]
+        behind = [phrase(b1, low), phrase(b2, b1, low), b21, b321, b32]
         ahead = [
-            F.when(a2.isNotNull(), _lookup(rules.idioms, phrase(low, a1, a2))),
-            F.when(a1.isNotNull(), _lookup(rules.idioms, phrase(low, a1))),
+            F.when(a2.isNotNull(), idiom(phrase(low, a1, a2))),
+            F.when(a1.isNotNull(), idiom(phrase(low, a1))),
         ]
-        out = F.coalesce(*ahead, *[_lookup(rules.idioms, p) for p in behind], v)
-        for p in (phrase(b3, b2, b1), phrase(b3, b2), phrase(b2, b1)):
-            out = out + F.coalesce(_lookup(rules.boosters, p), F.lit(0.0))
+        out = F.coalesce(*ahead, *[idiom(p) for p in behind], v)
+        for p in (b321, b32, b21):
+            out = out + F.coalesce(booster(p), F.lit(0.0))
         return out
 
     # "no" before a lexicon word stands for nothing itself and turns that word around.
@@ -231,7 +238,7 @@ def word_valences(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, key
         applies = F.col(f"low_b{k}").isNotNull() & ~F.col(f"low_b{k}_lex")
         v = _step(v, lambda x, k=k, on=applies: F.when(on, boosted(x, k)).otherwise(x))
         v = _step(v, lambda x, k=k, on=applies: F.when(on, turned(x, k)).otherwise(x))
-        if k == 3:
+        if k == 3 and (rules.idioms or rules.boosters):
             v = _step(v, lambda x, on=applies: F.when(on, with_idioms(x)).otherwise(x))
     least = same(b1, "least") & ~F.col("low_b1_lex") & ~same(b2, "at", "very")
     v = _step(v, lambda x: F.when(least, x * rules.negation).otherwise(x))
@@ -247,22 +254,40 @@ def word_valences(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, key
     )
 
 
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _rescale(values: pd.Series, places: pd.Series, contrast_at: pd.Series) -> pd.Series:
+    """Each value in turn scales the first entry equal to it; a heap of places per value finds it.
+
+    The rule is a sequential one over a mutating list. As array expressions every step would copy
+    the list, which is quadratic in a long text; only texts with a contrast word come here.
+    """
+
+    def one(row_values, row_places, at):
+        if row_values is None:
+            return None
+        out = [float(x) for x in row_values]
+        spots: dict[float, list[int]] = {}
+        for i, x in enumerate(out):
+            spots.setdefault(x, []).append(i)
+        for turn in range(len(out)):
+            value = out[turn]
+            i = heappop(spots[value])
+            side = row_places[i] - at
+            out[i] = value * (BEFORE_CONTRAST if side < 0 else AFTER_CONTRAST if side > 0 else 1.0)
+            heappush(spots.setdefault(out[i], []), i)
+        return out
+
+    return pd.Series([one(*row) for row in zip(values, places, contrast_at)])
+
+
 def contrast_rescale(values: Column, positions: Column, contrast_at: Column) -> Column:
     """Halve values before the contrast word and raise those after it.
 
     Each value is looked up by value, so a repeat changes its first equal entry: kept as is.
     """
-    def step(acc: Column, i: Column) -> Column:
-        value = F.get(acc, i)
-        at = (F.array_position(acc, value) - 1).cast("int")
-        where = F.get(positions, at)
-        factor = (
-            F.when(where < contrast_at, F.lit(BEFORE_CONTRAST)).when(where > contrast_at, F.lit(AFTER_CONTRAST)).otherwise(1.0)
-        )
-        return F.transform(acc, lambda x, j: F.when(j == at, x * factor).otherwise(x))
-
-    turns = F.sequence(F.lit(0), F.size(values) - 1)
-    return F.when((contrast_at >= 0) & (F.size(values) > 0), F.aggregate(turns, values, step)).otherwise(values)
+    touched = (contrast_at >= 0) & (F.size(values) > 0)
+    scaled = _rescale(F.when(touched, values), positions, contrast_at)
+    return F.when(touched, scaled).otherwise(values)
 
 
 def valence_scores(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, key: str, text: str = "text") -> DataFrame:
@@ -273,7 +298,7 @@ def valence_scores(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, ke
     hits = word_valences(texts, lexicon, rules, key, text)
     scored = F.when(F.col("valence") != 0, F.struct("pos", "valence"))
     per_text = hits.groupBy(key).agg(
-        F.array_sort(F.collect_set(scored)).alias("hits"),
+        F.sort_array(F.collect_set(scored)).alias("hits"),
         F.max("n").alias("n"),
         F.max("emphasis").alias("emphasis"),
         F.max("contrast_at").alias("contrast_at"),

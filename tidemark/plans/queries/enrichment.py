@@ -28,7 +28,7 @@ from tidemark.operators.summary import (
 )
 from tidemark.plans import views as v
 from tidemark.plans.registry import query
-from tidemark.session import scratch_path
+from tidemark.session import local_table, scratch_path
 from tidemark.sources.posts import cap_posts, read_posts
 
 FREQUENT = column_scorer("lexicon", "frequent", lambda t: lex.lexicon_score(t, v.PLUS, v.MINUS))
@@ -250,7 +250,7 @@ LEFT JOIN words w ON w.token = l.list_word GROUP BY list_word"""),
 )
 def q_lexicon_union(spark, sf):
     def one(items):
-        return spark.createDataFrame([(w,) for w in items], "token string")
+        return local_table(spark, [(w,) for w in items], "token string")
 
     merged = lex.merge_lexicons(one(v.PLUS), one(v.FREQUENT_POSITIVE + v.MINUS))
     uses = lex.word_rows(v.texts(spark, sf), "doc_id").groupBy("token").agg(F.count(F.lit(1)).alias("uses"))

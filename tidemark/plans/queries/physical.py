@@ -18,7 +18,7 @@ from tidemark.operators.summary import daily_summary
 from tidemark.plans import views as v
 from tidemark.plans.registry import query
 from tidemark.schema import ENRICHED, conform
-from tidemark.session import scratch_path
+from tidemark.session import local_table, scratch_path
 from tidemark.sinks import lake as sink
 from tidemark.sources import lake as scan
 
@@ -291,7 +291,7 @@ def q_write_receipt(spark, sf):
     root = scratch_path(spark, "receipt")
     receipt = sink.write_with_receipt(enriched(spark, sf), lambda df: sink.write_event_date(df, root), root)
     row = [(receipt["post_count"], receipt["first_day"], receipt["last_day"], receipt["total_engagement"])]
-    return spark.createDataFrame(row, "post_count bigint, first_day string, last_day string, total_engagement bigint")
+    return local_table(spark, row, "post_count bigint, first_day string, last_day string, total_engagement bigint")
 
 
 @query(
@@ -328,4 +328,4 @@ def q_reader_probes(spark, sf):
             lambda: scan.read_lake(spark, clash).filter(F.col("day") == "2024-01-15").count(),
         ),
     ]
-    return spark.createDataFrame([(p["reader"], p["ok"]) for p in probes], "reader string, ok boolean")
+    return local_table(spark, [(p["reader"], p["ok"]) for p in probes], "reader string, ok boolean")

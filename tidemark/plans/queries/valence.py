@@ -10,6 +10,7 @@ from tidemark.operators.lexicon import NEGATIVE_WORDS, POSITIVE_WORDS
 from tidemark.operators.summary import score_units
 from tidemark.plans import views as v
 from tidemark.plans.registry import query
+from tidemark.session import local_table
 
 # Valences of words in the given texts, and of the built-in word lists.
 VALENCES = {
@@ -30,7 +31,7 @@ EMOJI = {"é": "accent", "ß": "sharp ess", "ñ": "tilde", "ü": "umlaut"}
 
 
 def valence_lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(VALENCES.items()), "token string, valence double")
+    return local_table(spark, list(VALENCES.items()), "token string, valence double")
 
 
 def _map(table) -> str:
@@ -259,7 +260,7 @@ FROM marked""",
 )
 def q_emoji_words(spark, sf):
     """Single characters replaced by words; accented letters stand in for emoji here."""
-    table = spark.createDataFrame(list(EMOJI.items()), "char string, description string")
+    table = local_table(spark, list(EMOJI.items()), "char string, description string")
     texts = v.texts(spark, sf).select("doc_id", "text", F.length("text").cast("bigint").alias("before_chars"))
     out = val.emoji_to_words(texts, table, "doc_id")
     return out.select("doc_id", "before_chars", F.length("text").cast("bigint").alias("after_chars"), F.md5("text").alias("digest"))

@@ -10,13 +10,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators import attempts as attempt_ops
 from tidemark.operators import ledger
 from tidemark.operators.lexicon import NEGATIVE_WORDS, POSITIVE_WORDS
 from tidemark.operators.windows import incremental_windows, schedule
-from tidemark.session import settle, spread
+from tidemark.session import local_table, settle, spread
 
 PREFIX = "lake"
 
@@ -77,8 +76,7 @@ def instants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lexicon(spark: SparkSession) -> DataFrame:
     rows = [(w, 1) for w in PLUS] + [(w, -1) for w in MINUS]
-    schema = T.StructType([T.StructField("token", T.StringType()), T.StructField("polarity", T.IntegerType())])
-    return spark.createDataFrame(rows, schema)
+    return local_table(spark, rows, "token string, polarity int")
 
 
 class RunBook:

@@ -20,6 +20,13 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # A week of post ids does not fit the heap; RocksDB keeps streaming state on disk.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
+        # Call-site capture costs driver round trips for every column expression.
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -71,6 +78,18 @@ def broadcast_checked(table: DataFrame, max_rows: int = 200_000) -> DataFrame:
     return F.broadcast(table)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table from driver values, as a local relation whose size Spark knows."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    columns = list(zip(*rows)) if rows else [[] for _ in arrow]
+    data = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(data, schema=arrow))
+
+
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     """Write ``df`` below the shared folder and read it back.
 

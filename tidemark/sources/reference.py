@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import local_table
+
 # Measured Parquet object sizes, (rows, bytes).
 POSTS_SIZES = [
     (1, 7680), (2, 7887), (5, 8304), (10, 8540), (25, 9118), (50, 9861),
@@ -22,8 +24,8 @@ PRICES = [
 
 def size_points(spark: SparkSession) -> DataFrame:
     rows = [("posts", r, b) for r, b in POSTS_SIZES] + [("daily_summary", r, b) for r, b in SUMMARY_SIZES]
-    return spark.createDataFrame(rows, "dataset string, rows bigint, bytes bigint")
+    return local_table(spark, rows, "dataset string, rows bigint, bytes bigint")
 
 
 def prices(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PRICES, "name string, value double, unit string")
+    return local_table(spark, PRICES, "name string, value double, unit string")
