@@ -10,20 +10,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _pick(df: DataFrame, keys: list[str], order: list[Column], best) -> DataFrame:
+def _pick(df: DataFrame, keys: list[str], order: list[Column], best, copies: str | None) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     payload = F.struct(*[F.col(c) for c in rest])
-    rank = F.struct(*order)
-    return df.groupBy(*keys).agg(best(payload, rank).alias("_row")).select(
-        *keys, *[F.col("_row").getField(c).alias(c) for c in rest]
-    ).select(*df.columns)
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
+    picked = df.groupBy(*keys).agg(best(payload, F.struct(*order)).alias("_row"), *counted)
+    flat = picked.withColumns({c: F.col("_row").getField(c) for c in rest})
+    return flat.select(*df.columns, *([copies] if copies else []))
 
 
-def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The row with the smallest ``order`` per key. The order must be total for a fixed result."""
-    return _pick(df, keys, order, F.min_by)
+def first_per_key(df: DataFrame, keys: list[str], order: list[Column], copies: str | None = None) -> DataFrame:
+    """The row with the smallest ``order`` per key. The order must be total for a fixed result.
 
+    ``copies`` names an extra column with the number of rows the key had.
+    """
+    return _pick(df, keys, order, F.min_by, copies)
 
-def last_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+
+def last_per_key(df: DataFrame, keys: list[str], order: list[Column], copies: str | None = None) -> DataFrame:
     """The row with the largest ``order`` per key."""
-    return _pick(df, keys, order, F.max_by)
+    return _pick(df, keys, order, F.max_by, copies)

@@ -120,9 +120,8 @@ def prefix_token_hits(texts: DataFrame, lexicon: DataFrame, key: str, text: str
     matches several entries counts once per polarity sign.
     """
     lengths = lexicon.agg(F.collect_set(F.length("token"))).scalar()  # as many as word lengths
-    fitting = F.filter(lengths, lambda n: n <= F.length("token"))
-    cuts = word_rows(texts, key, text).withColumn("cut", F.explode(fitting))
-    cuts = cuts.withColumn("stem", F.expr("substring(token, 1, cut)")).drop("token")
+    cuts = word_rows(texts, key, text).withColumn("cut", F.explode(lengths))
+    cuts = cuts.filter(F.col("cut") <= F.length("token")).withColumn("stem", F.expr("substring(token, 1, cut)")).drop("token")
     stems = lexicon.withColumnRenamed("token", "stem")
     hit = cuts.join(broadcast_checked(stems), "stem").select(key, "position", "polarity").distinct()
     return hit.groupBy(key).agg(

@@ -326,8 +326,7 @@ def q_deduplicated_generations(spark, sf):
     """Every replayed copy of a post has its run's count; the last run's copy stays."""
     posts = v.facts(spark, sf).select("id", "created_ts", "like_count")
     copies = win.replay(posts, v.runs(spark, sf)).select("id", "run", (F.col("like_count") + F.col("run")).alias("like_count"))
-    kept = last_per_key(copies, ["id"], [F.col("run")])
-    return kept.join(copies.groupBy("id").agg(F.count(F.lit(1)).alias("copies")), "id")
+    return last_per_key(copies, ["id"], [F.col("run")], copies="copies")
 
 
 @query(
