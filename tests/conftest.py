@@ -13,7 +13,7 @@ from tidemark.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tidemark-tests",
-        "local[4]",
+        "local[8]",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__memory="4g",
