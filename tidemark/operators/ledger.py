@@ -31,6 +31,10 @@ def _attempt_stamp() -> Column:
     return run_stamp(F.expr("run_ts + make_dt_interval(0, 0, 0, attempt)"))
 
 
+def _stamped_name(kind: str) -> Column:
+    return F.concat(F.lit(f"{kind}_"), _attempt_stamp(), F.lit(".parquet"))
+
+
 def _window_name(kind: str) -> Column:
     day = lambda c: F.col(c).cast("date").cast("string")
     return F.concat(F.lit(f"{kind}_"), day("window_start"), F.lit("_"), day("window_end"), F.lit(".parquet"))
@@ -54,36 +58,31 @@ def lake_writes(
     per_day = (
         run_slots(runs).join(counts, "slot_date").groupBy("run", "event_day").agg(F.sum("rows").alias("rows"))
     )
+    per_run = per_day.groupBy("run").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("days"))
     attempts = runs.select("run", "run_ts", "window_start", "window_end").join(load_attempts, "run")
-    if layout == EVENT_DATE:
-        posts = per_day.join(attempts, "run").withColumn("partition", event_partition_path(prefix, F.col("event_day")))
-        name = F.lit("posts.parquet")
-    else:
-        per_run = per_day.groupBy("run").agg(F.sum("rows").alias("rows"))
-        posts = per_run.join(attempts, "run").withColumn("partition", posts_partition_path(prefix, F.col("run_ts")))
-        name = _window_name("posts")
-    if not deterministic:
-        name = F.concat(F.lit("posts_"), _attempt_stamp(), F.lit(".parquet"))
-    days = per_day.groupBy("run").agg(F.count(F.lit(1)).alias("rows"))
-    summary = days.join(attempts, "run").withColumn("partition", summary_partition_path(prefix, F.col("run_ts")))
-    summary_name = (
-        _window_name("summary")
-        if deterministic
-        else F.concat(F.lit("summary_"), _attempt_stamp(), F.lit(".parquet"))
-    )
+    loaded = per_run.join(attempts, "run")
+    posts_name = _window_name("posts") if deterministic else _stamped_name("posts")
+    summary_name = _window_name("summary") if deterministic else _stamped_name("summary")
 
-    def log(df: DataFrame, dataset: str, file_name: Column) -> DataFrame:
-        return df.select(
-            F.concat(F.col("partition"), F.lit("/"), file_name).alias("key"),
+    def write(dataset: str, partition: Column, name: Column, rows: str) -> Column:
+        return F.struct(
+            F.concat(partition, F.lit("/"), name).alias("key"),
             F.lit(dataset).alias("dataset"),
-            "partition",
-            F.col("rows").cast("bigint").alias("rows"),
+            partition.alias("partition"),
+            F.col(rows).cast("bigint").alias("rows"),
             "run",
             F.col("attempt").cast("bigint").alias("attempt"),
             write_seq().alias("seq"),
         )
 
-    return log(posts, "posts", name).unionByName(log(summary, "daily_summary", summary_name))
+    summary = write("daily_summary", summary_partition_path(prefix, F.col("run_ts")), summary_name, "days")
+    if layout == RUN_DATE:
+        posts = write("posts", posts_partition_path(prefix, F.col("run_ts")), posts_name, "rows")
+        return loaded.select(F.inline(F.array(posts, summary)))
+    posts_name = F.lit("posts.parquet") if deterministic else posts_name
+    posts = write("posts", event_partition_path(prefix, F.col("event_day")), posts_name, "rows")
+    by_day = per_day.join(attempts, "run").select(F.inline(F.array(posts)))
+    return by_day.unionByName(loaded.select(F.inline(F.array(summary))))
 
 
 def live_objects(writes: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import attempts as attempt_ops
@@ -126,12 +126,16 @@ class RunBook:
             .agg(F.sum("n").alias("n"), F.sum("cents").alias("cents"))
             .withColumn("done", F.col("cents") >= F.col("n") * DONE_CENTS)
         )
-        ends = tried.groupBy("run", "task").agg(
-            F.min(F.when(F.col("done"), F.col("third"))).alias("done_at"), F.max("third").alias("last_third")
-        )
-        reached = ends.groupBy("run").agg(
-            F.max((F.col("task") == "extract") & F.col("done_at").isNotNull()).alias("extracted"),
-            F.max((F.col("task") == "transform") & F.col("done_at").isNotNull()).alias("transformed"),
+        # A run has at most nine cells, so these windows see tiny groups after one shuffle by run.
+        by_task, by_run = Window.partitionBy("run", "task"), Window.partitionBy("run")
+        passed = lambda name: F.max(F.col("done") & (F.col("task") == name)).over(by_run)
+        tried = tried.withColumns(
+            {
+                "done_at": F.min(F.when(F.col("done"), F.col("third"))).over(by_task),
+                "last_third": F.max("third").over(by_task),
+                "extracted": passed("extract"),
+                "transformed": passed("transform"),
+            }
         )
         started = (
             (F.col("task") == "extract")
@@ -145,9 +149,7 @@ class RunBook:
         )
         ordinal = F.when(F.col("task") == "extract", 1).when(F.col("task") == "transform", 2).otherwise(3)
         return (
-            tried.join(ends, ["run", "task"])
-            .join(reached, "run")
-            .filter(started & (F.col("third") <= F.coalesce("done_at", "last_third")))
+            tried.filter(started & (F.col("third") <= F.coalesce("done_at", "last_third")))
             .select(
                 "run",
                 "task",
