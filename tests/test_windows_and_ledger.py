@@ -110,7 +110,7 @@ def test_high_water_and_incremental_reads_lose_nothing(spark, stream):
 def build_logs(spark, stream, layout, deterministic, windows):
     rows, posts = stream
     tries = spark.createDataFrame([(r, a) for r in range(12) for a in range(1, 2 + (r % 3 == 0))], "run bigint, attempt bigint")
-    return ledger.lake_writes(win.slot_counts(posts), windows, tries, layout, deterministic, prefix="x-data")
+    return ledger.lake_writes(win.slot_counts(posts), windows, tries, layout, deterministic, prefix="raw")
 
 
 def recount(writes):
@@ -213,12 +213,12 @@ def test_backfill_collapses_or_spreads(spark):
 def test_paths_and_stamps(spark):
     stamps = ["2026-01-01 00:00:00", "2026-12-31 23:59:59", "2028-02-29 06:07:08", "2026-11-01 00:00:01"]
     df = spark.createDataFrame([(s,) for s in stamps], "s string").withColumn("t", F.col("s").cast("timestamp_ntz"))
-    rows = df.select("s", posts_partition_path("lake/raw", F.col("t")).alias("p"), summary_partition_path("x-data", F.col("t")).alias("d"),
+    rows = df.select("s", posts_partition_path("lake/raw", F.col("t")).alias("p"), summary_partition_path("raw", F.col("t")).alias("d"),
                      run_stamp(F.col("t")).alias("k"), event_partition_path("x", F.substring("s", 1, 10)).alias("e")).collect()
     for r in rows:
         at = dt.datetime.strptime(r["s"], "%Y-%m-%d %H:%M:%S")
         assert r["p"] == f"lake/raw/posts/year={at:%Y}/month={at:%m}/day={at:%d}"
-        assert r["d"] == f"x-data/daily_summary/run_date={at:%Y-%m-%d}"
+        assert r["d"] == f"raw/daily_summary/run_date={at:%Y-%m-%d}"
         assert r["k"] == at.strftime("%Y%m%dT%H%M%SZ")
         assert r["e"] == f"x/posts/year={at:%Y}/month={at:%m}/day={at:%d}"
     odd = spark.createDataFrame([("",), ("2026-02",)], "d string").select(event_partition_path("x", F.col("d")).alias("p"), path_date(event_partition_path("x", F.col("d"))).alias("back"))

@@ -38,7 +38,8 @@ EXCLAIM_STEP, EXCLAIM_MAX = 0.292, 4
 QUESTION_STEP, QUESTION_STEPS, QUESTION_MAX = 0.18, 3, 0.96
 NORMAL_ALPHA = 15.0
 
-_MARK = "￿"
+# A noncharacter, so no text holds it.
+_MARK = "\uffff"
 
 
 @dataclass(frozen=True)
