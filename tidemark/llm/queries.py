@@ -1,4 +1,4 @@
 """Importing this module registers every query of the folder."""
 
-from tidemark.llm import language, quality  # noqa: F401
+from tidemark.llm import chat, language, pieces, quality  # noqa: F401
 from tidemark.llm.registry import QUERIES, SQL  # noqa: F401
