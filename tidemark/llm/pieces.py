@@ -39,7 +39,7 @@ from tidemark.llm.arrays import BASE_A, U64, column, map_rows, mix, slices
 from tidemark.llm.registry import register, table
 
 BLANK = "▁"
-MEMORY = 150_000
+MEMORY = 300_000
 #: Longer stretches are searched but not remembered.
 REMEMBERED = 48
 
