@@ -1,4 +1,4 @@
 """Importing this module registers every query of the folder."""
 
-from tidemark.llm import ann, chat, exact_search, extract, language, packing, pieces, quality  # noqa: F401
+from tidemark.llm import ann, chat, exact_search, extract, language, packing, pieces, quality, substrings  # noqa: F401
 from tidemark.llm.registry import QUERIES, SQL  # noqa: F401
