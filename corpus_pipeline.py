@@ -7,12 +7,15 @@ stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import language, quality
+from tidemark.llm import language, near_dedup, packing, quality, substrings
 from tidemark.llm.registry import table
 from tidemark.session import scratch_path
 
+TOKENIZER = "word_bpe_49k.json"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -28,9 +31,29 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.predict(docs, model).where("predicted = 1").select(*COLUMNS)
 
 
+def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates, keep the document with the smallest id."""
+    return near_dedup.representatives(docs).select(*COLUMNS)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut passages that stand more than once; a text that loses none stays as it is."""
+    got = substrings.dedup(docs)
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    return got.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack what is left into sequences, in the mixture of its sources."""
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+
+
 STAGES = [
     ("language_id", keep_known_language),
     ("quality_classifier", keep_quality),
+    ("near_dedup", keep_one_of_each_class),
+    ("substring_dedup", drop_repeated_passages),
+    ("packing", pack),
 ]
 
 #: SQL expresses none of the trained, sketched or tokenizing stages.

@@ -267,15 +267,18 @@ def links(pairs: DataFrame, texts: DataFrame, weights: Weights, least: float) ->
     return similarity(fetched, weights).where(F.col("similarity") >= least - 1e-9).select("a", "b")
 
 
-def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, class_id (the class's smallest doc_id), class_key, class_size, n_links.
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("digest", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
 
-    ``class_key`` identifies the class (null for texts without words); ``n_links`` counts the verified
-    links of the document's text to different texts.
+
+def text_classes(keyed: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """One row per distinct text with words (digest), with its class.
+
+    Also its smallest doc_id, its number of links, the class's smallest doc_id and size, and the
+    digest of the text that speaks for the class: the one of that smallest doc_id.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    keyed = docs.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
-    weights = fit_weights(docs)
+    keyed = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "digest")
+    weights = fit_weights(keyed)
     made = settle(sketches(keyed, weights), "dedup-sketches")
     distinct = settle(
         made.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("finer").alias("finer"), F.first("samples").alias("samples")),
@@ -298,9 +301,22 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     roots = components(found)
     degree = found.select(F.col("a").alias("digest")).union(found.select("b")).groupBy("digest").agg(F.count("*").alias("n_links"))
     named = distinct.select("digest", "doc_id", "copies").join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("class_key", F.coalesce("root", "digest"))
-    sizes = named.groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    told = named.join(sizes, "class_key").join(degree, "digest", "left").select("digest", "class_id", F.hex("class_key").alias("class_key"), "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    rows = keyed.select("doc_id", "digest").join(told, "digest", "left")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
+    sizes = named.groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"), F.min(first).getField("digest").alias("speaker"))
+    return settle(
+        named.join(sizes, "class_key").join(degree, "digest", "left").select("digest", "doc_id", "class_id", F.hex("class_key").alias("class_key"), "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"), "speaker"),
+        "dedup-classes",
+    )
+
+
+def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """One row per document: doc_id, class_id (the class's smallest doc_id), class_key, class_size, n_links.
+
+    ``class_key`` identifies the class (null for texts without words); ``n_links`` counts the verified
+    links of the document's text to different texts.
+    """
+    keyed = _keyed(docs.select("doc_id", "text"))
+    rows = keyed.select("doc_id", "digest").join(text_classes(keyed, least).drop("doc_id", "speaker"), "digest", "left")
     return rows.select(
         "doc_id",
         F.when(F.col("class_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
@@ -310,6 +326,17 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     )
 
 
+def representatives(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` that speak for their classes, one each; texts without words all stay."""
+    columns, keyed = docs.columns, _keyed(docs)
+    told = text_classes(keyed, least)
+    speaking = told.where("digest = speaker").select("digest", F.col("doc_id").alias("__id"))
+    # Joined on the id as well, so that the copies of a hot text spread over tasks.
+    chosen = keyed.join(speaking, (keyed["digest"] == speaking["digest"]) & keyed["doc_id"].eqNullSafe(speaking["__id"]), "left_semi").dropDuplicates(["digest"])
+    wordless = keyed.where(F.coalesce("text", F.lit("")).rlike(r"^[\x20\x09-\x0D]*$"))
+    return chosen.select(*columns).unionByName(wordless.select(*columns))
+
+
 @register("op3_near_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents"))
