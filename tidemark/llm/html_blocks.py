@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from html import unescape
 
 _TAG = re.compile(
-    r"<!--(?:.*?--!?>|.*\Z)|<[!?/][^a-zA-Z>][^>]*+>?|<!([a-zA-Z])[^>]*+>?"
+    r"<!--(?:.*?--!?>|.*\Z)|<\?[^>]*+>?|<[!/][^a-zA-Z>][^>]*+>?|<![a-zA-Z][^>]*+>?"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
     re.S,
 )
