@@ -35,17 +35,21 @@ from pyspark.sql import functions as F
 from tidemark.llm.arrays import column, slices, utf8
 from tidemark.llm.pieces import Recent
 from tidemark.llm.registry import register, table
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, settle
 
 WIDTH, END_ID = 2048, 1
 SEGMENT_TOKENS = 1 << 20
+_MARK = np.zeros(256, bool)
+_MARK[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and c != ord("'")]] = True
 
 
 class WordTokenizer:
     """Ids of whole texts, by words.
 
-    The tokenizer drops white space and joins nothing across it, so a text's ids are those of its
-    stretches between ASCII blanks, one after another. Recent stretches are remembered.
+    The tokenizer lowers case, drops white space and joins nothing across it, nor across the place
+    where an ASCII letter meets an ASCII mark other than the apostrophe. So a text's ids are those of
+    the stretches in between, one after another. Recent stretches are remembered. A text that may
+    spell a special token is left as it is.
     """
 
     def __init__(self, path: str):
@@ -60,8 +64,17 @@ class WordTokenizer:
         got = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return [np.array(e.ids, "<u2").tobytes() for e in got]
 
+    @staticmethod
+    def stretches(text: bytes) -> list[bytes]:
+        if b"<|" in text:
+            return text.split()
+        text = text.lower()
+        data = np.frombuffer(text, np.uint8)
+        cut = np.flatnonzero((data[:-1] - np.uint8(97) < 26) & _MARK[data[1:]]) + 1
+        return np.insert(data, cut, 0x20).tobytes().split() if len(cut) else text.split()
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        found = [t.split() for t in texts]
+        found = [self.stretches(t) for t in texts]
         known = self.known.of(set().union(*found))
         return [b"".join(map(known.__getitem__, f)) for f in found]
 
@@ -199,11 +212,9 @@ def pack(docs: DataFrame, tokenizer_path: str, width: int = WIDTH, segment_token
     rows = spark.read.parquet(path)
     sums = rows.groupBy("source", "task").agg(F.sum("n").alias("n"))
     by = Window.partitionBy("source")
-    sums = sums.select(
-        "source",
-        "task",
-        (F.sum("n").over(by.orderBy("task")) - F.col("n")).alias("before"),
-        F.sum("n").over(by).alias("total"),
+    # Written first: Spark then knows its size, and need not shuffle the ids to join it if it is small.
+    sums = settle(
+        sums.select("source", "task", (F.sum("n").over(by.orderBy("task")) - F.col("n")).alias("before"), F.sum("n").over(by).alias("total")), "packing-sums"
     )
     everything = rows.agg(F.sum("n")).first()[0] or 0
     segments = max(1, -(-everything // segment_tokens))
