@@ -53,7 +53,7 @@ def test_run_date_layout_collapses_all_days(spark, rows, tmp_path):
     root = str(tmp_path / "posts")
     sink.write_run_date(rows, root, RUN)
     files = [str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*.parquet")]
-    assert files and all(f.startswith("posts/run_year=2026/run_month=01/run_day=17/") for f in files)
+    assert files and all(f.startswith("posts/year=2026/month=01/day=17/") for f in files)
 
 
 def test_append_repeats_and_overwrite_does_not(spark, rows, tmp_path):
@@ -85,12 +85,27 @@ def test_merge_keeps_the_rest_of_a_day_and_updates_by_id(spark, rows, tmp_path):
     assert ids(scan.read_lake(spark, root, ENRICHED)) == list("123459")
 
 
-def test_merge_by_join_when_days_are_too_many_to_list(spark, rows, tmp_path, monkeypatch):
-    monkeypatch.setattr(sink, "MAX_LISTED_DAYS", 0)
+def test_merge_keeps_posts_without_an_id(spark, rows, tmp_path):
     root = str(tmp_path / "m")
+    nameless = rows.withColumn("id", F.when(F.col("id").endswith("1"), "").when(F.col("id").endswith("4"), "None").otherwise(F.col("id")))
+    twice = nameless.unionByName(nameless.filter(F.col("id") == ""))
     for _ in range(2):
-        sink.merge_posts(rows, root)
-    assert ids(scan.read_lake(spark, root, ENRICHED)) == list("12345")
+        sink.merge_posts(twice, root)
+    assert sorted(r["id"][-1:] for r in scan.read_lake(spark, root, ENRICHED).select("id").collect()) == ["", "", "2", "3", "5", "e"]
+    sink.merge_posts(nameless.filter(F.col("id") == "").withColumn("text", F.lit("another")), root)
+    assert scan.read_lake(spark, root, ENRICHED).count() == 7
+
+
+def test_merge_plan_sorts_no_whole_rows(rows):
+    plan = sink.latest(rows)._jdf.queryExecution().executedPlan().toString()
+    heavy = [line for line in plan.splitlines() if "SortAggregate" in line and "text" in line.split("functions=")[0]]
+    assert heavy == [] and "Window" not in plan
+
+
+def test_only_a_missing_lake_counts_as_none(spark, rows, tmp_path):
+    assert sink._existing(spark, str(tmp_path / "nothing")) is None
+    with pytest.raises(Exception):
+        sink._existing(spark, "nosuchscheme://x/y")
 
 
 def test_merge_of_repeated_ids_in_one_batch(spark, rows, tmp_path):
@@ -185,6 +200,11 @@ def test_parity_reports(spark):
     assert {tuple(r) for r in field_diff(a, b, "k", ["p", "q"]).collect()} == {
         ("y", "both", "q"), ("z", "left_only", None), ("w", "right_only", None)
     }
+    nulls = a.unionByName(spark.createDataFrame([(None, 5, 5)], a.schema))
+    assert {tuple(r) for r in field_diff(nulls, nulls.withColumn("q", F.col("q") + 1), "k", ["q"]).collect()} == {
+        (k, "both", "q") for k in ("y", "z", None)
+    }
+    assert {tuple(r) for r in field_diff(nulls, a, "k", ["q"]).collect()} == {(None, "left_only", None)}
     twice = a.unionByName(a)
     assert multiset_diff(twice, a).count() == 3 and multiset_diff(a, a).count() == 0
 
@@ -195,7 +215,7 @@ def test_dedupe_keeps_first_and_last_of_a_hot_id(spark):
     last = {r["k"]: r["v"] for r in last_per_key(df, ["k"], [F.col("v")]).collect()}
     assert first[-1] == 0 and last[-1] == 2997 and len(first) == len(last) == 2001
     plan = first_per_key(df, ["k"], [F.col("v")])._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "partial_min_by" in plan
+    assert "Window" not in plan and "partial_min(" in plan
 
 
 def test_landed_lines_survive_blank_and_broken_ones(spark, tmp_path):

@@ -36,6 +36,21 @@ def stream(spark):
     return rows, spark.createDataFrame(rows, "id string, created_ts timestamp_ntz").cache()
 
 
+def test_replay_finds_windows_of_any_length_and_bounds(spark, stream):
+    rows, posts = stream
+    hour = dt.timedelta(hours=1)
+    spans = [(0, START, START + 12 * DAY), (1, START + 5 * hour, START + 9 * DAY + 7 * hour), (2, START + 2 * DAY, START + 2 * DAY + hour), (3, START, START)]
+    runs = spark.createDataFrame([(r, b, a, b) for r, a, b in spans], "run bigint, run_ts timestamp_ntz, window_start timestamp_ntz, window_end timestamp_ntz")
+    for closed in ("left", "right"):
+        got = {}
+        for r in win.replay(posts, runs, closed=closed).select("run", "id").collect():
+            got.setdefault(r["run"], []).append(r["id"])
+        want = {r: sorted(i for i, t in rows if inside(t, a, b, closed)) for r, a, b in spans}
+        assert {k: sorted(x) for k, x in got.items()} == {k: x for k, x in want.items() if x}
+    with pytest.raises(Exception, match="midnight"):
+        win.run_extracts(posts, runs).collect()
+
+
 def inside(t, start, end, closed):
     return start <= t < end if closed == "left" else start < t <= end
 
@@ -211,7 +226,7 @@ def test_backfill_collapses_or_spreads(spark):
 
 
 def test_paths_and_stamps(spark):
-    stamps = ["2026-01-01 00:00:00", "2026-12-31 23:59:59", "2028-02-29 06:07:08", "2026-11-01 00:00:01"]
+    stamps = ["2031-03-09 17:45:10", "2030-10-31 00:00:00", "2029-06-30 23:00:59", "2032-02-28 12:30:00"]
     df = spark.createDataFrame([(s,) for s in stamps], "s string").withColumn("t", F.col("s").cast("timestamp_ntz"))
     rows = df.select("s", posts_partition_path("lake/raw", F.col("t")).alias("p"), summary_partition_path("raw", F.col("t")).alias("d"),
                      run_stamp(F.col("t")).alias("k"), event_partition_path("x", F.substring("s", 1, 10)).alias("e")).collect()
@@ -221,8 +236,8 @@ def test_paths_and_stamps(spark):
         assert r["d"] == f"raw/daily_summary/run_date={at:%Y-%m-%d}"
         assert r["k"] == at.strftime("%Y%m%dT%H%M%SZ")
         assert r["e"] == f"x/posts/year={at:%Y}/month={at:%m}/day={at:%d}"
-    odd = spark.createDataFrame([("",), ("2026-02",)], "d string").select(event_partition_path("x", F.col("d")).alias("p"), path_date(event_partition_path("x", F.col("d"))).alias("back"))
-    assert [tuple(r) for r in odd.collect()] == [("x/posts/year=/month=/day=", None), ("x/posts/year=2026/month=02/day=", None)]
+    odd = spark.createDataFrame([("",), ("2031-03",)], "d string").select(event_partition_path("x", F.col("d")).alias("p"), path_date(event_partition_path("x", F.col("d"))).alias("back"))
+    assert [tuple(r) for r in odd.collect()] == [("x/posts/year=/month=/day=", None), ("x/posts/year=2031/month=03/day=", None)]
 
 
 def test_attempt_log(spark):

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import round_half_up
-from tidemark.session import broadcast_checked
 
 # Unit sizes of the price list and the assumed query load.
 BYTES_PER_GB = 1e9
@@ -48,27 +47,23 @@ def size_segments(points: DataFrame) -> DataFrame:
 def estimate_bytes(objects: DataFrame, points: DataFrame) -> DataFrame:
     """Adds ``bytes`` and ``extrapolated`` to objects that have ``dataset`` and ``rows``.
 
-    An equi-join on dataset with the row range as a condition on the joined row. There are only two
-    datasets, so shuffling on them would be hopelessly skewed; the segments are counted and sent
-    to every task instead.
+    The segments of a dataset are one array, joined by dataset name and searched inside the row: the
+    joined table has one row per dataset, whatever the number of segments.
     """
-    seg = broadcast_checked(size_segments(points), 10_000)
-    match = (
-        (objects["dataset"] == seg["dataset"])
-        & (objects["rows"] >= seg["low_rows"])
-        & (objects["rows"] < seg["high_rows"])
+    seg = size_segments(points).groupBy("dataset").agg(
+        F.collect_list(F.struct("low_rows", "high_rows", "at_rows", "at_bytes", "rise", "run_rows", "measured_to")).alias("segments")
     )
-    past = F.greatest(objects["rows"] - seg["at_rows"], F.lit(0))
-    line = F.col("at_bytes") + past / F.col("run_rows") * F.col("rise")
+    inside = F.filter("segments", lambda s: (F.col("rows") >= s["low_rows"]) & (F.col("rows") < s["high_rows"]))
+    joined = objects.join(seg.withColumnRenamed("dataset", "_dataset"), F.col("dataset") == F.col("_dataset"), "left").withColumn("s", F.get(inside, F.lit(0)))
+    past = F.greatest(F.col("rows") - F.col("s.at_rows"), F.lit(0))
+    line = F.col("s.at_bytes") + past / F.col("s.run_rows") * F.col("s.rise")
     # The last segment goes on by slope, earlier ones by share of the way: same value, other rounding.
-    beyond = F.col("at_bytes") + (F.col("rise") / F.col("run_rows")) * past
-    last = F.col("at_rows") == F.col("measured_to")
-    size = round_half_up(F.when(last, beyond).otherwise(line))
-    joined = objects.join(seg, match, "left").drop(seg["dataset"])
+    beyond = F.col("s.at_bytes") + (F.col("s.rise") / F.col("s.run_rows")) * past
+    size = round_half_up(F.when(F.col("s.at_rows") == F.col("s.measured_to"), beyond).otherwise(line))
     return joined.select(
         *[objects[c] for c in objects.columns],
-        F.when(objects["rows"] <= 0, F.lit(0)).otherwise(size).cast("bigint").alias("bytes"),
-        (objects["rows"] > F.col("measured_to")).alias("extrapolated"),
+        F.when(F.col("rows") <= 0, F.lit(0)).otherwise(size).cast("bigint").alias("bytes"),
+        (F.col("rows") > F.col("s.measured_to")).alias("extrapolated"),
     )
 
 

@@ -1,32 +1,38 @@
-"""One row per id, without sending all copies of an id to one task.
+"""One row per key, without sending all copies of a key to one task or sorting whole rows.
 
-``min_by``/``max_by`` combine on the map side, so an id that holds a third of the rows still
-shuffles one row per input partition. A ``row_number`` window would gather every copy first.
+The winning order values of a key are aggregated first, on the map side too and without the other
+columns; then the rows that carry them are kept. A ``row_number`` window would gather and sort every
+copy, and a ``max_by`` of the whole row sorts rows twice.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def _pick(df: DataFrame, keys: list[str], order: list[Column], best, copies: str | None) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    payload = F.struct(*[F.col(c) for c in rest])
-    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
-    picked = df.groupBy(*keys).agg(best(payload, F.struct(*order)).alias("_row"), *counted)
-    flat = picked.withColumns({c: F.col("_row").getField(c) for c in rest})
-    return flat.select(*df.columns, *([copies] if copies else []))
+    # The row's hash settles what the order leaves open, so only identical rows can tie.
+    stamp = F.struct(*[c.alias(f"order_{i}") for i, c in enumerate(order)], F.xxhash64(*df.columns).alias("row"))
+    counted = [F.count(F.lit(1)).alias("_copies")] if copies else []
+    won = df.groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(best(stamp).alias("_won"), *counted)
+    same = reduce(Column.__and__, [df[k].eqNullSafe(won[f"_key_{i}"]) for i, k in enumerate(keys)])
+    kept = df.withColumn("_stamp", stamp).join(won, same).where(F.col("_stamp").eqNullSafe(F.col("_won")))
+    # Identical rows are one; the join has brought a key's rows together already.
+    extra = [F.col("_copies").alias(copies)] if copies else []
+    return kept.select(*df.columns, *extra).distinct()
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column], copies: str | None = None) -> DataFrame:
-    """The row with the smallest ``order`` per key. The order must be total for a fixed result.
+    """The row with the smallest ``order`` per key.
 
     ``copies`` names an extra column with the number of rows the key had.
     """
-    return _pick(df, keys, order, F.min_by, copies)
+    return _pick(df, keys, order, F.min, copies)
 
 
 def last_per_key(df: DataFrame, keys: list[str], order: list[Column], copies: str | None = None) -> DataFrame:
     """The row with the largest ``order`` per key."""
-    return _pick(df, keys, order, F.max_by, copies)
+    return _pick(df, keys, order, F.max, copies)

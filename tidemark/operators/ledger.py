@@ -24,7 +24,7 @@ EVENT_DATE = "event_date"
 
 def write_seq() -> Column:
     """Writes in time order; two writes of one (run, attempt) never share a key."""
-    return (F.col("run") * 100 + F.col("attempt")).cast("bigint")
+    return F.struct("run", F.col("attempt").cast("bigint").alias("attempt"))
 
 
 def _attempt_stamp() -> Column:

@@ -2,7 +2,9 @@
 
 Two forms give the same counts. A short literal list is matched inside the row with array
 functions, with no shuffle. A lexicon *table* is joined: words are exploded, joined to the table
-(broadcast only after a size check), and partially aggregated before the one shuffle per text.
+(Spark broadcasts it if its bytes stay below the session's threshold, and shuffles otherwise), and
+partially aggregated before the one shuffle per text. Texts themselves are never part of the join,
+so a text without hits costs nothing there and no key is shared by all texts.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import round_half_even
 from tidemark.functions.text import any_of, clean_word, tokens, words
-from tidemark.session import broadcast_checked
 
 # The built-in word lists.
 POSITIVE_WORDS = [
@@ -72,32 +73,50 @@ def word_rows(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     )
 
 
+def signs(lexicon: DataFrame, token: str = "token") -> DataFrame:
+    """One row per token: whether it is listed as positive and as negative."""
+    return lexicon.groupBy(F.col("token").alias(token)).agg(
+        F.bool_or(F.col("polarity") > 0).alias("plus"), F.bool_or(F.col("polarity") < 0).alias("minus")
+    )
+
+
+def _one_text_per_key(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """Copies per key and the number of words; fails if a key comes with different texts."""
+    found = texts.groupBy(key).agg(
+        F.count(F.lit(1)).alias("copies"),
+        F.max(F.size(words(F.col(text)))).cast("bigint").alias("n_tokens"),
+        F.min(F.xxhash64(text)).alias("low"),
+        F.max(F.xxhash64(text)).alias("high"),
+    )
+    same = F.when(F.col("low") == F.col("high"), F.col("n_tokens")).otherwise(
+        F.raise_error(F.lit(f"a {key} comes with different texts")).cast("bigint")
+    )
+    return found.select(key, "copies", same.alias("n_tokens"))
+
+
 def token_trace(texts: DataFrame, lexicon: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Every word with its cleaned form and the ``polarity`` it hits, null for none.
 
-    ``lexicon`` has ``token`` and ``polarity`` (+1 or -1), one row per token.
+    ``lexicon`` has ``token`` and ``polarity`` (+1 or -1); a token listed with both signs shows 0.
     """
-    return word_rows(texts, key, text).join(broadcast_checked(lexicon), "token", "left")
+    return word_rows(texts, key, text).join(signs(lexicon), "token", "left").withColumn(
+        "polarity", F.when(F.col("plus") & F.col("minus"), 0).when(F.col("plus"), 1).when(F.col("minus"), -1)
+    ).drop("plus", "minus")
 
 
 def lexicon_counts(texts: DataFrame, lexicon: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Per text: ``n_tokens, positives, negatives`` against a lexicon table of any size.
 
-    A text without words still gets a row. Rows that repeat a ``key`` with the same text (an
-    append-written lake holds many) count once: each copy adds one marker, and the totals are
-    divided by the markers, so copies need not be removed by an extra shuffle first.
+    A text without words or hits still gets a row. Rows that repeat a ``key`` (an append-written lake
+    holds many) count once: hits are divided by the copies, so copies need not be removed by a
+    shuffle of texts first. A key with different texts fails. A token listed with both signs is one
+    token that counts on both sides.
     """
-    marked = texts.select(
-        key,
-        F.explode(F.concat(F.array(F.lit(None).cast("string")), words(F.col(text)))).alias("raw"),
-    ).withColumn("token", clean_word(F.col("raw")))
-    hits = marked.join(broadcast_checked(lexicon), "token", "left")
-    copies = F.count_if(F.col("raw").isNull())
-    return hits.groupBy(key).agg(
-        (F.count("raw") / copies).cast("bigint").alias("n_tokens"),
-        (F.count_if(F.col("polarity") > 0) / copies).cast("bigint").alias("positives"),
-        (F.count_if(F.col("polarity") < 0) / copies).cast("bigint").alias("negatives"),
-    )
+    hits = word_rows(texts, key, text).join(signs(lexicon), "token")
+    hits = hits.groupBy(key).agg(F.count_if("plus").alias("positives"), F.count_if("minus").alias("negatives"))
+    each = lambda c: F.coalesce(F.col(c) / F.col("copies"), F.lit(0)).cast("bigint").alias(c)
+    every = _one_text_per_key(texts, key, text)
+    return every.join(hits, key, "left").select(key, "n_tokens", each("positives"), each("negatives"))
 
 
 def lexicon_table_scores(texts: DataFrame, lexicon: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -117,14 +136,16 @@ def prefix_token_hits(texts: DataFrame, lexicon: DataFrame, key: str, text: str
     """Prefix matching against a lexicon table: cut each word at every lexicon length and join.
 
     An equi-join, so a long list never turns into a nested loop over words and list. A word that
-    matches several entries counts once per polarity sign.
+    matches several entries counts once per polarity sign. Every text gets a row.
     """
     lengths = lexicon.agg(F.collect_set(F.length("token"))).scalar()  # as many as word lengths
-    cuts = word_rows(texts, key, text).withColumn("cut", F.explode(lengths))
-    cuts = cuts.filter(F.col("cut") <= F.length("token")).withColumn("stem", F.expr("substring(token, 1, cut)")).drop("token")
-    stems = lexicon.withColumnRenamed("token", "stem")
-    hit = cuts.join(broadcast_checked(stems), "stem").select(key, "position", "polarity").distinct()
-    return hit.groupBy(key).agg(
-        F.count_if(F.col("polarity") > 0).alias("positives"),
-        F.count_if(F.col("polarity") < 0).alias("negatives"),
+    # Equal words of a text are one row with a count, so each word meets the list once.
+    said = texts.groupBy(key).agg(F.flatten(F.collect_list(tokens(F.col(text)))).alias("said"), F.count(F.lit(1)).alias("copies"))
+    said = said.select(key, "copies", F.explode("said").alias("token")).groupBy(key, "copies", "token").agg(F.count(F.lit(1)).alias("n"))
+    cuts = said.withColumn("cut", F.explode(lengths)).filter(F.col("cut") <= F.length("token")).withColumn("stem", F.expr("substring(token, 1, cut)"))
+    hit = cuts.join(signs(lexicon, "stem"), "stem").groupBy(key, "copies", "token", "n").agg(F.bool_or("plus").alias("plus"), F.bool_or("minus").alias("minus"))
+    total = lambda side: F.sum(F.when(F.col(side), F.col("n")).otherwise(0) / F.col("copies")).cast("bigint")
+    hits = hit.groupBy(key).agg(total("plus").alias("positives"), total("minus").alias("negatives"))
+    return texts.select(key).distinct().join(hits, key, "left").select(
+        key, *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("positives", "negatives")]
     )

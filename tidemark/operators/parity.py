@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 def field_diff(left: DataFrame, right: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """Keys on one side only, and fields that differ on matched keys: ``key, side, field``.
 
-    ``side`` is ``left_only``, ``right_only`` or ``both``; ``field`` is null for the first two.
+    ``side`` is ``left_only``, ``right_only`` or ``both``; ``field`` is null for the first two. A null
+    key is a key like any other.
     """
-    a = left.select(F.col(key).alias("a_key"), *[F.col(f).alias(f"a_{f}") for f in fields])
-    b = right.select(F.col(key).alias("b_key"), *[F.col(f).alias(f"b_{f}") for f in fields])
-    both = a.join(b, F.col("a_key") == F.col("b_key"), "full_outer")
-    side = F.when(F.col("b_key").isNull(), "left_only").when(F.col("a_key").isNull(), "right_only").otherwise("both")
+    a = left.select(F.col(key).alias("a_key"), F.lit(True).alias("in_a"), *[F.col(f).alias(f"a_{f}") for f in fields])
+    b = right.select(F.col(key).alias("b_key"), F.lit(True).alias("in_b"), *[F.col(f).alias(f"b_{f}") for f in fields])
+    both = a.join(b, F.col("a_key").eqNullSafe(F.col("b_key")), "full_outer")
+    side = F.when(F.col("in_b").isNull(), "left_only").when(F.col("in_a").isNull(), "right_only").otherwise("both")
     differing = F.array_compact(
         F.array(*[F.when(~F.col(f"a_{f}").eqNullSafe(F.col(f"b_{f}")), F.lit(f)) for f in fields])
     )

@@ -25,7 +25,6 @@ from pyspark.sql import types as T
 from tidemark.functions.numbers import round_half_even
 from tidemark.functions.text import words
 from tidemark.operators.enrich import Scorer
-from tidemark.session import broadcast_checked
 
 # Fixed value: ASCII punctuation, stripped from both ends of a word.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -103,22 +102,20 @@ def compound(total: Column) -> Column:
 def emoji_to_words(texts: DataFrame, emoji: DataFrame, key: str, text: str = "text", candidates: str = r"[^\x00-\x7F]") -> DataFrame:
     """Replace emoji characters by their descriptions, set off from a preceding character.
 
-    ``emoji`` is ``char, description``. Only the distinct ``candidates`` characters of a text are
-    joined to the table, so plain text adds no rows. A preceding space is kept, not doubled.
+    ``emoji`` is ``char, description``: a table of a few thousand characters, read into one map value.
+    The distinct ``candidates`` of a text are looked up there and replaced inside the row, so texts
+    are neither joined nor shuffled. A preceding space is kept, not doubled.
     """
-    chars = texts.select(key, F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(candidates), 0))).alias("char"))
-    found = (
-        chars.join(broadcast_checked(emoji), "char")
-        .groupBy(key)
-        .agg(F.collect_set(F.struct("char", "description")).alias("found"))
-    )
+    known = emoji.agg(F.map_from_entries(F.collect_list(F.struct("char", "description")))).scalar()
+    chars = F.array_distinct(F.regexp_extract_all(text, F.lit(candidates), 0))
+    named = texts.withColumn("_known", known).withColumn("_found", F.filter(chars, lambda c: F.map_contains_key("_known", c)))
     marked = F.aggregate(
-        F.col("found"),
+        F.col("_found"),
         F.col(text),
-        lambda acc, e: F.replace(acc, e["char"], F.concat(F.lit(_MARK), e["description"])),
+        lambda acc, c: F.replace(acc, c, F.concat(F.lit(_MARK), F.try_element_at("_known", c))),
     )
     spaced = F.replace(F.regexp_replace(marked, f"(?<=[^ ]){_MARK}", " "), F.lit(_MARK), F.lit(""))
-    return texts.join(found, key, "left").withColumn(text, F.coalesce(spaced, F.col(text))).drop("found")
+    return named.withColumn(text, F.when(F.size("_found") > 0, spaced).otherwise(F.col(text))).drop("_known", "_found")
 
 
 def _context_rows(texts: DataFrame, key: str, text: str, rules: ValenceRules) -> DataFrame:
@@ -156,7 +153,7 @@ def _context_rows(texts: DataFrame, key: str, text: str, rules: ValenceRules) ->
 
 def _with_lexicon(rows: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Keep lexicon words and marker rows; add ``lex`` and membership of the neighbours."""
-    table = broadcast_checked(lexicon.select(F.col("token").alias("lex_token"), F.col("valence").alias("lex")))
+    table = lexicon.select(F.col("token").alias("lex_token"), F.col("valence").alias("lex"))
     hit = rows.join(table, F.col("low") == F.col("lex_token"), "left").drop("lex_token")
     hit = hit.filter(F.col("lex").isNotNull() | (F.col("pos") == F.col("n")))
     for name in ("low_b1", "low_b2", "low_b3", "low_a1"):

@@ -61,32 +61,42 @@ def slot_date(instant: Column, closed: str = "left") -> Column:
     return F.date_add(day, 1)
 
 
-def replay(posts: DataFrame, runs: DataFrame, lookback_days: int = LOOKBACK_DAYS, closed: str = "left") -> DataFrame:
-    """Every (run, post) pair of overlapping windows, as a hash join on candidate run dates.
+def replay(posts: DataFrame, runs: DataFrame, closed: str = "left") -> DataFrame:
+    """Every (run, post) pair of overlapping windows, as an equi-join on the post's slot.
 
-    The plain range condition plans as a nested loop over posts and runs. Each post here names the
-    few run dates that can hold it; the exact bounds are checked on the joined rows.
+    The plain range condition plans as a nested loop over posts and runs. A post has one slot, and
+    a window of any length lists its own; the exact bounds are checked on the joined rows, so
+    windows may begin and end at any instant.
     """
-    candidates = posts.withColumn(
-        "run_date",
-        F.explode(F.sequence(F.col("created_ts").cast("date"), F.date_add(F.col("created_ts").cast("date"), lookback_days))),
-    )
-    dated = runs.withColumn("run_date", F.col("run_ts").cast("date"))
-    return candidates.join(dated, "run_date").filter(
+    dated = posts.withColumn("slot_date", slot_date(F.col("created_ts"), closed))
+    reach = run_slots(runs).join(runs, "run")
+    return dated.join(reach, "slot_date").filter(
         in_window(F.col("created_ts"), F.col("window_start"), F.col("window_end"), closed)
     )
 
 
 def run_slots(runs: DataFrame) -> DataFrame:
-    """``run, slot_date`` for every slot of every run's window; bounded by runs x window days."""
+    """``run, slot_date`` for every slot that a run's window touches; bounded by runs x window days."""
     return runs.filter(F.col("window_start") < F.col("window_end")).select(
         "run",
         F.explode(
-            F.expr("sequence(date_add(cast(window_start as date), 1), cast(window_end as date))")
+            F.expr("sequence(date_add(cast(window_start as date), 1), date_add(cast(window_end - interval 1 microsecond as date), 1))")
         ).alias("slot_date"),
     )
 
 
+def whole_days(runs: DataFrame) -> DataFrame:
+    """``runs``, failing if a window does not begin and end at midnight.
+
+    Counts per slot answer for whole slots only; ``replay`` takes any bounds.
+    """
+    on_midnight = lambda c: F.col(c) == F.col(c).cast("date").cast("timestamp_ntz")
+    checked = F.when(on_midnight("window_start") & on_midnight("window_end"), F.col("window_end")).otherwise(
+        F.raise_error(F.lit("windows counted by slot must begin and end at midnight")).cast("timestamp_ntz")
+    )
+    return runs.withColumn("window_end", checked)
+
+
 def slot_counts(posts: DataFrame, closed: str = "left") -> DataFrame:
     """Rows per slot and event day: the one full pass over the posts."""
     return posts.groupBy(
@@ -112,7 +122,7 @@ def run_extracts(posts: DataFrame, runs: DataFrame, closed: str = "left") -> Dat
         .agg(F.count(F.lit(1)).alias("ids"))
     )
     totals = slot_counts(posts, closed).groupBy("slot_date").agg(F.sum("rows").alias("rows"))
-    slots = run_slots(runs)
+    slots = run_slots(whole_days(runs))
     starts = runs.select("run", F.col("window_start").cast("date").alias("start_date"))
     distinct = (
         slots.join(starts, "run")
@@ -155,7 +165,7 @@ def newer_than_last_good(posts: DataFrame, runs: DataFrame, closed: str = "left"
 
 def duplication_factor(posts: DataFrame, runs: DataFrame, closed: str = "left") -> DataFrame:
     """Replayed rows, distinct ids and their ratio (0 for an empty lake), one row."""
-    slots = run_slots(runs).groupBy("slot_date").agg(F.count(F.lit(1)).alias("windows"))
+    slots = run_slots(whole_days(runs)).groupBy("slot_date").agg(F.count(F.lit(1)).alias("windows"))
     dated = posts.select("id", slot_date(F.col("created_ts"), closed).alias("slot_date"))
     per_id = dated.join(slots, "slot_date").groupBy("id").agg(F.sum("windows").alias("rows"))
     totals = per_id.agg(

@@ -6,11 +6,13 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from tidemark.operators.enrich import LEXICON_SCORER, Scorer, enrich
 from tidemark.operators.summary import daily_summary
+from tidemark.schema import ENRICHED
+from tidemark.session import settle
 from tidemark.sinks import lake as sink
+from tidemark.sources.lake import read_lake
 from tidemark.sources.posts import read_posts
 
 MODES = ("merge", "overwrite", "append", "run_date")
@@ -40,25 +42,40 @@ def run_etl(
 ) -> dict[str, object]:
     """Run once. ``run_ts`` is the scheduled instant, not the wall clock, so a replay is repeatable.
 
-    The enriched rows feed both sinks; they are kept on executors' memory and disk meanwhile and
-    are recomputed if an executor is lost.
+    The enriched batch is written to the shared folder and read from there by all that follows; a
+    lost executor repeats one step. Lines and files that hold no post go to ``rejects`` with their
+    flags. In the modes that replace days the batch keeps the latest row of each id, and the summary
+    is taken from the days it touched as the lake holds them then; so receipt, lake and summary agree.
+    The receipt counts during the write.
     """
-    posts = read_posts(spark, source, fmt).drop("quality_flags")
-    enriched = enrich(posts, scorer).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        totals = enriched.agg(
-            F.count(F.lit(1)).alias("post_count"), F.count_distinct("event_day").alias("summary_days")
-        ).first()
-        posts_root, summary_root = f"{target}/posts", f"{target}/daily_summary"
-        if totals["post_count"]:
-            write_posts(enriched, posts_root, run_ts, mode)
-            sink.write_summary(daily_summary(enriched), summary_root, run_ts.date())
-    finally:
-        enriched.unpersist()
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    posts_root, summary_root, rejects_root = (f"{target}/{name}" for name in ("posts", "daily_summary", "rejects"))
+    posts = read_posts(spark, source, fmt)
+    bad = F.array_contains("quality_flags", "bad_json")
+    flagged = settle(enrich(posts, scorer).withColumn("bad", bad), "etl-batch")
+    rejects = flagged.filter("bad").withColumn("run_date", F.lit(run_ts.date()))
+    rejected = rejects.count()
+    if rejected:
+        rejects.drop("bad").write.partitionBy("run_date").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(rejects_root)
+    batch = flagged.filter("not bad").drop("bad", "quality_flags")
+    if mode in ("merge", "overwrite"):
+        batch = settle(sink.latest(batch), "etl-latest")
+    receipt = {"post_count": 0}
+    days = batch.select("event_date").distinct()
+    if not batch.isEmpty():
+        receipt = sink.write_with_receipt(batch, lambda df: write_posts(df, posts_root, run_ts, mode), posts_root)
+        if mode in ("merge", "overwrite"):
+            lake = read_lake(spark, posts_root, ENRICHED)
+            summary = daily_summary(lake.join(days, lake["event_date"].eqNullSafe(days["event_date"]), "left_semi"))
+        else:
+            summary = daily_summary(batch)
+        sink.write_summary(summary, summary_root, run_ts.date())
     return {
-        "post_count": totals["post_count"],
-        "summary_days": totals["summary_days"],
-        "locations": {"posts": posts_root, "daily_summary": summary_root},
+        "post_count": receipt["post_count"],
+        "rejected": rejected,
+        "summary_days": batch.select("event_day").distinct().count(),
+        "locations": {"posts": posts_root, "daily_summary": summary_root, "rejects": rejects_root},
         "scorer": scorer.name,
         "run_ts": run_ts.isoformat(),
     }

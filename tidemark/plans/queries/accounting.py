@@ -20,18 +20,18 @@ def _objects(spark, sf):
 
 @query(
     "lake_write_log",
-    v.with_ctes(*v.LAKE_SQL, body="SELECT key, dataset, partition, rows, run, attempt, seq FROM writes"),
+    v.with_ctes(*v.LAKE_SQL, body="SELECT key, dataset, partition, rows, run, attempt FROM writes"),
 )
 def q_write_log(spark, sf):
-    return v.RunBook(spark, sf).as_written
+    return v.RunBook(spark, sf).as_written.drop("seq")
 
 
 @query(
     "idempotent_write_log",
-    v.with_ctes(*v.IDEMPOTENT_SQL, body="SELECT key, dataset, partition, rows, run, attempt, seq FROM writes"),
+    v.with_ctes(*v.IDEMPOTENT_SQL, body="SELECT key, dataset, partition, rows, run, attempt FROM writes"),
 )
 def q_idempotent_write_log(spark, sf):
-    return v.RunBook(spark, sf).idempotent
+    return v.RunBook(spark, sf).idempotent.drop("seq")
 
 
 @query(

@@ -137,8 +137,8 @@ def q_landed_posts(spark, sf):
 @query(
     "capped_posts",
     v.with_ctes(v.SQL_FACTS, body="""
-SELECT id, created_at, CAST(500 AS BIGINT) AS requested, true AS capped
-FROM facts ORDER BY created_at, id LIMIT 100"""),
+SELECT id, created_at, CAST(500 AS BIGINT) AS requested, (SELECT count(*) FROM facts) AS available
+FROM facts ORDER BY created_at, id LIMIT 500"""),
 )
 def q_capped_posts(spark, sf):
     return cap_posts(v.facts(spark, sf).select("id", "created_at"), requested=500)
@@ -277,9 +277,10 @@ def q_prefix_scores(spark, sf):
 @query(
     "prefix_join_hits",
     v.with_ctes(v.SQL_WORDS, v.SQL_LEXICON, body="""
-SELECT doc_id, count(DISTINCT position) FILTER (polarity = 1) AS positives,
+SELECT d.doc_id, count(DISTINCT position) FILTER (polarity = 1) AS positives,
        count(DISTINCT position) FILTER (polarity = -1) AS negatives
-FROM words w JOIN lexicon l ON starts_with(w.token, l.token) GROUP BY doc_id"""),
+FROM documents d LEFT JOIN (SELECT doc_id, position, polarity FROM words w JOIN lexicon l ON starts_with(w.token, l.token)) h
+  ON h.doc_id = d.doc_id GROUP BY d.doc_id"""),
 )
 def q_prefix_join_hits(spark, sf):
     return lex.prefix_token_hits(v.texts(spark, sf), v.lexicon(spark), "doc_id")

@@ -1,6 +1,7 @@
 """Written lakes: sinks, layouts, merges, and scans of what they leave behind.
 
-Each query writes the event-derived posts below the session's shared folder and reads them back.
+Each query writes posts with whole document texts and their scores below the session's shared folder
+and reads them back.
 """
 
 from __future__ import annotations
@@ -12,24 +13,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import audit, cost
-from tidemark.operators.enrich import column_scorer, enrich
+from tidemark.operators.enrich import enrich
 from tidemark.operators.parity import name_collisions, schema_diff
 from tidemark.operators.summary import daily_summary
 from tidemark.plans import views as v
+from tidemark.plans.etl import run_etl
+from tidemark.plans.queries.enrichment import FREQUENT
 from tidemark.plans.registry import query
 from tidemark.schema import ENRICHED, conform
 from tidemark.session import local_table, scratch_path
 from tidemark.sinks import lake as sink
 from tidemark.sources import lake as scan
+from tidemark.sources.posts import read_posts
 
 RUN_TS = dt.datetime(2024, 2, 1)
-STATUS_SCORER = column_scorer("status", "1", lambda t: F.when(t.startswith("error"), -1.0).otherwise(0.0))
 
 _LAKES: dict[tuple[str, str], str] = {}
 
 
 def enriched(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich(v.event_posts(spark, sf).drop("created_ts"), STATUS_SCORER)
+    return enrich(v.posts(spark, sf).drop("created_ts"), FREQUENT)
 
 
 def written_lake(spark: SparkSession, sf: str) -> str:
@@ -103,12 +106,26 @@ def q_lake_inventory(spark, sf):
     return objects.groupBy("partition").agg(F.sum("rows").alias("rows"), F.bool_and(F.col("bytes") > 0).alias("sized"))
 
 
-@query("small_file_report")
+@query(
+    "small_file_report",
+    "SELECT count(*) AS rows, count(DISTINCT strftime(ts, '%Y-%m-%d')) AS days, true AS all_listed, true AS bytes_agree, true AS all_small, true AS share_in_range FROM events",
+)
 def q_small_file_report(spark, sf):
-    """Object count, sizes and fixed overhead. Sizes depend on the writer, so rows only."""
-    objects = scan.object_inventory(spark, written_lake(spark, sf), ENRICHED)
+    """Object count, sizes and fixed overhead. Sizes depend on the writer, so they are checked here."""
+    root = written_lake(spark, sf)
+    objects = scan.object_inventory(spark, root, ENRICHED)
     overhead = cost.fit_sizes(objects).select("overhead_bytes").scalar()
-    return audit.small_files(objects, overhead)
+    listed = scan.listing(spark, root).agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b"))
+    counted = objects.agg(F.sum("rows").alias("rows"), F.count_distinct("partition").alias("days"))
+    both = audit.small_files(objects, overhead).join(listed).join(counted)
+    return both.select(
+        "rows",
+        "days",
+        (F.col("objects") == F.col("n")).alias("all_listed"),
+        (F.col("total_bytes") == F.col("b")).alias("bytes_agree"),
+        (F.col("small_objects") == F.col("objects")).alias("all_small"),
+        F.col("overhead_share").isNotNull().alias("share_in_range"),
+    )
 
 
 _TYPES = {
@@ -160,19 +177,17 @@ def q_schema_drift(spark, sf):
 def q_drifted_lake_read(spark, sf):
     """Two batches that disagree on a column's type, read under one declared schema."""
     root = scratch_path(spark, "drifted")
-    posts = enriched(spark, sf).select("id", "like_count", "source")
+    posts = enriched(spark, sf)
     posts.write.parquet(f"{root}/a")
-    posts.withColumn("like_count", F.col("like_count").cast("double")).write.parquet(f"{root}/b")
-    schema = "id string, like_count bigint, source string"
-    declared = spark.createDataFrame([], schema).schema
-    lake = scan.read_drifted(spark, root, declared, glob="part-*")
+    posts.withColumn("like_count", F.col("like_count").cast("double")).drop("scorer").write.parquet(f"{root}/b")
+    lake = scan.read_drifted(spark, root, ENRICHED, glob="part-*")
     return lake.groupBy("source").agg(F.count(F.lit(1)).alias("post_count"), F.sum("like_count").alias("likes"))
 
 
 @query(
     "run_date_write",
     """
-SELECT '2024' AS run_year, '02' AS run_month, '01' AS run_day, count(*) AS post_count,
+SELECT '2024' AS year, '02' AS month, '01' AS day, count(*) AS post_count,
        count(DISTINCT strftime(ts, '%Y-%m-%d')) AS days FROM events""",
 )
 def q_run_date_write(spark, sf):
@@ -180,18 +195,18 @@ def q_run_date_write(spark, sf):
     root = scratch_path(spark, "run-date")
     sink.write_run_date(enriched(spark, sf), root, RUN_TS)
     # Text, because partition discovery would read 02 as the number 2.
-    keys = [T.StructField(k, T.StringType()) for k in ("run_year", "run_month", "run_day")]
+    keys = [T.StructField(k, T.StringType()) for k in ("year", "month", "day")]
     lake = scan.read_lake(spark, root, T.StructType([*ENRICHED.fields, *keys]))
-    return lake.groupBy("run_year", "run_month", "run_day").agg(
+    return lake.groupBy("year", "month", "day").agg(
         F.count(F.lit(1)).alias("post_count"), F.count_distinct("event_day").alias("days")
     )
 
 
 @query(
     "summary_write",
-    """
-SELECT strftime(ts, '%Y-%m-%d') AS event_day, count(*) AS post_count, count(*) FILTER (event_type = 'error') AS negative, '2024-02-01' AS run_date
-FROM events GROUP BY 1""",
+    v.with_ctes(v.SQL_FACTS, v.SQL_WORDS, v.SQL_LEXICON, v.SQL_NET, v.SQL_SCORED, body="""
+SELECT event_day, count(*) AS post_count, count(*) FILTER (sentiment_label = 'negative') AS negative, '2024-02-01' AS run_date
+FROM scored GROUP BY 1"""),
 )
 def q_summary_write(spark, sf):
     """Written twice for one run date; the second write replaces the first."""
@@ -258,10 +273,10 @@ WHERE CAST(ts AS DATE) IN (SELECT CAST(ts AS DATE) FROM events WHERE value > 400
 )
 def q_touched_days(spark, sf):
     """Existing rows in the days a batch touches (a semi-join on the day)."""
-    posts = v.facts(spark, sf).withColumn("event_date", F.col("created_ts").cast("date"))
-    batch = posts.filter(F.col("like_count") > 40000).select("event_date").distinct()
-    touched = posts.join(batch, "event_date", "left_semi")
-    return touched.groupBy(F.col("event_date").cast("string").alias("event_day")).agg(F.count(F.lit(1)).alias("post_count"))
+    root = written_lake(spark, sf)
+    batch = enriched(spark, sf).filter(F.col("like_count") > 40000)
+    touched = sink.touched(scan.read_lake(spark, root, ENRICHED), batch)
+    return touched.groupBy("event_day").agg(F.count(F.lit(1)).alias("post_count"))
 
 
 @query("declared_write", "SELECT count(*) AS post_count, CAST(15 AS BIGINT) AS columns, CAST(sum(user_id) AS BIGINT) AS replies FROM events")
@@ -302,7 +317,10 @@ def q_name_collisions(spark, sf):
     """A layout keyed by a stored column: the key and the column share a name."""
     root = written_lake(spark, sf)
     columns = scan.file_schemas(spark, root, glob="part-*").select("column")
-    paths = scan.read_lake(spark, root, ENRICHED).select(F.concat(F.lit("source="), F.col("source")).alias("partition"))
+    keyed = scratch_path(spark, "by-source")
+    # The writer takes the key out of the files, so the layout alone cannot show the clash.
+    scan.read_lake(spark, root, ENRICHED).select("id", "source").write.partitionBy("source").parquet(keyed)
+    paths = scan.listing(spark, keyed).select(F.regexp_extract("key", r"((?:[^/=]+=[^/]*/)+)[^/]*$", 1).alias("partition"))
     return name_collisions(paths, columns)
 
 
@@ -329,3 +347,73 @@ def q_reader_probes(spark, sf):
         ),
     ]
     return local_table(spark, [(p["reader"], p["ok"]) for p in probes], "reader string, ok boolean")
+
+
+def _landed_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as JSON posts: a tenth without an id, a tenth with a null id, a tenth sharing ids."""
+    docs = v.table(spark, sf, "documents")
+    kind = F.col("doc_id") % 10
+    ident = F.when(kind == 2, F.concat(F.lit("r"), F.expr("cast(doc_id div 30 as string)"))).when(kind > 2, F.col("doc_id").cast("string"))
+    day = F.format_string("2024-01-%02dT08:00:00.000Z", F.lit(1) + F.expr("doc_id div 30") % 28)
+    post = F.struct(ident.alias("id"), day.alias("created_at"), "text", "source", F.struct(F.col("doc_id").alias("like_count")).alias("public_metrics"))
+    # A null field is left out of the JSON, so a stored null is put in by hand.
+    line = F.to_json(post)
+    null_id = F.concat(F.lit('{"id":null,'), F.substring(line, F.lit(2), F.length(line)))
+    return docs.select("doc_id", F.when(kind == 1, null_id).otherwise(line).alias("value"))
+
+
+@query(
+    "etl_run",
+    """
+WITH p AS (
+  SELECT doc_id, strftime(DATE '2024-01-01' + CAST(doc_id // 30 % 28 AS INTEGER), '%Y-%m-%d') AS event_day, doc_id % 10 < 2 AS no_id,
+         CASE WHEN doc_id % 10 = 2 THEN 'r' || (doc_id // 30) ELSE CAST(doc_id AS VARCHAR) END AS id FROM documents),
+k AS (SELECT event_day, doc_id FROM p WHERE no_id UNION ALL SELECT event_day, max(doc_id) FROM p WHERE NOT no_id GROUP BY event_day, id)
+SELECT event_day, count(*) AS lake_posts, count(*) AS summary_posts, CAST(sum(doc_id) AS BIGINT) AS lake_likes, CAST(sum(doc_id) AS BIGINT) AS total_engagement,
+       (SELECT count(*) FROM k) AS receipt_posts, CAST(1 AS BIGINT) AS rejected FROM k GROUP BY event_day""",
+)
+def q_etl_run(spark, sf):
+    """The whole run, twice, over posts with absent, null and shared ids and one broken line."""
+    landed, target = scratch_path(spark, "etl-in"), scratch_path(spark, "etl")
+    lines = _landed_documents(spark, sf).select("value")
+    lines.unionByName(spark.range(1).select(F.lit("{broken").alias("value"))).write.text(landed)
+    for _ in range(2):
+        receipt = run_etl(spark, landed, target, RUN_TS, scorer=FREQUENT)
+    lake = scan.read_lake(spark, f"{target}/posts", ENRICHED).groupBy("event_day").agg(F.count(F.lit(1)).alias("lake_posts"), F.sum("like_count").alias("lake_likes"))
+    summary = scan.read_lake(spark, f"{target}/daily_summary").select("event_day", F.col("post_count").alias("summary_posts"), "total_engagement")
+    return lake.join(summary, "event_day", "full_outer").withColumns(
+        {"receipt_posts": F.lit(receipt["post_count"]).cast("bigint"), "rejected": F.lit(receipt["rejected"]).cast("bigint")}
+    )
+
+
+_DOCUMENT_POSTS = """
+SELECT source, count(*) AS post_count, CAST(sum(doc_id) AS BIGINT) AS likes, count(*) FILTER (doc_id % 10 = 0) AS no_id,
+       count(*) FILTER (doc_id % 10 = 1) AS null_id, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY 1"""
+
+
+def _read_back(spark, path, fmt):
+    return read_posts(spark, path, fmt).groupBy("source").agg(
+        F.count(F.lit(1)).alias("post_count"),
+        F.sum("like_count").alias("likes"),
+        F.count_if(F.col("id") == "").alias("no_id"),
+        F.count_if(F.col("id") == "None").alias("null_id"),
+        F.sum(F.length("text")).alias("chars"),
+    )
+
+
+def _arrays(spark, sf, before: str, after: str) -> str:
+    """Files that each hold one array of up to a thousand posts."""
+    path = scratch_path(spark, "arrays")
+    batch = _landed_documents(spark, sf).groupBy(F.expr("doc_id div 1000").alias("part")).agg(F.concat_ws(",", F.collect_list("value")).alias("posts"))
+    batch.select("part", F.concat(F.lit(before), "posts", F.lit(after)).alias("value")).write.partitionBy("part").text(path)
+    return f"{path}/*"
+
+
+@query("array_posts", _DOCUMENT_POSTS)
+def q_array_posts(spark, sf):
+    return _read_back(spark, _arrays(spark, sf, "[", "]"), "json")
+
+
+@query("search_posts", _DOCUMENT_POSTS)
+def q_search_posts(spark, sf):
+    return _read_back(spark, _arrays(spark, sf, '{"data":[', '],"meta":{"result_count":1}}'), "search")

@@ -45,6 +45,33 @@ def q_window_replay(spark, sf):
     return win.replay(posts, v.runs(spark, sf)).select("run", "id", "like_count")
 
 
+@query(
+    "backfill_replay",
+    v.with_ctes(v.SQL_FACTS, body="""
+SELECT CAST(0 AS BIGINT) AS run, source, count(*) AS replayed, CAST(sum(like_count) AS BIGINT) AS likes FROM facts GROUP BY source"""),
+)
+def q_backfill_replay(spark, sf):
+    """One window over the whole history finds every post once."""
+    posts = v.facts(spark, sf).select("id", "created_ts", "like_count", "source")
+    found = win.replay(posts, win.backfill_run(posts))
+    return found.groupBy("run", "source").agg(F.count(F.lit(1)).alias("replayed"), F.sum("like_count").alias("likes"))
+
+
+@query(
+    "incremental_replay",
+    v.with_ctes(v.SQL_FACTS, v.SQL_RUNS, v.SQL_ATTEMPTS, v.SQL_STATES, body="""
+, spans AS (
+  SELECT run, coalesce(high_water, (SELECT min(window_end) - INTERVAL 1 DAY FROM runs)) AS window_start, window_end FROM marked)
+SELECT run, count(*) AS replayed, CAST(sum(like_count) AS BIGINT) AS likes
+FROM spans JOIN facts ON created_ts >= window_start AND created_ts < window_end GROUP BY run"""),
+)
+def q_incremental_replay(spark, sf):
+    """Windows that reach back to the last good run, however long ago that was."""
+    posts = v.facts(spark, sf).select("id", "created_ts", "like_count")
+    found = win.replay(posts, win.incremental_windows(v.RunBook(spark, sf).states))
+    return found.groupBy("run").agg(F.count(F.lit(1)).alias("replayed"), F.sum("like_count").alias("likes"))
+
+
 @query(
     "window_replay_right_closed",
     v.with_ctes(v.SQL_FACTS, v.SQL_RUNS, body="""

@@ -1,4 +1,8 @@
-"""Streaming jobs over the given tables as file streams, run until everything available is read."""
+"""Streaming jobs over the given tables as file streams, run until everything available is read.
+
+Posts carry whole document texts and their scores. The single-file tables are landed day by day
+where a query is about batches, so that watermarks move and state outlives a batch.
+"""
 
 from __future__ import annotations
 
@@ -7,11 +11,11 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.enrich import enrich
 from tidemark.plans import views as v
-from tidemark.plans.queries.physical import STATUS_SCORER
+from tidemark.plans.queries.enrichment import FREQUENT
 from tidemark.plans.registry import query
 from tidemark.schema import ENRICHED
 from tidemark.session import scratch_path
-from tidemark.streaming import dedupe_stream, enrich_stream, merge_stream, run_available, tumbling_summary
+from tidemark.streaming import dropped_rows, enrich_stream, land_stream, merge_stream, run_available, tumbling_summary
 from tidemark.sources.posts import stream_raw
 
 
@@ -20,10 +24,17 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = v.table(spark, sf, "events").schema
     # A file stream names a pattern; this one matches the events table only.
     events = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
-    posts = events.select(
+    docs = v.table(spark, sf, "documents").select("doc_id", "text")
+    return enrich(_posts(events, docs), FREQUENT)
+
+
+def _posts(events: DataFrame, docs: DataFrame) -> DataFrame:
+    """Posts of events, each with the text of its document (a stream joined to a table)."""
+    n_docs = docs.agg(F.count(F.lit(1))).first()[0]
+    return events.withColumn("doc_id", F.col("event_id") % n_docs).join(docs, "doc_id").select(
         F.col("event_id").cast("string").alias("id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("created_at"),
-        F.concat_ws(" ", "event_type", "props").alias("text"),
+        "text",
         F.floor(F.col("value") * 100).cast("bigint").alias("like_count"),
         F.get_json_object("props", "$.k").cast("bigint").alias("retweet_count"),
         F.col("user_id").alias("reply_count"),
@@ -31,15 +42,26 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_type").alias("source"),
         F.col("ts").cast("timestamp_ntz").alias("created_ts"),
     )
-    return enrich(posts, STATUS_SCORER)
 
 
-_SUMMARY_SQL = """
-SELECT strftime(ts, '%Y-%m-%d') AS event_day, count(*) AS post_count,
-       CAST(sum(CAST(floor(value * 100) AS BIGINT) + CAST(props->>'$.k' AS BIGINT) + user_id) AS BIGINT) AS total_engagement,
-       CAST(-10000 * count(*) FILTER (event_type = 'error') AS BIGINT) AS sentiment_sum_e4, CAST(0 AS BIGINT) AS positive,
-       count(*) FILTER (event_type <> 'error') AS neutral, count(*) FILTER (event_type = 'error') AS negative
-FROM events GROUP BY 1"""
+def _landed(spark: SparkSession, posts: DataFrame, name: str) -> str:
+    """Posts as JSON lines, one file per day, named in order of days so that they arrive in order."""
+    from tidemark.session import settle
+
+    folder = scratch_path(spark, name)
+    metrics = F.struct("like_count").alias("public_metrics")
+    lines = settle(posts.select("batch", F.to_json(F.struct("id", "created_at", "text", "source", metrics)).alias("value")), name)
+    for (batch,) in lines.select("batch").distinct().orderBy("batch").collect():  # one per day: small, and the order is the point
+        lines.filter(F.col("batch").eqNullSafe(F.lit(batch))).select("value").coalesce(1).write.mode("append").text(folder)
+    return folder
+
+
+_SUMMARY_SQL = v.with_ctes(v.SQL_FACTS, v.SQL_WORDS, v.SQL_LEXICON, v.SQL_NET, v.SQL_SCORED, body="""
+SELECT event_day, count(*) AS post_count, CAST(sum(engagement_total) AS BIGINT) AS total_engagement,
+       CAST(sum(CAST(round(sentiment_score * 10000) AS BIGINT)) AS BIGINT) AS sentiment_sum_e4,
+       count(*) FILTER (sentiment_label = 'positive') AS positive, count(*) FILTER (sentiment_label = 'neutral') AS neutral,
+       count(*) FILTER (sentiment_label = 'negative') AS negative
+FROM scored GROUP BY 1""")
 
 
 @query(
@@ -63,17 +85,71 @@ def q_stream_ingest(spark, sf):
     return spark.read.schema(ENRICHED).parquet(out).groupBy("source").agg(F.count(F.lit(1)).alias("post_count"))
 
 
+def _day_posts(spark: SparkSession, sf: str) -> DataFrame:
+    """One post per document, spread over 28 days; every seventh has no id, every eleventh no time."""
+    docs = v.table(spark, sf, "documents")
+    day = F.lit(1) + F.expr("doc_id div 30") % 28
+    return docs.select(
+        day.cast("int").alias("batch"),
+        F.when(F.col("doc_id") % 7 != 0, F.col("doc_id").cast("string")).alias("id"),
+        F.when(F.col("doc_id") % 11 != 0, F.format_string("2024-01-%02dT09:00:00.000Z", day)).otherwise("some day").alias("created_at"),
+        "text",
+        "source",
+        F.col("doc_id").alias("like_count"),
+    )
+
+
 @query(
     "stream_dedupe",
-    "SELECT count(*) AS post_count, count(DISTINCT event_id) AS distinct_posts FROM events",
+    """
+SELECT count(*) AS post_count, count(*) FILTER (doc_id % 11 = 0) AS without_time, count(*) FILTER (doc_id % 7 = 0) AS without_id,
+       CAST(sum(doc_id) AS BIGINT) AS likes FROM documents""",
 )
 def q_stream_dedupe(spark, sf):
-    """Every post arrives twice; each id is kept once."""
+    """Every post arrives on its day and again two days later, over many batches and a restart.
+
+    The delay is shorter than the data, so state is dropped on the way; posts without an id or a
+    time are all there in the end. Those without a time come in twice, and are counted once here.
+    """
+    posts = _day_posts(spark, sf)
+    folder = _landed(spark, posts.union(posts.withColumn("batch", F.col("batch") + 2)), "stream-days")
     out, state = scratch_path(spark, "stream-dedupe"), scratch_path(spark, "stream-state")
-    twice = event_stream(spark, sf).union(event_stream(spark, sf))
-    run_available(dedupe_stream(twice, delay="60 days").drop("created_ts", "event_time"), out, state)
-    return spark.read.schema(ENRICHED).parquet(out).agg(
-        F.count(F.lit(1)).alias("post_count"), F.count_distinct("id").alias("distinct_posts")
+    for _ in range(2):
+        raw = stream_raw(spark, folder, files_per_batch=4)
+        land_stream(enrich_stream(raw, FREQUENT), out, state, delay="4 days")
+    dated = spark.read.schema(ENRICHED).parquet(f"{out}/posts")
+    undated = spark.read.schema(ENRICHED).parquet(f"{out}/untimed").distinct()
+    return dated.unionByName(undated).agg(
+        F.count(F.lit(1)).alias("post_count"),
+        F.count_if(F.col("created_at") == "some day").alias("without_time"),
+        F.count_if(F.col("id") == "").alias("without_id"),
+        F.sum("like_count").alias("likes"),
+    )
+
+
+@query(
+    "stream_late_rows",
+    """
+WITH p AS (SELECT doc_id, CAST(1 + doc_id // 30 % 28 AS INTEGER) AS d FROM documents WHERE doc_id % 11 <> 0),
+m AS (SELECT max(d) AS m FROM p), late AS (SELECT doc_id FROM p, m WHERE d <= m - 18 AND doc_id % 5 = 0)
+SELECT strftime(DATE '2023-12-31' + d, '%Y-%m-%d') AS event_day, count(*) AS post_count, CAST(sum(doc_id) AS BIGINT) AS total_engagement,
+       (SELECT count(*) > 0 FROM late) AS turned_away
+FROM p, m WHERE d <= m - 5 AND doc_id NOT IN (SELECT doc_id FROM late) GROUP BY 1""",
+)
+def q_stream_late_rows(spark, sf):
+    """A fifth of the early posts arrives after all others: too late, and turned away.
+
+    Days come out once the watermark, four days behind, has passed their end; the last stay open.
+    """
+    posts = _day_posts(spark, sf).filter("created_at <> 'some day'")
+    last = posts.agg(F.max("batch")).first()[0] or 0
+    late = (F.col("batch") <= last - 18) & (F.col("like_count") % 5 == 0)
+    folder = _landed(spark, posts.withColumn("batch", F.when(late, F.lit(last + 1)).otherwise(F.col("batch"))), "stream-late")
+    out, state = scratch_path(spark, "stream-late"), scratch_path(spark, "stream-state")
+    summary = lambda: tumbling_summary(enrich_stream(stream_raw(spark, folder, files_per_batch=4), FREQUENT), delay="4 days")
+    query_ = run_available(summary(), out, state)
+    return spark.read.schema(summary().schema).parquet(out).select(
+        "event_day", "post_count", "total_engagement", F.lit(dropped_rows(query_) > 0).alias("turned_away")
     )
 
 
@@ -109,7 +185,7 @@ def q_stream_landed_posts(spark, sf):
     )
     turns.select(F.to_json(post).alias("value")).write.text(landed)
     run_available(
-        enrich_stream(stream_raw(spark, landed), STATUS_SCORER).drop("created_ts"), out, scratch_path(spark, "stream-state")
+        enrich_stream(stream_raw(spark, landed), FREQUENT).drop("created_ts"), out, scratch_path(spark, "stream-state")
     )
     return spark.read.schema(ENRICHED).parquet(out).groupBy("source").agg(
         F.count(F.lit(1)).alias("post_count"), F.sum("like_count").alias("likes")

@@ -186,27 +186,31 @@ def q_valence_labels(spark, sf):
     "valence_sums",
     v.with_ctes(v.SQL_WORDS, body=f"""
 , vlex AS {_map({k: round(x * 10) for k, x in VALENCES.items()})}
-SELECT doc_id, count(*) AS hits, CAST(sum(x) AS BIGINT) AS valence_e1 FROM words JOIN vlex ON k = token GROUP BY doc_id"""),
+SELECT d.doc_id, count(x) AS hits, CAST(coalesce(sum(x), 0) AS BIGINT) AS valence_e1
+FROM documents d LEFT JOIN (SELECT doc_id, x FROM words JOIN vlex ON k = token) h ON h.doc_id = d.doc_id GROUP BY d.doc_id"""),
 )
 def q_valence_sums(spark, sf):
     """Plain join of words to the valence table, without rules."""
     from tidemark.operators.lexicon import word_rows
-    from tidemark.session import broadcast_checked
 
-    hits = word_rows(v.texts(spark, sf), "doc_id").join(broadcast_checked(valence_lexicon(spark)), "token")
-    return hits.groupBy("doc_id").agg(
+    hits = word_rows(v.texts(spark, sf), "doc_id").join(valence_lexicon(spark), "token")
+    sums = hits.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("hits"), F.sum(F.rint(F.col("valence") * 10).cast("bigint")).alias("valence_e1")
     )
+    every = v.table(spark, sf, "documents").select("doc_id").join(sums, "doc_id", "left")
+    return every.select("doc_id", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("hits", "valence_e1")])
 
 
 @query(
     "neighbour_tokens",
     v.with_ctes(v.SQL_WORDS, body="""
-, near AS (SELECT token, lag(token, 1) OVER w AS before_1, lag(token, 3) OVER w AS before_3, lead(token, 1) OVER w AS after_1
+, near AS (SELECT token, lag(token, 1) OVER w AS before_1, lag(token, 2) OVER w AS before_2, lag(token, 3) OVER w AS before_3,
+                   lead(token, 1) OVER w AS after_1, lead(token, 2) OVER w AS after_2
            FROM words WINDOW w AS (PARTITION BY doc_id ORDER BY position))
-SELECT token, count(before_1) AS with_1_before, count(before_3) AS with_3_before, count(after_1) AS with_after,
-       count(*) FILTER (before_1 = 'of') AS after_of
-FROM near WHERE token IN ('the', 'und', 'la') GROUP BY token"""),
+SELECT token, count(before_1) AS with_1_before, count(before_2) AS with_2_before, count(before_3) AS with_3_before,
+       count(after_1) AS with_1_after, count(after_2) AS with_2_after, count(*) FILTER (before_1 = 'of') AS after_of,
+       count(*) FILTER (before_2 = 'of') AS two_after_of, count(*) FILTER (before_3 = 'of') AS three_after_of
+FROM near GROUP BY token"""),
 )
 def q_neighbour_tokens(spark, sf):
     """Words with their neighbours, taken from shifted arrays inside the row: no window, no sort."""
@@ -214,18 +218,16 @@ def q_neighbour_tokens(spark, sf):
 
     base = v.texts(spark, sf).select("doc_id", tokens(F.col("text")).alias("t"))
     none = F.lit(None).cast("string")
+    later = lambda n: F.slice("t", n + 1, F.greatest(F.size("t") - n, F.lit(0)))
     zipped = F.arrays_zip(
-        F.col("t"),
-        F.concat(F.array(none), "t").alias("before_1"),
-        F.concat(F.array_repeat(none, 3), "t").alias("before_3"),
-        F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0))).alias("after_1"),
+        F.col("t"), *[F.concat(F.array_repeat(none, n), "t").alias(f"before_{n}") for n in (1, 2, 3)], *[later(n).alias(f"after_{n}") for n in (1, 2)]
     )
-    near = base.select(F.explode(zipped).alias("w")).select("w.*").filter(F.col("t").isin("the", "und", "la"))
+    # The shifted arrays run past the last word; those places hold no word.
+    near = base.select(F.explode(zipped).alias("w")).select("w.*").filter(F.col("t").isNotNull())
     return near.groupBy(F.col("t").alias("token")).agg(
-        F.count("before_1").alias("with_1_before"),
-        F.count("before_3").alias("with_3_before"),
-        F.count("after_1").alias("with_after"),
-        F.count_if(F.col("before_1") == "of").alias("after_of"),
+        *[F.count(f"before_{n}").alias(f"with_{n}_before") for n in (1, 2, 3)],
+        *[F.count(f"after_{n}").alias(f"with_{n}_after") for n in (1, 2)],
+        *[F.count_if(F.col(f"before_{n}") == "of").alias(name) for n, name in ((1, "after_of"), (2, "two_after_of"), (3, "three_after_of"))],
     )
 
 

@@ -35,7 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, lang, text`` of all documents, spread over the cores."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,7 +304,7 @@ write_log AS (
   FROM runs JOIN attempts USING (run) JOIN events ON ts >= window_start AND ts < window_end
   WHERE task = 'load' GROUP BY run_ts, run, attempt),
 writes AS (
-  SELECT partition || '/' || name AS key, dataset, partition, rows, run, attempt, run * 100 + attempt AS seq FROM write_log)
+  SELECT partition || '/' || name AS key, dataset, partition, rows, run, attempt, run * 1000000 + attempt AS seq FROM write_log)
 """
 SQL_WRITES_IDEMPOTENT = f"""
 spans AS (
@@ -322,7 +322,7 @@ write_log AS (
   FROM spans JOIN attempts USING (run) JOIN events ON ts >= window_start AND ts < window_end
   WHERE task = 'load' GROUP BY run_ts, window_start, window_end, run, attempt),
 writes AS (
-  SELECT partition || '/' || name AS key, dataset, partition, rows, run, attempt, run * 100 + attempt AS seq FROM write_log)
+  SELECT partition || '/' || name AS key, dataset, partition, rows, run, attempt, run * 1000000 + attempt AS seq FROM write_log)
 """
 SQL_OBJECTS = """
 objects AS (

@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -44,7 +43,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.partition("[")[0] == "local":
         raise RuntimeError(f"{CHECKPOINT_DIR} must name a shared folder on a cluster")
     root = tempfile.mkdtemp(prefix="tidemark-")
     spark.conf.set(CHECKPOINT_DIR, root)
@@ -56,26 +55,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Hash a scan over all cores when its files give fewer splits than cores.
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal a scan over all cores when its files give fewer splits than cores.
 
     Only an input smaller than (cores x split size) can come out short, so the shuffle is bounded;
-    a large input keeps its own splits and is never shuffled here.
+    a large input keeps its own splits and is never shuffled here. Rows are dealt in turn, not by
+    key, so what follows plans the same exchanges as on a large input.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     if scan.rdd.getNumPartitions() >= cores:
         return scan
-    return scan.repartition(cores, key)
-
-
-def broadcast_checked(table: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only after counting that ``table`` stays within ``max_rows``.
-
-    Beyond the bound the table comes back as it is and Spark shuffles the join.
-    """
-    if table.limit(max_rows + 1).count() > max_rows:
-        return table
-    return F.broadcast(table)
+    return scan.repartition(cores)
 
 
 def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -14,10 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.dedupe import last_per_key
 from tidemark.schema import DAILY_SUMMARY, ENRICHED, conform
-
-# Days named in a file filter; a batch that touches more is matched by a join instead.
-MAX_LISTED_DAYS = 4000
-
+from tidemark.session import settle
 
 def _by_day(df: DataFrame) -> DataFrame:
     """Bring a day's rows together for few, full files. Adaptive execution splits a day that is
@@ -32,16 +29,16 @@ def write_event_date(enriched: DataFrame, root: str, mode: str = "append", extra
 
 
 def write_run_date(enriched: DataFrame, root: str, run_ts: dt.datetime) -> None:
-    """Compatibility layout: directories name the run's date, whatever days the posts have."""
+    """Compatibility layout: ``year=/month=/day=`` of the run's date, whatever days the posts have."""
     rows = conform(enriched, ENRICHED)
     stamped = rows.withColumns(
         {
-            "run_year": F.lit(f"{run_ts:%Y}"),
-            "run_month": F.lit(f"{run_ts:%m}"),
-            "run_day": F.lit(f"{run_ts:%d}"),
+            "year": F.lit(f"{run_ts:%Y}"),
+            "month": F.lit(f"{run_ts:%m}"),
+            "day": F.lit(f"{run_ts:%d}"),
         }
     )
-    stamped.write.partitionBy("run_year", "run_month", "run_day").mode("append").parquet(root)
+    stamped.write.partitionBy("year", "month", "day").mode("append").parquet(root)
 
 
 def append_posts(enriched: DataFrame, root: str, run_ts: dt.datetime) -> None:
@@ -76,36 +73,67 @@ def write_summary(summary: DataFrame, root: str, run_date: dt.date) -> None:
     )
 
 
-def _touched(existing: DataFrame, batch: DataFrame) -> DataFrame:
-    """Existing rows in the batch's days. Few days become a filter that prunes directories."""
+# What an absent and a null id are stored as. Such posts have no identity.
+NO_ID = ("", "None")
+
+
+def has_id() -> Column:
+    return F.coalesce(~F.col("id").isin(*NO_ID), F.lit(False))
+
+
+def _existing(spark, root: str) -> DataFrame | None:
+    """The lake at ``root``, or None if nothing was written there yet."""
+    try:
+        return spark.read.schema(ENRICHED).parquet(root)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def touched(existing: DataFrame, batch: DataFrame) -> DataFrame:
+    """Existing rows in the batch's days: the range of days prunes directories, a semi-join the rest."""
     days = batch.select("event_date").distinct()
-    listed = [r[0] for r in days.limit(MAX_LISTED_DAYS + 1).toLocalIterator()]
-    if len(listed) > MAX_LISTED_DAYS:
-        return existing.join(days, existing["event_date"].eqNullSafe(days["event_date"]), "left_semi")
-    named = F.col("event_date").isin([d for d in listed if d is not None])
-    if None in listed:
-        named = named | F.col("event_date").isNull()
-    return existing.filter(named)
+    low, high, undated = batch.agg(F.min("event_date"), F.max("event_date"), F.count_if(F.col("event_date").isNull())).first()
+    near = F.lit(False) if low is None else F.col("event_date").between(F.lit(low), F.lit(high))
+    if undated:
+        near = near | F.col("event_date").isNull()
+    return existing.filter(near).join(days, existing["event_date"].eqNullSafe(days["event_date"]), "left_semi")
+
+
+def latest(batch: DataFrame, order: list[Column] | None = None) -> DataFrame:
+    """One post of each id and day, the one with the largest ``order``; posts without an id all stay.
+
+    The default order is engagement, then all columns. Pass the time of ingestion if there is one.
+    """
+    order = order or [F.col("engagement_total"), *[F.col(c) for c in batch.columns if c != "engagement_total"]]
+    return last_per_key(batch.filter(has_id()), ["id", "event_date"], order).unionByName(batch.filter(~has_id()))
+
+
+def _as_often(fresh: DataFrame, old: DataFrame) -> DataFrame:
+    """Rows without an id, each as often as the side that has it more often: merging again adds none."""
+    both = fresh.withColumns({"_new": F.lit(1), "_old": F.lit(0)}).unionByName(old.withColumns({"_new": F.lit(0), "_old": F.lit(1)}))
+    counted = both.groupBy(*fresh.columns).agg(F.greatest(F.sum("_new"), F.sum("_old")).alias("_n"))
+    return counted.select(*fresh.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_i")).drop("_i")
 
 
 def merge_posts(batch: DataFrame, root: str, order: list[Column] | None = None) -> None:
     """Merge by id into the days the batch touches; the batch wins, other days are left alone.
 
-    ``created_at`` of a post does not change, so an id stays in one day. Among several rows of one
-    id in the batch the largest ``order`` wins (default: engagement, then text). A batch may hold
-    part of a day, and merging it again gives the same lake.
+    ``created_at`` of a post does not change, so an id stays in one day. Of several rows of one id in
+    the batch the ``latest`` wins. Posts without an id are told apart by their whole row, and exact
+    repeats of one are counted. A batch may hold part of a day, and merging it again gives the
+    same lake. Existing rows are only filtered, not sorted or aggregated.
     """
-    spark = batch.sparkSession
-    order = order or [F.col("engagement_total"), F.col("text")]
-    fresh = conform(batch, ENRICHED).withColumn("_new", F.lit(1))
-    try:
-        existing = spark.read.schema(ENRICHED).parquet(root)
-    except AnalysisException:  # the lake does not exist yet
-        merged = fresh
-    else:
-        merged = fresh.unionByName(_touched(existing, fresh).withColumn("_new", F.lit(0)))
-    kept = last_per_key(merged, ["id", "event_date"], [F.col("_new"), *order]).drop("_new")
-    overwrite_days(kept, root)
+    given = settle(conform(batch, ENRICHED), "merge-batch")
+    existing = _existing(batch.sparkSession, root)
+    if existing is None:
+        return overwrite_days(latest(given, order), root)
+    old = touched(existing, given)
+    ids = given.filter(has_id()).select("id", "event_date")
+    kept = old.filter(has_id()).join(ids, (old["id"] == ids["id"]) & old["event_date"].eqNullSafe(ids["event_date"]), "left_anti")
+    anonymous = _as_often(given.filter(~has_id()), old.filter(~has_id()))
+    overwrite_days(latest(given.filter(has_id()), order).unionByName(kept).unionByName(anonymous), root)
 
 
 def write_with_receipt(enriched: DataFrame, write, root: str) -> dict[str, object]:

@@ -29,14 +29,21 @@ def object_rows(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).count()
 
 
-def object_inventory(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """``key, partition, rows, bytes`` per object, read from file metadata and row counts only."""
-    files = read_lake_flat(spark, root, schema).select(
-        F.col("_metadata.file_path").alias("key"), F.col("_metadata.file_size").alias("bytes")
-    )
-    counted = files.groupBy("key", "bytes").agg(F.count(F.lit(1)).alias("rows"))
+def listing(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
+    """``key, bytes`` of every object below ``root``, from the listing alone."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
+    return found.select(F.col("path").alias("key"), F.col("length").alias("bytes"))
+
+
+def object_inventory(spark: SparkSession, root: str, schema: T.StructType | None = None, glob: str = "*.parquet") -> DataFrame:
+    """``key, partition, rows, bytes`` per object: the listing, with row counts; an empty object has 0."""
+    counted = read_lake_flat(spark, root, schema).groupBy(F.col("_metadata.file_path").alias("at")).agg(F.count(F.lit(1)).alias("rows"))
     folder = F.regexp_extract("key", r"((?:[^/=]+=[^/]*/)+)[^/]*$", 1)
-    return counted.select("key", F.rtrim(folder, F.lit("/")).alias("partition"), "rows", "bytes")
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")  # noqa: E731  the two spell local paths differently
+    found = listing(spark, root, glob)
+    return found.join(counted, plain("key") == plain("at"), "left").select(
+        "key", F.rtrim(folder, F.lit("/")).alias("partition"), F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), "bytes"
+    )
 
 
 def _open(uri: str):
@@ -67,52 +74,31 @@ def file_schemas(spark: SparkSession, root: str, glob: str = "*.parquet") -> Dat
     Spark has no per-file schema view, so the tasks read footers, spread over the listed files.
     Only paths are taken from the listing; file bodies are not loaded.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(root)
-        .select("path")
-    )
-    return listing.mapInPandas(_footers, "file string, column string, type string")
+    return listing(spark, root, glob).select(F.col("key").alias("path")).mapInPandas(_footers, "file string, column string, type string")
 
 
 def read_drifted(spark: SparkSession, root: str, schema: T.StructType, glob: str = "*.parquet") -> DataFrame:
-    """Read a lake whose files disagree on types, each file cast to ``schema`` on its own.
+    """Read a lake whose files disagree on types, each group of like files cast to ``schema``.
 
-    Spark's scan wants one physical type per column, and such a lake has several. The tasks
-    therefore read the files as Arrow batches: Spark packs the listed files into tasks by size, and
-    no file list passes through the driver. A cast that would lose a value fails.
+    Spark's scan wants one physical type per column. The footers say which column layouts there are
+    (as many as writers had versions, not as files); each layout is one Spark scan over the folders
+    and files that have it, with pruning and pushdown, and the scans are united. A cast that would
+    lose a value fails under ANSI rules; a column that a layout lacks is null.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    target = to_arrow_schema(schema)
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(root)
-        .select("path")
-    )
-
-    def cast_files(batches):
-        import pyarrow as pa
-        import pyarrow.parquet as pq
-
-        for batch in batches:
-            for uri in batch.column(0).to_pylist():
-                filesystem, path = _open(uri)
-                for rows in pq.ParquetFile(path, filesystem=filesystem).iter_batches():
-                    names = rows.schema.names
-                    columns = [
-                        rows.column(f.name).cast(f.type)
-                        if f.name in names
-                        else pa.nulls(rows.num_rows, f.type)
-                        for f in target
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, schema=target)
-
-    return listing.mapInArrow(cast_files, schema)
+    found = file_schemas(spark, root, glob).groupBy("file").agg(F.sort_array(F.collect_list(F.struct("column", "type"))).alias("layout"))
+    layouts = found.groupBy("layout").agg(F.min("file").alias("sample"), F.collect_list("file").alias("files")).collect()
+    scans = []
+    for row in layouts:
+        physical = spark.read.parquet(row["sample"]).schema
+        rows = spark.read.schema(physical).parquet(*row["files"])
+        have = set(physical.fieldNames())
+        scans.append(rows.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]))
+    if not scans:
+        return spark.createDataFrame([], schema)
+    out = scans[0]
+    for scan in scans[1:]:
+        out = out.unionByName(scan)
+    return out
 
 
 def read_probe(name: str, action: Callable[[], object]) -> dict[str, object]:

@@ -4,16 +4,22 @@ from tidemark.streaming.ingest import (
     dedupe_stream,
     dropped_rows,
     enrich_stream,
+    land_stream,
     merge_stream,
     run_available,
+    timed,
     tumbling_summary,
+    untimed,
 )
 
 __all__ = [
     "dedupe_stream",
     "dropped_rows",
     "enrich_stream",
+    "land_stream",
     "merge_stream",
     "run_available",
+    "timed",
     "tumbling_summary",
+    "untimed",
 ]

@@ -15,7 +15,7 @@ from tidemark.operators.enrich import LEXICON_SCORER, Scorer, enrich
 from tidemark.operators.normalize import normalize
 from tidemark.operators.summary import score_units
 from tidemark.operators.windows import LOOKBACK_DAYS
-from tidemark.sinks.lake import merge_posts
+from tidemark.sinks.lake import has_id, merge_posts
 
 # Ids stay known for as long as overlapping reads can bring them back.
 ID_DELAY = f"{LOOKBACK_DAYS} days"
@@ -27,22 +27,35 @@ def enrich_stream(raw: DataFrame, scorer: Scorer = LEXICON_SCORER) -> DataFrame:
     return enrich(posts, scorer).withColumn("created_ts", utc_instant(F.col("created_at")))
 
 
-def with_event_time(posts: DataFrame) -> DataFrame:
-    return posts.withColumn("event_time", to_event_time(F.col("created_ts")))
+def timed(posts: DataFrame) -> DataFrame:
+    """Posts whose time can be read, with ``event_time`` for watermarks."""
+    return posts.filter(F.col("created_ts").isNotNull()).withColumn("event_time", to_event_time(F.col("created_ts")))
 
 
-def dedupe_stream(posts: DataFrame, delay: str = ID_DELAY, keys: tuple[str, ...] = ("id",)) -> DataFrame:
-    """First row of each id within the watermark. ``delay`` must cover the lookback."""
-    timed = with_event_time(posts).withWatermark("event_time", delay)
-    return timed.dropDuplicatesWithinWatermark(list(keys))
+def untimed(posts: DataFrame) -> DataFrame:
+    """Posts without a usable time. No watermark can place them, so they go to a sink of their own."""
+    return posts.filter(F.col("created_ts").isNull())
+
+
+def dedupe_stream(posts: DataFrame, delay: str = ID_DELAY) -> DataFrame:
+    """First row of each id within the watermark; ``delay`` must cover the lookback.
+
+    A post without an id is known by its whole row. Posts without a time are not in the result: run
+    ``untimed`` beside it, or ``land_stream``, which does both.
+    """
+    columns = [c for c in posts.columns if c != "created_ts"]
+    known = F.when(has_id(), F.concat(F.lit("i"), "id")).otherwise(F.sha2(F.to_json(F.struct(*columns)), 256))
+    late_bounded = timed(posts).withColumn("known_by", known).withWatermark("event_time", delay)
+    return late_bounded.dropDuplicatesWithinWatermark(["known_by"]).drop("known_by")
 
 
 def tumbling_summary(posts: DataFrame, delay: str = ID_DELAY) -> DataFrame:
     """Daily totals, each day emitted once the watermark has passed its end.
 
-    Posts that already went through ``dedupe_stream`` keep the watermark set there.
+    Posts that already went through ``dedupe_stream`` keep the watermark set there. Posts without a
+    time belong to no day; the batch summary of what ``land_stream`` lands lists them under an empty day.
     """
-    late_bounded = posts if "event_time" in posts.columns else with_event_time(posts).withWatermark("event_time", delay)
+    late_bounded = posts if "event_time" in posts.columns else timed(posts).withWatermark("event_time", delay)
     label = F.col("sentiment_label")
     return (
         late_bounded.groupBy(F.window("event_time", "1 day").alias("w"))
@@ -68,15 +81,18 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, partition_by: s
     return query
 
 
+def land_stream(posts: DataFrame, root: str, checkpoint: str, delay: str = ID_DELAY) -> tuple[StreamingQuery, StreamingQuery]:
+    """Deduplicated posts to ``root/posts``, posts without a time to ``root/untimed``, none lost."""
+    first = run_available(dedupe_stream(posts, delay).drop("created_ts", "event_time"), f"{root}/posts", f"{checkpoint}/posts", "event_date")
+    rest = run_available(untimed(posts).drop("created_ts"), f"{root}/untimed", f"{checkpoint}/untimed")
+    return first, rest
+
+
 def merge_stream(enriched: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
     """Merge each batch into the lake by id, so a batch that is run again replaces its own rows."""
 
     def merge(batch: DataFrame, _epoch: int) -> None:
-        batch = batch.drop("created_ts", "event_time").persist()
-        try:
-            merge_posts(batch, root)
-        finally:
-            batch.unpersist()
+        merge_posts(batch.drop("created_ts", "event_time"), root)
 
     query = (
         enriched.writeStream.foreachBatch(merge)
