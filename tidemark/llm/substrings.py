@@ -4,10 +4,10 @@ Words are runs of anything but ``[\x20\x09-\x0D]``; a window is ``WINDOW`` conse
 word covered by a window that starts more than once in the corpus is removed, first copy included.
 
 1. *Anchors.* Each window has an anchor, the smallest hash among its runs of ``ANCHOR`` words. Equal
-   windows have equal anchors, and a text has about one anchor in twelve words, so anchors are cheap
+   windows have equal anchors, and a text has about one anchor in fourteen words, so anchors are cheap
    to count. Windows whose anchor stands once in the corpus are unique and need no further look.
 2. *Exact copies* of a text are counted by digest; one of them speaks for all, with weight two.
-3. *Confirmation.* Windows under a recurring anchor are counted by a 128-bit hash. Those counted
+3. *Confirmation.* Windows under a recurring anchor are counted by a 96-bit hash. Those counted
    twice or more are the recurring passages; their places go back to their documents.
 4. *Location.* Documents are dealt out by a hash of the row. For each slice of a task's documents an
    automaton over word numbers is compiled from the passages confirmed there (cut into windows, so
@@ -15,7 +15,7 @@ word covered by a window that starts more than once in the corpus is removed, fi
    through it. What it finds is removed.
 
 The texts are shuffled once, for steps 3 and 4 together. Hot passages meet only as hashes: exact
-copies are summed before the shuffle, and all rows of a hash need only be counted.
+copies and a text's own repeats are summed before the shuffle.
 
 Null text has no words. Empty tables give no rows; repeated rows are copies of each other; other
 columns pass through, those named like added ones are replaced.
@@ -34,8 +34,8 @@ from tidemark.llm.arrays import BASE_A, BASE_B, column, gram_hashes, map_rows, s
 from tidemark.llm.registry import register, table
 from tidemark.session import settle
 
-WINDOW, ANCHOR = 35, 12
-_KEY = "__row"
+WINDOW, ANCHOR = 35, 8
+_KEY, _ANSWERS = "__row", ("places", "more", "copied")
 
 
 def anchor_runs(w: np.ndarray, size: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,32 +83,48 @@ def _spans(begins: list[int], counts: list[int]) -> np.ndarray:
     return np.unique(np.concatenate([np.arange(b, b + n) for b, n in zip(begins, counts)]))
 
 
+def _distinct(one: np.ndarray, two: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes | None]]:
+    """One of each of a text's windows ``at``, how often it stands there, and its other places."""
+    order = np.lexsort((at, two[at], one[at]))
+    at = at[order]
+    new = np.r_[True, (one[at[1:]] != one[at[:-1]]) | (two[at[1:]] != two[at[:-1]])]
+    first = np.flatnonzero(new)
+    count = np.diff(np.r_[first, len(at)])
+    more: list[bytes | None] = [None] * len(first)
+    for i in np.flatnonzero(count > 1):
+        more[i] = at[first[i] + 1 : first[i] + count[i]].astype("<i4").tobytes()
+    return at[first], count, more
+
+
 def candidate_windows(rows: DataFrame, size: int) -> DataFrame:
-    """(h1, h2, weight, row, place) of every window under a recurring anchor."""
+    """(h1, h2, weight, row, place, more): each window under a recurring anchor, once per text."""
 
     def run(batch: pa.RecordBatch):
         texts, runs, weights, keys = (column(batch, c) for c in ("text", "runs", "weight", _KEY))
-        keys = keys.to_numpy()
+        keys, weights = keys.to_numpy(), weights.to_numpy()
         for begin, end in slices(texts):
             data, offsets = utf8(texts.slice(begin, end - begin))
             starts, ends, bounds = words(data, offsets)
             w = word_hashes(data, starts, ends)
-            one, two = gram_hashes(w, size, BASE_A), gram_hashes(w, size, BASE_B)
-            at = [_spans([r["first"] for r in rs], [r["led"] for r in rs]) for rs in runs.slice(begin, end - begin).to_pylist()]
-            count = [len(a) for a in at]
-            where = np.concatenate([a + b for a, b in zip(at, bounds[:-1])]) if at else np.zeros(0, np.int64)
+            one, two = gram_hashes(w, size, BASE_A), gram_hashes(w, size, BASE_B).astype(np.uint32)
+            spans = [_spans([r["first"] for r in rs], [r["led"] for r in rs]) for rs in runs.slice(begin, end - begin).to_pylist()]
+            kept = [_distinct(one[b:], two[b:], a) if len(a) else (a, a, []) for a, b in zip(spans, bounds[:-1])]
+            place, count = (np.concatenate([k[i] for k in kept]) for i in (0, 1))
+            each = [len(k[0]) for k in kept]
+            where = place + np.repeat(bounds[:-1], each)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(one[where].view(np.int64)),
-                    pa.array(two[where].view(np.int64)),
-                    pa.array(np.repeat(weights.slice(begin, end - begin).to_numpy(), count), pa.int32()),
-                    pa.array(np.repeat(keys[begin:end], count)),
-                    pa.array(np.concatenate(at), pa.int32()),
+                    pa.array(two[where].view(np.int32)),
+                    pa.array(count * np.repeat(weights[begin:end], each), pa.int32()),
+                    pa.array(np.repeat(keys[begin:end], each)),
+                    pa.array(place, pa.int32()),
+                    pa.array([m for k in kept for m in k[2]], pa.binary()),
                 ],
-                ["h1", "h2", "weight", _KEY, "place"],
+                ["h1", "h2", "weight", _KEY, "place", "more"],
             )
 
-    return rows.mapInArrow(map_rows(run), f"h1 long, h2 long, weight int, {_KEY} long, place int")
+    return rows.mapInArrow(map_rows(run), f"h1 long, h2 int, weight int, {_KEY} long, place int, more binary")
 
 
 def locate(word: np.ndarray, bounds: np.ndarray, places: list[np.ndarray], size: int) -> np.ndarray:
@@ -139,18 +155,18 @@ def locate(word: np.ndarray, bounds: np.ndarray, places: list[np.ndarray], size:
 
 
 def strip_passages(rows: DataFrame, size: int, names: tuple[str, str, str]) -> DataFrame:
-    """Replace ``places`` and ``copied`` by the kept text and the numbers of words and removed words."""
+    """Replace ``places``, ``more`` and ``copied`` by the kept text and the numbers of words and removed words."""
 
     def run(batch: pa.RecordBatch):
-        texts, places, copied = (column(batch, c) for c in ("text", "places", "copied"))
-        rest = [n for n in batch.schema.names if n not in ("places", "copied", _KEY)]
+        texts, places, more, copied = (column(batch, c) for c in ("text", *_ANSWERS))
+        rest = [n for n in batch.schema.names if n not in (*_ANSWERS, _KEY)]
         for begin, end in slices(texts):
             data, offsets = utf8(texts.slice(begin, end - begin))
             starts, ends, bounds = words(data, offsets)
             n_windows = np.maximum(np.diff(bounds) - size + 1, 0)
             at = [
-                np.arange(n) if c else np.sort(np.array(p or [], np.int64))
-                for p, c, n in zip(places.slice(begin, end - begin).to_pylist(), copied.slice(begin, end - begin).to_pylist(), n_windows)
+                np.arange(n) if c else np.sort(np.concatenate([np.array(p or [], np.int64), np.frombuffer(b"".join(m or []), "<i4")]))
+                for p, m, c, n in zip(*(x.slice(begin, end - begin).to_pylist() for x in (places, more, copied)), n_windows)
             ]
             gone = np.zeros(len(starts), bool)
             if any(map(len, at)):
@@ -169,38 +185,31 @@ def strip_passages(rows: DataFrame, size: int, names: tuple[str, str, str]) -> D
                 [*(column(part, n) for n in rest), pa.array(kept, pa.string()), pa.array(np.diff(bounds), pa.int64()), pa.array(n_gone, pa.int64())], [*rest, *names]
             )
 
-    schema = StructType([f for f in rows.schema if f.name not in ("places", "copied", _KEY)])
+    schema = StructType([f for f in rows.schema if f.name not in (*_ANSWERS, _KEY)])
     return rows.mapInArrow(map_rows(run), schema.add(names[0], StringType()).add(names[1], LongType()).add(names[2], LongType()))
 
 
 def dedup(docs: DataFrame, size: int = WINDOW, anchor: int = ANCHOR, kept: str = "kept_text", n_words: str = "n_words", n_removed: str = "n_removed") -> DataFrame:
     """Append the kept words (joined by one blank), the number of words and of removed ones."""
-    docs = docs.drop(kept, n_words, n_removed, "places", "copied", _KEY)
+    docs = docs.drop(kept, n_words, n_removed, *_ANSWERS, _KEY)
     # A key by content: rows alike in id and text share it, and share all answers as well.
     keyed = docs.withColumn(_KEY, F.xxhash64("doc_id", "text"))
-    found = settle(anchors(keyed, size, anchor), "substring-anchors")
-    copies = found.where("windows > 0").groupBy("digest").agg(F.count("*").alias("n"), F.min(_KEY).alias("speaker")).where("n > 1").select("digest", "speaker")
-    found = settle(
-        found.where("windows > 0").join(copies, "digest", "left").select(
-            _KEY,
-            F.when(F.col("speaker").isNull(), 1).when(F.col("speaker") == F.col(_KEY), 2).otherwise(0).alias("weight"),
-            F.arrays_zip(F.col("anchors").alias("anchor"), F.col("first").alias("first"), F.col("led").alias("led")).alias("runs"),
-        ),
-        "substring-roles",
-    )
-    # Repeated rows share a key; their runs are told once.
-    speaking = found.where("weight > 0")
-    runs = speaking.select(_KEY, "weight", F.explode("runs").alias("r")).select(_KEY, "weight", "r.*")
-    recurring = runs.groupBy("anchor").agg(F.sum("weight").alias("n")).where("n > 1").select("anchor")
-    wanted = runs.join(recurring, "anchor", "left_semi").groupBy(_KEY).agg(F.max("weight").cast("int").alias("weight"), F.collect_set(F.struct("first", "led")).alias("runs"))
+    found = settle(anchors(keyed, size, anchor), "substring-anchors").where("windows > 0")
+    copies = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(_KEY).alias("speaker")).where("n > 1").select("digest", "speaker")
+    roles = found.select(_KEY, "digest").join(copies, "digest").groupBy(_KEY).agg(F.max(F.col("speaker") == F.col(_KEY)).alias("speaks"))
+    recurring = found.select(F.explode("anchors").alias("anchor")).groupBy("anchor").count().where("count > 1").select("anchor")
+    runs = found.select(_KEY, F.explode(F.arrays_zip(F.col("anchors").alias("anchor"), F.col("first").alias("first"), F.col("led").alias("led"))).alias("r")).select(_KEY, "r.*")
+    wanted = runs.join(recurring, "anchor", "left_semi").groupBy(_KEY).agg(F.collect_set(F.struct("first", "led")).alias("runs"))
+    # One of several copies speaks for all of them, with weight two; the others keep silent.
+    wanted = wanted.join(roles, _KEY, "left").where(F.coalesce("speaks", F.lit(True))).select(_KEY, "runs", F.when(F.col("speaks"), 2).otherwise(1).alias("weight"))
     dealt = keyed.repartition(_KEY)
     # Both uses of ``dealt`` take all its columns, so that Spark shuffles the texts once.
     windows = candidate_windows(dealt.join(wanted, _KEY), size)
     same = Window.partitionBy("h1", "h2")
-    confirmed = windows.withColumn("n", F.sum("weight").over(same)).where("n > 1").groupBy(_KEY).agg(F.collect_set("place").alias("places"))
-    silent = found.where("weight = 0").select(_KEY).distinct().withColumn("copied", F.lit(True))
-    answers = confirmed.join(silent, _KEY, "full_outer").select(_KEY, "places", F.coalesce("copied", F.lit(False)).alias("copied"))
-    rows = dealt.join(answers, _KEY, "left").select(*docs.columns, _KEY, "places", F.coalesce("copied", F.lit(False)).alias("copied"))
+    confirmed = windows.withColumn("n", F.sum("weight").over(same)).where("n > 1").groupBy(_KEY).agg(F.collect_set("place").alias("places"), F.collect_set("more").alias("more"))
+    silent = roles.where("not speaks").select(_KEY).withColumn("copied", F.lit(True))
+    answers = confirmed.join(silent, _KEY, "full_outer")
+    rows = dealt.join(answers, _KEY, "left").select(*docs.columns, _KEY, "places", "more", F.coalesce("copied", F.lit(False)).alias("copied"))
     return strip_passages(rows, size, (kept, n_words, n_removed))
 
 
