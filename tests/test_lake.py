@@ -224,3 +224,28 @@ def test_landed_lines_survive_blank_and_broken_ones(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text(json.dumps(SAMPLE_POSTS[0]) + "\n\nnot json\n")
     rows = read_posts(spark, str(tmp_path)).collect()
     assert sorted(len(r["quality_flags"]) for r in rows) == [0, 1]
+
+
+def test_receipt_lake_and_summary_agree(spark, tmp_path):
+    """Repeated ids, absent and null ids, a post without a time and broken lines."""
+    posts = [
+        {"id": "a", "created_at": "2031-05-01T10:00:00Z", "text": "first", "public_metrics": {"like_count": 1}},
+        {"id": "a", "created_at": "2031-05-01T10:00:00Z", "text": "later", "public_metrics": {"like_count": 5}},
+        {"created_at": "2031-05-01T11:00:00Z", "text": "nobody"},
+        {"created_at": "2031-05-01T11:00:00Z", "text": "nobody"},
+        {"id": None, "created_at": "2031-05-02T11:00:00Z", "text": "null id"},
+        {"id": "t", "text": "no time"},
+    ]
+    (tmp_path / "in.jsonl").write_text("\n".join([*map(json.dumps, posts), "{broken", "also broken"]))
+    for _ in range(2):
+        receipt = run_etl(spark, str(tmp_path / "in.jsonl"), str(tmp_path / "lake"), RUN)
+    lake = spark.read.schema(ENRICHED).parquet(receipt["locations"]["posts"])
+    summary = spark.read.parquet(receipt["locations"]["daily_summary"])
+    assert receipt["post_count"] == 5 == lake.count() == summary.agg(F.sum("post_count")).first()[0]
+    assert receipt["rejected"] == 2 == spark.read.parquet(receipt["locations"]["rejects"]).count()
+    assert lake.filter("id = 'a'").first()["text"] == "later"
+    more = tmp_path / "more.jsonl"
+    more.write_text(json.dumps({"id": "b", "created_at": "2031-05-01T12:00:00Z", "text": "same day"}))
+    receipt = run_etl(spark, str(more), str(tmp_path / "lake"), RUN + dt.timedelta(days=1))
+    day = spark.read.parquet(receipt["locations"]["daily_summary"]).filter("run_date = '2026-01-18' and event_day = '2031-05-01'").first()
+    assert receipt["post_count"] == 1 and day["post_count"] == 4

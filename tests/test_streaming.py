@@ -66,3 +66,33 @@ def test_merge_stream_is_idempotent_from_scratch(spark, landing):
     lake = spark.read.schema(ENRICHED).parquet(out)
     assert lake.count() == 5 and lake.select("id").distinct().count() == 5
     assert lake.agg(F.sum("engagement_total")).first()[0] == 161736
+
+
+def test_posts_without_id_or_time_are_landed(spark, landing):
+    from tidemark.streaming import land_stream
+
+    odd = [
+        {"id": "t1", "created_at": "whenever", "text": "no time"},
+        {"id": None, "created_at": "2026-01-15T08:00:00.000Z", "text": "null id"},
+        {"created_at": "2026-01-15T08:00:00.000Z", "text": "no id"},
+        {"created_at": "2026-01-15T08:00:00.000Z", "text": "no id either"},
+        {"created_at": "2026-01-15T08:00:00.000Z", "text": "no id either"},
+    ]
+    land(landing / "in", "b", odd)
+    for _ in range(2):
+        land_stream(enrich_stream(stream_raw(spark, str(landing / "in"))), str(landing / "out"), str(landing / "state"))
+    posts = spark.read.schema(ENRICHED).parquet(str(landing / "out" / "posts"))
+    assert sorted(r["text"] for r in posts.filter("id in ('', 'None')").collect()) == ["no id", "no id either", "null id"]
+    assert posts.count() == 6
+    rest = spark.read.schema(ENRICHED).parquet(str(landing / "out" / "untimed"))
+    assert [r["text"] for r in rest.collect()] == ["no time"]
+
+
+@pytest.mark.parametrize("fmt", ["json", "search"])
+def test_array_files_stream(spark, tmp_path, fmt):
+    (tmp_path / "in").mkdir()
+    body = SAMPLE_POSTS if fmt == "json" else {"data": SAMPLE_POSTS}
+    (tmp_path / "in" / "a.json").write_text(json.dumps(body))
+    posts = enrich_stream(stream_raw(spark, str(tmp_path / "in"), fmt))
+    run_available(posts.drop("created_ts"), str(tmp_path / "out"), str(tmp_path / "state"))
+    assert spark.read.schema(ENRICHED).parquet(str(tmp_path / "out")).agg(F.sum("like_count")).first()[0] == 135920

@@ -37,10 +37,14 @@ def put_balance(writes: DataFrame) -> DataFrame:
     )
 
 
-def distinct_bounds(lake: DataFrame, source: DataFrame) -> DataFrame:
-    """Rows, distinct ids, source ids and ids the source lacks, one row."""
+def distinct_bounds(lake: DataFrame, source: DataFrame, copies: str | None = None) -> DataFrame:
+    """Rows, distinct ids, source ids and ids the source lacks, one row.
+
+    ``copies`` names a column that says how often the lake holds a row, if rows stand for several.
+    """
     unknown = missing_from(source, lake.select("id").distinct()).agg(F.count(F.lit(1))).scalar()
-    totals = lake.agg(F.count(F.lit(1)).alias("rows_in_lake"), F.count_distinct("id").alias("distinct_posts"))
+    rows = F.coalesce(F.sum(copies), F.lit(0)).cast("bigint") if copies else F.count(F.lit(1))
+    totals = lake.agg(rows.alias("rows_in_lake"), F.count_distinct("id").alias("distinct_posts"))
     return totals.withColumns(
         {"source_posts": source.agg(F.count_distinct("id")).scalar(), "unknown_posts": unknown}
     ).withColumn(

@@ -45,19 +45,24 @@ def daily_summary(enriched: DataFrame) -> DataFrame:
 
 
 def scorer_agreement(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Label matrix of two scorers: for each left label, counts by right label and the mean gap."""
+    """Label matrix of two scorers that wrote to different lakes, joined by ``key``.
+
+    Where both scores can be had from one row, ``agreement_matrix`` needs no join.
+    """
     a = left.select(key, F.col("sentiment_label").alias("label_a"), F.col("sentiment_score").alias("a"))
     b = right.select(key, F.col("sentiment_label").alias("label_b"), F.col("sentiment_score").alias("b"))
+    return agreement_matrix(a.join(b, key))
+
+
+def agreement_matrix(pairs: DataFrame) -> DataFrame:
+    """For each ``label_a``: counts by ``label_b``, disagreements, sum and mean of the gaps of ``a`` and ``b``."""
     gap = F.abs(score_units(F.col("a")) - score_units(F.col("b")))
     other = F.col("label_b")
-    return (
-        a.join(b, key)
-        .groupBy("label_a")
-        .agg(
-            F.count_if(other == "negative").alias("negative"),
-            F.count_if(other == "neutral").alias("neutral"),
-            F.count_if(other == "positive").alias("positive"),
-            F.count_if(other != F.col("label_a")).alias("disagreements"),
-            F.sum(gap).alias("gap_sum_e4"),
-        )
+    return pairs.groupBy("label_a").agg(
+        F.count_if(other == "negative").alias("negative"),
+        F.count_if(other == "neutral").alias("neutral"),
+        F.count_if(other == "positive").alias("positive"),
+        F.count_if(other != F.col("label_a")).alias("disagreements"),
+        F.sum(gap).alias("gap_sum_e4"),
+        mean_score(F.sum(gap), F.count(F.lit(1))).alias("mean_gap"),
     )

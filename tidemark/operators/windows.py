@@ -178,6 +178,12 @@ def duplication_factor(posts: DataFrame, runs: DataFrame, closed: str = "left")
     )
 
 
+def window_copies(posts: DataFrame, runs: DataFrame, closed: str = "left") -> DataFrame:
+    """Posts that some window holds, with ``copies``: how many windows do. Nothing is copied."""
+    slots = run_slots(whole_days(runs)).groupBy("slot_date").agg(F.count(F.lit(1)).alias("copies"))
+    return posts.withColumn("slot_date", slot_date(F.col("created_ts"), closed)).join(slots, "slot_date").drop("slot_date")
+
+
 def sliding_counts(posts: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Posts per sliding window of ``lookback_days`` advancing daily, ``[start, end)``."""
     span = F.window("created_ts", f"{lookback_days} days", "1 day")

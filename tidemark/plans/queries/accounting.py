@@ -177,7 +177,7 @@ def q_lake_never_shrinks(spark, sf):
 , flow AS (SELECT dataset, sum(rows) AS written FROM writes GROUP BY dataset),
 live AS (SELECT dataset, sum(rows) AS standing FROM objects GROUP BY dataset)
 SELECT dataset, CAST(standing AS BIGINT) AS standing_rows, CAST(written AS BIGINT) AS written_rows,
-       CAST(written - standing AS BIGINT) AS overwritten_rows, true AS balanced
+       CAST(written - standing AS BIGINT) AS overwritten_rows, standing = written - (written - standing) AS balanced
 FROM flow JOIN live USING (dataset)"""),
 )
 def q_rows_balance(spark, sf):
@@ -198,12 +198,13 @@ def q_put_balance(spark, sf):
     "distinct_bounds",
     v.with_ctes(v.SQL_FACTS, v.SQL_RUNS, body="""
 SELECT count(*) AS rows_in_lake, count(DISTINCT id) AS distinct_posts, (SELECT count(*) FROM events) AS source_posts,
-       CAST(0 AS BIGINT) AS unknown_posts, true AS sound
+       count(*) FILTER (id NOT IN (SELECT CAST(event_id AS VARCHAR) FROM events)) AS unknown_posts,
+       count(DISTINCT id) <= count(*) AND count(DISTINCT id) <= (SELECT count(*) FROM events) AS sound
 FROM runs JOIN facts ON created_ts >= window_start AND created_ts < window_end"""),
 )
 def q_distinct_bounds(spark, sf):
-    lake = win.replay(v.instants(spark, sf), v.runs(spark, sf)).select("id")
-    return audit.distinct_bounds(lake, v.instants(spark, sf))
+    lake = win.window_copies(v.instants(spark, sf), v.runs(spark, sf))
+    return audit.distinct_bounds(lake, v.instants(spark, sf), "copies")
 
 
 @query(
@@ -211,14 +212,16 @@ def q_distinct_bounds(spark, sf):
     v.with_ctes(v.SQL_FACTS, v.SQL_RUNS, v.SQL_ATTEMPTS, v.SQL_STATES, body="""
 SELECT id, created_at FROM facts
 WHERE created_ts < (SELECT max(window_end) FROM states WHERE state = 'success')
-  AND id NOT IN (SELECT id FROM runs JOIN facts ON created_ts >= window_start AND created_ts < window_end
-                 WHERE run IN (SELECT run FROM attempts WHERE task = 'load'))"""),
+  AND (like_count % 10 = 3 OR id NOT IN (SELECT id FROM runs JOIN facts ON created_ts >= window_start AND created_ts < window_end
+                 WHERE run IN (SELECT run FROM attempts WHERE task = 'load')))"""),
 )
 def q_lost_posts(spark, sf):
     book = v.RunBook(spark, sf)
     good = att.last_good_run(book.states).select("window_end").scalar()
-    source = v.facts(spark, sf).select("id", "created_at", "created_ts")
-    return audit.lost_posts(stored_posts(source, book), source, good).drop("created_ts")
+    source = v.facts(spark, sf).select("id", "created_at", "created_ts", "like_count")
+    # A tenth of the posts never reached this lake.
+    lake = stored_posts(source.filter(F.col("like_count") % 10 != 3), book)
+    return audit.lost_posts(lake, source, good).select("id", "created_at")
 
 
 @query(

@@ -16,14 +16,15 @@ from tidemark.operators.enrich import (
     engagement_total,
     enrich,
     label_scored,
+    sentiment_label,
 )
 from tidemark.operators.normalize import normalize
 from tidemark.operators.parity import field_diff, multiset_diff
 from tidemark.operators.summary import (
+    agreement_matrix,
     daily_summary,
     mean_score,
     score_units,
-    scorer_agreement,
     summary_totals,
 )
 from tidemark.plans import views as v
@@ -320,12 +321,18 @@ pairs AS (
   FROM facts f JOIN net a USING (doc_id) LEFT JOIN built b USING (doc_id))
 SELECT label_a, count(*) FILTER (label_b = 'negative') AS negative, count(*) FILTER (label_b = 'neutral') AS neutral,
        count(*) FILTER (label_b = 'positive') AS positive, count(*) FILTER (label_a <> label_b) AS disagreements,
-       CAST(sum(gap) AS BIGINT) AS gap_sum_e4
+       CAST(sum(gap) AS BIGINT) AS gap_sum_e4, CAST(round(sum(gap) / 10000.0 / count(*), 4) AS DOUBLE) AS mean_gap
 FROM pairs GROUP BY label_a"""),
 )
 def q_scorer_agreement(spark, sf):
-    built_in = column_scorer("lexicon", "28-words", lex.lexicon_score)
-    return scorer_agreement(scored_posts(spark, sf), scored_posts(spark, sf, built_in), "id")
+    """Both scorers read a text once; the posts then take the pair of scores."""
+    scores = v.texts(spark, sf).select(
+        "doc_id",
+        round_half_even(lex.lexicon_score(F.col("text"), v.PLUS, v.MINUS)).alias("a"),
+        round_half_even(lex.lexicon_score(F.col("text"))).alias("b"),
+    )
+    pairs = v.facts(spark, sf).select("doc_id").join(scores, "doc_id")
+    return agreement_matrix(pairs.withColumns({"label_a": sentiment_label(F.col("a")), "label_b": sentiment_label(F.col("b"))}))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -338,6 +345,7 @@ def _shout_share(text: pd.Series) -> pd.Series:
     "model_scores",
     """
 SELECT doc_id, length(text) - length(replace(text, '!', '')) AS shouts,
+       CAST(round((length(text) - length(replace(text, '!', ''))) / greatest(length(text), 1), 4) AS DOUBLE) AS sentiment_score,
        CASE WHEN round((length(text) - length(replace(text, '!', ''))) / greatest(length(text), 1), 4) >= 0.05
             THEN 'positive' ELSE 'neutral' END AS sentiment_label,
        'shout-share' AS scorer, '1' AS scorer_version
@@ -351,7 +359,7 @@ def q_model_scores(spark, sf):
     empty = {c: zero for c in ("like_count", "retweet_count", "reply_count", "quote_count")}
     labelled = label_scored(scored.withColumns({**empty, "created_at": F.lit("")}), scorer)
     shouts = (F.length("text") - F.length(F.replace("text", F.lit("!"), F.lit("")))).cast("bigint")
-    return labelled.select("doc_id", shouts.alias("shouts"), "sentiment_label", "scorer", "scorer_version")
+    return labelled.select("doc_id", shouts.alias("shouts"), "sentiment_score", "sentiment_label", "scorer", "scorer_version")
 
 
 @query(
@@ -430,25 +438,34 @@ def q_first_posts(spark, sf):
     return v.facts(spark, sf).select("id", "created_at", "source").orderBy("created_at", "id").limit(50)
 
 
+# All stored columns but the score, whose digits the two engines spell differently.
+_STORED = [*v.POST_COLUMNS, "engagement_total", "sentiment_label", "event_day"]
+_STORED_SQL = "to_json({" + ", ".join(f"'{c}': {c}" for c in _STORED) + "})"
+_TEXT_POSTS = """
+full_posts AS (SELECT s.* EXCLUDE (doc_id), d.text FROM scored s JOIN documents d USING (doc_id))
+"""
+
+
+def _stored_json(spark: SparkSession, sf: str) -> DataFrame:
+    rows = enrich(v.posts(spark, sf).drop("created_ts"), FREQUENT)
+    return rows.select("id", "event_day", F.to_json(F.struct(*_STORED)).alias("row_json"))
+
+
 @query(
     "payload_bytes",
-    v.with_ctes(v.SQL_FACTS, body="""
-SELECT substr(created_at, 1, 10) AS event_day, count(*) AS post_count,
-       CAST(sum(strlen(to_json({'id': id, 'created_at': created_at, 'text': status, 'like_count': like_count, 'source': source}))) AS BIGINT) AS payload_bytes
-FROM facts GROUP BY 1"""),
+    v.with_ctes(v.SQL_FACTS, v.SQL_WORDS, v.SQL_LEXICON, v.SQL_NET, v.SQL_SCORED, _TEXT_POSTS, body=f"""
+SELECT event_day, count(*) AS post_count, CAST(sum(strlen({_STORED_SQL}::VARCHAR)) AS BIGINT) AS payload_bytes FROM full_posts GROUP BY 1"""),
 )
 def q_payload_bytes(spark, sf):
-    """Serialised size per day, as Spark spells JSON."""
-    row = F.to_json(F.struct("id", "created_at", F.col("status").alias("text"), "like_count", "source"))
-    return v.facts(spark, sf).groupBy(F.substring("created_at", 1, 10).alias("event_day")).agg(
-        F.count(F.lit(1)).alias("post_count"), F.sum(F.octet_length(row)).alias("payload_bytes")
+    """Serialised size of whole rows per day, as Spark spells JSON."""
+    return _stored_json(spark, sf).groupBy("event_day").agg(
+        F.count(F.lit(1)).alias("post_count"), F.sum(F.octet_length("row_json")).alias("payload_bytes")
     )
 
 
 @query(
     "row_json",
-    v.with_ctes(v.SQL_FACTS, body="""
-SELECT id, to_json({'id': id, 'created_at': created_at, 'like_count': like_count, 'source': source})::VARCHAR AS row_json FROM facts"""),
+    v.with_ctes(v.SQL_FACTS, v.SQL_WORDS, v.SQL_LEXICON, v.SQL_NET, v.SQL_SCORED, _TEXT_POSTS, body=f"SELECT id, md5({_STORED_SQL}::VARCHAR) AS row_md5 FROM full_posts"),
 )
 def q_row_json(spark, sf):
-    return v.facts(spark, sf).select("id", F.to_json(F.struct("id", "created_at", "like_count", "source")).alias("row_json"))
+    return _stored_json(spark, sf).select("id", F.md5("row_json").alias("row_md5"))

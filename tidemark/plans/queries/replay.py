@@ -329,7 +329,7 @@ def q_order_lines_coverage(spark, sf):
 SELECT DISTINCT id FROM runs JOIN facts ON created_ts >= window_start AND created_ts < window_end"""),
 )
 def q_distinct_ids(spark, sf):
-    return win.replay(v.instants(spark, sf), v.runs(spark, sf)).select("id").distinct()
+    return win.window_copies(v.instants(spark, sf), v.runs(spark, sf)).select("id").distinct()
 
 
 @query(
