@@ -35,6 +35,13 @@ from tidemark.sources.posts import cap_posts, read_posts
 FREQUENT = column_scorer("lexicon", "frequent", lambda t: lex.lexicon_score(t, v.PLUS, v.MINUS))
 
 
+def stored_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole posts with text, as the lake stores them. Each document is scored once, before posts join to it."""
+    scored = FREQUENT.apply(v.texts(spark, sf)).select("doc_id", "text", "raw_score")
+    posts = v.facts(spark, sf).join(scored, "doc_id").select(*v.POST_COLUMNS, "raw_score")
+    return label_scored(posts, FREQUENT)
+
+
 def scored_posts(spark: SparkSession, sf: str, scorer: Scorer = FREQUENT) -> DataFrame:
     """Labelled posts without text. Each document is scored once, before posts join to it."""
     scores = scorer.apply(v.texts(spark, sf)).select("doc_id", "raw_score")
@@ -447,8 +454,7 @@ full_posts AS (SELECT s.* EXCLUDE (doc_id), d.text FROM scored s JOIN documents
 
 
 def _stored_json(spark: SparkSession, sf: str) -> DataFrame:
-    rows = enrich(v.posts(spark, sf).drop("created_ts"), FREQUENT)
-    return rows.select("id", "event_day", F.to_json(F.struct(*_STORED)).alias("row_json"))
+    return stored_rows(spark, sf).select("id", "event_day", F.to_json(F.struct(*_STORED)).alias("row_json"))
 
 
 @query(

@@ -13,12 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import audit, cost
-from tidemark.operators.enrich import enrich
 from tidemark.operators.parity import name_collisions, schema_diff
 from tidemark.operators.summary import daily_summary
 from tidemark.plans import views as v
 from tidemark.plans.etl import run_etl
-from tidemark.plans.queries.enrichment import FREQUENT
+from tidemark.plans.queries.enrichment import FREQUENT, stored_rows
 from tidemark.plans.registry import query
 from tidemark.schema import ENRICHED, conform
 from tidemark.session import local_table, scratch_path
@@ -32,7 +31,7 @@ _LAKES: dict[tuple[str, str], str] = {}
 
 
 def enriched(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich(v.posts(spark, sf).drop("created_ts"), FREQUENT)
+    return stored_rows(spark, sf)
 
 
 def written_lake(spark: SparkSession, sf: str) -> str:

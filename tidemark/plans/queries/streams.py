@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.enrich import enrich
+from tidemark.operators.enrich import label_scored
 from tidemark.plans import views as v
 from tidemark.plans.queries.enrichment import FREQUENT
 from tidemark.plans.registry import query
@@ -24,17 +24,18 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = v.table(spark, sf, "events").schema
     # A file stream names a pattern; this one matches the events table only.
     events = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
-    docs = v.table(spark, sf, "documents").select("doc_id", "text")
-    return enrich(_posts(events, docs), FREQUENT)
+    docs = FREQUENT.apply(v.table(spark, sf, "documents")).select("doc_id", "text", "raw_score")
+    return label_scored(_posts(events, docs), FREQUENT)
 
 
 def _posts(events: DataFrame, docs: DataFrame) -> DataFrame:
-    """Posts of events, each with the text of its document (a stream joined to a table)."""
+    """Posts of events, each with the text and score of its document (a stream joined to a table)."""
     n_docs = docs.agg(F.count(F.lit(1))).first()[0]
     return events.withColumn("doc_id", F.col("event_id") % n_docs).join(docs, "doc_id").select(
         F.col("event_id").cast("string").alias("id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("created_at"),
         "text",
+        "raw_score",
         F.floor(F.col("value") * 100).cast("bigint").alias("like_count"),
         F.get_json_object("props", "$.k").cast("bigint").alias("retweet_count"),
         F.col("user_id").alias("reply_count"),
