@@ -52,8 +52,38 @@ def anchor_runs(w: np.ndarray, size: int, anchor: int) -> tuple[np.ndarray, np.n
     return grams[at[first]], first, np.diff(np.r_[first, windows])
 
 
+def _merged(first: np.ndarray, led: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs in order of place, with those that touch made one."""
+    if not len(first):
+        return first, led
+    new = np.flatnonzero(np.r_[True, first[1:] != first[:-1] + led[:-1]])
+    end = first + led
+    return first[new], end[np.r_[new[1:] - 1, len(first) - 1]] - first[new]
+
+
+def _split_runs(found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors with their runs packed as ``first << 16 | led``, and packed runs that need no other text.
+
+    An anchor that stands twice in the text recurs already: its runs are merged and set apart, and
+    it is told just twice, without a run. So a text that repeats itself stays small.
+    """
+    hashes, first, led = found
+    order = np.argsort(hashes, kind="stable")
+    same = hashes[order][1:] == hashes[order][:-1]
+    twice = np.zeros(len(hashes), bool)
+    twice[order] = np.r_[False, same] | np.r_[same, False]
+    own = _merged(first[twice], led[twice])
+    again = np.repeat(np.unique(hashes[twice]), 2)
+    packed = np.concatenate([first[~twice] << 16 | led[~twice], np.zeros(len(again), np.int64)])
+    # A merged run may be long; its parts keep to 15 bits.
+    parts = -(-own[1] // 0x7FFF)
+    begin = np.repeat(own[0], parts) + 0x7FFF * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+    length = np.minimum(np.repeat(own[0] + own[1], parts) - begin, 0x7FFF)
+    return np.concatenate([hashes[~twice], again]), packed, begin << 16 | length
+
+
 def anchors(docs: DataFrame, size: int, anchor: int) -> DataFrame:
-    """Per row: its key, a digest of its text, its number of windows, and its anchors."""
+    """Per row: its key, a digest of its text, its number of windows, its anchors with their runs, and own runs."""
 
     def run(batch: pa.RecordBatch):
         texts = column(batch, "text")
@@ -61,26 +91,26 @@ def anchors(docs: DataFrame, size: int, anchor: int) -> DataFrame:
             data, offsets = utf8(texts.slice(begin, end - begin))
             starts, ends, bounds = words(data, offsets)
             w = word_hashes(data, starts, ends)
-            found = [anchor_runs(w[a:b], size, anchor) for a, b in zip(bounds[:-1], bounds[1:])]
+            found = [_split_runs(anchor_runs(w[a:b], size, anchor)) for a, b in zip(bounds[:-1], bounds[1:])]
             lists = [
-                pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(f[i]) for f in found]), pa.int32()), pa.array(np.concatenate([f[i] for f in found]).astype(kind), t))
-                for i, kind, t in ((0, np.int64, pa.int64()), (1, np.int32, pa.int32()), (2, np.int32, pa.int32()))
+                pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(f[i]) for f in found]), pa.int32()), pa.array(np.concatenate([f[i] for f in found]).astype(np.int64)))
+                for i in range(3)
             ]
             counts = np.maximum(np.diff(bounds) - size + 1, 0)
             yield pa.RecordBatch.from_arrays(
                 [*(column(batch, c).slice(begin, end - begin) for c in (_KEY, "digest")), pa.array(counts, pa.int32()), *lists],
-                [_KEY, "digest", "windows", "anchors", "first", "led"],
+                [_KEY, "digest", "windows", "anchors", "runs", "own"],
             )
 
     keyed = docs.select(_KEY, F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"), "text")
-    return keyed.mapInArrow(map_rows(run), f"{_KEY} long, digest binary, windows int, anchors array<long>, first array<int>, led array<int>")
+    return keyed.mapInArrow(map_rows(run), f"{_KEY} long, digest binary, windows int, anchors array<long>, runs array<long>, own array<long>")
 
 
-def _spans(begins: list[int], counts: list[int]) -> np.ndarray:
-    """The windows of all runs, in order, each once."""
-    if not begins:
+def _spans(runs: list[int]) -> np.ndarray:
+    """The windows of all packed runs, in order, each once."""
+    if not runs:
         return np.zeros(0, np.int64)
-    return np.unique(np.concatenate([np.arange(b, b + n) for b, n in zip(begins, counts)]))
+    return np.unique(np.concatenate([np.arange(r >> 16, (r >> 16) + (r & 0xFFFF)) for r in runs]))
 
 
 def _distinct(one: np.ndarray, two: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes | None]]:
@@ -107,7 +137,7 @@ def candidate_windows(rows: DataFrame, size: int) -> DataFrame:
             starts, ends, bounds = words(data, offsets)
             w = word_hashes(data, starts, ends)
             one, two = gram_hashes(w, size, BASE_A), gram_hashes(w, size, BASE_B).astype(np.uint32)
-            spans = [_spans([r["first"] for r in rs], [r["led"] for r in rs]) for rs in runs.slice(begin, end - begin).to_pylist()]
+            spans = [_spans(rs) for rs in runs.slice(begin, end - begin).to_pylist()]
             kept = [_distinct(one[b:], two[b:], a) if len(a) else (a, a, []) for a, b in zip(spans, bounds[:-1])]
             place, count = (np.concatenate([k[i] for k in kept]) for i in (0, 1))
             each = [len(k[0]) for k in kept]
@@ -198,8 +228,9 @@ def dedup(docs: DataFrame, size: int = WINDOW, anchor: int = ANCHOR, kept: str =
     copies = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(_KEY).alias("speaker")).where("n > 1").select("digest", "speaker")
     roles = found.select(_KEY, "digest").join(copies, "digest").groupBy(_KEY).agg(F.max(F.col("speaker") == F.col(_KEY)).alias("speaks"))
     recurring = found.select(F.explode("anchors").alias("anchor")).groupBy("anchor").count().where("count > 1").select("anchor")
-    runs = found.select(_KEY, F.explode(F.arrays_zip(F.col("anchors").alias("anchor"), F.col("first").alias("first"), F.col("led").alias("led"))).alias("r")).select(_KEY, "r.*")
-    wanted = runs.join(recurring, "anchor", "left_semi").groupBy(_KEY).agg(F.collect_set(F.struct("first", "led")).alias("runs"))
+    runs = found.select(_KEY, F.explode(F.arrays_zip(F.col("anchors").alias("anchor"), F.col("runs").alias("run"))).alias("r")).select(_KEY, "r.*").where("run > 0")
+    shared = runs.join(recurring, "anchor", "left_semi").select(_KEY, "run")
+    wanted = shared.union(found.select(_KEY, F.explode("own"))).groupBy(_KEY).agg(F.collect_set("run").alias("runs"))
     # One of several copies speaks for all of them, with weight two; the others keep silent.
     wanted = wanted.join(roles, _KEY, "left").where(F.coalesce("speaks", F.lit(True))).select(_KEY, "runs", F.when(F.col("speaks"), 2).otherwise(1).alias("weight"))
     dealt = keyed.repartition(_KEY)
