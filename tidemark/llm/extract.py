@@ -312,8 +312,10 @@ def semantic_labels(page: list[Block]) -> np.ndarray | None:
 
 def fit(pages: DataFrame, sample: int = SAMPLE, made: int = MADE, seed: int = 11) -> Labeller:
     """Train on a bounded sample of ``pages`` and on made pages."""
-    chosen = pages.where("html is not null and length(html) < 200000").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).select("html")
-    real = [blocks(r["html"]) for r in chosen.collect()]
+    # Ids are drawn first: what each task offers for the sample is ids, not pages.
+    drawn = pages.where("page_id is not null").select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+    chosen = pages.join(F.broadcast(drawn), "page_id").where("length(html) < 200000").dropDuplicates(["page_id"]).select("html")
+    real = [blocks(r["html"]) for r in sorted(chosen.collect())]
     words = sorted({w for page in real for b in page for w in b.text.split()[:200]})[:20_000] or ["text"]
     data = [(vectors(p), y) for p in real if p and (y := semantic_labels(p)) is not None]
     rng = random.Random(seed)
