@@ -149,7 +149,9 @@ def best_cosines(codes: Codes, k: int):
 
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5, **options) -> DataFrame:
     rows = usable(vectors).where("exists(embedding, x -> x <> 0)")
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "embedding").limit(SAMPLE).select("embedding").toPandas()["embedding"]
+    # Ids are drawn first: what each task offers for the sample is ids, not vectors.
+    drawn = rows.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE)
+    sample = rows.join(F.broadcast(drawn), "vec_id").groupBy("vec_id").agg(F.min("embedding").alias("embedding")).orderBy("vec_id").toPandas()["embedding"]
     codes = fit(np.stack(sample.to_numpy()) if len(sample) else np.zeros((0, 0)), k=k, **options)
     return search(rows, every, k, "double", best_cosines(codes, k))
 
