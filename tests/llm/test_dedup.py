@@ -163,6 +163,18 @@ def test_frequent_shingles_are_counted_exactly(spark):
     assert all(abs(w - (1 + math.log(301 / 101))) < 1e-12 for w in weights.idf)
 
 
+def test_rare_shingles_have_frequencies_of_their_own(spark):
+    """A passage in 4 % of the documents weighs less than text found once."""
+    rng = random.Random(4)
+    line = prose(rng, 30)
+    docs = spark.createDataFrame([(i, (line + " ") * (i % 25 == 0) + prose(rng, 12)) for i in range(500)], "doc_id long, text string").repartition(5)
+    import math
+
+    weights = near_dedup.fit_weights(docs)
+    assert len(weights.shingle) == 26 and abs(weights.common - (1 + math.log(501 / 2))) < 1e-12
+    assert all(abs(w - (1 + math.log(501 / 21))) < 1e-12 for w in weights.idf)
+
+
 def test_samples_agree_as_often_as_sets_overlap():
     import numpy as np
 

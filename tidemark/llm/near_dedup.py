@@ -5,10 +5,10 @@ times its inverse document frequency. Two texts are linked if their weighted Jac
 the sum of smaller weights over the sum of larger ones, reaches ``SIMILARITY``; classes are the
 connected components. Texts are compared word by word, unchanged.
 
-*Frequencies* count all documents. ``1 + ln((1 + N) / (1 + max(df, share * N)))``: below ``share`` of
-the documents all shingles weigh the same, so only frequent ones need a count of their own, and of
-those there are at most ``shingles per document / share``, whatever N. They are found exactly, in
-two passes: candidates by lossy counting in each task, then their true counts.
+*Frequencies* count all documents, for every shingle: ``1 + ln((1 + N) / (1 + df))``. Distinct texts
+are cut into chunks of ``CHUNK_BYTES``; a chunk sends its distinct shingles, sorted and cut into hash
+ranges, to be summed by range, and gets back those that stand in more than one document. So a shingle
+meets others once per chunk, however many texts hold it, and no task holds more than a few ranges.
 
 *Sketches*: improved consistent weighted sampling (Ioffe 2010) draws ``BANDS * ROWS`` samples; two
 texts agree in each with a probability equal to their similarity. *Bands* of ``ROWS`` samples put
@@ -45,8 +45,9 @@ from tidemark.session import settle
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 12, 3
-#: Shingles in less than this share of the documents all weigh the same.
-SHARE = 0.05
+#: Shingles in less than this share of the documents all weigh the same: none, each has its own count.
+SHARE = 0
+CHUNK_BYTES = 4 << 20
 LEAST_AGREEMENT = 0.55
 #: Texts of each bucket, drawn at random, that its members are compared with beside the fullest.
 RANDOM_FIRSTS = 2
@@ -70,83 +71,100 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h[at], np.diff(np.r_[at, len(h)]), np.searchsorted(at, of)
 
 
-def _frequent_here(share: float):
-    """Lossy counting in a task: shingles that may be in ``share / 2`` of its documents."""
-    width = int(np.ceil(4 / share))
+def chunks(keyed: DataFrame) -> DataFrame:
+    """Each text once (digest, its smallest doc_id, copies, text), with the chunk it belongs to."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, count, slack, seen = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
-        for batch in batches:
-            texts = column(batch, "text")
-            for begin, end in slices(texts):
-                h, _, _ = shingles(texts.slice(begin, end - begin))
-                new, n = np.unique(h, return_counts=True)
-                both = np.concatenate([kept, new])
-                order = np.argsort(both, kind="stable")
-                both = both[order]
-                first = np.flatnonzero(np.r_[True, both[1:] != both[:-1]]) if len(both) else np.zeros(0, np.int64)
-                old = np.concatenate([np.ones(len(kept), bool), np.zeros(len(new), bool)])[order]
-                if len(first):
-                    total = np.add.reduceat(np.concatenate([count, n])[order], first)
-                    missed = np.where(old[first], np.concatenate([slack, np.zeros(len(new), np.int64)])[order][first], seen // width)
-                    seen += end - begin
-                    stay = total + missed > seen // width
-                    kept, count, slack = both[first][stay], total[stay], missed[stay]
-                else:
-                    seen += end - begin
-        often = count >= share / 4 * seen
-        yield pa.RecordBatch.from_arrays([pa.array(kept[often].view(np.int64)), pa.array(count[often])], ["shingle", "n"])
+    def tag(batch: pa.RecordBatch):
+        texts, digests = column(batch, "text"), column(batch, "digest")
+        name = np.empty(batch.num_rows, object)
+        for begin, end in slices(texts, CHUNK_BYTES):
+            name[begin:end] = digests[begin].as_py()
+        yield pa.RecordBatch.from_arrays([pa.array(name, pa.binary()), *batch.columns], ["chunk", *batch.schema.names])
 
-    return run
+    each = keyed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("text").alias("text"))
+    return each.mapInArrow(map_rows(tag), "chunk binary, digest binary, doc_id long, copies long, text string")
 
 
-def _counted(candidates):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = candidates.value
-        count = np.zeros(len(wanted) + 1, np.int64)
-        for batch in batches:
-            texts = column(batch, "text")
-            for begin, end in slices(texts):
-                h, _, _ = shingles(texts.slice(begin, end - begin))
-                at = np.searchsorted(wanted, h)
-                at[at == len(wanted)] = 0
-                count += np.bincount(at[wanted[at] == h], minlength=len(count))
-        some = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array(wanted[some].view(np.int64)), pa.array(count[some])], ["shingle", "n"])
+def _summed(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, sorted, and the sums of their counts."""
+    order = np.argsort(h, kind="stable")
+    h = h[order]
+    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
+    return h[first], np.add.reduceat(n[order], first) if len(h) else np.zeros(0, np.int64)
+
+
+_RANGED = "chunk binary, range int, shingles binary, n binary"
+
+
+def _by_range(ranges: int):
+    def run(batch: pa.RecordBatch):
+        texts, names = column(batch, "text"), column(batch, "chunk").to_pylist()
+        copies = column(batch, "copies").to_numpy(zero_copy_only=False)
+        cuts = [i for i in range(len(names)) if i == 0 or names[i] != names[i - 1]] + [len(names)]
+        for begin, end in zip(cuts, cuts[1:]):
+            h, _, offsets = shingles(texts.slice(begin, end - begin))
+            h, n = _summed(h, np.repeat(copies[begin:end], np.diff(offsets)))
+            at = np.searchsorted((h >> U64(32)) * U64(ranges) >> U64(32), np.arange(ranges + 1, dtype=U64))
+            full = np.flatnonzero(at[:-1] < at[1:])
+            parts = [slice(at[r], at[r + 1]) for r in full]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([names[begin]] * len(full), pa.binary()), pa.array(full, pa.int32()),
+                    pa.array([h[x].tobytes() for x in parts], pa.binary()), pa.array([n[x].tobytes() for x in parts], pa.binary()),
+                ],
+                ["chunk", "range", "shingles", "n"],
+            )
 
     return run
 
 
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each chunk, its shingles of the range that stand in more than one document, with their counts."""
+    held: dict[int, list] = {}
+    for batch in batches:
+        for chunk, r, h, n in zip(*(c.to_pylist() for c in batch.columns)):
+            held.setdefault(r, []).append((chunk, np.frombuffer(h, U64), np.frombuffer(n, np.int64)))
+    while held:
+        r, parts = held.popitem()
+        h, n = _summed(np.concatenate([x[1] for x in parts]), np.concatenate([x[2] for x in parts]))
+        h, n = h[n > 1], n[n > 1]
+        out = []
+        for chunk, own, _ in parts:
+            at = np.searchsorted(h, own)
+            at[at == len(h)] = 0
+            at = at[h[at] == own] if len(h) else at[:0]
+            if len(at):
+                out.append((chunk, r, h[at].tobytes(), n[at].tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.binary(), pa.int32(), pa.binary(), pa.binary()))], ["chunk", "range", "shingles", "n"])
+
+
+def frequencies(chunked: DataFrame) -> DataFrame:
+    """(chunk, range, shingles, n): per chunk and hash range, what stands in more than one document, and in how many."""
+    ranges = int(chunked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = chunked.select("chunk", "copies", "text").mapInArrow(map_rows(_by_range(ranges)), _RANGED)
+    return sent.repartition(ranges, "range").mapInArrow(_repeated, _RANGED)
+
+
+def idf(n: np.ndarray, total: int) -> np.ndarray:
+    return 1 + np.log((1 + total) / (1 + n.astype(np.float64)))
+
+
 @dataclass(frozen=True)
 class Weights:
-    """Inverse document frequencies: one for most shingles, their own for frequent ones."""
+    """All inverse document frequencies in one place, for small tables: one for shingles of a single document."""
 
     common: float
     shingle: np.ndarray  # sorted
     idf: np.ndarray
 
-    def of(self, h: np.ndarray) -> np.ndarray:
-        out = np.full(len(h), self.common)
-        if len(self.shingle):
-            at = np.searchsorted(self.shingle, h)
-            at[at == len(self.shingle)] = 0
-            found = self.shingle[at] == h
-            out[found] = self.idf[at[found]]
-        return out
-
 
-def fit_weights(docs: DataFrame, share: float = SHARE) -> Weights:
+def fit_weights(docs: DataFrame) -> Weights:
+    rows = frequencies(chunks(_keyed(docs))).select("shingles", "n").collect()
     total = docs.count()
-    text = docs.select("text")
-    few = text.mapInArrow(_frequent_here(share), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= share / 4 * total)
-    candidates = np.sort(np.array([r["shingle"] for r in few.select("shingle").collect()], np.int64).view(U64))
-    weigh = lambda df: 1 + np.log((1 + total) / (1 + np.maximum(df, share * total)))
-    if not len(candidates):
-        return Weights(float(weigh(0)), candidates, np.zeros(0))
-    held = docs.sparkSession.sparkContext.broadcast(candidates)
-    rows = text.mapInArrow(_counted(held), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") > share * total).collect()
-    rows = sorted((r["shingle"] % (1 << 64), r["n"]) for r in rows)
-    return Weights(float(weigh(0)), np.array([s for s, _ in rows], U64), weigh(np.array([n for _, n in rows], np.float64)))
+    h = np.concatenate([np.frombuffer(r["shingles"], U64) for r in rows] or [np.zeros(0, U64)])
+    n = np.concatenate([np.frombuffer(r["n"], np.int64) for r in rows] or [np.zeros(0, np.int64)])
+    h, first = np.unique(h, return_index=True)
+    return Weights(float(idf(np.ones(1), total)[0]), h, idf(n[first], total))
 
 
 def _gamma_quantiles(n: int = 1 << 16) -> np.ndarray:
@@ -188,30 +206,52 @@ def samples(h: np.ndarray, weight: np.ndarray, offsets: np.ndarray) -> np.ndarra
     return out
 
 
-def sketches(docs: DataFrame, weights: Weights) -> DataFrame:
-    """digest, doc_id, bands and finer bands (64-bit keys), and the samples in 32 bits each."""
-    held = docs.sparkSession.sparkContext.broadcast(weights)
+_SKETCHED = "digest binary, doc_id long, copies long, bands array<long>, finer array<long>, samples binary, df binary"
 
-    def run(batch: pa.RecordBatch):
-        texts = column(batch, "text")
-        for begin, end in slices(texts):
-            h, tf, offsets = shingles(texts.slice(begin, end - begin))
-            got = samples(h, tf * held.value.of(h), offsets)
-            by_band = got.reshape(len(got), BANDS, ROWS)
-            bands = np.zeros((len(got), BANDS), U64)
-            for k in range(ROWS):
-                bands = mix(bands ^ by_band[:, :, k])
-            finer = mix(bands ^ mix(np.roll(by_band[:, :, 0], 1, axis=1) ^ mix(np.roll(by_band[:, :, 0], 2, axis=1))))
-            rows = np.flatnonzero(np.diff(offsets) > 0)
-            part = batch.slice(begin, end - begin).take(pa.array(rows))
-            lists = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x[rows].view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64()))
-            small = (got[rows] & U64(0xFFFFFFFF)).astype("<u4")
-            yield pa.RecordBatch.from_arrays(
-                [column(part, "digest"), column(part, "doc_id"), lists(bands), lists(finer), pa.array([x.tobytes() for x in small], pa.binary())],
-                ["digest", "doc_id", "bands", "finer", "samples"],
-            )
 
-    return docs.select("digest", "doc_id", "text").mapInArrow(map_rows(run), "digest binary, doc_id long, bands array<long>, finer array<long>, samples binary")
+def sketches(chunked: DataFrame, total: int) -> DataFrame:
+    """digest, doc_id, copies, bands and finer bands (64-bit keys), and the samples in 32 bits each.
+
+    Also ``df``, the document frequencies of the text's distinct shingles, in the order of ``shingles``.
+    """
+
+    def run(counts: pa.Table, rows: pa.Table) -> pa.Table:
+        known = np.concatenate([np.frombuffer(x, U64) for x in counts["shingles"].to_pylist()] or [np.zeros(0, U64)])
+        often = np.concatenate([np.frombuffer(x, np.int64) for x in counts["n"].to_pylist()] or [np.zeros(0, np.int64)])
+        order = np.argsort(known)
+        known, often, out = known[order], often[order], []
+        for batch in rows.combine_chunks().to_batches():
+            texts = column(batch, "text")
+            for begin, end in slices(texts):
+                h, tf, offsets = shingles(texts.slice(begin, end - begin))
+                df = np.ones(len(h), np.int64)
+                if len(known):
+                    at = np.searchsorted(known, h)
+                    at[at == len(known)] = 0
+                    found = known[at] == h
+                    df[found] = often[at[found]]
+                got = samples(h, tf * idf(df, total), offsets)
+                by_band = got.reshape(len(got), BANDS, ROWS)
+                bands = np.zeros((len(got), BANDS), U64)
+                for k in range(ROWS):
+                    bands = mix(bands ^ by_band[:, :, k])
+                finer = mix(bands ^ mix(np.roll(by_band[:, :, 0], 1, axis=1) ^ mix(np.roll(by_band[:, :, 0], 2, axis=1))))
+                full = np.flatnonzero(np.diff(offsets) > 0)
+                part = batch.slice(begin, end - begin).take(pa.array(full))
+                lists = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x[full].view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64()))
+                small = (got[full] & U64(0xFFFFFFFF)).astype("<u4")
+                out.append(
+                    pa.RecordBatch.from_arrays(
+                        [
+                            column(part, "digest"), column(part, "doc_id"), column(part, "copies"), lists(bands), lists(finer),
+                            pa.array([x.tobytes() for x in small], pa.binary()), pa.array([df[offsets[i] : offsets[i + 1]].tobytes() for i in full], pa.binary()),
+                        ],
+                        ["digest", "doc_id", "copies", "bands", "finer", "samples", "df"],
+                    )
+                )
+        return pa.Table.from_batches(out)
+
+    return frequencies(chunked).groupBy("chunk").cogroup(chunked.groupBy("chunk")).applyInArrow(run, _SKETCHED)
 
 
 def candidates(distinct: DataFrame) -> DataFrame:
@@ -238,16 +278,15 @@ def candidates(distinct: DataFrame) -> DataFrame:
     return both.select("a", "b", "samples_a", "samples_b").mapInArrow(map_rows(agree), "a binary, b binary, agreement double").where(F.col("agreement") >= LEAST_AGREEMENT)
 
 
-def similarity(pairs: DataFrame, weights: Weights) -> DataFrame:
-    """Exact weighted Jaccard similarity of (a, text_a, b, text_b)."""
-    held = pairs.sparkSession.sparkContext.broadcast(weights)
+def similarity(pairs: DataFrame, total: int) -> DataFrame:
+    """Exact weighted Jaccard similarity of (a, text_a, df_a, b, text_b, df_b)."""
 
     def run(batch: pa.RecordBatch):
         texts = [column(batch, c) for c in ("text_a", "text_b")]
         for begin in range(0, batch.num_rows, 128):
             part = batch.slice(begin, 128)
             (ha, ca, oa), (hb, cb, ob) = (shingles(t.slice(begin, part.num_rows)) for t in texts)
-            wa, wb = held.value.of(ha), held.value.of(hb)
+            wa, wb = (idf(np.frombuffer(b"".join(column(part, c).to_pylist()), np.int64), total) for c in ("df_a", "df_b"))
             out = []
             for i in range(part.num_rows):
                 x, y = slice(oa[i], oa[i + 1]), slice(ob[i], ob[i + 1])
@@ -257,14 +296,20 @@ def similarity(pairs: DataFrame, weights: Weights) -> DataFrame:
                 out.append(shared / whole if whole else 0.0)
             yield pa.RecordBatch.from_arrays([column(part, "a"), column(part, "b"), pa.array(out, pa.float64())], ["a", "b", "similarity"])
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(map_rows(run), "a binary, b binary, similarity double")
+    return pairs.select("a", "b", "text_a", "text_b", "df_a", "df_b").mapInArrow(map_rows(run), "a binary, b binary, similarity double")
 
 
-def links(pairs: DataFrame, texts: DataFrame, weights: Weights, least: float) -> DataFrame:
-    side = lambda name: texts.select(F.col("digest").alias(name), F.col("text").alias(f"text_{name}"))
+def links(pairs: DataFrame, texts: DataFrame, total: int, least: float) -> DataFrame:
+    side = lambda name: texts.select(F.col("digest").alias(name), F.col("text").alias(f"text_{name}"), F.col("df").alias(f"df_{name}"))
     fetched = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
     # The exact similarity may come out a rounding error below.
-    return similarity(fetched, weights).where(F.col("similarity") >= least - 1e-9).select("a", "b")
+    return similarity(fetched, total).where(F.col("similarity") >= least - 1e-9).select("a", "b")
+
+
+def _texts(pairs: DataFrame, chunked: DataFrame, distinct: DataFrame) -> DataFrame:
+    """The texts of ``pairs`` and their frequencies."""
+    ends = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
+    return chunked.select("digest", "text").join(distinct.select("digest", "df").join(ends, "digest", "left_semi"), "digest")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -278,26 +323,20 @@ def text_classes(keyed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     digest of the text that speaks for the class: the one of that smallest doc_id.
     """
     keyed = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "digest")
-    weights = fit_weights(keyed)
-    made = settle(sketches(keyed, weights), "dedup-sketches")
-    distinct = settle(
-        made.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("finer").alias("finer"), F.first("samples").alias("samples")),
-        "dedup-distinct",
-    )
+    chunked = settle(chunks(keyed), "dedup-chunks")
+    total = chunked.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    distinct = settle(sketches(chunked, total), "dedup-sketches")
     pairs = settle(candidates(distinct), "dedup-pairs")
-    ends = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
-    # One text of each set of copies, for those that have a candidate.
-    named = distinct.join(ends, "digest", "left_semi").select("digest", "doc_id")
-    texts = settle(keyed.join(named.select("digest", F.col("doc_id").alias("speaker")), "digest").where("doc_id <=> speaker").select("digest", "text").dropDuplicates(["digest"]), "dedup-texts")
+    texts = settle(_texts(pairs, chunked, distinct), "dedup-texts")
     # Each text's best candidate first: most classes are whole after that.
     best = pairs.select("a", "b", "agreement", F.col("a").alias("x")).union(pairs.select("a", "b", "agreement", "b"))
     best = best.groupBy("x").agg(F.max_by(F.struct("a", "b"), F.struct("agreement", "b", "a")).alias("p")).select("p.a", "p.b").distinct()
-    found = settle(links(best, texts, weights, least), "dedup-links")
+    found = settle(links(best, texts, total, least), "dedup-links")
     roots = components(found)
     root = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
     open_ = pairs.join(best, ["a", "b"], "left_anti").join(root("a"), "a", "left").join(root("b"), "b", "left")
     open_ = open_.where(~F.coalesce("root_a", "a").eqNullSafe(F.coalesce("root_b", "b"))).select("a", "b")
-    found = settle(found.union(links(open_, texts, weights, least)), "dedup-links")
+    found = settle(found.union(links(open_, texts, total, least)), "dedup-links")
     roots = components(found)
     degree = found.select(F.col("a").alias("digest")).union(found.select("b")).groupBy("digest").agg(F.count("*").alias("n_links"))
     named = distinct.select("digest", "doc_id", "copies").join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("class_key", F.coalesce("root", "digest"))
