@@ -135,6 +135,21 @@ def test_classes_against_brute_force(spark):
     assert all(r["class_size"] == len(found[r["class_id"]]) for r in got)
 
 
+def test_near_copies_within_a_half_alike_family(spark):
+    """Texts on one template share most buckets; the near copies among them are found all the same."""
+    rng = random.Random(6)
+    template, rows = prose(rng, 1000), []
+    for _ in range(1500):
+        rows.append(f"{template} {prose(rng, 18)}")
+    for i in range(0, 600, 10):
+        rows.append(" ".join([*rows[i].split()[:1003], prose(rng, 15)]))
+    got = near_dedup.classes(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
+    found = defaultdict(set)
+    for r in got:
+        found[r["class_id"]].add(r["doc_id"])
+    assert sorted(sorted(v) for v in found.values() if len(v) > 1) == [[10 * k, 1500 + k] for k in range(60)]
+
+
 def test_one_stays_of_each_class(spark):
     rows = near_copies()
     docs = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string")
