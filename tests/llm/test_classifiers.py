@@ -36,6 +36,17 @@ def test_language_odd_rows(spark):
     assert language.predict(empty_documents(spark), model).count() == 0
 
 
+def test_language_unlearned_is_rejected(spark):
+    docs = corpus(spark, 1200)
+    model = language.fit_documents(docs)
+    rng = random.Random(12)
+    strange = [prose(rng, 40, "абвгдежзик") for _ in range(20)] + [prose(rng, 40, "abcdefghijklmnopqrstuvwxyz") for _ in range(20)]
+    got = language.predict(spark.createDataFrame([(t,) for t in strange], "text string"), model).collect()
+    assert all(r["lang_rejected"] for r in got)
+    held = language.predict(docs.where(language.held_out()), model).collect()
+    assert sum(r["lang_rejected"] for r in held) <= 0.01 * len(held)
+
+
 def test_language_nothing_to_learn(spark):
     model = language.fit_documents(empty_documents(spark))
     assert {r["lang_pred"] for r in language.predict(odd_documents(spark), model).collect()} == {"und"}

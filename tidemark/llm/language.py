@@ -5,9 +5,10 @@ blank; they are hashed to ``BUCKETS`` embeddings, averaged and passed to a softm
 trained by stochastic gradient descent in numpy. As both are linear up to the softmax, they are
 multiplied once and a document costs one table lookup per subword and language.
 
-Training is on a bounded sample: ``per_language`` labelled documents of each language by hash of
-the id. A fifth of it is held back to fit the temperature and the rejection bound: the score below
-which only ``reject_share`` of the rightly labelled held-back documents fall.
+The sample is bounded: ``per_language + held_back`` labelled documents of each language by hash of
+the id. Training takes four fifths of ``per_language`` for each language at most and leaves a fifth of
+the sample at least; the rest fits the temperature and the rejection bound: the score below which
+only ``reject_share`` of the rightly labelled held-back documents fall. Nothing else moves the bound.
 
 Null texts and texts without a letter get ``und``, score 0. Empty input gives no rows; repeated
 rows get a row each; other columns pass through ``predict`` untouched, one named like a column it
@@ -124,18 +125,18 @@ def _bags(batch: pa.RecordBatch):
         )
 
 
-def fit(labelled: DataFrame, per_language: int = 400, size: int = 16, epochs: int = 8, rate: float = 0.5, reject_share: float = 0.002, seed: int = 7) -> LanguageModel:
+def fit(labelled: DataFrame, per_language: int = 400, held_back: int = 1500, size: int = 16, epochs: int = 8, rate: float = 0.5, reject_share: float = 0.002, seed: int = 7) -> LanguageModel:
     """Learn from ``labelled`` (doc_id, text, lang).
 
-    The sample is ``per_language`` documents of each language in expectation, chosen by a hash of
-    id and text, so its size does not follow the input.
+    The sample is ``per_language + held_back`` documents of each language in expectation, chosen by a
+    hash of id and text, so its size does not follow the input.
     """
     labelled = labelled.where("text is not null and lang is not null")
     counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return LanguageModel((), np.zeros((0, BUCKETS + 1), np.float32), np.zeros(0), 1.0, 0.0)
     span = 1 << 30
-    bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(span, per_language * span // n))])
+    bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(span, (per_language + held_back) * span // n))])
     at = F.pmod(F.xxhash64("doc_id", "text"), F.lit(span))
     sample = labelled.where(at < bound[F.col("lang")]).select("text", "lang")
     rows = sample.mapInArrow(map_rows(_bags), "lang string, buckets binary, shares binary").collect()
@@ -145,7 +146,8 @@ def fit(labelled: DataFrame, per_language: int = 400, size: int = 16, epochs: in
     docs = [(np.frombuffer(b, np.uint16).astype(np.int64), np.frombuffer(s, np.float32), y) for b, s, y in docs]
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(docs))
-    check, train = order[: len(docs) // 5], order[len(docs) // 5 :]
+    back = max(len(docs) // 5, len(docs) - len(languages) * (per_language * 4 // 5))
+    check, train = order[:back], order[back:]
     embed = rng.normal(0, 0.1, (BUCKETS, size)).astype(np.float32)
     out, bias = rng.normal(0, 0.1, (size, len(languages))).astype(np.float32), np.zeros(len(languages), np.float32)
     steps, step = max(1, epochs * len(train)), 0
@@ -157,11 +159,11 @@ def fit(labelled: DataFrame, per_language: int = 400, size: int = 16, epochs: in
             hidden = share @ embed[bucket]
             p = _softmax(hidden @ out + bias)
             p[y] -= 1
-            back = out @ p
+            toward = out @ p
             out -= now * np.outer(hidden, p)
             bias -= now * 0.05 * p
             # Shares are small: the embedding layer takes a rate scaled to the subwords of a text.
-            embed[bucket] -= (now * 200.0) * share[:, None] * back
+            embed[bucket] -= (now * 200.0) * share[:, None] * toward
     logits = np.zeros((len(languages), BUCKETS + 1), np.float32)
     logits[:, :BUCKETS] = (embed @ out).T
     raw = np.array([logits[:, docs[i][0]] @ docs[i][1] + bias for i in check], np.float64).reshape(len(check), len(languages))
@@ -173,7 +175,6 @@ def fit(labelled: DataFrame, per_language: int = 400, size: int = 16, epochs: in
         best = _softmax(raw / heat)
         right = best.argmax(axis=1) == truth
         bound = float(np.quantile(best.max(axis=1)[right], reject_share)) if right.any() else 0.0
-        bound = min(bound, 2.0 / (len(languages) + 1))
     return LanguageModel(languages, logits, bias.astype(np.float64), heat, bound)
 
 
