@@ -13,12 +13,12 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = __spark_entry__.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(__spark_entry__.oracle_sql()) <= set(names)
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-@pytest.mark.parametrize("name", ["op2_exact_topk", "op10_chat_format"])
+@pytest.mark.parametrize("name", ["op2_exact_topk", "op10_chat_format", "op13_warc"])
 def test_against_sql(spark, name):
     from tests.oracle import duck, rows_of
 
