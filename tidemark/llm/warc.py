@@ -173,11 +173,12 @@ def _parse(piece: bytes) -> tuple:
     return length, head + 4, whole, _page(fields.get(b"warc-record-id", b"")), url, kind, _page(fields.get(b"warc-refers-to", b"")), stated, *found
 
 
-def pieces(spark: SparkSession, path: str) -> DataFrame:
+def pieces(spark: SparkSession, path: str, raw: bool) -> DataFrame:
     """Candidates of all files below ``path``, with what their header says and where they would end.
 
     ``place`` is the offset of the piece's magic from the first byte that its split read; ``size`` is
-    the bytes from there to the next magic.
+    the bytes from there to the next magic. Without ``raw`` the bytes of a piece are kept only where
+    it is no record by itself, or may belong to such a one before it in its split.
     """
     scan = spark.read.option("lineSep", CUT).text(path)
     scan = scan.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("value"))
@@ -188,13 +189,13 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), arrow)], schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, seq, place = None, 0, 0
+        at, seq, place, reach = None, 0, 0, 0
         for batch in batches:
             rows, held = [], 0
             for file, split, value in zip(*(column(batch, c) for c in ("file", "split", "value"))):
                 file, split, piece = file.as_py(), split.as_py(), value.as_py()
                 if (file, split) != at:
-                    at, seq, place = (file, split), 0, 0
+                    at, seq, place, reach = (file, split), 0, 0, 0
                 first = split == 0 and seq == 0
                 if first:
                     # No line break leads the first magic, so it is part of the piece.
@@ -203,7 +204,10 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
                     size = len(piece) + 1
                 else:
                     fields, size = _parse(piece), len(CUT) + len(piece)
-                rows.append((file, split, seq, place, size, *fields, piece[len(magic) :] if first else piece))
+                body = piece[len(magic) :] if first else piece
+                if fields[0] is not None and not fields[2]:
+                    reach = max(reach, place + fields[0])
+                rows.append((file, split, seq, place, size, *fields, body if raw or not fields[2] or place < reach else None))
                 seq, place, held = seq + 1, place + size, held + size
                 if held > SLICE_BYTES:
                     yield table_of(rows)
@@ -254,12 +258,17 @@ def _settled_reach(edges: DataFrame) -> DataFrame:
         jumps = settle(jumps.join(ahead, ["file", "exit"]).select("file", "offset", F.col("beyond").alias("exit")), "warc-jumps")
 
 
-def chain(cut: DataFrame) -> DataFrame:
-    """For each piece (file, split, seq): ``owner``, the offset of the record it belongs to, and ``own``,
-    whether that record begins with it. ``cut`` is the settled result of ``pieces``."""
+def _spans(cut: DataFrame) -> DataFrame:
+    """Per split (file, split) the bytes that it read and ``base``, the offset of the first."""
     order = Window.partitionBy("file").orderBy("split")
-    spans = cut.groupBy("file", "split").agg(F.sum("size").alias("bytes"))
-    spans = settle(spans.select("file", "split", "bytes", (F.sum("bytes").over(order) - F.col("bytes")).alias("base")), "warc-splits")
+    sizes = cut.groupBy("file", "split").agg(F.sum("size").alias("bytes"))
+    return settle(sizes.select("file", "split", "bytes", (F.sum("bytes").over(order) - F.col("bytes")).alias("base")), "warc-splits")
+
+
+def chain(cut: DataFrame) -> DataFrame:
+    """For each piece (file, split, seq) its ``offset``, ``owner``, the offset of the record it belongs
+    to, and ``own``, whether that record begins with it. ``cut`` is the settled result of ``pieces``."""
+    spans = _spans(cut)
     narrow = cut.select("file", "split", "seq", "place", "length").join(spans.select("file", "split", "base"), ["file", "split"])
 
     def in_order(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Table]:
@@ -300,13 +309,14 @@ def chain(cut: DataFrame) -> DataFrame:
             at = np.searchsorted(places, entry) if entry >= 0 else len(places)
         last = np.maximum.accumulate(np.where(on, np.arange(len(places)), -1))
         owner = pa.array(places[np.maximum(last, 0)], mask=last < 0)
-        return pa.table({"file": rows.column("file"), "split": rows.column("split"), "seq": rows.column("seq"), "owner": owner, "own": on})
+        return pa.table({"file": rows.column("file"), "split": rows.column("split"), "seq": rows.column("seq"), "offset": places, "owner": owner, "own": on})
 
-    owned = settle(_by_split(marked, follow, "file string, split long, seq int, owner long, own boolean"), "warc-owners")
+    owned = settle(_by_split(marked, follow, "file string, split long, seq int, offset long, owner long, own boolean"), "warc-owners")
     # What precedes the first record of a split belongs to the last record of the splits before.
     lasts = owned.groupBy("file", "split").agg(F.max("owner").alias("last"))
-    carried = lasts.select("file", "split", F.last("last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
-    return owned.join(carried, ["file", "split"]).select("file", "split", "seq", F.coalesce("owner", "carried").alias("owner"), "own")
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    carried = lasts.select("file", "split", F.last("last", ignorenulls=True).over(before).alias("carried"))
+    return owned.join(carried, ["file", "split"]).select("file", "split", "seq", "offset", F.coalesce("owner", "carried").alias("owner"), "own")
 
 
 def read(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
@@ -316,26 +326,27 @@ def read(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
     Size and digest of a response are those of the bytes read; a revisit states those of the payload
     it refers to. A response whose bytes do not match its stated digest raises an error.
     """
-    cut = settle(pieces(spark, path), "warc-pieces")
-    return _assemble(cut, payloads)
-
-
-def _assemble(cut: DataFrame, payloads: bool) -> DataFrame:
+    cut = settle(pieces(spark, path, payloads), "warc-pieces")
     owned = settle(chain(cut), "warc-chain")
     key = ["file", "split", "seq"]
     names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "stated_digest"]
-    own = owned.where("own").select(*key, "owner")
-    joined = own.join(cut.select(*key, "length", "head", "whole", *names, *(["raw"] if payloads else [])), key)
+    joined = owned.where("own").select(*key, "owner").join(cut.select(*key, "length", "head", "whole", *names, *(["raw"] if payloads else [])), key)
     block = F.expr("substring(raw, head + 1, int(length) - 12 - head)") if payloads else F.lit(None).cast("binary")
     whole = joined.where("whole").select(*names, block.alias("block"))
 
     # Records with magics in their payload: their pieces meet again, one record a group.
     split_up = joined.where("not whole").select("file", "owner", F.col("length").alias("record_length"), F.col("head").alias("record_head"), *names[:4], "stated_digest")
-    parts = owned.join(split_up.select("file", "owner", "record_length", "record_head", *names[:4], "stated_digest"), ["file", "owner"]).join(cut.select(*key, "raw"), key)
+    wanted = settle(owned.drop("own").join(split_up, ["file", "owner"]), "warc-wanted")
+    parts = wanted.join(cut.select(*key, "raw"), key)
+    if parts.where("raw is null").limit(1).count():
+        # A record goes on in a split that could not know it: its pieces are read again, by offset.
+        again = settle(pieces(spark, path, True), "warc-pieces")
+        found = again.join(_spans(again), ["file", "split"]).select("file", (F.col("base") + F.col("place")).alias("offset"), "raw")
+        parts = wanted.join(found, ["file", "offset"])
     schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, stated_digest string, block binary"
 
     def put_together(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("split", "ascending"), ("seq", "ascending")])
+        rows = rows.sort_by("offset")
         first = rows.slice(0, 1).to_pylist()[0]
         raw = CUT.encode().join(rows.column("raw").to_pylist())
         n = first["record_length"] - len(MAGIC) - len(END)
