@@ -81,11 +81,55 @@ def test_posts_without_id_or_time_are_landed(spark, landing):
     land(landing / "in", "b", odd)
     for _ in range(2):
         land_stream(enrich_stream(stream_raw(spark, str(landing / "in"))), str(landing / "out"), str(landing / "state"))
-    posts = spark.read.schema(ENRICHED).parquet(str(landing / "out" / "posts"))
+    landed = spark.read.parquet(str(landing / "out"))
+    posts = landed.filter("arrival = 'post'")
     assert sorted(r["text"] for r in posts.filter("id in ('', 'None')").collect()) == ["no id", "no id either", "null id"]
     assert posts.count() == 6
-    rest = spark.read.schema(ENRICHED).parquet(str(landing / "out" / "untimed"))
-    assert [r["text"] for r in rest.collect()] == ["no time"]
+    rest = {(r["arrival"], r["text"]) for r in landed.filter("arrival <> 'post'").collect()}
+    assert rest == {("untimed", "no time"), ("repeat", "no id either")} and landed.count() == 8
+
+
+def test_every_row_arrives_once_over_batches_and_restarts(spark, landing):
+    """Repeats, late rows, wild dates and untimed rows, a file a batch, with a start between any two files."""
+    from tidemark.streaming import land_stream
+
+    out, state = str(landing / "out"), str(landing / "state")
+
+    def post(ident, created_at):
+        return {"id": ident, "created_at": created_at, "text": f"{ident} at {created_at}"}
+
+    batches = [
+        [post("a", "2026-02-01T00:00:00.000Z"), post("n", "no date"), post("w", "9021-01-01T00:00:00.000Z")],
+        [post("b", "2026-02-02T00:00:00.000Z"), post("a", "2026-02-01T00:00:00.000Z"), post("n", "no date")],
+        [post("c", "2026-02-09T00:00:00.000Z"), post("b", "2026-02-02T00:00:00.000Z")],
+        [post("d", "2026-02-02T00:00:00.000Z"), post("e", "2026-02-06T00:00:00.000Z"), post("a", "2026-02-01T00:00:00.000Z"), post("n", "no date"), post("c", "2026-02-09T00:00:00.000Z")],
+        [post("n", "no date")],
+    ]
+    for i, rows in enumerate(batches):
+        land(landing / "in", f"f{i}", rows)
+        land_stream(enrich_stream(stream_raw(spark, str(landing / "in"), files_per_batch=1)), out, state, delay_days=4)
+    got = sorted((r["arrival"], r["id"]) for r in spark.read.parquet(out).filter("length(id) = 1").collect())
+    # ``n`` is forgotten four days of the stream after its first row; its next row counts as the first again.
+    want = [("post", x) for x in "abce"] + [("late", "a"), ("late", "d"), ("repeat", "a"), ("repeat", "b"), ("repeat", "c"), ("repeat", "n"), ("repeat", "n"), ("untimed", "n"), ("untimed", "n"), ("untimed", "w")]
+    assert sorted(x for x in got if x[1] != "n") == sorted(x for x in want if x[1] != "n")
+    assert sum(map(len, batches)) == len(got) and sum(x == ("untimed", "n") for x in got) <= 2
+
+
+def test_sliding_windows_as_a_stream(spark, landing):
+    from tidemark.operators.windows import sliding_counts
+    from tidemark.streaming import sliding_stream
+
+    out, state = str(landing / "out"), str(landing / "state")
+    days = [f"2026-01-{d:02d}T{h:02d}:30:00.000Z" for d in range(1, 20) for h in (0, 9)]
+    for i, some in enumerate((days[:15], days[15:16], days[16:])):
+        land(landing / "in", f"s{i}", [at(SAMPLE_POSTS[0], t, f"{i}-{k}") for k, t in enumerate(some)])
+        posts = enrich_stream(stream_raw(spark, str(landing / "in"), files_per_batch=1))
+        run_available(sliding_stream(posts, 7, "1 day"), out, state)
+    got = {(r["window_start"], r["window_end"], r["post_count"]) for r in spark.read.parquet(out).collect()}
+    batch = spark.createDataFrame([(t[:19],) for t in [p["created_at"] for p in SAMPLE_POSTS[:3]] + days], "t string").selectExpr("cast(t as timestamp_ntz) as created_ts")
+    want = {tuple(r) for r in sliding_counts(batch).collect()}
+    closed = {w for w in want if str(w[1]) <= "2026-01-18 09:30:00"}
+    assert got == closed and len(got) > 10
 
 
 @pytest.mark.parametrize("fmt", ["json", "search"])

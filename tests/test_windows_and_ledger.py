@@ -47,8 +47,31 @@ def test_replay_finds_windows_of_any_length_and_bounds(spark, stream):
             got.setdefault(r["run"], []).append(r["id"])
         want = {r: sorted(i for i, t in rows if inside(t, a, b, closed)) for r, a, b in spans}
         assert {k: sorted(x) for k, x in got.items()} == {k: x for k, x in want.items() if x}
-    with pytest.raises(Exception, match="midnight"):
-        win.run_extracts(posts, runs).collect()
+        counts = {r["run"]: (r["extracted"], r["distinct_extracted"]) for r in win.run_extracts(posts, runs, closed).collect()}
+        assert counts == {r: (len(x), len(set(x))) for r, x in want.items()}
+
+
+def test_counts_over_windows_at_any_instant(spark, stream):
+    """Edges at minutes, on posts' own instants, in one hour together; windows that nest, repeat or miss all posts."""
+    rows, posts = stream
+    rng = random.Random(8)
+    instants = sorted(t for _, t in rows)
+    minute = dt.timedelta(minutes=1)
+    spans = [(r, START + rng.randint(-500, 18_000) * minute, START + rng.randint(0, 18_000) * minute) for r in range(40)]
+    spans += [(40, instants[5], instants[50]), (41, instants[5], instants[50]), (42, instants[7], instants[7]), (43, START - 9 * DAY, START - 8 * DAY), (44, START + 300 * minute, START + 330 * minute)]
+    runs = spark.createDataFrame([(r, b, a, b) for r, a, b in spans], "run bigint, run_ts timestamp_ntz, window_start timestamp_ntz, window_end timestamp_ntz")
+    for closed in ("left", "right"):
+        want = {r: [i for i, t in rows if inside(t, a, b, closed)] for r, a, b in spans}
+        counts = {r["run"]: (r["extracted"], r["distinct_extracted"]) for r in win.run_extracts(posts, runs, closed).collect()}
+        assert counts == {r: (len(x), len(set(x))) for r, x in want.items()}
+        reached = [i for x in want.values() for i in x]
+        total = win.duplication_factor(posts, runs, closed).first()
+        assert (total["rows_in_lake"], total["distinct_posts"]) == (len(reached), len(set(reached)))
+        copies = sorted((r["id"], r["created_ts"], r["copies"]) for r in win.window_copies(posts, runs, closed).collect())
+        assert copies == sorted((i, t, n) for i, t in rows if (n := sum(inside(t, a, b, closed) for _, a, b in spans)))
+    none = runs.limit(0)
+    assert win.run_extracts(posts, none).collect() == [] and win.duplication_factor(posts, none).first()["rows_in_lake"] == 0
+    assert [r["extracted"] for r in win.run_extracts(posts.limit(0), runs.filter("run < 3")).collect()] == [0, 0, 0]
 
 
 def inside(t, start, end, closed):

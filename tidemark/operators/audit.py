@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import path_date
 from tidemark.operators.ledger import live_objects, missing_from, partition_rows
+from tidemark.operators.ordered import with_previous
 
 
 def rows_balance(writes: DataFrame) -> DataFrame:
@@ -55,12 +56,14 @@ def distinct_bounds(lake: DataFrame, source: DataFrame, copies: str | None = Non
     )
 
 
-def decreasing_steps(series: DataFrame, values: list[str], order: str = "run") -> DataFrame:
-    """Steps of a per-run series where some value fell. Empty for a lake that never shrinks."""
-    w = Window.orderBy(order)
-    back = series
-    for value in values:
-        back = back.withColumn(f"previous_{value}", F.lag(value).over(w))
+def decreasing_steps(series: DataFrame, values: list[str], order: str | list[str] = "run") -> DataFrame:
+    """Steps of a series where some value fell, with the values of the step before. Empty for a lake
+    that never shrinks.
+
+    A series may have a row per run or per post: it is compared range by range of ``order``, whose
+    last column has to be unique.
+    """
+    back = with_previous(series, [order] if isinstance(order, str) else order, values)
     fell = F.lit(False)
     for value in values:
         fell = fell | F.coalesce(F.col(value) < F.col(f"previous_{value}"), F.lit(False))

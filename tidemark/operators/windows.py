@@ -1,8 +1,10 @@
 """Run windows: schedules, overlapping replay, high-water marks.
 
 A *slot* is the first scheduled run instant at or after a post: every post falls in one slot, and a
-window is a contiguous range of slots. Posts are aggregated per slot first, so what meets the run
-table is one row per slot, not seven copies of every post.
+window is a contiguous range of slots. A *cell* is the stretch between two neighbouring window edges,
+at whatever instants those lie; a window is a range of cells, from the cell that its start opens to the
+one before its end. Posts are aggregated per slot or cell first, so what meets the run table is one
+row per cell, not seven copies of every post.
 """
 
 from __future__ import annotations
@@ -85,16 +87,51 @@ def run_slots(runs: DataFrame) -> DataFrame:
     )
 
 
-def whole_days(runs: DataFrame) -> DataFrame:
-    """``runs``, failing if a window does not begin and end at midnight.
+def _hour(instant: Column) -> Column:
+    """The number of an instant's hour."""
+    return F.datediff(instant.cast("date"), F.lit("1970-01-01").cast("date")) * 24 + F.hour(instant)
 
-    Counts per slot answer for whole slots only; ``replay`` takes any bounds.
+
+def edge_ranks(runs: DataFrame) -> DataFrame:
+    """For each hour from the first window edge to the last: ``hour``, how many edges come ``before`` it,
+    and its own ``edges``.
+
+    One row per hour of the schedule's span, so the table and its window grow with the calendar.
     """
-    on_midnight = lambda c: F.col(c) == F.col(c).cast("date").cast("timestamp_ntz")
-    checked = F.when(on_midnight("window_start") & on_midnight("window_end"), F.col("window_end")).otherwise(
-        F.raise_error(F.lit("windows counted by slot must begin and end at midnight")).cast("timestamp_ntz")
-    )
-    return runs.withColumn("window_end", checked)
+    edges = runs.filter(F.col("window_start") < F.col("window_end")).select(F.explode(F.array("window_start", "window_end")).alias("edge")).distinct()
+    held = edges.groupBy(_hour(F.col("edge")).alias("hour")).agg(F.collect_list("edge").alias("edges"))
+    span = held.agg(F.min("hour").alias("first"), F.max("hour").alias("last")).filter("first is not null")
+    hours = span.select(F.explode(F.sequence("first", "last")).alias("hour")).join(held, "hour", "left")
+    n = F.coalesce(F.size("edges"), F.lit(0))
+    earlier = Window.orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
+    return hours.select("hour", F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias("before"), F.coalesce("edges", F.array().cast("array<timestamp_ntz>")).alias("edges"))
+
+
+def with_cell(rows: DataFrame, instant: str, ranks: DataFrame, cell: str = "cell", closed: str = "left") -> DataFrame:
+    """Rows within the schedule's span, with the number of window edges up to their instant.
+
+    A post at an edge comes after it if windows hold their start (``left``), else before it.
+    """
+    passed = (lambda e: e <= F.col(instant)) if closed == "left" else (lambda e: e < F.col(instant))
+    dated = rows.withColumn("_hour", _hour(F.col(instant)))
+    joined = dated.join(ranks, F.col("_hour") == F.col("hour"))
+    return joined.withColumn(cell, F.col("before") + F.size(F.filter("edges", passed))).drop("_hour", "hour", "before", "edges")
+
+
+def run_cells(runs: DataFrame, ranks: DataFrame) -> DataFrame:
+    """``run, first_cell, end_cell``: a window holds the cells from the first to the one before the end."""
+    spans = runs.filter(F.col("window_start") < F.col("window_end"))
+    marked = with_cell(with_cell(spans, "window_start", ranks, "first_cell"), "window_end", ranks, "end_cell")
+    return marked.select("run", "first_cell", "end_cell")
+
+
+def cell_coverage(spans: DataFrame) -> DataFrame:
+    """``cell, windows`` for every cell that some window holds: a sweep over the edges, no window's cells are listed."""
+    steps = spans.select(F.explode(F.array(F.struct(F.col("first_cell").alias("cell"), F.lit(1).alias("step")), F.struct(F.col("end_cell").alias("cell"), F.lit(-1).alias("step")))).alias("s"))
+    by_cell = steps.groupBy("s.cell").agg(F.sum("s.step").alias("step"))
+    swept = by_cell.withColumn("windows", F.sum("step").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # Each edge opens a cell of its own, so no cell is skipped.
+    return swept.filter("windows > 0").select("cell", "windows")
 
 
 def slot_counts(posts: DataFrame, closed: str = "left") -> DataFrame:
@@ -108,30 +145,35 @@ def slot_counts(posts: DataFrame, closed: str = "left") -> DataFrame:
 def run_extracts(posts: DataFrame, runs: DataFrame, closed: str = "left") -> DataFrame:
     """``run, extracted, distinct_extracted`` without copying posts into every window.
 
-    An id with several slots is counted once per window: at its first slot inside it. So ids are
-    reduced to counts by (slot, previous slot of the same id), a table bounded by the calendar, and
-    a window takes the entries whose previous slot lies before it.
+    Windows may begin and end at any instant. Rows are counted per cell; a window's rows are the
+    difference of two cumulative counts at its edges. An id with several cells is counted once per
+    window: at its first cell inside it. So ids are reduced to counts by (cell, previous cell of the
+    same id), a table bounded by the edges, and a window takes the entries whose previous cell lies
+    before it.
     """
-    per_id = posts.groupBy("id").agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.array_sort(F.collect_set(slot_date(F.col("created_ts"), closed))).alias("slots"),
-    )
+    ranks = edge_ranks(runs)
+    spans = run_cells(runs, ranks)
+    celled = with_cell(posts.select("id", "created_ts"), "created_ts", ranks, closed=closed)
+    per_id = celled.groupBy("id").agg(F.array_sort(F.collect_set("cell")).alias("cells"))
     firsts = (
-        per_id.select(F.posexplode("slots").alias("i", "slot_date"), "slots")
-        .groupBy("slot_date", F.get("slots", F.col("i") - 1).alias("previous"))
+        per_id.select(F.posexplode("cells").alias("i", "cell"), "cells")
+        .groupBy("cell", F.get("cells", F.col("i") - 1).alias("previous"))
         .agg(F.count(F.lit(1)).alias("ids"))
     )
-    totals = slot_counts(posts, closed).groupBy("slot_date").agg(F.sum("rows").alias("rows"))
-    slots = run_slots(whole_days(runs))
-    starts = runs.select("run", F.col("window_start").cast("date").alias("start_date"))
+    counts = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"))
+    edges = spans.select(F.explode(F.array("first_cell", "end_cell")).alias("cell")).distinct()
+    upto = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    swept = edges.join(counts, "cell", "full_outer").select("cell", F.coalesce(F.sum("rows").over(upto), F.lit(0)).alias("rows_before"))
+    start = swept.select(F.col("cell").alias("first_cell"), F.col("rows_before").alias("at_start"))
+    end = swept.select(F.col("cell").alias("end_cell"), F.col("rows_before").alias("at_end"))
+    extracted = spans.join(start, "first_cell").join(end, "end_cell").select("run", (F.col("at_end") - F.col("at_start")).alias("extracted"))
     distinct = (
-        slots.join(starts, "run")
-        .join(firsts, "slot_date")
-        .filter(F.col("previous").isNull() | (F.col("previous") <= F.col("start_date")))
+        spans.select("run", "first_cell", F.explode(F.expr("sequence(first_cell, end_cell - 1)")).alias("cell"))
+        .join(firsts, "cell")
+        .filter(F.col("previous").isNull() | (F.col("previous") < F.col("first_cell")))
         .groupBy("run")
         .agg(F.sum("ids").alias("distinct_extracted"))
     )
-    extracted = slots.join(totals, "slot_date").groupBy("run").agg(F.sum("rows").alias("extracted"))
     return runs.select("run").join(extracted, "run", "left").join(distinct, "run", "left").select(
         "run",
         F.coalesce("extracted", F.lit(0)).cast("bigint").alias("extracted"),
@@ -165,9 +207,8 @@ def newer_than_last_good(posts: DataFrame, runs: DataFrame, closed: str = "left"
 
 def duplication_factor(posts: DataFrame, runs: DataFrame, closed: str = "left") -> DataFrame:
     """Replayed rows, distinct ids and their ratio (0 for an empty lake), one row."""
-    slots = run_slots(whole_days(runs)).groupBy("slot_date").agg(F.count(F.lit(1)).alias("windows"))
-    dated = posts.select("id", slot_date(F.col("created_ts"), closed).alias("slot_date"))
-    per_id = dated.join(slots, "slot_date").groupBy("id").agg(F.sum("windows").alias("rows"))
+    covered = window_copies(posts.select("id", "created_ts"), runs, closed)
+    per_id = covered.groupBy("id").agg(F.sum("copies").alias("rows"))
     totals = per_id.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows_in_lake"),
         F.count(F.lit(1)).alias("distinct_posts"),
@@ -180,8 +221,9 @@ def duplication_factor(posts: DataFrame, runs: DataFrame, closed: str = "left")
 
 def window_copies(posts: DataFrame, runs: DataFrame, closed: str = "left") -> DataFrame:
     """Posts that some window holds, with ``copies``: how many windows do. Nothing is copied."""
-    slots = run_slots(whole_days(runs)).groupBy("slot_date").agg(F.count(F.lit(1)).alias("copies"))
-    return posts.withColumn("slot_date", slot_date(F.col("created_ts"), closed)).join(slots, "slot_date").drop("slot_date")
+    ranks = edge_ranks(runs)
+    covered = cell_coverage(run_cells(runs, ranks)).withColumnRenamed("windows", "copies")
+    return with_cell(posts, "created_ts", ranks, "_cell", closed).join(covered.withColumnRenamed("cell", "_cell"), "_cell").drop("_cell")
 
 
 def sliding_counts(posts: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import attempts as att
-from tidemark.operators import audit, cost, ledger
+from tidemark.operators import audit, cost, ledger, ordered
 from tidemark.operators import windows as win
 from tidemark.plans import views as v
 from tidemark.plans.queries.replay import stored_posts
@@ -426,6 +426,56 @@ def q_payload_crossing(spark, sf):
     return cost.first_crossing(series, "days", "rows", 655.35)
 
 
+LIMITS = [65_535, 1 << 20, 4 << 20, 1 << 30]
+
+
+@query(
+    "payload_crossing_posts",
+    v.with_ctes(v.SQL_FACTS, body=f"""
+, sized AS (
+  SELECT id, created_at, strlen(id) + strlen(created_at) + strlen(text) + strlen(f.source) + strlen(CAST(like_count AS VARCHAR)) AS bytes
+  FROM facts f JOIN documents d USING (doc_id)),
+summed AS (
+  SELECT id, bytes, row_number() OVER w AS position, sum(bytes) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
+  FROM sized WINDOW w AS (ORDER BY created_at, id)),
+limits AS (SELECT unnest([{', '.join(map(str, LIMITS))}]) AS passed_limit)
+SELECT CAST(passed_limit AS BIGINT) AS passed_limit, id, CAST(bytes AS BIGINT) AS bytes, position, CAST(running AS BIGINT) AS running
+FROM limits JOIN summed ON running > passed_limit AND running - bytes <= passed_limit"""),
+)
+def q_payload_crossing_posts(spark, sf):
+    """The very post at which the bytes of whole rows, in order of time, pass each limit of a payload column."""
+    posts = v.posts(spark, sf)
+    size = sum((F.octet_length(F.col(c).cast("string")) for c in ("created_at", "text", "source", "like_count")), F.octet_length("id"))
+    sized = posts.select("id", "created_at", size.cast("bigint").alias("bytes"))
+    return ordered.crossings(sized, ["created_at", "id"], "bytes", LIMITS).select("passed_limit", "id", "bytes", F.col("position").cast("bigint").alias("position"), "running")
+
+
+@query(
+    "running_engagement",
+    v.with_ctes(v.SQL_FACTS, body="""
+SELECT id, CAST(sum(like_count + retweet_count + reply_count) OVER (ORDER BY created_at, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running
+FROM facts"""),
+)
+def q_running_engagement(spark, sf):
+    """Engagement so far at every single post, range by range of time."""
+    posts = v.facts(spark, sf).select("id", "created_at", (F.col("like_count") + F.col("retweet_count") + F.col("reply_count")).alias("engagement"))
+    return ordered.running_sum(posts, ["created_at", "id"], "engagement").select("id", "running")
+
+
+@query(
+    "post_series_decreases",
+    v.with_ctes(v.SQL_FACTS, body="""
+, steps AS (SELECT id, like_count, retweet_count, lag(like_count) OVER w AS previous_like_count, lag(retweet_count) OVER w AS previous_retweet_count
+  FROM facts WINDOW w AS (ORDER BY created_at, id))
+SELECT id, like_count, retweet_count, previous_like_count, previous_retweet_count FROM steps
+WHERE like_count < previous_like_count OR retweet_count < previous_retweet_count"""),
+)
+def q_post_series_decreases(spark, sf):
+    """The monotonicity check on a series with a row per post."""
+    series = v.facts(spark, sf).select("created_at", "id", "like_count", "retweet_count")
+    return audit.decreasing_steps(series, ["like_count", "retweet_count"], ["created_at", "id"]).drop("created_at")
+
+
 _PRICE = {name: value for name, value, _ in PRICES}
 
 

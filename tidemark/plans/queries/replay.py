@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import (
@@ -13,12 +14,14 @@ from tidemark.functions.dates import (
     summary_partition_path,
     utc_instant,
 )
+from tidemark.operators import sketches
 from tidemark.operators import windows as win
 from tidemark.operators.attempts import last_good_run
 from tidemark.operators.dedupe import first_per_key, last_per_key
 from tidemark.operators.ledger import cumulative_distinct, missing_from, present_in, unknown_to
 from tidemark.plans import views as v
 from tidemark.plans.registry import query
+from tidemark.session import scratch_path
 
 
 def _stamp(name: str):
@@ -121,6 +124,107 @@ def q_duplication_factor(spark, sf):
     return win.duplication_factor(v.instants(spark, sf), v.runs(spark, sf))
 
 
+_ODD_RUNS_SQL = """
+odd_runs AS (
+  SELECT run, window_start + to_minutes(run * 37 % 600) AS window_start, window_end + to_minutes(run * 53 % 900 - 300) AS window_end FROM runs)
+"""
+
+
+def odd_runs(spark, sf):
+    """The runs with windows that begin and end at hours and minutes of their own."""
+    minutes = lambda c, n: F.expr(f"{c} + make_dt_interval(0, 0, {n})")
+    return v.runs(spark, sf).withColumns({"window_start": minutes("window_start", "run * 37 % 600"), "window_end": minutes("window_end", "run * 53 % 900 - 300")})
+
+
+@query(
+    "run_extract_counts_any_instant",
+    v.with_ctes(v.SQL_RUNS, _ODD_RUNS_SQL, body="""
+SELECT run, count(user_id) AS extracted, count(DISTINCT user_id) AS distinct_extracted
+FROM odd_runs LEFT JOIN events ON ts >= window_start AND ts < window_end GROUP BY run"""),
+)
+def q_run_extract_counts_any_instant(spark, sf):
+    """Rows and authors of windows that do not begin at midnight, from counts between neighbouring edges."""
+    seen = v.table(spark, sf, "events").select(F.col("user_id").alias("id"), F.col("ts").cast("timestamp_ntz").alias("created_ts"))
+    return win.run_extracts(seen, odd_runs(spark, sf))
+
+
+@query(
+    "duplication_any_instant",
+    v.with_ctes(v.SQL_RUNS, _ODD_RUNS_SQL, body="""
+SELECT count(*) AS rows_in_lake, count(DISTINCT event_id) AS distinct_posts, count(*) / count(DISTINCT event_id) AS duplication_factor
+FROM odd_runs JOIN events ON ts > window_start AND ts <= window_end"""),
+)
+def q_duplication_any_instant(spark, sf):
+    return win.duplication_factor(v.instants(spark, sf), odd_runs(spark, sf), closed="right")
+
+
+def stored_sketches(spark, sf):
+    """Sketches of the events' authors, stored in two batches of which one is written twice."""
+    root = scratch_path(spark, "sketches")
+    seen = v.table(spark, sf, "events").select("event_id", F.col("user_id").alias("id"), F.col("ts").cast("timestamp_ntz").alias("created_ts"))
+    for rest in (0, 1, 0):
+        sketches.write_sketches(sketches.slot_sketches(seen.filter(F.col("event_id") % 2 == rest)), root, f"part-{rest}")
+    return seen.drop("event_id"), sketches.read_sketches(spark, root)
+
+
+def _near(estimate: str, exact: str):
+    """Whether an estimate lies within its stated bound of the exact count."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= sketches.error_bound() * F.col(exact)
+
+
+@query(
+    "sketched_extract_counts",
+    v.with_ctes(v.SQL_RUNS, body="""
+SELECT run, count(user_id) AS extracted, count(DISTINCT user_id) AS distinct_extracted, true AS within_bound
+FROM runs LEFT JOIN events ON ts >= window_start AND ts < window_end GROUP BY run"""),
+)
+def q_sketched_extract_counts(spark, sf):
+    """Distinct authors of every window from stored sketches, beside the exact counts that they are held against."""
+    seen, stored = stored_sketches(spark, sf)
+    runs = v.runs(spark, sf)
+    exact = win.run_extracts(seen, runs).select("run", "distinct_extracted")
+    return sketches.window_estimates(stored, runs).join(exact, "run").select(
+        "run", "extracted", "distinct_extracted", _near("distinct_estimate", "distinct_extracted").alias("within_bound")
+    )
+
+
+@query(
+    "sketched_duplication",
+    v.with_ctes(v.SQL_RUNS, body="""
+SELECT count(*) AS rows_in_lake, count(DISTINCT user_id) AS distinct_posts, true AS within_bound
+FROM runs JOIN events ON ts >= window_start AND ts < window_end"""),
+)
+def q_sketched_duplication(spark, sf):
+    """The duplication factor of the overlapping windows without a shuffle of ids, against the exact one."""
+    seen, stored = stored_sketches(spark, sf)
+    runs = v.runs(spark, sf)
+    exact = win.duplication_factor(seen, runs).select("distinct_posts").scalar()
+    return sketches.approximate_duplication(stored, runs).withColumn("distinct_posts", exact).select(
+        "rows_in_lake", "distinct_posts", _near("distinct_estimate", "distinct_posts").alias("within_bound")
+    )
+
+
+@query(
+    "sketched_cumulative_posts",
+    """
+WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),
+f AS (SELECT user_id, min(CAST(ts AS DATE)) AS first FROM events GROUP BY 1)
+SELECT strftime(day, '%Y-%m-%d') AS day, (SELECT count(*) FROM events WHERE CAST(ts AS DATE) <= day) AS rows_so_far,
+       (SELECT count(*) FROM f WHERE first <= day) AS distinct_so_far, true AS within_bound
+FROM d""",
+)
+def q_sketched_cumulative_posts(spark, sf):
+    seen, stored = stored_sketches(spark, sf)
+    day = F.col("created_ts").cast("date")
+    firsts = seen.groupBy("id").agg(F.min(day).alias("day")).groupBy("day").agg(F.count(F.lit(1)).alias("fresh"))
+    far = sketches.cumulative_estimates(stored).withColumn("day", F.col("slot").cast("date")).join(firsts, "day", "left")
+    upto = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = far.withColumn("distinct_so_far", F.coalesce(F.sum("fresh").over(upto), F.lit(0)))
+    return counted.select(
+        F.col("day").cast("string").alias("day"), "rows_so_far", "distinct_so_far", _near("distinct_estimate", "distinct_so_far").alias("within_bound")
+    )
+
+
 @query(
     "last_window_posts",
     v.with_ctes(v.SQL_FACTS, v.SQL_RUNS, body="""

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.enrich import label_scored
 from tidemark.plans import views as v
@@ -15,9 +16,11 @@ from tidemark.plans.queries.enrichment import FREQUENT
 from tidemark.plans.registry import query
 from tidemark.schema import ENRICHED
 from tidemark.session import scratch_path
-from tidemark.streaming import dropped_rows, enrich_stream, land_stream, merge_stream, run_available, tumbling_summary
+from tidemark.streaming import dropped_rows, enrich_stream, land_stream, merge_stream, run_available, sliding_stream, tumbling_summary
 from tidemark.sources.posts import stream_raw
 
+LANDED = T.StructType([*ENRICHED, T.StructField("arrival", T.StringType())])
+
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Enriched posts of the events file, as a stream."""
@@ -110,17 +113,16 @@ def q_stream_dedupe(spark, sf):
     """Every post arrives on its day and again two days later, over many batches and a restart.
 
     The delay is shorter than the data, so state is dropped on the way; posts without an id or a
-    time are all there in the end. Those without a time come in twice, and are counted once here.
+    time are all there in the end, once.
     """
     posts = _day_posts(spark, sf)
     folder = _landed(spark, posts.union(posts.withColumn("batch", F.col("batch") + 2)), "stream-days")
     out, state = scratch_path(spark, "stream-dedupe"), scratch_path(spark, "stream-state")
     for _ in range(2):
         raw = stream_raw(spark, folder, files_per_batch=4)
-        land_stream(enrich_stream(raw, FREQUENT), out, state, delay="4 days")
-    dated = spark.read.schema(ENRICHED).parquet(f"{out}/posts")
-    undated = spark.read.schema(ENRICHED).parquet(f"{out}/untimed").distinct()
-    return dated.unionByName(undated).agg(
+        land_stream(enrich_stream(raw, FREQUENT), out, state, delay_days=8)
+    landed = spark.read.schema(LANDED).parquet(out)
+    return landed.filter(F.col("arrival").isin("post", "untimed")).agg(
         F.count(F.lit(1)).alias("post_count"),
         F.count_if(F.col("created_at") == "some day").alias("without_time"),
         F.count_if(F.col("id") == "").alias("without_id"),
@@ -128,6 +130,60 @@ def q_stream_dedupe(spark, sf):
     )
 
 
+@query(
+    "stream_arrivals",
+    """
+WITH p AS (SELECT doc_id, CAST(1 + doc_id // 30 % 28 AS INTEGER) AS d FROM documents),
+m AS (SELECT max(d) AS m FROM p),
+c AS (SELECT doc_id, doc_id % 11 = 0 AS untimed, doc_id % 11 <> 0 AND doc_id % 5 = 0 AND d <= m - 18 AS late FROM p, m),
+a AS (
+  SELECT doc_id, CASE WHEN untimed THEN 'untimed' WHEN late THEN 'late' ELSE 'post' END AS arrival FROM c
+  UNION ALL SELECT doc_id, 'repeat' FROM c WHERE NOT late)
+SELECT arrival, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS likes, (SELECT count(*) FROM a) AS rows_in FROM a GROUP BY 1""",
+)
+def q_stream_arrivals(spark, sf):
+    """Posts, repeats, late and untimed rows add up to all that came in, over many batches and a restart.
+
+    Every post comes on its day and again two days later, but a fifth of the early ones only after
+    all others; every eleventh has no time.
+    """
+    posts = _day_posts(spark, sf)
+    last = posts.agg(F.max("batch")).first()[0] or 0
+    late = (F.col("batch") <= last - 18) & (F.col("like_count") % 5 == 0) & (F.col("created_at") != "some day")
+    again = posts.filter(~late).withColumn("batch", F.col("batch") + 2)
+    sent = posts.withColumn("batch", F.when(late, F.lit(last + 3)).otherwise(F.col("batch"))).union(again)
+    folder = _landed(spark, sent, "stream-arrivals")
+    out, state = scratch_path(spark, "stream-arrivals"), scratch_path(spark, "stream-state")
+    for _ in range(2):
+        land_stream(enrich_stream(stream_raw(spark, folder, files_per_batch=4), FREQUENT), out, state, delay_days=8)
+    rows_in = spark.read.text(folder).agg(F.count(F.lit(1))).scalar()
+    return spark.read.schema(LANDED).parquet(out).groupBy("arrival").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("like_count").alias("likes")
+    ).withColumn("rows_in", rows_in)
+
+
+@query(
+    "stream_sliding_counts",
+    """
+WITH starts AS (
+  SELECT unnest(generate_series((SELECT CAST(min(ts) AS DATE) - 6 FROM events)::TIMESTAMP,
+                                (SELECT CAST(max(ts) AS DATE) FROM events)::TIMESTAMP, INTERVAL 1 DAY)) AS s)
+SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(s + INTERVAL 7 DAY, '%Y-%m-%d %H:%M:%S') AS window_end,
+       count(*) AS post_count
+FROM starts JOIN events ON ts >= s AND ts < s + INTERVAL 7 DAY
+WHERE s + INTERVAL 7 DAY <= (SELECT max(ts) - INTERVAL 2 DAY FROM events) GROUP BY s""",
+)
+def q_stream_sliding_counts(spark, sf):
+    """Overlapping weeks as a stream: a window comes out when the watermark, two days behind, has passed its end."""
+    out, state = scratch_path(spark, "stream-sliding"), scratch_path(spark, "stream-state")
+    events = spark.readStream.schema(v.table(spark, sf, "events").schema).parquet(f"{sf}/events.parque[t]")
+    posts = events.select(F.col("event_id").cast("string").alias("id"), F.col("ts").cast("timestamp_ntz").alias("created_ts"))
+    counts = sliding_stream(posts, delay="2 days")
+    run_available(counts, out, state)
+    stamp = lambda name: F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
+    return spark.read.schema(counts.schema).parquet(out).select(stamp("window_start"), stamp("window_end"), "post_count")
+
+
 @query(
     "stream_late_rows",
     """

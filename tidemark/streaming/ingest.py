@@ -16,6 +16,7 @@ from tidemark.operators.normalize import normalize
 from tidemark.operators.summary import score_units
 from tidemark.operators.windows import LOOKBACK_DAYS
 from tidemark.sinks.lake import has_id, merge_posts
+from tidemark.streaming.arrivals import ROCKSDB, STATE_STORE, arrivals
 
 # Ids stay known for as long as overlapping reads can bring them back.
 ID_DELAY = f"{LOOKBACK_DAYS} days"
@@ -37,11 +38,22 @@ def untimed(posts: DataFrame) -> DataFrame:
     return posts.filter(F.col("created_ts").isNull())
 
 
+def sliding_stream(posts: DataFrame, lookback_days: int = LOOKBACK_DAYS, delay: str = ID_DELAY) -> DataFrame:
+    """Posts per window of ``lookback_days`` advancing daily, ``[start, end)``; the stream of ``sliding_counts``.
+
+    A window comes out once the watermark has passed its end, and its state goes then. Posts without a
+    time are in no window.
+    """
+    late_bounded = posts if "event_time" in posts.columns else timed(posts).withWatermark("event_time", delay)
+    counted = late_bounded.groupBy(F.window("event_time", f"{lookback_days} days", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("post_count"))
+    return counted.select(from_event_time(F.col("w.start")).alias("window_start"), from_event_time(F.col("w.end")).alias("window_end"), "post_count")
+
+
 def dedupe_stream(posts: DataFrame, delay: str = ID_DELAY) -> DataFrame:
     """First row of each id within the watermark; ``delay`` must cover the lookback.
 
-    A post without an id is known by its whole row. Posts without a time are not in the result: run
-    ``untimed`` beside it, or ``land_stream``, which does both.
+    A post without an id is known by its whole row. Posts without a time are not in the result, nor
+    are those that come too late: ``land_stream`` keeps both.
     """
     columns = [c for c in posts.columns if c != "created_ts"]
     known = F.when(has_id(), F.concat(F.lit("i"), "id")).otherwise(F.sha2(F.to_json(F.struct(*columns)), 256))
@@ -71,21 +83,39 @@ def tumbling_summary(posts: DataFrame, delay: str = ID_DELAY) -> DataFrame:
     )
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str, partition_by: str | None = None) -> StreamingQuery:
+def _finish(query: StreamingQuery) -> StreamingQuery:
+    """Wait for the end, gathering ``rows_dropped`` from all progress: a query keeps only its last reports."""
+    dropped = {}
+    while True:
+        ended = query.awaitTermination(1)
+        for p in query.recentProgress:
+            dropped[p["batchId"], p["timestamp"]] = sum(int(op["numRowsDroppedByWatermark"]) for op in p["stateOperators"])
+        if ended:
+            query.rows_dropped = sum(dropped.values())
+            return query
+
+
+def run_available(stream: DataFrame, path: str, checkpoint: str, partition_by: str | list[str] | None = None) -> StreamingQuery:
     """Append everything now available to Parquet, in as many batches as the source asks for."""
     writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    query = writer.outputMode("append").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
+    return _finish(writer.outputMode("append").trigger(availableNow=True).start())
+
 
+def land_stream(posts: DataFrame, root: str, checkpoint: str, delay_days: int = LOOKBACK_DAYS) -> StreamingQuery:
+    """Every row to ``root``, partitioned by its ``arrival`` and ``event_date``; none lost, none twice.
 
-def land_stream(posts: DataFrame, root: str, checkpoint: str, delay: str = ID_DELAY) -> tuple[StreamingQuery, StreamingQuery]:
-    """Deduplicated posts to ``root/posts``, posts without a time to ``root/untimed``, none lost."""
-    first = run_available(dedupe_stream(posts, delay).drop("created_ts", "event_time"), f"{root}/posts", f"{checkpoint}/posts", "event_date")
-    rest = run_available(untimed(posts).drop("created_ts"), f"{root}/untimed", f"{checkpoint}/untimed")
-    return first, rest
+    ``root`` filtered to ``post`` and ``untimed`` holds each post once; ``repeat`` and ``late`` are what a
+    plain watermark turns away, kept to be looked at or merged by a backfill.
+    """
+    conf = posts.sparkSession.conf
+    before = conf.get(STATE_STORE, None)
+    conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return run_available(arrivals(posts, delay_days), root, checkpoint, ["arrival", "event_date"])
+    finally:
+        conf.unset(STATE_STORE) if before is None else conf.set(STATE_STORE, before)
 
 
 def merge_stream(enriched: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
@@ -94,18 +124,9 @@ def merge_stream(enriched: DataFrame, root: str, checkpoint: str) -> StreamingQu
     def merge(batch: DataFrame, _epoch: int) -> None:
         merge_posts(batch.drop("created_ts", "event_time"), root)
 
-    query = (
-        enriched.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    return _finish(enriched.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def dropped_rows(query: StreamingQuery) -> int:
-    """Rows the watermark turned away over the progress the query still reports."""
-    return sum(
-        int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"]
-    )
+    """Rows the watermark turned away in all batches of a finished run."""
+    return query.rows_dropped
