@@ -103,9 +103,9 @@ def test_merge_plan_sorts_no_whole_rows(rows):
 
 
 def test_only_a_missing_lake_counts_as_none(spark, rows, tmp_path):
-    assert sink._existing(spark, str(tmp_path / "nothing")) is None
+    assert sink.existing(spark, str(tmp_path / "nothing")) is None
     with pytest.raises(Exception):
-        sink._existing(spark, "nosuchscheme://x/y")
+        sink.existing(spark, "nosuchscheme://x/y")
 
 
 def test_merge_of_repeated_ids_in_one_batch(spark, rows, tmp_path):
@@ -249,3 +249,107 @@ def test_receipt_lake_and_summary_agree(spark, tmp_path):
     receipt = run_etl(spark, str(more), str(tmp_path / "lake"), RUN + dt.timedelta(days=1))
     day = spark.read.parquet(receipt["locations"]["daily_summary"]).filter("run_date = '2026-01-18' and event_day = '2031-05-01'").first()
     assert receipt["post_count"] == 1 and day["post_count"] == 4
+
+
+def test_inventory_counts_rows_under_odd_names(spark, tmp_path):
+    names = ["a b", "x:y", "p+q", "50%", "ü/é", "plain", "[z]", None]
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(names) for _ in range(i + 1)], "id int, k string")
+    rows.write.partitionBy("k").parquet(str(tmp_path / "odd lake"))
+    got = scan.object_inventory(spark, str(tmp_path / "odd lake")).groupBy("partition").agg(F.sum("rows")).collect()
+    assert sorted(r[1] for r in got) == [1, 2, 3, 4, 5, 6, 7, 8]
+    assert {r[0] for r in got} >= {"k=a b", "k=x%3Ay", "k=p+q", "k=50%25", "k=plain"}
+
+
+def test_drifted_read_keeps_partition_columns_and_prunes(spark, rows, tmp_path):
+    """Two types of a column over whole days, within one day, and below no directory at all."""
+    root = str(tmp_path / "lake")
+    sink.write_event_date(rows, root)
+    other = rows.withColumn("like_count", F.col("like_count").cast("double")).drop("scorer")
+    later = other.withColumn("event_date", F.date_add("event_date", 10))
+    both = other.filter("event_day = '2026-01-16'")
+    for part in (later, both):
+        part.write.partitionBy("event_date").mode("append").parquet(root)
+    lake = scan.read_drifted(spark, root, ENRICHED)
+    assert lake.schema == ENRICHED
+    got = {(str(r["event_date"]), r["n"], r["likes"]) for r in lake.groupBy("event_date").agg(F.count("*").alias("n"), F.sum("like_count").alias("likes")).collect()}
+    days = {str(r["event_date"]): (r["n"], r["likes"]) for r in rows.groupBy("event_date").agg(F.count("*").alias("n"), F.sum("like_count").alias("likes")).collect()}
+    (n15, l15), (n16, l16) = days["2026-01-15"], days["2026-01-16"]
+    assert got == {("2026-01-15", n15, l15), ("2026-01-16", 2 * n16, 2 * l16), ("2026-01-25", n15, l15), ("2026-01-26", n16, l16)}
+    one = lake.filter(F.col("event_date") == F.lit("2026-01-25").cast("date"))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(event_date") == plan.count("FileScan") >= 2
+    assert one.count() == n15 and one.filter("scorer is not null").count() == 0
+    layouts = scan.lake_layouts(spark, root).collect()
+    assert len(layouts) == 2 and sum(p.endswith(".parquet") for r in layouts for p in r["paths"]) == 2
+
+
+def test_two_runs_of_one_date_leave_lake_summary_and_rejects_in_step(spark, tmp_path):
+    out = str(tmp_path / "out")
+
+    def start(name, posts, *broken):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "a.jsonl").write_text("\n".join([*map(json.dumps, posts), *broken]))
+        return run_etl(spark, str(folder), out, RUN)
+
+    def summary():
+        return {(r["event_day"], r["post_count"]) for r in spark.read.parquet(f"{out}/daily_summary").collect()}
+
+    start("one", SAMPLE_POSTS[:3], "{broken", "also broken")
+    assert spark.read.parquet(f"{out}/rejects").count() == 2 and summary() == {("2026-01-15", 3)}
+    start("two", SAMPLE_POSTS[3:])
+    assert spark.read.parquet(f"{out}/rejects").count() == 0
+    assert summary() == {("2026-01-15", 3), ("2026-01-16", 2)}
+    again = {**SAMPLE_POSTS[0], "id": "77"}
+    receipt = start("three", [again], "{broken")
+    assert receipt["rejected"] == 1 and spark.read.parquet(f"{out}/rejects").count() == 1
+    assert summary() == {("2026-01-15", 4), ("2026-01-16", 2)}
+    lake = scan.read_lake(spark, f"{out}/posts", ENRICHED)
+    assert {(r["event_day"], r["count"]) for r in lake.groupBy("event_day").count().collect()} == summary()
+
+
+def test_dedupe_shuffles_twice_and_sorts_no_aggregate(spark, rows):
+    # Without broadcasts, so that the plan is the one of large tables.
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = last_per_key(rows, ["id", "event_date"], [F.col("engagement_total")])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 2 and "SortAggregate" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("pick, best", [(first_per_key, min), (last_per_key, max)])
+def test_dedupe_against_a_plain_pick(spark, pick, best):
+    import random
+
+    rng = random.Random(9)
+    data = [(rng.choice(["a", "b", "", None]), rng.choice([1, 2, None]), rng.choice([None, -(2**63), 2**63 - 1, 0, 5, -5]), rng.choice("xyz")) for _ in range(300)]
+    df = spark.createDataFrame(data, "k string, j int, o bigint, v string").repartition(5)
+    got = pick(df, ["k", "j"], [F.col("o")], copies="n").collect()
+    low = lambda o: -(2**63) - 1 if o is None else o
+    groups = {}
+    for k, j, o, v in data:
+        groups.setdefault((k, j), []).append((low(o), o, v))
+    assert len(got) == len(groups)
+    for r in got:
+        mine = groups[r["k"], r["j"]]
+        assert low(r["o"]) == best(mine)[0] and r["n"] == len(mine) and (low(r["o"]), r["o"], r["v"]) in mine
+    # Ties fall the same way whatever the order of rows.
+    again = pick(df.repartition(2), ["k", "j"], [F.col("o")], copies="n").collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, got))
+
+
+def test_a_run_on_another_file_system(spark, tmp_path):
+    """The same code path over ``viewfs``, a Hadoop scheme of its own, mounted on a local folder."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.jsonl").write_text("\n".join(map(json.dumps, SAMPLE_POSTS)))
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("fs.viewfs.mounttable.store.link./data", f"file://{tmp_path}")
+    root = "viewfs://store/data"
+    for _ in range(2):
+        receipt = run_etl(spark, f"{root}/in", f"{root}/out", RUN)
+    assert receipt["post_count"] == 5 and receipt["locations"]["posts"] == f"{root}/out/posts"
+    lake = scan.read_lake(spark, f"{root}/out/posts", ENRICHED)
+    assert ids(lake) == list("12345") and (tmp_path / "out" / "posts").is_dir()
+    assert sorted(r["rows"] for r in scan.object_inventory(spark, f"{root}/out/posts", ENRICHED).collect()) == [2, 3]

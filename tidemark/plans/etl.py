@@ -20,7 +20,7 @@ MODES = ("merge", "overwrite", "append", "run_date")
 
 def write_posts(enriched: DataFrame, root: str, run_ts: dt.datetime, mode: str) -> None:
     if mode == "merge":
-        sink.merge_posts(enriched, root)
+        sink.merge_posts(enriched, root, settled=True)
     elif mode == "overwrite":
         sink.overwrite_days(enriched, root)
     elif mode == "append":
@@ -44,9 +44,10 @@ def run_etl(
 
     The enriched batch is written to the shared folder and read from there by all that follows; a
     lost executor repeats one step. Lines and files that hold no post go to ``rejects`` with their
-    flags. In the modes that replace days the batch keeps the latest row of each id, and the summary
-    is taken from the days it touched as the lake holds them then; so receipt, lake and summary agree.
-    The receipt counts during the write.
+    flags; the run date's rejects are those of its last run, none included. In the modes that replace
+    days the batch keeps the latest row of each id, and the summary is taken from the days it touched as
+    the lake holds them then; days that other runs of the same date summarised stay. So receipt, lake
+    and summary agree. The receipt counts during the write.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -54,10 +55,11 @@ def run_etl(
     posts = read_posts(spark, source, fmt)
     bad = F.array_contains("quality_flags", "bad_json")
     flagged = settle(enrich(posts, scorer).withColumn("bad", bad), "etl-batch")
-    rejects = flagged.filter("bad").withColumn("run_date", F.lit(run_ts.date()))
+    rejects = flagged.filter("bad").drop("bad")
     rejected = rejects.count()
-    if rejected:
-        rejects.drop("bad").write.partitionBy("run_date").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(rejects_root)
+    held = f"{rejects_root}/run_date={run_ts.date()}"
+    if rejected or sink.existing(spark, held, rejects.schema) is not None:
+        rejects.write.mode("overwrite").parquet(held)
     batch = flagged.filter("not bad").drop("bad", "quality_flags")
     if mode in ("merge", "overwrite"):
         batch = settle(sink.latest(batch), "etl-latest")
@@ -68,9 +70,9 @@ def run_etl(
         if mode in ("merge", "overwrite"):
             lake = read_lake(spark, posts_root, ENRICHED)
             summary = daily_summary(lake.join(days, lake["event_date"].eqNullSafe(days["event_date"]), "left_semi"))
+            sink.merge_summary(summary, summary_root, run_ts.date())
         else:
-            summary = daily_summary(batch)
-        sink.write_summary(summary, summary_root, run_ts.date())
+            sink.write_summary(daily_summary(batch), summary_root, run_ts.date())
     return {
         "post_count": receipt["post_count"],
         "rejected": rejected,

@@ -183,6 +183,41 @@ def q_drifted_lake_read(spark, sf):
     return lake.groupBy("source").agg(F.count(F.lit(1)).alias("post_count"), F.sum("like_count").alias("likes"))
 
 
+@query(
+    "drifted_days_read",
+    """
+WITH d AS (SELECT strftime(ts, '%Y-%m-%d') AS event_date, day(ts) AS n, event_id, CAST(floor(value * 100) AS BIGINT) AS likes FROM events)
+SELECT event_date, sum(CASE WHEN n % 3 = 0 THEN 2 ELSE 1 END)::BIGINT AS post_count, CAST(sum(likes * CASE WHEN n % 3 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS likes,
+       count(*) FILTER (n % 3 <> 1) AS with_scorer
+FROM d WHERE event_date >= '2024-01-05' GROUP BY 1""",
+)
+def q_drifted_days_read(spark, sf):
+    """An event-date lake in which some days hold another type, and some days both: read with its dates, from the fifth on."""
+    root = scratch_path(spark, "drifted-days")
+    posts = enriched(spark, sf)
+    day = F.dayofmonth("event_date") % 3
+    sink.write_event_date(posts.filter(day != 1), root)
+    other = posts.withColumn("like_count", F.col("like_count").cast("double")).drop("scorer")
+    other.filter(day != 2).hint("rebalance", "event_date").write.partitionBy("event_date").mode("append").parquet(root)
+    lake = scan.read_drifted(spark, root, ENRICHED, glob="part-*").filter(F.col("event_date") >= F.lit("2024-01-05").cast("date"))
+    return lake.groupBy(F.col("event_date").cast("string").alias("event_date")).agg(
+        F.count(F.lit(1)).alias("post_count"), F.sum("like_count").alias("likes"), F.count("scorer").alias("with_scorer")
+    )
+
+
+@query(
+    "odd_name_inventory",
+    """
+SELECT 'kind=' || event_type || ' a%3Ab+c%25' AS partition, count(*) AS rows, true AS sized FROM events GROUP BY 1""",
+)
+def q_odd_name_inventory(spark, sf):
+    """Partition values with a blank, a colon, a plus and a percent sign, which the file system spells in its own way."""
+    root = scratch_path(spark, "odd names")
+    posts = v.event_posts(spark, sf).withColumn("kind", F.concat("source", F.lit(" a:b+c%")))
+    posts.write.partitionBy("kind").parquet(root)
+    return scan.object_inventory(spark, root).groupBy("partition").agg(F.sum("rows").alias("rows"), F.bool_and(F.col("bytes") > 0).alias("sized"))
+
+
 @query(
     "run_date_write",
     """
@@ -385,6 +420,32 @@ def q_etl_run(spark, sf):
     )
 
 
+@query(
+    "etl_two_batches",
+    """
+WITH p AS (
+  SELECT doc_id, strftime(DATE '2024-01-01' + CAST(doc_id // 30 % 28 AS INTEGER), '%Y-%m-%d') AS event_day, doc_id % 10 < 2 AS no_id,
+         CASE WHEN doc_id % 10 = 2 THEN 'r' || (doc_id // 30) ELSE CAST(doc_id AS VARCHAR) END AS id FROM documents),
+k AS (SELECT event_day, doc_id FROM p WHERE no_id UNION ALL SELECT event_day, max(doc_id) FROM p WHERE NOT no_id GROUP BY event_day, id)
+SELECT event_day, count(*) AS lake_posts, count(*) AS summary_posts, CAST(sum(doc_id) AS BIGINT) AS lake_likes, CAST(sum(doc_id) AS BIGINT) AS total_engagement,
+       CAST(0 AS BIGINT) AS rejects FROM k GROUP BY event_day""",
+)
+def q_etl_two_batches(spark, sf):
+    """Three runs of one date, each with some of the days: lake and summary hold all days, rejects are the last run's."""
+    target = scratch_path(spark, "etl")
+    lines = _landed_documents(spark, sf).withColumn("part", F.expr("doc_id div 30") % 28 % 3)
+    broken = spark.range(2).select(F.lit("{broken").alias("value"))
+    for part in range(3):
+        landed = scratch_path(spark, "etl-in")
+        batch = lines.filter(F.col("part") == part).select("value")
+        (batch if part == 2 else batch.unionByName(broken)).write.text(landed)
+        run_etl(spark, landed, target, RUN_TS, scorer=FREQUENT)
+    lake = scan.read_lake(spark, f"{target}/posts", ENRICHED).groupBy("event_day").agg(F.count(F.lit(1)).alias("lake_posts"), F.sum("like_count").alias("lake_likes"))
+    summary = scan.read_lake(spark, f"{target}/daily_summary").select("event_day", F.col("post_count").alias("summary_posts"), "total_engagement")
+    rejects = spark.read.parquet(f"{target}/rejects").agg(F.count(F.lit(1))).scalar()
+    return lake.join(summary, "event_day", "full_outer").withColumn("rejects", rejects)
+
+
 _DOCUMENT_POSTS = """
 SELECT source, count(*) AS post_count, CAST(sum(doc_id) AS BIGINT) AS likes, count(*) FILTER (doc_id % 10 = 0) AS no_id,
        count(*) FILTER (doc_id % 10 = 1) AS null_id, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY 1"""

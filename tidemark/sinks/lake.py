@@ -62,6 +62,17 @@ def overwrite_days(enriched: DataFrame, root: str) -> None:
     )
 
 
+def merge_summary(summary: DataFrame, root: str, run_date: dt.date) -> None:
+    """Replace the days of ``summary`` in the run date's directory; its other days stay."""
+    fresh = conform(summary, DAILY_SUMMARY)
+    stored = existing(summary.sparkSession, f"{root}/run_date={run_date}", DAILY_SUMMARY)
+    if stored is None:
+        return write_summary(fresh, root, run_date)
+    # Written apart first, as the directory that is read is the one replaced. One row per day.
+    kept = stored.join(fresh.select("event_day"), "event_day", "left_anti").select(*fresh.columns)
+    write_summary(settle(kept.unionByName(fresh), "summary"), root, run_date)
+
+
 def write_summary(summary: DataFrame, root: str, run_date: dt.date) -> None:
     """One directory per run date; a repeated run replaces its own."""
     rows = conform(summary, DAILY_SUMMARY).withColumn("run_date", F.lit(run_date))
@@ -81,32 +92,32 @@ def has_id() -> Column:
     return F.coalesce(~F.col("id").isin(*NO_ID), F.lit(False))
 
 
-def _existing(spark, root: str) -> DataFrame | None:
-    """The lake at ``root``, or None if nothing was written there yet."""
+def existing(spark, root: str, schema=ENRICHED) -> DataFrame | None:
+    """The dataset at ``root``, or None if nothing was written there yet."""
     try:
-        return spark.read.schema(ENRICHED).parquet(root)
+        return spark.read.schema(schema).parquet(root)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def touched(existing: DataFrame, batch: DataFrame) -> DataFrame:
+def touched(lake: DataFrame, batch: DataFrame) -> DataFrame:
     """Existing rows in the batch's days: the range of days prunes directories, a semi-join the rest."""
     days = batch.select("event_date").distinct()
     low, high, undated = batch.agg(F.min("event_date"), F.max("event_date"), F.count_if(F.col("event_date").isNull())).first()
     near = F.lit(False) if low is None else F.col("event_date").between(F.lit(low), F.lit(high))
     if undated:
         near = near | F.col("event_date").isNull()
-    return existing.filter(near).join(days, existing["event_date"].eqNullSafe(days["event_date"]), "left_semi")
+    return lake.filter(near).join(days, lake["event_date"].eqNullSafe(days["event_date"]), "left_semi")
 
 
 def latest(batch: DataFrame, order: list[Column] | None = None) -> DataFrame:
     """One post of each id and day, the one with the largest ``order``; posts without an id all stay.
 
-    The default order is engagement, then all columns. Pass the time of ingestion if there is one.
+    The default order is engagement, then a hash of the row. Pass the time of ingestion if there is one.
     """
-    order = order or [F.col("engagement_total"), *[F.col(c) for c in batch.columns if c != "engagement_total"]]
+    order = order or [F.col("engagement_total")]
     return last_per_key(batch.filter(has_id()), ["id", "event_date"], order).unionByName(batch.filter(~has_id()))
 
 
@@ -117,19 +128,22 @@ def _as_often(fresh: DataFrame, old: DataFrame) -> DataFrame:
     return counted.select(*fresh.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_i")).drop("_i")
 
 
-def merge_posts(batch: DataFrame, root: str, order: list[Column] | None = None) -> None:
+def merge_posts(batch: DataFrame, root: str, order: list[Column] | None = None, settled: bool = False) -> None:
     """Merge by id into the days the batch touches; the batch wins, other days are left alone.
 
     ``created_at`` of a post does not change, so an id stays in one day. Of several rows of one id in
     the batch the ``latest`` wins. Posts without an id are told apart by their whole row, and exact
     repeats of one are counted. A batch may hold part of a day, and merging it again gives the
     same lake. Existing rows are only filtered, not sorted or aggregated.
+    ``settled`` says that the batch is a plain read of files already and need not be written again.
     """
-    given = settle(conform(batch, ENRICHED), "merge-batch")
-    existing = _existing(batch.sparkSession, root)
-    if existing is None:
+    given = conform(batch, ENRICHED)
+    if not settled:
+        given = settle(given, "merge-batch")
+    lake = existing(batch.sparkSession, root)
+    if lake is None:
         return overwrite_days(latest(given, order), root)
-    old = touched(existing, given)
+    old = touched(lake, given)
     ids = given.filter(has_id()).select("id", "event_date")
     kept = old.filter(has_id()).join(ids, (old["id"] == ids["id"]) & old["event_date"].eqNullSafe(ids["event_date"]), "left_anti")
     anonymous = _as_often(given.filter(~has_id()), old.filter(~has_id()))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +38,9 @@ def listing(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFram
 
 def object_inventory(spark: SparkSession, root: str, schema: T.StructType | None = None, glob: str = "*.parquet") -> DataFrame:
     """``key, partition, rows, bytes`` per object: the listing, with row counts; an empty object has 0."""
-    counted = read_lake_flat(spark, root, schema).groupBy(F.col("_metadata.file_path").alias("at")).agg(F.count(F.lit(1)).alias("rows"))
+    # The scan spells its paths as URIs, the listing as they are.
+    spelt = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    counted = read_lake_flat(spark, root, schema).groupBy(spelt.alias("at")).agg(F.count(F.lit(1)).alias("rows"))
     folder = F.regexp_extract("key", r"((?:[^/=]+=[^/]*/)+)[^/]*$", 1)
     plain = lambda c: F.regexp_replace(c, "^file:/+", "/")  # noqa: E731  the two spell local paths differently
     found = listing(spark, root, glob)
@@ -77,28 +80,42 @@ def file_schemas(spark: SparkSession, root: str, glob: str = "*.parquet") -> Dat
     return listing(spark, root, glob).select(F.col("key").alias("path")).mapInPandas(_footers, "file string, column string, type string")
 
 
+def lake_layouts(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
+    """``layout, keys, paths, sample``: which directories hold files of which column layout.
+
+    ``keys`` are the names of the directories' partition keys. A directory whose files agree stands for
+    them; only where files of one directory disagree are they named one by one.
+    """
+    found = file_schemas(spark, root, glob).groupBy("file").agg(F.md5(F.to_json(F.sort_array(F.collect_list(F.struct("column", "type"))))).alias("layout"))
+    folder = F.regexp_replace("file", "/[^/]*$", "")
+    below = F.regexp_extract_all("file", F.lit(r"/([^/=]+)=[^/]*(?=/)"), 1)
+    placed = found.select("file", "layout", folder.alias("folder"), below.alias("keys"))
+    by_folder = placed.groupBy("folder", "keys").agg(F.count_distinct("layout").alias("n"), F.min("layout").alias("layout"), F.min("file").alias("sample"))
+    pure = by_folder.filter("n = 1").select("layout", "keys", F.col("folder").alias("path"), "sample")
+    mixed = placed.join(by_folder.filter("n > 1").select("folder"), "folder").select("layout", "keys", F.col("file").alias("path"), F.col("file").alias("sample"))
+    return pure.union(mixed).groupBy("layout", "keys").agg(F.collect_list("path").alias("paths"), F.min("sample").alias("sample"))
+
+
 def read_drifted(spark: SparkSession, root: str, schema: T.StructType, glob: str = "*.parquet") -> DataFrame:
     """Read a lake whose files disagree on types, each group of like files cast to ``schema``.
 
     Spark's scan wants one physical type per column. The footers say which column layouts there are
-    (as many as writers had versions, not as files); each layout is one Spark scan over the folders
-    and files that have it, with pruning and pushdown, and the scans are united. A cast that would
-    lose a value fails under ANSI rules; a column that a layout lacks is null.
+    (as many as writers had versions, not as files); each layout is one Spark scan over the
+    directories that have it, with ``root`` as its base: partition columns come from the directories,
+    and filters on them prune. The scans are united. The driver sees directories, as it does for any
+    scan. A cast that would lose a value fails under ANSI rules; a column that a layout lacks is null.
     """
-    found = file_schemas(spark, root, glob).groupBy("file").agg(F.sort_array(F.collect_list(F.struct("column", "type"))).alias("layout"))
-    layouts = found.groupBy("layout").agg(F.min("file").alias("sample"), F.collect_list("file").alias("files")).collect()
+    wanted = {f.name: f for f in schema}
     scans = []
-    for row in layouts:
-        physical = spark.read.parquet(row["sample"]).schema
-        rows = spark.read.schema(physical).parquet(*row["files"])
-        have = set(physical.fieldNames())
+    for row in lake_layouts(spark, root, glob).collect():
+        physical = [f for f in spark.read.parquet(row["sample"]).schema if f.name not in row["keys"]]
+        keys = [wanted.get(k, T.StructField(k, T.StringType())) for k in row["keys"]]
+        rows = spark.read.schema(T.StructType([*physical, *keys])).option("basePath", root).option("pathGlobFilter", glob).parquet(*row["paths"])
+        have = {f.name for f in (*physical, *keys)}
         scans.append(rows.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]))
     if not scans:
         return spark.createDataFrame([], schema)
-    out = scans[0]
-    for scan in scans[1:]:
-        out = out.unionByName(scan)
-    return out
+    return reduce(DataFrame.unionByName, scans)
 
 
 def read_probe(name: str, action: Callable[[], object]) -> dict[str, object]:
