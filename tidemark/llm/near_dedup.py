@@ -5,10 +5,13 @@ times its inverse document frequency. Two texts are linked if their weighted Jac
 the sum of smaller weights over the sum of larger ones, reaches ``SIMILARITY``; classes are the
 connected components. Texts are compared word by word, unchanged.
 
-*Frequencies* count all documents, for every shingle: ``1 + ln((1 + N) / (1 + df))``. Distinct texts
-are cut into chunks of ``CHUNK_BYTES``; a chunk sends its distinct shingles, sorted and cut into hash
-ranges, to be summed by range, and gets back those that stand in more than one document. So a shingle
-meets others once per chunk, however many texts hold it, and no task holds more than a few ranges.
+*Frequencies* count all documents, for every shingle: ``1 + ln((1 + N) / (1 + df))``. Documents are
+dealt by a hash of id and text to buckets of about ``BUCKET_BYTES``, once; copies of one text spread
+over them. A bucket sends its distinct shingles, sorted and cut into hash ranges, each with a byte for
+its count (more where that does not suffice), to be summed by range. Back come the places of those that
+stand in more than one document, with their counts, and the bucket, which has kept its texts, works
+its shingles out again. So a shingle meets others once per bucket, however many texts hold it, and no
+task holds more than a few ranges.
 
 *Sketches*: improved consistent weighted sampling (Ioffe 2010) draws ``BANDS * ROWS`` samples; two
 texts agree in each with a probability equal to their similarity. *Bands* of ``ROWS`` samples put
@@ -55,7 +58,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 12, 3
 #: Shingles in less than this share of the documents all weigh the same: none, each has its own count.
 SHARE = 0
-CHUNK_BYTES = 4 << 20
+BUCKET_BYTES = 4 << 20
 LEAST_AGREEMENT = 0.55
 LEAST_SURE = 0.4
 #: Texts of each bucket, drawn at random, that its members are compared with beside the fullest.
@@ -80,20 +83,6 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h[at], np.diff(np.r_[at, len(h)]), np.searchsorted(at, of)
 
 
-def chunks(keyed: DataFrame) -> DataFrame:
-    """Each text once (digest, its smallest doc_id, copies, text), with the chunk it belongs to."""
-
-    def tag(batch: pa.RecordBatch):
-        texts, digests = column(batch, "text"), column(batch, "digest")
-        name = np.empty(batch.num_rows, object)
-        for begin, end in slices(texts, CHUNK_BYTES):
-            name[begin:end] = digests[begin].as_py()
-        yield pa.RecordBatch.from_arrays([pa.array(name, pa.binary()), *batch.columns], ["chunk", *batch.schema.names])
-
-    each = keyed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("text").alias("text"))
-    return each.mapInArrow(map_rows(tag), "chunk binary, digest binary, doc_id long, copies long, text string")
-
-
 def _summed(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values, sorted, and the sums of their counts."""
     order = np.argsort(h, kind="stable")
@@ -102,56 +91,87 @@ def _summed(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[first], np.add.reduceat(n[order], first) if len(h) else np.zeros(0, np.int64)
 
 
-_RANGED = "chunk binary, range int, shingles binary, n binary"
+def pack_counts(n: np.ndarray) -> bytes:
+    """Counts of one and more, a byte each, those of 255 and more in full behind."""
+    return np.minimum(n, 255).astype(np.uint8).tobytes() + n[n >= 255].astype("<i8").tobytes()
+
+
+def unpack_counts(packed: bytes, size: int) -> np.ndarray:
+    out = np.frombuffer(packed, np.uint8, size).astype(np.int64)
+    out[out == 255] = np.frombuffer(packed, "<i8", offset=size)
+    return out
+
+
+_SENT = "bucket int, range int, shingles binary, n binary"
+_ANSWER = "bucket int, range int, at binary, n binary, shingles binary"
+
+
+def _in_ranges(h: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each hash range begins among sorted shingles (ranges + 1 values)."""
+    return np.searchsorted((h >> U64(32)) * U64(ranges) >> U64(32), np.arange(ranges + 1, dtype=U64))
+
+
+def _distinct_of(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of all texts of a bucket, sorted, and how many of the texts hold each."""
+    parts = []
+    for chunk in texts.chunks:
+        for begin, end in slices(chunk):
+            parts.append(shingles(chunk.slice(begin, end - begin))[0])
+    h = np.concatenate([np.zeros(0, U64), *parts])
+    return _summed(h, np.ones(len(h), np.int64))
 
 
 def _by_range(ranges: int):
-    def run(batch: pa.RecordBatch):
-        texts, names = column(batch, "text"), column(batch, "chunk").to_pylist()
-        copies = column(batch, "copies").to_numpy(zero_copy_only=False)
-        cuts = [i for i in range(len(names)) if i == 0 or names[i] != names[i - 1]] + [len(names)]
-        for begin, end in zip(cuts, cuts[1:]):
-            h, _, offsets = shingles(texts.slice(begin, end - begin))
-            h, n = _summed(h, np.repeat(copies[begin:end], np.diff(offsets)))
-            at = np.searchsorted((h >> U64(32)) * U64(ranges) >> U64(32), np.arange(ranges + 1, dtype=U64))
-            full = np.flatnonzero(at[:-1] < at[1:])
-            parts = [slice(at[r], at[r + 1]) for r in full]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([names[begin]] * len(full), pa.binary()), pa.array(full, pa.int32()),
-                    pa.array([h[x].tobytes() for x in parts], pa.binary()), pa.array([n[x].tobytes() for x in parts], pa.binary()),
-                ],
-                ["chunk", "range", "shingles", "n"],
-            )
+    def run(rows: pa.Table) -> pa.Table:
+        h, n = _distinct_of(rows.column("text"))
+        at = _in_ranges(h, ranges)
+        full = np.flatnonzero(at[:-1] < at[1:])
+        parts = [slice(at[r], at[r + 1]) for r in full]
+        return pa.table(
+            {
+                "bucket": pa.array([rows.column("bucket")[0].as_py()] * len(full), pa.int32()), "range": pa.array(full, pa.int32()),
+                "shingles": pa.array([h[x].tobytes() for x in parts], pa.binary()), "n": pa.array([pack_counts(n[x]) for x in parts], pa.binary()),
+            }
+        )
 
     return run
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each chunk, its shingles of the range that stand in more than one document, with their counts."""
-    held: dict[int, list] = {}
-    for batch in batches:
-        for chunk, r, h, n in zip(*(c.to_pylist() for c in batch.columns)):
-            held.setdefault(r, []).append((chunk, np.frombuffer(h, U64), np.frombuffer(n, np.int64)))
-    while held:
-        r, parts = held.popitem()
-        h, n = _summed(np.concatenate([x[1] for x in parts]), np.concatenate([x[2] for x in parts]))
-        h, n = h[n > 1], n[n > 1]
-        out = []
-        for chunk, own, _ in parts:
-            at = np.searchsorted(h, own)
-            at[at == len(h)] = 0
-            at = at[h[at] == own] if len(h) else at[:0]
-            if len(at):
-                out.append((chunk, r, h[at].tobytes(), n[at].tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.binary(), pa.int32(), pa.binary(), pa.binary()))], ["chunk", "range", "shingles", "n"])
-
-
-def frequencies(chunked: DataFrame) -> DataFrame:
-    """(chunk, range, shingles, n): per chunk and hash range, what stands in more than one document, and in how many."""
-    ranges = int(chunked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = chunked.select("chunk", "copies", "text").mapInArrow(map_rows(_by_range(ranges)), _RANGED)
-    return sent.repartition(ranges, "range").mapInArrow(_repeated, _RANGED)
+def _repeated(full: bool):
+    """For each bucket, which of its shingles of a range stand in more than one document, and in how many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for batch in batches:
+            for bucket, r, h, n in zip(*(c.to_pylist() for c in batch.columns)):
+                held.setdefault(r, []).append((bucket, np.frombuffer(h, U64), unpack_counts(n, len(h) // 8)))
+        while held:
+            r, parts = held.popitem()
+            h, n = _summed(np.concatenate([x[1] for x in parts]), np.concatenate([x[2] for x in parts]))
+            h, n = h[n > 1], n[n > 1]
+            out = []
+            for bucket, own, _ in parts:
+                at = np.searchsorted(h, own)
+                at[at == len(h)] = 0
+                here = np.flatnonzero(h[at] == own) if len(h) else np.zeros(0, np.int64)
+                if len(here):
+                    out.append((bucket, r, here.astype("<u4").tobytes(), pack_counts(n[at[here]]), own[here].tobytes() if full else None))
+            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], ["bucket", "range", "at", "n", "shingles"])
+
+    return run
+
+
+def _ranges(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def frequencies(dealt: DataFrame, full: bool = False) -> DataFrame:
+    """(bucket, range, at, n): places, among a bucket's distinct shingles of a hash range, of those that
+    stand in more than one document, and in how many. ``full`` adds the shingles themselves."""
+    ranges = _ranges(dealt)
+    sent = dealt.groupBy("bucket").applyInArrow(_by_range(ranges), _SENT)
+    return sent.repartition(ranges, "range").mapInArrow(_repeated(full), _ANSWER)
 
 
 def idf(n: np.ndarray, total: int) -> np.ndarray:
@@ -168,10 +188,10 @@ class Weights:
 
 
 def fit_weights(docs: DataFrame) -> Weights:
-    rows = frequencies(chunks(_keyed(docs))).select("shingles", "n").collect()
+    rows = frequencies(_dealt(_keyed(docs)), full=True).select("shingles", "n").collect()
     total = docs.count()
-    h = np.concatenate([np.frombuffer(r["shingles"], U64) for r in rows] or [np.zeros(0, U64)])
-    n = np.concatenate([np.frombuffer(r["n"], np.int64) for r in rows] or [np.zeros(0, np.int64)])
+    h = np.concatenate([np.zeros(0, U64), *(np.frombuffer(r["shingles"], U64) for r in rows)])
+    n = np.concatenate([np.zeros(0, np.int64), *(unpack_counts(r["n"], len(r["shingles"]) // 8) for r in rows)])
     h, first = np.unique(h, return_index=True)
     return Weights(float(idf(np.ones(1), total)[0]), h, idf(n[first], total))
 
@@ -216,6 +236,8 @@ def samples(h: np.ndarray, weight: np.ndarray, offsets: np.ndarray) -> np.ndarra
 
 
 _SKETCHED = "digest binary, doc_id long, copies long, bands array<long>, finer array<long>, samples binary, df binary, prefix array<long>"
+_LONGS = pa.list_(pa.int64())
+_SKETCH_SCHEMA = pa.schema([("digest", pa.binary()), ("doc_id", pa.int64()), ("copies", pa.int64()), ("bands", _LONGS), ("finer", _LONGS), ("samples", pa.binary()), ("df", pa.binary()), ("prefix", _LONGS)])
 
 
 def prefix(h: np.ndarray, weight: np.ndarray, df: np.ndarray, least: float) -> np.ndarray:
@@ -226,28 +248,35 @@ def prefix(h: np.ndarray, weight: np.ndarray, df: np.ndarray, least: float) -> n
     return h[order[df[order] > 1]]
 
 
-def sketches(chunked: DataFrame, total: int, least: float = SIMILARITY) -> DataFrame:
+def sketches(dealt: DataFrame, chosen: DataFrame, total: int, least: float = SIMILARITY) -> DataFrame:
     """digest, doc_id, copies, bands and finer bands (64-bit keys), and the samples in 32 bits each.
 
-    Also ``df``, the document frequencies of the text's distinct shingles, in the order of ``shingles``,
-    and the text's ``prefix``.
+    One row for each text with words, from the document that ``chosen`` (bucket, digest, doc_id,
+    copies) names. Also ``df``, the document frequencies of the text's distinct shingles, in the order
+    of ``shingles``, and the text's ``prefix``.
     """
-
-    def run(counts: pa.Table, rows: pa.Table) -> pa.Table:
-        known = np.concatenate([np.frombuffer(x, U64) for x in counts["shingles"].to_pylist()] or [np.zeros(0, U64)])
-        often = np.concatenate([np.frombuffer(x, np.int64) for x in counts["n"].to_pylist()] or [np.zeros(0, np.int64)])
-        order = np.argsort(known)
-        known, often, out = known[order], often[order], []
+    ranges = _ranges(dealt)
+
+    def run(told: pa.Table, rows: pa.Table) -> pa.Table:
+        known, _ = _distinct_of(rows.column("text"))
+        begin_of, often = _in_ranges(known, ranges), np.ones(len(known), np.int64)
+        copies_of = {}
+        for r, at, n, digest, copies in zip(*(told.column(c).to_pylist() for c in ("range", "at", "n", "digest", "copies"))):
+            if digest is not None:
+                copies_of[digest] = copies
+            else:
+                place = np.frombuffer(at, "<u4")
+                often[begin_of[r] + place] = unpack_counts(n, len(place))
+        # Of rows alike in id and text one is enough.
+        speaks = [copies_of.pop(d, None) for d in rows.column("digest").to_pylist()]
+        mine = np.array([c is not None for c in speaks], bool)
+        rows = rows.filter(pa.array(mine)).append_column("copies", pa.array([c for c in speaks if c is not None], pa.int64()))
+        out = [pa.RecordBatch.from_pylist([], _SKETCH_SCHEMA)]
         for batch in rows.combine_chunks().to_batches():
             texts = column(batch, "text")
             for begin, end in slices(texts):
                 h, tf, offsets = shingles(texts.slice(begin, end - begin))
-                df = np.ones(len(h), np.int64)
-                if len(known):
-                    at = np.searchsorted(known, h)
-                    at[at == len(known)] = 0
-                    found = known[at] == h
-                    df[found] = often[at[found]]
+                df = often[np.searchsorted(known, h)] if len(known) else np.ones(len(h), np.int64)
                 weight = tf * idf(df, total)
                 got = samples(h, weight, offsets)
                 by_band = got.reshape(len(got), BANDS, ROWS)
@@ -266,14 +295,17 @@ def sketches(chunked: DataFrame, total: int, least: float = SIMILARITY) -> DataF
                         [
                             column(part, "digest"), column(part, "doc_id"), column(part, "copies"), lists(bands), lists(finer),
                             pa.array([x.tobytes() for x in small], pa.binary()), pa.array([df[x].tobytes() for x in spans], pa.binary()),
-                            pa.array(rare, pa.list_(pa.int64())),
+                            pa.array(rare, _LONGS),
                         ],
-                        ["digest", "doc_id", "copies", "bands", "finer", "samples", "df", "prefix"],
+                        schema=_SKETCH_SCHEMA,
                     )
                 )
         return pa.Table.from_batches(out)
 
-    return frequencies(chunked).groupBy("chunk").cogroup(chunked.groupBy("chunk")).applyInArrow(run, _SKETCHED)
+    answers = frequencies(dealt).select("bucket", "range", "at", "n", F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("long").alias("copies"))
+    nothing = F.lit(None).cast("binary")
+    told = answers.union(chosen.select("bucket", F.lit(None).cast("int"), nothing, nothing, "digest", "copies"))
+    return told.groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInArrow(run, _SKETCHED)
 
 
 def candidates(distinct: DataFrame) -> DataFrame:
@@ -349,7 +381,7 @@ def links(pairs: DataFrame, texts: DataFrame, total: int, least: float) -> DataF
     side = lambda name: texts.select(F.col("digest").alias(name), F.col("text").alias(f"text_{name}"), F.col("df").alias(f"df_{name}"))
     fetched = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
     # The exact similarity may come out a rounding error below.
-    return similarity(fetched, total).where(F.col("similarity") >= least - 1e-9).select("a", "b")
+    return similarity(fetched, total).where(F.col("similarity") >= least - 1e-9).select("a", "b").distinct()
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -357,16 +389,33 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return _rooted(_rooted(pairs, roots, "a"), roots, "b").where("root_a <> root_b")
 
 
-def _texts(pairs: DataFrame, chunked: DataFrame, distinct: DataFrame) -> DataFrame:
-    """The texts of ``pairs`` and their frequencies."""
+def _texts(pairs: DataFrame, keyed: DataFrame, distinct: DataFrame) -> DataFrame:
+    """The texts of ``pairs`` and their frequencies. Joined on the id as well, so that copies spread."""
     ends = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
-    return chunked.select("digest", "text").join(distinct.select("digest", "df").join(ends, "digest", "left_semi"), "digest")
+    wanted = settle(distinct.select("digest", F.col("doc_id").alias("__id"), "df").join(ends, "digest", "left_semi"), "dedup-ends")
+    same = (keyed["digest"] == wanted["digest"]) & keyed["doc_id"].eqNullSafe(wanted["__id"])
+    return keyed.join(wanted, same).select(keyed["digest"], "text", "df")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("digest", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
 
 
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64("digest", "doc_id"), F.lit(buckets)).cast("int")
+
+
+def _buckets(keyed: DataFrame) -> int:
+    size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, -(-size // BUCKET_BYTES))
+
+
+def _dealt(keyed: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Digest, id and text, in buckets; shuffled once, as all that uses it takes all its columns."""
+    rows = keyed.select("digest", F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.select(_bucket(buckets or _buckets(keyed)).alias("bucket"), "*").repartition("bucket")
+
+
 def text_classes(keyed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One row per distinct text with words (digest), with its class.
 
@@ -374,11 +423,13 @@ def text_classes(keyed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     digest of the text that speaks for the class: the one of that smallest doc_id.
     """
     keyed = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "digest")
-    chunked = settle(chunks(keyed), "dedup-chunks")
-    total = chunked.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
-    distinct = settle(sketches(chunked, total, least), "dedup-sketches")
+    buckets = _buckets(keyed)
+    copies = settle(keyed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), "dedup-copies")
+    total = copies.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    chosen = copies.select(_bucket(buckets).alias("bucket"), "digest", "copies")
+    distinct = settle(sketches(_dealt(keyed, buckets), chosen, total, least), "dedup-sketches")
     pairs = settle(candidates(distinct), "dedup-pairs")
-    texts = settle(_texts(pairs, chunked, distinct), "dedup-texts")
+    texts = settle(_texts(pairs, keyed, distinct), "dedup-texts")
     # Each text's best candidate first: most classes are whole after that.
     best = pairs.select("a", "b", "agreement", F.col("a").alias("x")).union(pairs.select("a", "b", "agreement", "b"))
     best = best.groupBy("x").agg(F.max_by(F.struct("a", "b"), F.struct("agreement", "b", "a")).alias("p")).select("p.a", "p.b").distinct()
@@ -389,7 +440,7 @@ def text_classes(keyed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     roots = components(found)
     rest = settle(missed(distinct, roots), "dedup-missed")
     if not rest.isEmpty():
-        texts = settle(_texts(rest, chunked, distinct), "dedup-texts")
+        texts = settle(_texts(rest, keyed, distinct), "dedup-texts")
         best = _apart(rest, roots).groupBy(F.least("root_a", "root_b").alias("x"), F.greatest("root_a", "root_b").alias("y"))
         best = settle(best.agg(F.max(F.struct("agreement", "a", "b")).alias("p")).select("p.a", "p.b"), "dedup-best")
         found = settle(found.union(links(best, texts, total, least)), "dedup-links")
