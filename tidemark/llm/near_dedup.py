@@ -28,8 +28,10 @@ candidates that the links so far do not connect.
 
 *What the buckets missed* is found by a prefix filter. With a text's shingles ordered from rare to
 frequent, two texts at ``least`` or more share one of those that come before the first text's weight
-passes ``1 - least`` of its whole. Texts of different components that share such a shingle are
-compared, again the most alike of each two components first. A shingle of one component alone is
+passes ``1 - least`` of its whole. The first shingle they share, in that order, leaves room for enough
+common weight behind it, and their whole weights differ by a factor of ``least`` at most. Texts of
+different components for which a shared shingle meets both are compared, again the most alike of each
+two components first. A shingle of one component alone is
 dropped before anything is paired, so a family of linked copies costs no pairs. Only pairs whose
 sketches agree in less than ``LEAST_SURE`` are not fetched (a pair at 0.8 falls there once in 10
 million times).
@@ -235,17 +237,24 @@ def samples(h: np.ndarray, weight: np.ndarray, offsets: np.ndarray) -> np.ndarra
     return out
 
 
-_SKETCHED = "digest binary, doc_id long, copies long, bands array<long>, finer array<long>, samples binary, df binary, prefix array<long>"
+_SKETCHED = (
+    "digest binary, doc_id long, copies long, bands array<long>, finer array<long>, samples binary, df binary, weight double, prefix array<long>, rest array<double>"
+)
 _LONGS = pa.list_(pa.int64())
-_SKETCH_SCHEMA = pa.schema([("digest", pa.binary()), ("doc_id", pa.int64()), ("copies", pa.int64()), ("bands", _LONGS), ("finer", _LONGS), ("samples", pa.binary()), ("df", pa.binary()), ("prefix", _LONGS)])
+_SKETCH_SCHEMA = pa.schema(
+    [("digest", pa.binary()), ("doc_id", pa.int64()), ("copies", pa.int64()), ("bands", _LONGS), ("finer", _LONGS), ("samples", pa.binary()), ("df", pa.binary())]
+    + [("weight", pa.float64()), ("prefix", _LONGS), ("rest", pa.list_(pa.float64()))]
+)
 
 
-def prefix(h: np.ndarray, weight: np.ndarray, df: np.ndarray, least: float) -> np.ndarray:
-    """The rarest shingles of a text, of which each text as near as ``least`` has one among its own rarest."""
+def prefix(h: np.ndarray, weight: np.ndarray, df: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The rarest shingles of a text, of which each text as near as ``least`` has one among its own rarest,
+    and for each the weight from it on."""
     order = np.lexsort((h, df))
+    whole = weight.sum()
     before = np.cumsum(weight[order]) - weight[order]
-    order = order[before <= (1 - least + 1e-6) * weight.sum()]
-    return h[order[df[order] > 1]]
+    first = (before <= (1 - least + 1e-6) * whole) & (df[order] > 1)
+    return h[order[first]], whole - before[first]
 
 
 def sketches(dealt: DataFrame, chosen: DataFrame, total: int, least: float = SIMILARITY) -> DataFrame:
@@ -288,14 +297,14 @@ def sketches(dealt: DataFrame, chosen: DataFrame, total: int, least: float = SIM
                 part = batch.slice(begin, end - begin).take(pa.array(full))
                 lists = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x[full].view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64()))
                 spans = [slice(offsets[i], offsets[i + 1]) for i in full]
-                rare = [prefix(h[x], weight[x], df[x], least).view(np.int64) for x in spans]
+                rare = [prefix(h[x], weight[x], df[x], least) for x in spans]
                 small = (got[full] & U64(0xFFFFFFFF)).astype("<u4")
                 out.append(
                     pa.RecordBatch.from_arrays(
                         [
                             column(part, "digest"), column(part, "doc_id"), column(part, "copies"), lists(bands), lists(finer),
                             pa.array([x.tobytes() for x in small], pa.binary()), pa.array([df[x].tobytes() for x in spans], pa.binary()),
-                            pa.array(rare, _LONGS),
+                            pa.array([weight[x].sum() for x in spans], pa.float64()), pa.array([r[0].view(np.int64) for r in rare], _LONGS), pa.array([r[1] for r in rare], pa.list_(pa.float64())),
                         ],
                         schema=_SKETCH_SCHEMA,
                     )
@@ -337,16 +346,27 @@ def agreeing(pairs: DataFrame, distinct: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "samples_a", "samples_b").mapInArrow(map_rows(agree), "a binary, b binary, agreement double").where(F.col("agreement") >= least)
 
 
-def missed(distinct: DataFrame, roots: DataFrame) -> DataFrame:
-    """(a, b, agreement): texts of different components that share a shingle of both prefixes."""
-    rare = _rooted(distinct.select("digest", F.explode("prefix").alias("shingle")), roots, "digest")
+def missed(distinct: DataFrame, roots: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(a, b, agreement): texts of different components that may be as near as ``least`` by the weights
+    that their shared rare shingles leave."""
+    near = distinct.select("digest", "weight", F.explode(F.arrays_zip("prefix", "rest")).alias("p"))
+    # Texts whose weights differ by ``least`` at most are in the same level or in neighbouring ones.
+    level = F.floor(F.log("weight") / F.log(F.lit(1 / least))).cast("int")
+    rare = _rooted(near.select("digest", "weight", level.alias("level"), F.col("p.prefix").alias("shingle"), F.col("p.rest").alias("rest")), roots, "digest")
     # Members of a shingle by component: one alone has no pairs to add.
     mixed = rare.groupBy("shingle").agg(F.min("root_digest").alias("low"), F.max("root_digest").alias("high")).where("low <> high").select("shingle")
     rare = settle(rare.join(mixed, "shingle"), "dedup-rare")
     # The largest component of a shingle is only one side of its pairs.
     main = rare.groupBy("shingle", "root_digest").agg(F.count("*").alias("n")).groupBy("shingle").agg(F.max(F.struct("n", "root_digest")).getField("root_digest").alias("main"))
-    small = rare.join(main, "shingle").where("root_digest <> main").select("shingle", F.col("digest").alias("x"), F.col("root_digest").alias("root_x"))
-    pairs = rare.join(small, "shingle").where("root_digest <> root_x").select(F.greatest("digest", "x").alias("a"), F.least("digest", "x").alias("b")).distinct()
+    small = rare.join(main, "shingle").where("root_digest <> main").select(
+        "shingle", F.explode(F.array(*[F.col("level") + i for i in (-1, 0, 1)])).alias("level"),
+        F.col("digest").alias("x"), F.col("root_digest").alias("root_x"), F.col("weight").alias("weight_x"), F.col("rest").alias("rest_x"),
+    )
+    sure = 1 - 1e-6  # for rounding
+    enough = F.least("rest", "rest_x") >= (F.col("weight") + F.col("weight_x")) * (least / (1 + least) * sure)
+    alike = F.least("weight", "weight_x") >= F.greatest("weight", "weight_x") * (least * sure)
+    met = rare.join(small, ["shingle", "level"]).where((F.col("root_digest") != F.col("root_x")) & alike & enough)
+    pairs = met.select(F.greatest("digest", "x").alias("a"), F.least("digest", "x").alias("b")).distinct()
     return agreeing(pairs, distinct, LEAST_SURE)
 
 
@@ -438,7 +458,7 @@ def text_classes(keyed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     open_ = _apart(pairs.join(best, ["a", "b"], "left_anti"), roots).select("a", "b")
     found = settle(found.union(links(open_, texts, total, least)), "dedup-links")
     roots = components(found)
-    rest = settle(missed(distinct, roots), "dedup-missed")
+    rest = settle(missed(distinct, roots, least), "dedup-missed")
     if not rest.isEmpty():
         texts = settle(_texts(rest, keyed, distinct), "dedup-texts")
         best = _apart(rest, roots).groupBy(F.least("root_a", "root_b").alias("x"), F.greatest("root_a", "root_b").alias("y"))
