@@ -3,10 +3,11 @@
 The lexicon is a table the caller brings (thousands of entries); boosters, negators and idioms are
 short lists and travel as literals. Shape of the job:
 
-1. each text becomes rows that already carry their neighbours (no window, no shuffle);
-2. the lexicon join keeps only lexicon words, plus one marker row per text;
-3. rules run on those few rows; one map-side combined aggregate per text collects the survivors;
-4. ordered array expressions finish the score.
+1. each text becomes rows that already carry their neighbours (no window, no shuffle), and a marker;
+2. one join with the lexicon keeps lexicon words and markers;
+3. one map-side combined aggregate per text gathers its hits in order of place;
+4. rules run on that array, where whether a neighbour is a lexicon word too shows in the hits next to
+   it, and ordered array expressions finish the score.
 
 Words without valence never reach the shuffle.
 """
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from heapq import heappop, heappush
 
 import pandas as pd
@@ -39,6 +41,8 @@ NORMAL_ALPHA = 15.0
 
 # A noncharacter, so no text holds it.
 _MARK = "\uffff"
+#: Marker words, over which the ends of texts spread.
+MARKERS = 256
 
 
 @dataclass(frozen=True)
@@ -118,9 +122,22 @@ def emoji_to_words(texts: DataFrame, emoji: DataFrame, key: str, text: str = "te
     return named.withColumn(text, F.when(F.size("_found") > 0, spaced).otherwise(F.col(text))).drop("_known", "_found")
 
 
-def _context_rows(texts: DataFrame, key: str, text: str, rules: ValenceRules) -> DataFrame:
-    """One row per word position with three words before and two after, and a marker row at the end."""
-    base = texts.select(key, valence_words(F.col(text)).alias("raw"), punctuation_emphasis(F.coalesce(F.col(text), F.lit(""))).alias("emphasis"))
+def _marker(key: Column) -> Column:
+    """A word that no text holds, one of ``MARKERS``, so that the markers of all texts spread over tasks."""
+    return F.concat(F.lit(_MARK), F.pmod(F.xxhash64(key), F.lit(MARKERS)).cast("string"))
+
+
+_NEAR = [f"low_b{k}" for k in (1, 2, 3)] + [f"raw_b{k}" for k in (1, 2, 3)] + ["low_a1", "low_a2"]
+
+
+def _context_rows(texts: DataFrame, key: str, text: str, rules: ValenceRules, carry: Sequence[str]) -> DataFrame:
+    """One row per word position with three words before and two after, and a marker row at the end,
+    which alone holds the ``carry`` columns."""
+    base = texts.select(
+        key, F.struct(*carry).alias("carried") if carry else F.lit(None).cast("boolean").alias("carried"),
+        valence_words(F.col(text)).alias("raw"), punctuation_emphasis(F.coalesce(F.col(text), F.lit(""))).alias("emphasis"),
+    )
+    base = base.withColumn("raw", F.coalesce("raw", F.array().cast("array<string>")))
     base = base.withColumns({"low": F.transform("raw", F.lower), "n": F.size("raw").cast("bigint")})
     base = base.withColumn("n_upper", F.size(F.filter("raw", is_upper)))
     mixed_caps = (F.col("n_upper") > 0) & (F.col("n_upper") < F.col("n"))
@@ -132,13 +149,16 @@ def _context_rows(texts: DataFrame, key: str, text: str, rules: ValenceRules) ->
     def after(k: int) -> Column:
         return F.slice("low", k + 1, F.greatest(F.col("n") - k, F.lit(0)).cast("int")).alias(f"low_a{k}")
 
+    # One post at the end of as many nulls as there are words: no word's row copies it.
+    last = F.transform(F.concat(F.transform("low", lambda w: F.lit(False)), F.array(F.lit(True))), lambda end: F.when(end, F.col("carried")))
     zipped = F.arrays_zip(
+        F.concat("low", F.array(_marker(F.col(key)))).alias("low"),
         F.col("raw"),
-        F.col("low"),
         *[before("low", k) for k in (1, 2, 3)],
         *[before("raw", k) for k in (1, 2, 3)],
         after(1),
         after(2),
+        last.alias("carried"),
     )
     base = base.select(
         key,
@@ -151,27 +171,43 @@ def _context_rows(texts: DataFrame, key: str, text: str, rules: ValenceRules) ->
     return base.filter(F.col("pos") <= F.col("n")).select(key, "n", "emphasis", "mixed_caps", "contrast_at", "pos", "w.*")
 
 
-def _with_lexicon(rows: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Keep lexicon words and marker rows; add ``lex`` and membership of the neighbours."""
-    table = lexicon.select(F.col("token").alias("lex_token"), F.col("valence").alias("lex"))
-    hit = rows.join(table, F.col("low") == F.col("lex_token"), "left").drop("lex_token")
-    hit = hit.filter(F.col("lex").isNotNull() | (F.col("pos") == F.col("n")))
-    for name in ("low_b1", "low_b2", "low_b3", "low_a1"):
-        known = table.select(F.col("lex_token").alias(f"{name}_token"))
-        hit = hit.join(known, F.col(name) == F.col(f"{name}_token"), "left").withColumn(
-            f"{name}_lex", F.col(f"{name}_token").isNotNull()
-        ).drop(f"{name}_token")
-    return hit
+def _text_hits(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, key: str, text: str, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per text: its ``hits`` by place, each with its words around and whether those are lexicon
+    words (``in_1`` to ``in_3`` before, ``in_next`` after), ``n, emphasis, contrast_at, mixed_caps``, the
+    carried columns and how many rows there were of the key."""
+    spark = texts.sparkSession
+    marks = spark.range(MARKERS).select(F.concat(F.lit(_MARK), F.col("id").cast("string")).alias("lex_token"), F.lit(None).cast("double").alias("lex"))
+    table = lexicon.select(F.col("token").alias("lex_token"), F.col("valence").cast("double").alias("lex")).unionByName(marks)
+    rows = _context_rows(texts, key, text, rules, carry)
+    found = rows.join(table, F.col("low") == F.col("lex_token")).withColumn("ends", F.col("pos") == F.col("n"))
+    hit = F.when(~F.col("ends"), F.struct("pos", "lex", "low", "raw", *_NEAR))
+    per_text = found.groupBy(key).agg(
+        F.sort_array(F.collect_set(hit)).alias("found"),
+        F.max("n").alias("n"),
+        F.max("emphasis").alias("emphasis"),
+        F.max("contrast_at").alias("contrast_at"),
+        F.max("mixed_caps").alias("mixed_caps"),
+        F.count_if("ends").alias("copies"),
+        F.first("carried", ignorenulls=True).alias("carried"),
+    )
+
+    def near(h: Column, i: Column, k: int) -> Column:
+        """Whether the word ``k`` before is a hit: it is among the ``k`` hits before, if so."""
+        return reduce(Column.__or__, [F.coalesce(F.get("found", i - j)["pos"] == h["pos"] - k, F.lit(False)) for j in range(1, k + 1)])
 
+    def with_neighbours(h: Column, i: Column) -> Column:
+        after = F.coalesce(F.get("found", i + 1)["pos"] == h["pos"] + 1, F.lit(False))
+        known = [near(h, i, k).alias(f"in_{k}") for k in (1, 2, 3)]
+        return F.struct(*[h[c].alias(c) for c in ("pos", "lex", "low", "raw", *_NEAR)], *known, after.alias("in_next"))
 
-def word_valences(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, key: str, text: str = "text") -> DataFrame:
-    """``key, pos, valence`` of scored words, and one row per text with null valence.
+    return per_text.withColumn("hits", F.transform("found", with_neighbours)).drop("found")
 
-    Marker rows also carry ``n, emphasis, contrast_at``.
-    """
-    rows = _with_lexicon(_context_rows(texts, key, text, rules), lexicon)
-    b1, b2, b3 = F.col("low_b1"), F.col("low_b2"), F.col("low_b3")
-    low, a1, a2 = F.col("low"), F.col("low_a1"), F.col("low_a2")
+
+def _valence(hit: Column, rules: ValenceRules) -> Column:
+    """The valence of one hit after all rules but the contrast word."""
+    low, raw = hit["low"], hit["raw"]
+    b1, b2, b3, a1, a2 = (hit[c] for c in ("low_b1", "low_b2", "low_b3", "low_a1", "low_a2"))
+    mixed_caps = F.col("mixed_caps")
     booster_map, idiom_map = _literal_map(rules.boosters), _literal_map(rules.idioms)
     b32, b21, b321 = F.concat_ws(" ", b3, b2), F.concat_ws(" ", b2, b1), F.concat_ws(" ", b3, b2, b1)
     same = lambda c, *options: F.coalesce(c.isin(*options), F.lit(False))
@@ -187,9 +223,9 @@ def word_valences(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, key
         return listed | F.coalesce(word.contains("n't"), F.lit(False))
 
     def boosted(v: Column, k: int) -> Column:
-        boost = booster(F.col(f"low_b{k}"))
+        boost = booster(hit[f"low_b{k}"])
         boost = F.when(v < 0, -boost).otherwise(boost)
-        shouted = is_upper(F.col(f"raw_b{k}")) & F.col("mixed_caps")
+        shouted = is_upper(hit[f"raw_b{k}"]) & mixed_caps
         boost = F.when(shouted, boost + emphasis_of(v)).otherwise(boost) * DECAY[k]
         return v + F.coalesce(boost, F.lit(0.0))
 
@@ -226,30 +262,30 @@ def word_valences(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, key
     # "no" before a lexicon word stands for nothing itself and turns that word around.
     after_no = same(b1, "no") | same(b2, "no") | (same(b3, "no") & same(b1, "or", "nor"))
     v = (
-        F.when(after_no, F.col("lex") * rules.negation)
-        .when((low == "no") & F.col("low_a1_lex"), F.lit(0.0))
-        .otherwise(F.col("lex"))
+        F.when(after_no, hit["lex"] * rules.negation)
+        .when((low == "no") & hit["in_next"], F.lit(0.0))
+        .otherwise(hit["lex"])
     )
-    loud = is_upper(F.col("raw")) & F.col("mixed_caps")
+    loud = is_upper(raw) & mixed_caps
     v = _step(v, lambda x: F.when(loud, x + emphasis_of(x)).otherwise(x))
     for k in (1, 2, 3):
-        applies = F.col(f"low_b{k}").isNotNull() & ~F.col(f"low_b{k}_lex")
+        applies = hit[f"low_b{k}"].isNotNull() & ~hit[f"in_{k}"]
         v = _step(v, lambda x, k=k, on=applies: F.when(on, boosted(x, k)).otherwise(x))
         v = _step(v, lambda x, k=k, on=applies: F.when(on, turned(x, k)).otherwise(x))
         if k == 3 and (rules.idioms or rules.boosters):
             v = _step(v, lambda x, on=applies: F.when(on, with_idioms(x)).otherwise(x))
-    least = same(b1, "least") & ~F.col("low_b1_lex") & ~same(b2, "at", "very")
+    least = same(b1, "least") & ~hit["in_1"] & ~same(b2, "at", "very")
     v = _step(v, lambda x: F.when(least, x * rules.negation).otherwise(x))
     silent = same(low, *rules.boosters) if rules.boosters else F.lit(False)
     silent = silent | ((low == "kind") & same(a1, "of"))
-    return rows.select(
-        key,
-        "pos",
-        F.when(F.col("pos") < F.col("n"), F.when(silent, F.lit(0.0)).otherwise(v)).alias("valence"),
-        "n",
-        "emphasis",
-        "contrast_at",
-    )
+    return F.when(silent, F.lit(0.0)).otherwise(v)
+
+
+def word_valences(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, key: str, text: str = "text") -> DataFrame:
+    """``key, pos, valence`` of every lexicon word, with its text's ``n, emphasis, contrast_at``."""
+    hits = _text_hits(texts, lexicon, rules, key, text)
+    scored = F.transform("hits", lambda h: F.struct(h["pos"].alias("pos"), _valence(h, rules).alias("valence")))
+    return hits.select(key, "n", "emphasis", "contrast_at", F.explode(scored).alias("w")).select(key, "w.pos", "w.valence", "n", "emphasis", "contrast_at")
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -288,19 +324,14 @@ def contrast_rescale(values: Column, positions: Column, contrast_at: Column) ->
     return F.when(touched, scaled).otherwise(values)
 
 
-def valence_scores(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, key: str, text: str = "text") -> DataFrame:
-    """``key, neg, neu, pos, compound`` per text.
+def valence_scores(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, key: str, text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """``key, neg, neu, pos, compound`` per text, ``copies`` and the ``carried`` columns as a struct if asked for.
 
-    Rows that repeat a ``key`` must repeat its text; their hits collapse in the collected set.
+    Rows that repeat a ``key`` must repeat its text and what is carried; they give one row.
     """
-    hits = word_valences(texts, lexicon, rules, key, text)
-    scored = F.when(F.col("valence") != 0, F.struct("pos", "valence"))
-    per_text = hits.groupBy(key).agg(
-        F.sort_array(F.collect_set(scored)).alias("hits"),
-        F.max("n").alias("n"),
-        F.max("emphasis").alias("emphasis"),
-        F.max("contrast_at").alias("contrast_at"),
-    )
+    per_text = _text_hits(texts, lexicon, rules, key, text, carry)
+    scored = F.transform("hits", lambda h: F.struct(h["pos"].alias("pos"), _valence(h, rules).alias("valence")))
+    per_text = per_text.withColumn("hits", F.filter(scored, lambda h: h["valence"] != 0))
     per_text = per_text.withColumns({"at": F.col("hits.pos"), "values": F.col("hits.valence")})
     per_text = per_text.withColumn("values", contrast_rescale(F.col("values"), F.col("at"), F.col("contrast_at")))
     zero = F.lit(0.0)
@@ -328,19 +359,20 @@ def valence_scores(texts: DataFrame, lexicon: DataFrame, rules: ValenceRules, ke
         share(F.col("flat")).alias("neu"),
         share(F.col("up")).alias("pos"),
         F.when(F.col("n") == 0, zero).otherwise(round_half_even(compound(F.col("total")))).alias("compound"),
+        *(["copies", "carried"] if carry else []),
     )
 
 
 def valence_scorer(version: str, lexicon: DataFrame, rules: ValenceRules, emoji: DataFrame | None = None) -> Scorer:
-    """The valence rules as a scorer. Posts are keyed by a digest of their text, so replayed copies
-    share one score and ids need not be unique."""
+    """The valence rules as a scorer. A post travels with the marker of its own text, so posts are shuffled
+    once and joined to nothing; rows alike in all columns are one until the end."""
 
     def apply(posts: DataFrame) -> DataFrame:
-        keyed = posts.withColumn("text_key", F.sha2(F.coalesce("text", F.lit("")), 256))
-        texts = keyed.select("text_key", "text")
+        keyed = posts.withColumns({"post_key": F.md5(F.to_json(F.struct(*posts.columns), {"ignoreNullFields": "false"}).cast("binary")), "said": F.col("text")})
         if emoji is not None:
-            texts = emoji_to_words(texts, emoji, "text_key")
-        scores = valence_scores(texts, lexicon, rules, "text_key").select("text_key", F.col("compound").alias("raw_score"))
-        return keyed.join(scores, "text_key", "left").drop("text_key")
+            keyed = emoji_to_words(keyed, emoji, "post_key", "said")
+        scores = valence_scores(keyed, lexicon, rules, "post_key", "said", carry=posts.columns)
+        each = scores.select("carried.*", F.col("compound").alias("raw_score"), F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
+        return each.drop("copy")
 
     return Scorer("valence", version, apply)

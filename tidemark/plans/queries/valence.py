@@ -18,6 +18,7 @@ VALENCES = {
     **{w: -2.0 for w in NEGATIVE_WORDS},
     "the": 0.7, "and": 1.1, "with": 1.9, "der": 0.4, "que": 2.3, "les": 1.3,
     "is": -0.9, "und": -1.4, "la": -0.6, "no": -1.2, "for": -2.1, "it": -0.3,
+    "kind": 1.6,
 }
 RULES = val.ValenceRules(
     capital=0.733,
@@ -158,11 +159,42 @@ SELECT doc_id, CAST(pos AS BIGINT) AS pos, CAST(round(valence * 1000000) AS BIGI
 def q_word_valences(spark, sf):
     """Every lexicon word with its valence after all rules but the contrast word."""
     rows = val.word_valences(v.texts(spark, sf), valence_lexicon(spark), RULES, "doc_id")
-    return rows.filter(F.col("pos") < F.col("n")).select(
+    return rows.select(
         "doc_id", F.col("pos").cast("bigint").alias("pos"), F.rint(F.col("valence") * 1000000).cast("bigint").alias("valence_e6")
     )
 
 
+# Words of the given texts, and what stands in their place so that every rule about neighbours applies.
+SHAPES = {" of ": " isn't ", " in ": " never so ", " to ": " without doubt ", " de ": " kind of ", " and ": " at least ", " y ": " least ", " is ": " never this x "}
+
+
+def _shaped_sql() -> str:
+    out = "text"
+    for a, b in SHAPES.items():
+        out = f"replace({out}, '{a}', '{b.replace(chr(39), chr(39) * 2)}')"
+    return f"shaped AS (SELECT doc_id, {out} AS text FROM documents)"
+
+
+@query(
+    "word_valences_shaped",
+    v.with_ctes(_shaped_sql(), SQL_HITS.replace("FROM documents", "FROM shaped"), body="""
+SELECT doc_id, CAST(pos AS BIGINT) AS pos, low AS token, coalesce(b1, '') AS before_1, coalesce(b2, '') AS before_2, CAST(round(valence * 1000000) AS BIGINT) AS valence_e6
+FROM (SELECT hits.*, t.low, t.b1, t.b2 FROM hits JOIN vctx t USING (doc_id, pos))"""),
+)
+def q_word_valences_shaped(spark, sf):
+    """The rules on texts in which negations, lifts, doubts, ``kind of`` and ``least`` stand before lexicon words."""
+    texts = v.texts(spark, sf)
+    for a, b in SHAPES.items():
+        texts = texts.withColumn("text", F.replace("text", F.lit(a), F.lit(b)))
+    rows = val.word_valences(texts, valence_lexicon(spark), RULES, "doc_id")
+    said = lambda k: F.coalesce(F.lower(F.get("ws", F.col("pos") - k)), F.lit(""))
+    found = rows.join(texts.select("doc_id", val.valence_words(F.col("text")).alias("ws")), "doc_id")
+    return found.select(
+        "doc_id", F.col("pos").cast("bigint").alias("pos"), said(0).alias("token"), said(1).alias("before_1"), said(2).alias("before_2"),
+        F.rint(F.col("valence") * 1000000).cast("bigint").alias("valence_e6"),
+    )
+
+
 @query(
     "valence_labels",
     v.with_ctes(v.SQL_FACTS, SQL_VALENCE, body="""
