@@ -15,19 +15,20 @@ from tidemark.plans import views as v
 from tidemark.plans.queries.enrichment import FREQUENT
 from tidemark.plans.registry import query
 from tidemark.schema import ENRICHED
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, settle
 from tidemark.streaming import dropped_rows, enrich_stream, land_stream, merge_stream, run_available, sliding_stream, tumbling_summary
 from tidemark.sources.posts import stream_raw
 
 LANDED = T.StructType([*ENRICHED, T.StructField("arrival", T.StringType())])
 
 
-def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Enriched posts of the events file, as a stream."""
+def event_stream(spark: SparkSession, sf: str, text: bool = True) -> DataFrame:
+    """Enriched posts of the events file, as a stream; documents are scored once, not in each batch."""
     schema = v.table(spark, sf, "events").schema
     # A file stream names a pattern; this one matches the events table only.
     events = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
-    docs = FREQUENT.apply(v.table(spark, sf, "documents")).select("doc_id", "text", "raw_score")
+    scored = FREQUENT.apply(v.texts(spark, sf)).select("doc_id", *(["text"] if text else []), "raw_score")
+    docs = settle(scored, "stream-docs")
     return label_scored(_posts(events, docs), FREQUENT)
 
 
@@ -37,7 +38,7 @@ def _posts(events: DataFrame, docs: DataFrame) -> DataFrame:
     return events.withColumn("doc_id", F.col("event_id") % n_docs).join(docs, "doc_id").select(
         F.col("event_id").cast("string").alias("id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("created_at"),
-        "text",
+        *(["text"] if "text" in docs.columns else []),
         "raw_score",
         F.floor(F.col("value") * 100).cast("bigint").alias("like_count"),
         F.get_json_object("props", "$.k").cast("bigint").alias("retweet_count"),
@@ -50,8 +51,6 @@ def _posts(events: DataFrame, docs: DataFrame) -> DataFrame:
 
 def _landed(spark: SparkSession, posts: DataFrame, name: str) -> str:
     """Posts as JSON lines, one file per day, named in order of days so that they arrive in order."""
-    from tidemark.session import settle
-
     folder = scratch_path(spark, name)
     metrics = F.struct("like_count").alias("public_metrics")
     lines = settle(posts.select("batch", F.to_json(F.struct("id", "created_at", "text", "source", metrics)).alias("value")), name)
@@ -75,9 +74,9 @@ FROM scored GROUP BY 1""")
 def q_stream_daily_summary(spark, sf):
     """Days whose end the watermark has passed; the last days stay open."""
     out, state = scratch_path(spark, "stream-summary"), scratch_path(spark, "stream-state")
-    run_available(tumbling_summary(event_stream(spark, sf), delay="1 day"), out, state)
-    schema = tumbling_summary(event_stream(spark, sf), delay="1 day").schema
-    return spark.read.schema(schema).parquet(out)
+    summary = tumbling_summary(event_stream(spark, sf, text=False), delay="1 day")
+    run_available(summary, out, state)
+    return spark.read.schema(summary.schema).parquet(out)
 
 
 @query("stream_ingest", "SELECT event_type AS source, count(*) AS post_count FROM events GROUP BY 1")
