@@ -303,7 +303,7 @@ def sketches(dealt: DataFrame, chosen: DataFrame, total: int, least: float = SIM
                     pa.RecordBatch.from_arrays(
                         [
                             column(part, "digest"), column(part, "doc_id"), column(part, "copies"), lists(bands), lists(finer),
-                            pa.array([x.tobytes() for x in small], pa.binary()), pa.array([df[x].tobytes() for x in spans], pa.binary()),
+                            pa.array([x.tobytes() for x in small], pa.binary()), pa.array([pack_counts(df[x]) for x in spans], pa.binary()),
                             pa.array([weight[x].sum() for x in spans], pa.float64()), pa.array([r[0].view(np.int64) for r in rare], _LONGS), pa.array([r[1] for r in rare], pa.list_(pa.float64())),
                         ],
                         schema=_SKETCH_SCHEMA,
@@ -384,7 +384,10 @@ def similarity(pairs: DataFrame, total: int) -> DataFrame:
         for begin in range(0, batch.num_rows, 128):
             part = batch.slice(begin, 128)
             (ha, ca, oa), (hb, cb, ob) = (shingles(t.slice(begin, part.num_rows)) for t in texts)
-            wa, wb = (idf(np.frombuffer(b"".join(column(part, c).to_pylist()), np.int64), total) for c in ("df_a", "df_b"))
+            wa, wb = (
+                idf(np.concatenate([unpack_counts(p, n) for p, n in zip(column(part, c).to_pylist(), np.diff(o).tolist())]), total)
+                for c, o in (("df_a", oa), ("df_b", ob))
+            )
             out = []
             for i in range(part.num_rows):
                 x, y = slice(oa[i], oa[i + 1]), slice(ob[i], ob[i + 1])
