@@ -32,13 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import column, slices, utf8
-from tidemark.llm.pieces import Recent
+from tidemark.llm.arrays import BLANK, column, slices, utf8
 from tidemark.llm.registry import register, table
+from tidemark.llm.stretches import Known, bounds
 from tidemark.session import scratch_path, settle
 
 WIDTH, END_ID = 2048, 1
 SEGMENT_TOKENS = 1 << 20
+_LOWER = np.array([*range(65), *range(97, 123), *range(91, 256)], np.uint8)  # of ASCII bytes
 _MARK = np.zeros(256, bool)
 _MARK[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and c != ord("'")]] = True
 
@@ -58,25 +59,32 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
-        self.known = Recent(self._ids)
+        self.known = Known(self._ids, "<u2")
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return [np.array(e.ids, "<u2").tobytes() for e in got]
 
-    @staticmethod
-    def stretches(text: bytes) -> list[bytes]:
-        if b"<|" in text:
-            return text.split()
-        text = text.lower()
-        data = np.frombuffer(text, np.uint8)
-        cut = np.flatnonzero((data[:-1] - np.uint8(97) < 26) & _MARK[data[1:]]) + 1
-        return np.insert(data, cut, 0x20).tobytes().split() if len(cut) else text.split()
+    def encode_all(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and the n + 1 places where each text's begin."""
+        if not len(data):
+            return np.zeros(0, "<u2"), np.zeros(len(offsets), np.int64)
+        lower, ink = _LOWER[data], ~BLANK[data]
+        begins = np.zeros(len(data), bool)  # where a stretch begins if there is ink
+        begins[1:] = ~ink[:-1] | (lower[:-1] - np.uint8(97) < 26) & _MARK[data[1:]]
+        special = np.searchsorted(offsets, np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C)), "right") - 1
+        for a, b in {(int(offsets[i]), int(offsets[i + 1])) for i in np.unique(special)}:
+            lower[a:b] = data[a:b]
+            begins[a + 1 : b] = ~ink[a : b - 1]
+        begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+        ends = np.append(begins[1:] | ~ink[1:], True)
+        starts = np.flatnonzero(begins & ink)
+        ids, counts = self.known.ids(lower, starts, np.flatnonzero(ends & ink) + 1)
+        return ids, bounds(counts)[np.searchsorted(starts, offsets)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        found = [self.stretches(t) for t in texts]
-        known = self.known.of(set().union(*found))
-        return [b"".join(map(known.__getitem__, f)) for f in found]
+        ids, at = self.encode_all(np.frombuffer(b"".join(texts), np.uint8), bounds(np.array([len(t) for t in texts], np.int64)))
+        return [ids[a:b].tobytes() for a, b in zip(at.tolist(), at[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -96,9 +104,9 @@ def queued(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         for batch in batches:
             texts, sources, keys = column(batch, "text"), column(batch, "source").to_pylist(), column(batch, "doc_id")
             for begin, end in slices(texts):
-                data, offsets = utf8(texts.slice(begin, end - begin))
-                raw = data.tobytes()
-                ids = [i + tail for i in t.encode([raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])]
+                found, at = t.encode_all(*utf8(texts.slice(begin, end - begin)))
+                packed, at = found.tobytes(), (at * 2).tolist()
+                ids = [packed[a:b] + tail for a, b in zip(at, at[1:])]
                 starts = []
                 for source, packed in zip(sources[begin:end], ids):
                     starts.append(ends.get(source, 0))

@@ -17,8 +17,9 @@ Characters outside the vocabulary become byte pieces, or the unknown id if the m
 Short stretches are searched many at once in numpy, one place of all of them per step.
 
 No piece continues over a blank that follows another character (checked when loading; a model
-where one does is searched as one stretch). So paths always meet there, and stretches between are
-remembered: about ``MEMORY`` of them, in two generations, per task.
+where one does is searched as one stretch). So paths always meet there, and the ids of the stretches
+between are final and remembered, within a bound (``stretches``); a slice's are looked up together.
+Decoding gathers the bytes of a slice's pieces.
 
 Null and empty texts have no ids. Decoding gives back every text that holds no ``U+2581``, which
 the format itself uses for blanks. Empty tables give no rows, repeated rows a row each.
@@ -26,7 +27,6 @@ the format itself uses for blanks. Empty tables give no rows, repeated rows a ro
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,35 +35,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.arrays import BASE_A, U64, column, map_rows, mix, slices
+from tidemark.llm.arrays import BASE_A, U64, column, map_rows, mix, slices, utf8
 from tidemark.llm.registry import register, table
+from tidemark.llm.stretches import LONGEST, Known, bounds, ranges
 
 BLANK = "▁"
-MEMORY = 300_000
-#: Longer stretches are searched but not remembered.
-REMEMBERED = 48
-
-
-class Recent:
-    """Values of recently used keys: about ``size``, beside those of the batch at hand."""
-
-    def __init__(self, make_many, size: int = MEMORY):
-        self.make_many, self.size, self.now, self.before = make_many, size, {}, {}
-
-    def of(self, keys: set) -> dict:
-        """A dict that holds every one of ``keys``."""
-        if len(self.now) > self.size:
-            self.now, self.before = {}, self.now
-        now, before, new = self.now, self.before, []
-        for key in keys:
-            if key not in now:
-                if (got := before.get(key)) is not None:
-                    now[key] = got
-                else:
-                    new.append(key)
-        if new:
-            now.update(zip(new, self.make_many(new)))
-        return now
+#: Stretches searched together, at most.
+AT_ONCE = 8192
 
 
 class PairTable:
@@ -116,6 +94,7 @@ class PieceModel:
 
     def __init__(self, path: str):
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2 as proto
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         size = sp.get_piece_size()
@@ -125,11 +104,14 @@ class PieceModel:
         self.unknown = sp.unk_id()
         self.longest = max(map(len, self.ids), default=1)
         self.splits = not any(BLANK in p.lstrip(BLANK) for p in self.ids)
-        # A merge score is minus a rank, so the pieces' scores are whole; log probabilities are not.
-        self.bpe = all(float(s).is_integer() for s in self.score.values())
+        self.bpe = proto.ModelProto.FromString(sp.serialized_model_proto()).trainer_spec.model_type == proto.TrainerSpec.BPE
         self.text = [sp.id_to_piece(i).replace(BLANK, " ") if not (sp.is_control(i) or sp.is_unknown(i)) else "" for i in range(size)]
         self.byte_of = {i: b for b, i in self.bytes.items()}
-        self.known = Recent(self._packed_many)
+        self.known = Known(self._made, "<u4")
+        spelled = [t.encode() if i not in self.byte_of else b"" for i, t in enumerate(self.text)]
+        self.spelled, self.spelled_size = np.frombuffer(b"".join(spelled), np.uint8), np.array([len(x) for x in spelled], np.int64)
+        self.spelled_at = np.cumsum(self.spelled_size) - self.spelled_size
+        self.is_byte = np.isin(np.arange(size), list(self.byte_of))
         self._lay_out()
 
     def _lay_out(self) -> None:
@@ -295,19 +277,53 @@ class PieceModel:
     def _packed(self, stretch: str) -> bytes:
         return np.array([i for p in self.search(stretch.replace(" ", BLANK)) for i in self.piece_ids(p)], "<u4").tobytes()
 
-    _STRETCH = re.compile(f"[ {BLANK}]+[^ {BLANK}]*")
+    def _made(self, stretches: list[bytes]) -> list[bytes]:
+        """The packed ids of these stretches; long ones are searched in the bounded window."""
+        out = [self._packed(x.decode()) if len(x) > LONGEST else b"" for x in stretches]
+        short = [i for i, x in enumerate(stretches) if len(x) <= LONGEST]
+        for at in range(0, len(short), AT_ONCE):
+            part = short[at : at + AT_ONCE]
+            for i, packed in zip(part, self._packed_many([stretches[i].decode() for i in part])):
+                out[i] = packed
+        return out
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and the n + 1 places where each text's begin."""
+        if not self.splits:
+            packed = [self._packed(" " + t) if t else b"" for t in texts.to_pylist()]
+            return np.frombuffer(b"".join(packed), "<u4"), bounds(np.array([len(p) // 4 for p in packed], np.int64))
+        data, offsets = utf8(texts)
+        full = offsets[1:] > offsets[:-1]
+        offsets = offsets + bounds(full)  # with a blank before every text that is not empty
+        begins, own = offsets[:-1][full], np.ones(offsets[-1], bool)
+        own[begins] = False
+        led = np.full(len(own), 0x20, np.uint8)
+        led[own] = data
+        blank = led == 0x20
+        for at in np.flatnonzero((led[:-2] == 0xE2) & (led[1:-1] == 0x96) & (led[2:] == 0x81)) + np.arange(3)[:, None]:
+            blank[at] = True  # the three bytes of BLANK
+        start = blank.copy()
+        start[1:] &= ~blank[:-1]
+        start[begins] = True
+        starts = np.flatnonzero(start)
+        ids, counts = self.known.ids(led, starts, np.append(starts[1:], len(led)))
+        return ids, bounds(counts)[np.searchsorted(starts, offsets)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
-        if not self.splits:
-            return [self._packed(" " + t) if t else b"" for t in texts]
-        found = [self._STRETCH.findall(" " + t) if t else [] for t in texts]
-        seen = set().union(*found)
-        long = {s: self._packed(s) for s in seen if len(s) > REMEMBERED}
-        known = self.known.of(seen - long.keys())
-        if long:
-            return [b"".join([known[s] if s in known else long[s] for s in f]) for f in found]
-        return [b"".join(map(known.__getitem__, f)) for f in found]
+        ids, at = self.encode_all(pa.array(texts, pa.large_string()))
+        packed, at = ids.tobytes(), (at * 4).tolist()
+        return [packed[a:b] for a, b in zip(at, at[1:])]
+
+    def decode_all(self, ids: np.ndarray, at: np.ndarray) -> list[str]:
+        """The text of ``ids[at[i]:at[i + 1]]`` for every i."""
+        sizes = self.spelled_size[ids]
+        said = self.spelled[ranges(self.spelled_at[ids], sizes)].tobytes()
+        ends, odd = bounds(sizes)[at].tolist(), bounds(self.is_byte[ids])[at]
+        out = [said[a:b].decode()[1:] for a, b in zip(ends, ends[1:])]
+        for i in np.flatnonzero(odd[1:] > odd[:-1]):
+            out[i] = self.decode(ids[at[i] : at[i + 1]].tobytes())
+        return out
 
     def decode(self, packed: bytes) -> str:
         ids = np.frombuffer(packed, "<u4").tolist()
@@ -341,7 +357,9 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
     def run(batch: pa.RecordBatch):
         m, texts = model(model_path), column(batch, text)
         for begin, end in slices(texts):
-            got = m.encode(texts.slice(begin, end - begin).to_pylist())
+            found, at = m.encode_all(texts.slice(begin, end - begin))
+            packed, at = found.tobytes(), (at * 4).tolist()
+            got = [packed[a:b] for a, b in zip(at, at[1:])]
             yield pa.RecordBatch.from_arrays([*batch.slice(begin, end - begin).columns, pa.array(got, pa.binary())], [*batch.schema.names, ids])
 
     return docs.mapInArrow(map_rows(run), StructType(list(docs.schema)).add(ids, BinaryType()))
@@ -357,7 +375,8 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids", text: str = "deco
         m = model(model_path)
         for begin in range(0, batch.num_rows, 256):
             part = batch.slice(begin, 256)
-            got = [m.decode(x or b"") for x in column(part, ids).to_pylist()]
+            packed = [x or b"" for x in column(part, ids).to_pylist()]
+            got = m.decode_all(np.frombuffer(b"".join(packed), "<u4"), bounds(np.array([len(x) // 4 for x in packed], np.int64)))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.string())], [*batch.schema.names, text])
 
     return rows.mapInArrow(map_rows(run), StructType(list(rows.schema)).add(text, StringType()))
@@ -369,15 +388,15 @@ def piece_report(docs: DataFrame, model_path: str) -> DataFrame:
     def run(batch: pa.RecordBatch):
         m, texts, keys = model(model_path), column(batch, "text"), column(batch, "doc_id")
         for begin, end in slices(texts):
-            part = texts.slice(begin, end - begin).to_pylist()
-            packed = m.encode(part)
+            ids, at = m.encode_all(texts.slice(begin, end - begin))
+            part, raw, cuts = texts.slice(begin, end - begin).to_pylist(), ids.tobytes(), (at * 4).tolist()
             yield pa.RecordBatch.from_arrays(
                 [
                     keys.slice(begin, end - begin),
                     pa.array([len(t or "") for t in part], pa.int64()),
-                    pa.array([len(p) // 4 for p in packed], pa.int64()),
-                    pa.array([zlib.crc32(p) for p in packed], pa.int64()),
-                    pa.array([m.decode(p) == (t or "") for p, t in zip(packed, part)]),
+                    pa.array(np.diff(at), pa.int64()),
+                    pa.array([zlib.crc32(raw[a:b]) for a, b in zip(cuts, cuts[1:])], pa.int64()),
+                    pa.array([d == (t or "") for d, t in zip(m.decode_all(ids, at), part)], pa.bool_()),
                 ],
                 ["doc_id", "n_text_chars", "n_ids", "ids_crc32", "round_trip"],
             )
