@@ -108,10 +108,9 @@ class PieceModel:
         self.text = [sp.id_to_piece(i).replace(BLANK, " ") if not (sp.is_control(i) or sp.is_unknown(i)) else "" for i in range(size)]
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.known = Known(self._made, "<u4")
-        spelled = [t.encode() if i not in self.byte_of else b"" for i, t in enumerate(self.text)]
+        spelled = [t.encode() if i not in self.byte_of else bytes([self.byte_of[i]]) for i, t in enumerate(self.text)]
         self.spelled, self.spelled_size = np.frombuffer(b"".join(spelled), np.uint8), np.array([len(x) for x in spelled], np.int64)
         self.spelled_at = np.cumsum(self.spelled_size) - self.spelled_size
-        self.is_byte = np.isin(np.arange(size), list(self.byte_of))
         self._lay_out()
 
     def _lay_out(self) -> None:
@@ -120,9 +119,7 @@ class PieceModel:
         n = len(self.pieces)
         self.number = np.array([self.ids[p] for p in self.pieces], "<u4")
         self.length = np.array([len(p) for p in self.pieces] + [1], np.int64)
-        self.char = np.zeros(0x110000, U64)
-        alphabet = sorted({c for p in self.pieces for c in p})
-        self.char[[ord(c) for c in alphabet]] = mix(np.arange(1, len(alphabet) + 1, dtype=U64))
+        self.char = mix(np.arange(1, 0x110001, dtype=U64))
         self.key = np.zeros(n, U64)
         for i, p in enumerate(self.pieces):
             h = 0
@@ -151,18 +148,17 @@ class PieceModel:
         return out
 
     def _packed_many(self, stretches: list[str]) -> list[bytes]:
-        """``_packed`` of many short stretches; the same trellis, a place of all of them at a time."""
-        out: list[bytes] = [b""] * len(stretches)
-        codes = [np.frombuffer(s.replace(" ", BLANK).encode("utf-32-le"), "<u4") for s in stretches]
-        sizes = np.array([len(c) for c in codes])
-        chars = self.char[np.concatenate(codes)] if codes else np.zeros(0, U64)
-        odd = np.add.reduceat(chars == 0, np.cumsum(sizes) - sizes, dtype=np.int64) > 0
+        """``_packed`` of many short stretches; the same trellis, a place of all of them at a time.
+
+        A character outside the vocabulary is in no piece, so the place after it stays a beginning.
+        """
         if not self.bpe:
-            odd[:] = True
-        for i in np.flatnonzero(odd):
-            out[i] = self._packed(stretches[i])
-        rows = np.flatnonzero(~odd)
-        rows = rows[np.argsort(-sizes[rows], kind="stable")]
+            return [self._packed(s) for s in stretches]
+        out: list[bytes] = [b""] * len(stretches)
+        codes = np.frombuffer("".join(stretches).replace(" ", BLANK).encode("utf-32-le"), "<u4")
+        sizes, chars = np.array([len(s) for s in stretches]), self.char[codes]
+        rows = np.argsort(-sizes, kind="stable")
+        rows = rows[: int(np.count_nonzero(sizes))]
         if not len(rows):
             return out
         begin, size, n, width = (np.cumsum(sizes) - sizes)[rows], sizes[rows], len(self.pieces), int(sizes[rows[0]])
@@ -188,13 +184,21 @@ class PieceModel:
         place, who, steps = size.copy(), np.arange(len(rows)), []
         while len(who):
             piece = last[place[who], who]
-            steps.append((who, piece))
             place[who] -= self.length[piece]
+            steps.append((who, piece, begin[who] + place[who]))
             who = who[place[who] > 0]
-        who, piece = np.concatenate([w for w, _ in steps]), np.concatenate([p for _, p in steps])
-        order = np.argsort(who[::-1], kind="stable")
-        packed = self.number[piece[::-1][order]].tobytes()
-        ends = np.cumsum(np.bincount(who, minlength=len(rows))) * 4
+        who, piece, where = (np.concatenate(x)[::-1] for x in zip(*steps))
+        order = np.argsort(who, kind="stable")
+        who, piece, where = who[order], piece[order], where[order]
+        # The ids: a piece has its own; a character outside the vocabulary those of its bytes.
+        strange, of = np.unique(codes[where[piece == n]], return_inverse=True)
+        spelled = [self.piece_ids(chr(c)) for c in strange.tolist()]
+        table = np.concatenate([self.number, np.array([i for x in spelled for i in x], "<u4")]).astype("<u4")
+        lengths = np.array([len(x) for x in spelled], np.int64)
+        counts, first = np.ones(len(piece), np.int64), piece.copy()
+        counts[piece == n], first[piece == n] = lengths[of], (n + np.cumsum(lengths) - lengths)[of]
+        packed = table[ranges(first, counts)].tobytes()
+        ends = (np.cumsum(np.bincount(who, counts, len(rows))) * 4).astype(np.int64)
         for i, a, b in zip(rows.tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
             out[i] = packed[a:b]
         return out
@@ -319,10 +323,12 @@ class PieceModel:
         """The text of ``ids[at[i]:at[i + 1]]`` for every i."""
         sizes = self.spelled_size[ids]
         said = self.spelled[ranges(self.spelled_at[ids], sizes)].tobytes()
-        ends, odd = bounds(sizes)[at].tolist(), bounds(self.is_byte[ids])[at]
-        out = [said[a:b].decode()[1:] for a, b in zip(ends, ends[1:])]
-        for i in np.flatnonzero(odd[1:] > odd[:-1]):
-            out[i] = self.decode(ids[at[i] : at[i + 1]].tobytes())
+        ends, out = bounds(sizes)[at].tolist(), []
+        for i, (a, b) in enumerate(zip(ends, ends[1:])):
+            try:
+                out.append(said[a:b].decode()[1:])
+            except UnicodeDecodeError:  # byte pieces that spell no character
+                out.append(self.decode(ids[at[i] : at[i + 1]].tobytes()))
         return out
 
     def decode(self, packed: bytes) -> str:

@@ -15,7 +15,7 @@ import numpy as np
 from tidemark.llm.arrays import BASE_A, BASE_B, U64
 
 LONGEST = 64
-MEMORY = 300_000
+MEMORY = 1_000_000
 #: Stretches looked up together; bounds the scratch arrays of a very long text.
 TOGETHER = 1 << 17
 _FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)  # the first n bytes of a word
@@ -57,9 +57,10 @@ class Known:
         self._clear()
 
     def _clear(self) -> None:
+        room = self.size + 2 * TOGETHER  # of which only what is used takes memory
         self.slots = np.full(1 << self.bits, -1, np.int32)
-        self.one, self.two = np.zeros(0, U64), np.zeros(0, U64)
-        self.begin, self.count, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
+        self.one, self.two, self.begin, self.count = np.empty(room, U64), np.empty(room, U64), np.empty(room, np.int64), np.empty(room, np.int32)
+        self.entries, self.used, self.flat = 0, 0, np.empty(1 << 20, self.dtype)
 
     def _find(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Entries with these hashes, -1 for none."""
@@ -74,16 +75,20 @@ class Known:
             left, at = left[~same], at[~same] + 1 & (1 << self.bits) - 1
         return out
 
-    def _append(self, packed: list[bytes], one: np.ndarray, two: np.ndarray) -> None:
+    def _append(self, packed: list[bytes], one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Add entries; returns their numbers."""
         counts = np.array([len(p) for p in packed], np.int64) // self.dtype.itemsize
-        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(counts) - counts])
-        self.count = np.concatenate([self.count, counts])
-        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(packed), self.dtype)])
-        self.one, self.two = np.concatenate([self.one, one]), np.concatenate([self.two, two])
-
-    def _place(self, first: int) -> None:
-        """Enter the entries from ``first`` on in the table."""
-        left = np.arange(first, len(self.one))
+        new, used = slice(self.entries, self.entries + len(packed)), self.used + int(counts.sum())
+        if used > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.empty(used, self.dtype)])
+        self.flat[self.used : used] = np.frombuffer(b"".join(packed), self.dtype)
+        self.one[new], self.two[new], self.count[new] = one, two, counts
+        self.begin[new] = self.used + np.cumsum(counts) - counts
+        self.entries, self.used = new.stop, used
+        return np.arange(new.start, new.stop)
+
+    def _place(self, left: np.ndarray) -> None:
+        """Enter these entries in the table."""
         at = (self.one[left] >> U64(64 - self.bits)).astype(np.int64)
         while len(left):
             free = np.flatnonzero(self.slots[at] < 0)
@@ -106,27 +111,22 @@ class Known:
         one, two = hashes(padded, starts[short], lengths[short])
         entry = self._find(one, two)
         if len(new := np.flatnonzero(entry < 0)):
-            if len(self.one) > self.size:
+            if self.entries > self.size:
                 self._clear()
                 entry, new = self._find(one, two), np.arange(len(short))
             order = new[np.lexsort((two[new], one[new]))]
             differs = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
             head = order[np.concatenate([[True], differs])]
-            first = len(self.one)
-            self._append(self.make(said(short[head])), one[head], two[head])
-            self._place(first)
+            self._place(self._append(self.make(said(short[head])), one[head], two[head]))
             entry[new] = self._find(one[new], two[new])
         place = np.zeros(len(starts), np.int64)
         place[short] = entry
-        keep = len(self.one), len(self.flat)
+        keep = self.entries, self.used
         if len(long):  # entries for the moment, not in the table
             words = said(long)
             distinct = {w: i for i, w in enumerate(dict.fromkeys(words))}
-            place[long] = keep[0] + np.array([distinct[w] for w in words])
-            self._append(self.make(list(distinct)), *np.zeros((2, len(distinct)), U64))
-        counts = self.count[place]
+            place[long] = self._append(self.make(list(distinct)), *np.zeros((2, len(distinct)), U64))[[distinct[w] for w in words]]
+        counts = self.count[place].astype(np.int64)
         out = self.flat[ranges(self.begin[place], counts)]
-        if len(long):
-            self.one, self.two, self.begin, self.count = (x[: keep[0]] for x in (self.one, self.two, self.begin, self.count))
-            self.flat = self.flat[: keep[1]]
+        self.entries, self.used = keep
         return out, counts
