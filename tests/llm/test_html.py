@@ -1,9 +1,15 @@
+import math
 import random
+import re
+import time
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tidemark.llm import extract
-from tidemark.llm.html_blocks import blocks
+from tidemark.llm.html_blocks import _Tags, blocks
 
 
 @pytest.fixture(scope="module")
@@ -51,6 +57,82 @@ def test_deep_and_long_pages_end():
     assert texts('<a href="' * 2000) != ["x"]
 
 
+UNIT = ["<p x='", '<p x="', "<p x ", "<p", "<p '>' ", "<div>x", "<div>", "</x>", "<a href=\"'", "<!", "<p class=", "</", "<p \"'\" '\"' "]
+
+
+@pytest.mark.parametrize("unit", UNIT)
+def test_time_grows_with_the_page_alone(unit):
+    begin = time.process_time()
+    got = blocks("<div>" * 20_000 + unit * 60_000)
+    extract.vectors(got)
+    extract.semantic_labels(got)
+    assert time.process_time() - begin < 20
+
+
+def plain_tags(html):
+    """Begin, end and name of every tag, each looked for from scratch."""
+    out, at = [], 0
+    while at < len(html):
+        if html[at] != "<":
+            at += 1
+            continue
+        name = re.compile(r"</?([a-zA-Z][^\s/>]*)").match(html, at)
+        end = None
+        if name:
+            end = name.end()
+            while end is not None and end < len(html) and html[end] != ">":
+                if html[end] in "'\"":
+                    close = html.find(html[end], end + 1)
+                    end = close + 1 if close >= 0 else None
+                else:
+                    end += 1
+            end = end + 1 if end is not None and end < len(html) else None
+        if end is None:
+            at += 1
+            continue
+        out.append((at, end, name[1]))
+        at = end
+    return out
+
+
+@settings(max_examples=2000, deadline=None)
+@given(st.text(st.sampled_from("<</>>\"' ap="), max_size=40))
+def test_tags_are_those_of_a_plain_scan(html):
+    html = re.sub("<(?=/?[^/a-z]|/?$|//)", "_", html)
+    tags, got, at = _Tags(html), [], 0
+    while found := tags.after(at):
+        got.append((found[0], found[1], found[3]))
+        at = found[1]
+    assert [g for g in got if g[2]] == plain_tags(html)
+
+
+def test_long_pages_are_read_as_short_ones(labeller):
+    rng = random.Random(4)
+    for _ in range(20):
+        page, _ = extract.labelled_made(rng, ["some", "words"])
+        if page:
+            whole, _ = labeller.run(*extract._padded([extract.vectors(page)]))
+            assert np.allclose(whole[0], labeller.read(page, step=3), atol=1e-4)
+
+
+def test_logits_are_those_of_a_plain_lstm(labeller):
+    def squash(x):
+        return 1 / (1 + math.exp(-x))
+
+    page, _ = extract.labelled_made(random.Random(8), ["some", "words"])
+    x, n = extract.vectors(page).astype(float), extract.HIDDEN
+    want = [float(labeller.c[0])] * len(page)
+    for d, order in ((0, range(len(page))), (1, range(len(page) - 1, -1, -1))):
+        h, c = [0.0] * n, [0.0] * n
+        for t in order:
+            z = [sum(x[t, k] * labeller.w[d, k, j] for k in np.flatnonzero(x[t])) + sum(h[k] * labeller.u[d, k, j] for k in range(n)) + labeller.b[d, j] for j in range(4 * n)]
+            c = [squash(z[n + j]) * c[j] + squash(z[j]) * math.tanh(z[3 * n + j]) for j in range(n)]
+            h = [squash(z[2 * n + j]) * math.tanh(c[j]) for j in range(n)]
+            want[t] += sum(h[j] * labeller.v[d * n + j] for j in range(n))
+    got, _ = labeller.run(*extract._padded([extract.vectors(page)]))
+    assert np.allclose(got[0], want, atol=1e-3)
+
+
 def test_article_only(spark, labeller):
     page = (
         "<html><head><title>t</title></head><body><header><p>Site name</p></header><nav class=menu><ul><li><a href=/>Home</a><li><a href=/>About</a></ul></nav>"

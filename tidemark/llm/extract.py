@@ -27,44 +27,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import column, map_rows, slices
-from tidemark.llm.html_blocks import Block, blocks
+from tidemark.llm.html_blocks import Block, Path, blocks
 from tidemark.llm.registry import register, table
 
 PATH, WORDS, PLAIN = 256, 32, 4
 SIZE = PATH + WORDS + PLAIN
 HIDDEN = 16
 SAMPLE, MADE = 150, 600
+#: Pages of more characters are not learned from; words that the made pages use.
+LONGEST, VOCABULARY = 200_000, 20_000
+#: Blocks whose vectors are held at once.
+TOGETHER = 8192
 
 
 def _hash(text: str, size: int) -> int:
     return zlib.crc32(text.encode("utf-8", "surrogatepass")) % size
 
 
-_PATHS: dict[tuple[str, ...], np.ndarray] = {}
+_PATHS: dict[int, np.ndarray] = {}
 
 
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
-    got = _PATHS.get(path)
+def _hashed(bits: int, marks: tuple[str, ...]) -> int:
+    for mark in marks:
+        bits |= 1 << _hash(mark, PATH)
+    return bits
+
+
+def _path_vector(path: Path) -> np.ndarray:
+    """Which hashes occur among the path's marks; the last mark has one more."""
+    bits = path.fold("hashed", 0, _hashed)
+    if path.marks:
+        bits |= 1 << _hash("leaf " + path.marks[-1], PATH)
+    got = _PATHS.get(bits)
     if got is None:
-        got = np.zeros(PATH, np.float32)
-        for mark in path:
-            got[_hash(mark, PATH)] = 1
-        if path:
-            got[_hash("leaf " + path[-1], PATH)] = 1
+        got = np.unpackbits(np.frombuffer(bits.to_bytes(PATH // 8, "little"), np.uint8), bitorder="little").astype(np.float32)
         if len(_PATHS) > 20_000:
             _PATHS.clear()
-        _PATHS[path] = got
+        _PATHS[bits] = got
     return got
 
 
 def vectors(page: list[Block]) -> np.ndarray:
     out = np.zeros((len(page), SIZE), np.float32)
     for row, b in zip(out, page):
-        row[:PATH] = _path_vector(b.path)
+        row[:PATH] = _path_vector(b.above)
         said = b.text.lower().split()
         count = np.bincount([_hash(w, WORDS) for w in said], minlength=WORDS)
         row[PATH : PATH + WORDS] = count / len(said)
-        row[-4:] = (np.log1p(len(said)) / 5, b.linked / len(b.text), b.text[-1] in ".!?…:\"”", len(b.path) / 10)
+        row[-4:] = (np.log1p(len(said)) / 5, b.linked / len(b.text), b.text[-1] in ".!?…:\"”", b.above.size / 10)
     return out
 
 
@@ -107,6 +117,22 @@ class Labeller:
         both = np.concatenate(hidden, axis=2)
         return both @ self.v + self.c[0], (tapes, both, turn)
 
+    def read(self, page: list[Block], step: int = TOGETHER) -> np.ndarray:
+        """Logits of one page, whose vectors are made ``step`` blocks at a time; for long pages."""
+        out = np.full(len(page), self.c[0], np.float32)
+        for d in (0, 1):
+            h, c = np.zeros(HIDDEN, np.float32), np.zeros(HIDDEN, np.float32)
+            begins = range(0, len(page), step)
+            for begin in begins if d == 0 else reversed(begins):
+                fed = vectors(page[begin : begin + step]) @ self.w[d] + self.b[d]
+                for t in range(len(fed)) if d == 0 else range(len(fed) - 1, -1, -1):
+                    z = fed[t] + h @ self.u[d]
+                    i, f, o = np.split(1 / (1 + np.exp(-z[: 3 * HIDDEN])), 3)
+                    c = f * c + i * np.tanh(z[3 * HIDDEN :])
+                    h = o * np.tanh(c)
+                    out[begin + t] += h @ self.v[d * HIDDEN : (d + 1) * HIDDEN]
+        return out
+
 
 def _reversal(sizes: np.ndarray, steps: int) -> np.ndarray:
     """Positions that turn each page around and leave its padding where it is."""
@@ -305,35 +331,40 @@ BAD = {"nav", "header", "footer", "aside", "form"} | {"." + n for names in REST.
 
 def semantic_labels(page: list[Block]) -> np.ndarray | None:
     """Labels from the page's own article or main tag; None if it has none."""
-    if not any("article" in b.path or "main" in b.path for b in page):
-        return None
-    return np.array([("article" in b.path or "main" in b.path) and BAD.isdisjoint(b.path) for b in page], np.float32)
+    within = [b.above.fold("article", False, lambda seen, marks: seen or "article" in marks or "main" in marks) for b in page]
+    beside = [b.above.fold("beside", False, lambda seen, marks: seen or not BAD.isdisjoint(marks)) for b in page]
+    return np.array([w and not o for w, o in zip(within, beside)], np.float32) if any(within) else None
+
 
+def fit(pages: DataFrame, sample: int = SAMPLE, made: int = MADE, seed: int = 11, longest: int = LONGEST, words: int = VOCABULARY) -> Labeller:
+    """Train on a bounded sample of ``pages`` and on ``made`` pages.
 
-def fit(pages: DataFrame, sample: int = SAMPLE, made: int = MADE, seed: int = 11) -> Labeller:
-    """Train on a bounded sample of ``pages`` and on made pages."""
+    The sample is at most ``sample`` pages, first by hash of the id; those of over ``longest`` characters
+    teach nothing (they are labelled like all others). The made pages use the first ``words`` of its words,
+    in order of their hashes. Of rows that share an id, the one with the smallest html counts.
+    """
     # Ids are drawn first: what each task offers for the sample is ids, not pages.
     drawn = pages.where("page_id is not null").select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
-    chosen = pages.join(F.broadcast(drawn), "page_id").where("length(html) < 200000").dropDuplicates(["page_id"]).select("html")
-    real = [blocks(r["html"]) for r in sorted(chosen.collect())]
-    words = sorted({w for page in real for b in page for w in b.text.split()[:200]})[:20_000] or ["text"]
+    chosen = pages.join(F.broadcast(drawn), "page_id").where(F.length("html") <= longest).groupBy("page_id").agg(F.min("html").alias("html"))
+    real = [blocks(r["html"]) for r in sorted(chosen.select("html").collect())]
+    spoken = sorted({w for page in real for b in page for w in b.text.split()}, key=lambda w: (_hash(w, 1 << 32), w))[:words] or ["text"]
     data = [(vectors(p), y) for p in real if p and (y := semantic_labels(p)) is not None]
     rng = random.Random(seed)
     for _ in range(made):
-        page, y = labelled_made(rng, words)
+        page, y = labelled_made(rng, spoken)
         if page:
             data.append((vectors(page), y))
     return train([x for x, _ in data], [y for _, y in data])
 
 
 def label(net: Labeller, pages: list[list[Block]]) -> list[np.ndarray]:
-    """Which blocks are article, for each page; pages of like length go together."""
-    out = [np.zeros(0, bool)] * len(pages)
-    order = sorted((i for i, p in enumerate(pages) if p), key=lambda i: len(pages[i]))
+    """Which blocks are article, for each page; pages of like length go together, long ones alone."""
+    out = [net.read(p) > 0 if len(p) > TOGETHER else np.zeros(0, bool) for p in pages]
+    order = sorted((i for i, p in enumerate(pages) if 0 < len(p) <= TOGETHER), key=lambda i: len(pages[i]))
     at = 0
     while at < len(order):
         size = 1
-        while at + size < len(order) and (size + 1) * len(pages[order[at + size]]) <= 8192:
+        while at + size < len(order) and (size + 1) * len(pages[order[at + size]]) <= TOGETHER:
             size += 1
         group = order[at : at + size]
         x, sizes = _padded([vectors(pages[i]) for i in group])
