@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from tidemark.llm import ann, exact_search
+from tidemark.llm import ann, exact_search, tiles
 
 SCHEMA = "vec_id long, embedding array<float>, label int, score double, rank int"
 
@@ -92,6 +92,33 @@ def test_neighbours_recall_and_scores(spark):
     assert not any(50_000 in (r["query_id"], r["vec_id"]) for r in rows)
 
 
+def test_answers_do_not_depend_on_tiles(spark, monkeypatch):
+    """One tile, many tiles, and a plain search of all codes; a small radius leaves many queries short."""
+    table, x = vectors(spark, n=1200, size=16)
+    got = []
+    for lane in (65536, 1200, 90, 7):
+        monkeypatch.setattr(tiles, "LANE", lane)
+        got.append({(r["query_id"], r["rank"]): r["vec_id"] for r in ann.nearest(table, every=20, reach=0.5).collect()})
+    unit = ann.normalized(x)
+    with monkeypatch.context() as m:
+        fitted = []
+        m.setattr(ann, "search", lambda rows, every, k, kind, best, radius: fitted.append((best, radius)))
+        ann.nearest(table, every=20, reach=0.5)
+    best, radius = fitted[0]
+    codes = next(c.cell_contents for c in best.__closure__ if isinstance(c.cell_contents, ann.Codes))
+    code, want, short = codes.encode(unit), {}, 0
+    for q in range(0, len(x), 20):
+        far, like = ann.hamming(code[q][None, :], code), unit @ unit[q]
+        others = [i for i in range(len(x)) if i != q]
+        inside = [i for i in others if far[i] <= radius]
+        short += len(inside) < 5
+        if len(inside) < 5:
+            inside = sorted(others, key=lambda i: (far[i], i))[:5]
+        want |= {(q, n + 1): i for n, i in enumerate(sorted(inside, key=lambda i: (-round(float(like[i]), 12), i))[:5])}
+    assert 0 < short < 60
+    assert got == [want] * 4
+
+
 @pytest.mark.parametrize("radius", [0, 1, 5, 9, 17, 40, 64])
 def test_probing_finds_every_code_in_the_radius(radius):
     rng = np.random.default_rng(2)

@@ -10,8 +10,8 @@ radius. Those are ranked by cosine in double precision on the original vectors.
 
 The radius is learned too: the ``reach`` quantile of the Hamming distances between sample vectors
 and their true nearest in the sample. Neighbours in the whole table are nearer than in a sample, so
-recall there is at least about ``reach``. Where a tile has fewer than ``k`` codes within the radius,
-its ``k`` nearest codes are taken. Every row is indexed; no bucket is capped.
+recall there is at least about ``reach``. A query with fewer than ``k`` codes of the whole table within
+the radius has its ``k`` nearest codes instead. Every row is indexed; no bucket is capped.
 
 Zero vectors take no part; see ``tiles`` for the rest. Ties go to the smaller id; fewer candidates
 than ``k`` are all returned; an empty table gives no rows.
@@ -131,17 +131,18 @@ def best_cosines(codes: Codes, k: int):
             a, b = index.within(code_q[part], codes.radius)
             own = query_ids[part][a] == ids[b]
             a, b = a[~own], b[~own]
+            far = hamming(code_q[part][a], index.codes[b])
             for i in np.flatnonzero(np.bincount(a, minlength=len(code_q[part])) < k):
-                far = hamming(code_q[begin + i][None, :], index.codes)
+                distance = hamming(code_q[begin + i][None, :], index.codes)
                 others = np.flatnonzero(ids != query_ids[begin + i])
-                add = others[np.lexsort((ids[others], far[others]))][:k]
-                a, b = np.r_[a[a != i], np.full(len(add), i)], np.r_[b[a != i], add]
+                add = others[np.lexsort((ids[others], distance[others]))][:k]
+                a, b, far = np.r_[a[a != i], np.full(len(add), i)], np.r_[b[a != i], add], np.r_[far[a != i], distance[add]]
             score = np.concatenate([np.zeros(0)] + [np.einsum("ij,ij->i", q[begin + a[c : c + 65536]], x[b[c : c + 65536]]) for c in range(0, len(a), 65536)])
             order = np.lexsort((ids[b], -score, a))
-            a, b, score = a[order], b[order], score[order]
+            a, b, score, far = a[order], b[order], score[order], far[order]
             first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.zeros(0, np.int64)
             keep = np.arange(len(a)) - np.repeat(first, np.diff(np.r_[first, len(a)])) < k
-            out.append((begin + a[keep], ids[b[keep]], score[keep]))
+            out.append((begin + a[keep], ids[b[keep]], score[keep], far[keep]))
         return tuple(np.concatenate(c) for c in zip(*out))
 
     return best
@@ -153,7 +154,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, **options) -> DataF
     drawn = rows.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE)
     sample = rows.join(F.broadcast(drawn), "vec_id").groupBy("vec_id").agg(F.min("embedding").alias("embedding")).orderBy("vec_id").toPandas()["embedding"]
     codes = fit(np.stack(sample.to_numpy()) if len(sample) else np.zeros((0, 0)), k=k, **options)
-    return search(rows, every, k, "double", best_cosines(codes, k))
+    return search(rows, every, k, "double", best_cosines(codes, k), codes.radius)
 
 
 @register("op8_multi_index_hashing")

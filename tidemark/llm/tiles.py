@@ -35,42 +35,58 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.where(F.size("embedding") == (size["n"] if size else 0))
 
 
-def matrix(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    ids = rows.column("vec_id").to_numpy()
+def matrix(rows: pa.Table, key: str = "vec_id") -> tuple[np.ndarray, np.ndarray]:
+    ids = rows.column(key).to_numpy()
     flat = rows.column("embedding").combine_chunks()
     flat = flat.flatten() if not isinstance(flat, pa.ChunkedArray) else pa.concat_arrays([c.flatten() for c in flat.chunks])
     return ids, flat.to_numpy(zero_copy_only=False).reshape(len(ids), -1) if len(ids) else np.zeros((0, 0))
 
 
-def search(vectors: DataFrame, every: int, k: int, score_type: str, best: Callable) -> DataFrame:
+def search(vectors: DataFrame, every: int, k: int, score_type: str, best: Callable, radius: int | None = None) -> DataFrame:
     """The ``k`` best candidates of each row whose id is divisible by ``every``.
 
     ``best(query_ids, queries, ids, vectors)`` returns arrays (row of the query, id, score) that hold
     at least the tile's ``k`` best of each query.
+
+    With a ``radius``, candidates lie at a distance, a fourth array, and those beyond the radius count only
+    for queries that have fewer than ``k`` within it in the whole table: the ``k`` at the least distance
+    (ties to the smaller id), ranked by score. Of a query with fewer than ``k`` in a tile, ``best`` returns the
+    tile's ``k`` at the least distance. So answers do not depend on how the table is cut into tiles.
     """
     asked = vectors.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    # Under a name of its own: Spark takes the two sides of a cogroup for one column if they share it.
+    asked = asked.withColumnRenamed("vec_id", "query_id")
     count, n_asked = vectors.count(), asked.count()
     blocks = max(1, -(-n_asked // QUERY_BLOCK))
     cores = vectors.sparkSession.sparkContext.defaultParallelism
     lanes = max(1, -(-count // LANE), min(2 * cores, count // SMALL_LANE))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
     dealt = vectors.withColumn("lane", (F.monotonically_increasing_id() % lanes).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def tile(key, queries: pa.Table, rows: pa.Table) -> pa.Table:
-        query_ids, q = matrix(queries)
+        query_ids, q = matrix(queries, "query_id")
         ids, x = matrix(rows)
         names, kinds = ["query_id", "vec_id", "score"], [pa.int64(), pa.int64(), pa.int64() if score_type == "long" else pa.float64()]
+        if radius is not None:
+            names, kinds = [*names, "far"], [*kinds, pa.int64()]
         if not len(q) or not len(x):
             return pa.Table.from_arrays([pa.array([], t) for t in kinds], names)
-        at, who, score = best(query_ids, q, ids, x)
+        at, who, score, *far = best(query_ids, q, ids, x)
         order = np.lexsort((who, -score, at))
-        at, who, score = at[order], who[order], score[order]
+        at, who, score, *far = (v[order] for v in (at, who, score, *far))
         first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, np.int64)
         rank = np.arange(len(at)) - np.repeat(first, np.diff(np.r_[first, len(at)]))
         keep = rank < k
-        return pa.Table.from_arrays([pa.array(v, t) for v, t in zip((query_ids[at[keep]], who[keep], score[keep]), kinds)], names)
+        return pa.Table.from_arrays([pa.array(v[keep], t) for v, t in zip((query_ids[at], who, score, *far), kinds)], names)
 
     keys = ["block", "lane"]
-    found = asked.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(tile, f"query_id long, vec_id long, score {score_type}")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    schema = f"query_id long, vec_id long, score {score_type}" + (", far long" if radius is not None else "")
+    found = asked.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(tile, schema)
+    by = Window.partitionBy("query_id")
+    if radius is not None:
+        enough = F.col("inside") >= k
+        first = F.when(enough, (F.col("far") > radius).cast("long")).otherwise(F.col("far"))
+        chosen = by.orderBy(first, F.when(enough, -F.col("score")), "vec_id")
+        found = found.withColumn("inside", F.count_if(F.col("far") <= radius).over(by)).withColumn("place", F.row_number().over(chosen)).where(F.col("place") <= k)
+    order = by.orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
