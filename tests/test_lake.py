@@ -353,3 +353,52 @@ def test_a_run_on_another_file_system(spark, tmp_path):
     lake = scan.read_lake(spark, f"{root}/out/posts", ENRICHED)
     assert ids(lake) == list("12345") and (tmp_path / "out" / "posts").is_dir()
     assert sorted(r["rows"] for r in scan.object_inventory(spark, f"{root}/out/posts", ENRICHED).collect()) == [2, 3]
+
+
+def _numbered(spark, n, parts=3, likes="id"):
+    """``n`` posts on two days, in ``parts`` tasks."""
+    day = F.date_add(F.lit("2026-01-15").cast("date"), (F.col("id") % 2).cast("int"))
+    posts = spark.range(0, n, 1, parts).select(
+        F.col("id").cast("string").alias("id"), day.cast("string").alias("created_at"), F.lit("text").alias("text"), F.expr(likes).cast("bigint").alias("like_count"),
+        *[F.lit(0).cast("bigint").alias(c) for c in ("retweet_count", "reply_count", "quote_count")], F.lit("s").alias("source"),
+        F.expr(likes).cast("bigint").alias("engagement_total"), F.lit(0.0).alias("sentiment_score"), F.lit("neutral").alias("sentiment_label"),
+        day.cast("string").alias("event_day"), F.lit("none").alias("scorer"), F.lit("1").alias("scorer_version"), day.alias("event_date"))
+    return posts
+
+
+def test_days_are_written_where_the_rows_are(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    sink.write_event_date(_numbered(spark, 30), str(tmp_path / "days"))
+    files = sorted((tmp_path / "days").rglob("part-*.parquet"))
+    assert len(files) == 6  # two days in each of three tasks: no row went to another task
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(2).compression for f in files} == {"ZSTD"}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_merge_moves_no_stored_text(spark, tmp_path):
+    """A file of more rows than one bitmap covers; first and last rows of bitmaps replaced."""
+    root, n = str(tmp_path / "merge"), 140_000
+    sink.merge_posts(_numbered(spark, n, 1), root)
+    update = _numbered(spark, n, 2, likes="id + 1000000").filter("int(id) < 2 or int(id) between 65530 and 65545 or int(id) >= 139998")
+    for _ in range(2):
+        sink.merge_posts(update, root)
+    lake = scan.read_lake(spark, root, ENRICHED)
+    changed = lake.filter(F.col("like_count") >= 1000000)
+    assert lake.count() == n and lake.select("id").distinct().count() == n
+    assert sorted(int(r[0]) for r in changed.select("id").collect()) == [0, 1, *range(65530, 65546), 139998, 139999]
+    plan = sink._without(sink.touched(lake, update), update)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("few", [200_000, 0])
+def test_latest_of_repeated_ids(spark, monkeypatch, few):
+    monkeypatch.setattr(sink, "FEW_IDS", few)
+    once = _numbered(spark, 6)
+    again = once.filter("id in ('1', '2')").withColumn("engagement_total", F.lit(50).cast("bigint"))
+    undated = once.filter("id = '3'").withColumn("event_date", F.lit(None).cast("date"))
+    nameless = once.filter("id = '4'").withColumn("id", F.lit(""))
+    batch = once.union(again).union(once.filter("id = '5'")).union(undated).union(undated).union(nameless).union(nameless)
+    found = sorted((r["id"], str(r["event_date"]), r["engagement_total"]) for r in sink.latest(batch).collect())
+    a, b = "2026-01-15", "2026-01-16"
+    assert found == [("", a, 4), ("", a, 4), ("0", a, 0), ("1", b, 50), ("2", a, 50), ("3", b, 3), ("3", "None", 3), ("4", a, 4), ("5", b, 5)]

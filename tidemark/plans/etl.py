@@ -64,7 +64,7 @@ def run_etl(
     if mode in ("merge", "overwrite"):
         batch = settle(sink.latest(batch), "etl-latest")
     receipt = {"post_count": 0}
-    days = batch.select("event_date").distinct()
+    days = settle(batch.select("event_date").distinct(), "days")
     if not batch.isEmpty():
         receipt = sink.write_with_receipt(batch, lambda df: write_posts(df, posts_root, run_ts, mode), posts_root)
         if mode in ("merge", "overwrite"):
