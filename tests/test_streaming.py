@@ -140,3 +140,19 @@ def test_array_files_stream(spark, tmp_path, fmt):
     posts = enrich_stream(stream_raw(spark, str(tmp_path / "in"), fmt))
     run_available(posts.drop("created_ts"), str(tmp_path / "out"), str(tmp_path / "state"))
     assert spark.read.schema(ENRICHED).parquet(str(tmp_path / "out")).agg(F.sum("like_count")).first()[0] == 135920
+
+
+def test_landed_days_are_read_apart(spark, monkeypatch):
+    """A big day lands as several files, in order of days, and a batch takes the files of four days."""
+    from tidemark.plans.queries import streams
+
+    monkeypatch.setattr(streams, "FILE_BYTES", 1)
+    posts = spark.range(0, 24, 1, 3).select(
+        (F.col("id") % 6).cast("int").alias("batch"), F.col("id").cast("string").alias("id"), F.lit("2026-01-01").alias("created_at"),
+        F.lit("text").alias("text"), F.lit("s").alias("source"), F.col("id").alias("like_count"))
+    pattern, files = streams._landed(spark, posts, "landed-test")
+    read = spark.read.text(pattern).select(F.col("_metadata.file_path").alias("at"), F.get_json_object("value", "$.id").cast("int").alias("id"))
+    rows = read.select(F.regexp_extract("at", r"/(\d+)/[^/]*$", 1).cast("int").alias("day"), "id", "at").collect()
+    assert sorted(r["id"] for r in rows) == list(range(24)) and all(r["id"] % 6 == r["day"] for r in rows)
+    per_day = [len({r["at"] for r in rows if r["day"] == d}) for d in range(6)]
+    assert min(per_day) > 1 and files == 4 * min(per_day)

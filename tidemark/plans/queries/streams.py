@@ -15,7 +15,9 @@ from tidemark.plans import views as v
 from tidemark.plans.queries.enrichment import FREQUENT
 from tidemark.plans.registry import query
 from tidemark.schema import ENRICHED
-from tidemark.session import scratch_path, settle
+from tidemark.session import scratch_path, settings, settle
+from tidemark.sinks.lake import COMPACT, MANY_OPEN
+from tidemark.sources.lake import listing
 from tidemark.streaming import dropped_rows, enrich_stream, land_stream, merge_stream, run_available, sliding_stream, tumbling_summary
 from tidemark.sources.posts import stream_raw
 
@@ -49,14 +51,32 @@ def _posts(events: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def _landed(spark: SparkSession, posts: DataFrame, name: str) -> str:
-    """Posts as JSON lines, one file per day, named in order of days so that they arrive in order."""
-    folder = scratch_path(spark, name)
+# Stored bytes of a day that make one landed file (about 100 MB of lines), and how many
+# days a batch of the stream holds.
+FILE_BYTES, BATCH_DAYS = 32 * 1024 * 1024, 4
+
+
+def _landed(spark: SparkSession, posts: DataFrame, name: str) -> tuple[str, int]:
+    """Posts as JSON lines, a folder per day, landed in order of days so that they arrive in order.
+
+    Returns the pattern of the folders and how many files a batch may take so that it holds no more
+    than ``BATCH_DAYS`` days. A big day is several files; every file reads only its own day.
+    """
+    folder, held = scratch_path(spark, name), scratch_path(spark, f"{name}-held")
     metrics = F.struct("like_count").alias("public_metrics")
-    lines = settle(posts.select("batch", F.to_json(F.struct("id", "created_at", "text", "source", metrics)).alias("value")), name)
-    for (batch,) in lines.select("batch").distinct().orderBy("batch").collect():  # one per day: small, and the order is the point
-        lines.filter(F.col("batch").eqNullSafe(F.lit(batch))).select("value").coalesce(1).write.mode("append").text(folder)
-    return folder
+    lines = posts.select("batch", F.to_json(F.struct("id", "created_at", "text", "source", metrics)).alias("value"))
+    with settings(spark, MANY_OPEN):
+        lines.write.options(**COMPACT).partitionBy("batch").parquet(held)
+    stored = spark.read.schema(lines.schema).parquet(held)
+    days = [day for (day,) in stored.select("batch").distinct().orderBy("batch").collect()]  # small, and the order is the point
+    size = listing(spark, held).agg(F.sum("bytes")).first()[0] or 0
+    files = 1 + size // (FILE_BYTES * max(len(days), 1))
+    for i, day in enumerate(days):
+        stored.filter(F.col("batch").eqNullSafe(F.lit(day))).select("value").coalesce(files).write.text(f"{folder}/{i:05d}")
+    if not days:
+        stored.select("value").write.text(f"{folder}/{0:05d}")
+    of_day = listing(spark, folder, "*.txt").groupBy(F.regexp_extract("key", r"/(\d+)/[^/]*$", 1)).agg(F.count(F.lit(1)).alias("n"))
+    return f"{folder}/*", BATCH_DAYS * (of_day.agg(F.min("n")).first()[0] or 1)
 
 
 _SUMMARY_SQL = v.with_ctes(v.SQL_FACTS, v.SQL_WORDS, v.SQL_LEXICON, v.SQL_NET, v.SQL_SCORED, body="""
@@ -115,10 +135,10 @@ def q_stream_dedupe(spark, sf):
     time are all there in the end, once.
     """
     posts = _day_posts(spark, sf)
-    folder = _landed(spark, posts.union(posts.withColumn("batch", F.col("batch") + 2)), "stream-days")
+    folder, files = _landed(spark, posts.union(posts.withColumn("batch", F.col("batch") + 2)), "stream-days")
     out, state = scratch_path(spark, "stream-dedupe"), scratch_path(spark, "stream-state")
     for _ in range(2):
-        raw = stream_raw(spark, folder, files_per_batch=4)
+        raw = stream_raw(spark, folder, files_per_batch=files)
         land_stream(enrich_stream(raw, FREQUENT), out, state, delay_days=8)
     landed = spark.read.schema(LANDED).parquet(out)
     return landed.filter(F.col("arrival").isin("post", "untimed")).agg(
@@ -151,10 +171,10 @@ def q_stream_arrivals(spark, sf):
     late = (F.col("batch") <= last - 18) & (F.col("like_count") % 5 == 0) & (F.col("created_at") != "some day")
     again = posts.filter(~late).withColumn("batch", F.col("batch") + 2)
     sent = posts.withColumn("batch", F.when(late, F.lit(last + 3)).otherwise(F.col("batch"))).union(again)
-    folder = _landed(spark, sent, "stream-arrivals")
+    folder, files = _landed(spark, sent, "stream-arrivals")
     out, state = scratch_path(spark, "stream-arrivals"), scratch_path(spark, "stream-state")
     for _ in range(2):
-        land_stream(enrich_stream(stream_raw(spark, folder, files_per_batch=4), FREQUENT), out, state, delay_days=8)
+        land_stream(enrich_stream(stream_raw(spark, folder, files_per_batch=files), FREQUENT), out, state, delay_days=8)
     rows_in = spark.read.text(folder).agg(F.count(F.lit(1))).scalar()
     return spark.read.schema(LANDED).parquet(out).groupBy("arrival").agg(
         F.count(F.lit(1)).alias("n"), F.sum("like_count").alias("likes")
@@ -200,9 +220,9 @@ def q_stream_late_rows(spark, sf):
     posts = _day_posts(spark, sf).filter("created_at <> 'some day'")
     last = posts.agg(F.max("batch")).first()[0] or 0
     late = (F.col("batch") <= last - 18) & (F.col("like_count") % 5 == 0)
-    folder = _landed(spark, posts.withColumn("batch", F.when(late, F.lit(last + 1)).otherwise(F.col("batch"))), "stream-late")
+    folder, files = _landed(spark, posts.withColumn("batch", F.when(late, F.lit(last + 1)).otherwise(F.col("batch"))), "stream-late")
     out, state = scratch_path(spark, "stream-late"), scratch_path(spark, "stream-state")
-    summary = lambda: tumbling_summary(enrich_stream(stream_raw(spark, folder, files_per_batch=4), FREQUENT), delay="4 days")
+    summary = lambda: tumbling_summary(enrich_stream(stream_raw(spark, folder, files_per_batch=files), FREQUENT), delay="4 days")
     query_ = run_available(summary(), out, state)
     return spark.read.schema(summary().schema).parquet(out).select(
         "event_day", "post_count", "total_engagement", F.lit(dropped_rows(query_) > 0).alias("turned_away")

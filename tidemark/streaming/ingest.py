@@ -15,7 +15,8 @@ from tidemark.operators.enrich import LEXICON_SCORER, Scorer, enrich
 from tidemark.operators.normalize import normalize
 from tidemark.operators.summary import score_units
 from tidemark.operators.windows import LOOKBACK_DAYS
-from tidemark.sinks.lake import has_id, merge_posts
+from tidemark.session import settings
+from tidemark.sinks.lake import COMPACT, MANY_OPEN, has_id, merge_posts
 from tidemark.streaming.arrivals import ROCKSDB, STATE_STORE, arrivals
 
 # Ids stay known for as long as overlapping reads can bring them back.
@@ -97,10 +98,12 @@ def _finish(query: StreamingQuery) -> StreamingQuery:
 
 def run_available(stream: DataFrame, path: str, checkpoint: str, partition_by: str | list[str] | None = None) -> StreamingQuery:
     """Append everything now available to Parquet, in as many batches as the source asks for."""
-    writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.format("parquet").options(**COMPACT).option("path", path).option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    return _finish(writer.outputMode("append").trigger(availableNow=True).start())
+    with settings(stream.sparkSession, MANY_OPEN):  # a query takes the settings it starts with
+        query = writer.outputMode("append").trigger(availableNow=True).start()
+    return _finish(query)
 
 
 def land_stream(posts: DataFrame, root: str, checkpoint: str, delay_days: int = LOOKBACK_DAYS) -> StreamingQuery:
@@ -109,13 +112,8 @@ def land_stream(posts: DataFrame, root: str, checkpoint: str, delay_days: int =
     ``root`` filtered to ``post`` and ``untimed`` holds each post once; ``repeat`` and ``late`` are what a
     plain watermark turns away, kept to be looked at or merged by a backfill.
     """
-    conf = posts.sparkSession.conf
-    before = conf.get(STATE_STORE, None)
-    conf.set(STATE_STORE, ROCKSDB)
-    try:
+    with settings(posts.sparkSession, {STATE_STORE: ROCKSDB}):
         return run_available(arrivals(posts, delay_days), root, checkpoint, ["arrival", "event_date"])
-    finally:
-        conf.unset(STATE_STORE) if before is None else conf.set(STATE_STORE, before)
 
 
 def merge_stream(enriched: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
