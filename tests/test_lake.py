@@ -13,6 +13,7 @@ from tidemark.operators.enrich import enrich
 from tidemark.operators.parity import field_diff, multiset_diff, name_collisions, schema_diff
 from tidemark.operators.summary import daily_summary
 from tidemark.plans.etl import run_etl, write_posts
+from tidemark.plans.queries.enrichment import stored_rows
 from tidemark.schema import ENRICHED
 from tidemark.sinks import lake as sink
 from tidemark.sources import lake as scan
@@ -402,3 +403,16 @@ def test_latest_of_repeated_ids(spark, monkeypatch, few):
     found = sorted((r["id"], str(r["event_date"]), r["engagement_total"]) for r in sink.latest(batch).collect())
     a, b = "2026-01-15", "2026-01-16"
     assert found == [("", a, 4), ("", a, 4), ("0", a, 0), ("1", b, 50), ("2", a, 50), ("3", b, 3), ("3", "None", 3), ("4", a, 4), ("5", b, 5)]
+
+
+def test_posts_of_a_document_are_written_next_to_each_other(spark, tmp_path):
+    """Few documents, which Spark would send to the posts: the text of each is written in one stretch."""
+    sf = str(tmp_path)
+    spark.range(9).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.concat(F.lit("text "), "id").alias("text")).write.parquet(f"{sf}/documents.parquet")
+    spark.range(3000).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 100).alias("ts"), F.col("id").alias("user_id"),
+        F.lit("click").alias("event_type"), F.lit(1.5).alias("value"), F.lit('{"k": 1}').alias("props"),
+    ).write.parquet(f"{sf}/events.parquet")
+    posts = stored_rows(spark, sf).select(F.spark_partition_id().alias("task"), "text").collect()
+    stretches = 1 + sum(a != b for a, b in zip(posts, posts[1:]))
+    assert len(posts) == 3000 and stretches == 9
