@@ -190,6 +190,20 @@ def test_rare_shingles_have_frequencies_of_their_own(spark):
     assert all(abs(w - (1 + math.log(501 / 21))) < 1e-12 for w in weights.idf)
 
 
+def test_texts_not_asked_for_are_left_out_before_the_join(spark):
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(4000)], "doc_id long, text string")
+    keyed = near_dedup._keyed(docs)
+    distinct = keyed.select("digest", "doc_id", F.lit(b"df").alias("df"))
+    asked = keyed.where("doc_id % 200 < 2").select("digest", "doc_id")
+    near = near_dedup._likely(keyed, asked)
+    assert near.columns == keyed.columns
+    assert near.join(asked, "digest", "left_semi").count() == 40 and near.count() < 800
+    pairs = asked.select(F.col("digest").alias("a")).withColumn("b", F.col("a"))
+    found = near_dedup._texts(pairs, keyed, distinct)
+    assert sorted(r.text for r in found.collect()) == sorted(f"text number {i}" for i in range(4000) if i % 200 < 2)
+    assert near_dedup._likely(keyed, asked.limit(0)).count() == 0
+
+
 def test_samples_agree_as_often_as_sets_overlap():
     import numpy as np
 

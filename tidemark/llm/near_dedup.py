@@ -63,6 +63,8 @@ SHARE = 0
 BUCKET_BYTES = 4 << 20
 LEAST_AGREEMENT = 0.55
 LEAST_SURE = 0.4
+#: Bits for each text to fetch (one in sixteen of the others is fetched in vain), and all of them: 8 MB.
+BITS_EACH, MOST_BITS = 16, 1 << 26
 #: Texts of each bucket, drawn at random, that its members are compared with beside the fullest.
 RANDOM_FIRSTS = 2
 
@@ -412,10 +414,29 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return _rooted(_rooted(pairs, roots, "a"), roots, "b").where("root_a <> root_b")
 
 
+def _likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """All rows whose digest is in ``wanted``, and few others: a bit a digest, sent to the rows.
+
+    The bits are bounded; with more digests than they hold apart, more other rows stay.
+    """
+    size = min(max(BITS_EACH * wanted.count(), 1 << 15), MOST_BITS)
+    place = F.pmod(F.xxhash64("digest"), F.lit(size)) + 1
+    filled = wanted.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("__part"))
+    filled = filled.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("__bits"))
+    placed = rows.withColumns({"__part": F.bitmap_bucket_number(place), "__bit": F.bitmap_bit_position(place)})
+    byte = F.conv(F.hex(F.expr("substring(__bits, cast(__bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    held = byte.bitwiseAND(F.expr("shiftleft(1, cast(__bit % 8 as int))")) != 0
+    return placed.join(F.broadcast(filled), "__part").where(held).select(*rows.columns)
+
+
 def _texts(pairs: DataFrame, keyed: DataFrame, distinct: DataFrame) -> DataFrame:
-    """The texts of ``pairs`` and their frequencies. Joined on the id as well, so that copies spread."""
+    """The texts of ``pairs`` and their frequencies. Joined on the id as well, so that copies spread.
+
+    Texts that nobody asks for are left out before the join, which shuffles the others.
+    """
     ends = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
     wanted = settle(distinct.select("digest", F.col("doc_id").alias("__id"), "df").join(ends, "digest", "left_semi"), "dedup-ends")
+    keyed = _likely(keyed, wanted)
     same = (keyed["digest"] == wanted["digest"]) & keyed["doc_id"].eqNullSafe(wanted["__id"])
     return keyed.join(wanted, same).select(keyed["digest"], "text", "df")
 
