@@ -204,6 +204,14 @@ def test_texts_not_asked_for_are_left_out_before_the_join(spark):
     assert near_dedup._likely(keyed, asked.limit(0)).count() == 0
 
 
+def test_a_task_counts_one_range_of_shingles(spark):
+    rng = random.Random(12)
+    docs = spark.createDataFrame([(i, prose(rng, 300, "ab")) for i in range(40)] * 2, "doc_id long, text string")
+    told = near_dedup.frequencies(near_dedup._dealt(near_dedup._keyed(docs), 3))
+    held = told.groupBy(F.spark_partition_id()).agg(F.count_distinct("range").alias("n"))
+    assert {r.n for r in held.collect()} == {1}
+
+
 def test_samples_agree_as_often_as_sets_overlap():
     import numpy as np
 

@@ -175,7 +175,8 @@ def frequencies(dealt: DataFrame, full: bool = False) -> DataFrame:
     stand in more than one document, and in how many. ``full`` adds the shingles themselves."""
     ranges = _ranges(dealt)
     sent = dealt.groupBy("bucket").applyInArrow(_by_range(ranges), _SENT)
-    return sent.repartition(ranges, "range").mapInArrow(_repeated(full), _ANSWER)
+    # One range for each task; by a hash of it, some tasks would hold several.
+    return sent.repartitionById(ranges, "range").mapInArrow(_repeated(full), _ANSWER)
 
 
 def idf(n: np.ndarray, total: int) -> np.ndarray:
