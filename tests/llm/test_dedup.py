@@ -1,8 +1,11 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 from helpers import clashing, empty_documents, odd_documents, prose
 from pyspark.sql import functions as F
 
@@ -241,3 +244,50 @@ def test_query_digest(spark, tmp_path):
     for i, (n, gone, kept) in enumerate(brute_passages(texts, 35)):
         assert (got[i]["n_words"], got[i]["n_removed"], got[i]["kept_sha256"]) == (n, gone, hashlib.sha256(kept.encode()).hexdigest())
     assert docs.where(F.col("text").isNull()).count() == 1
+
+
+def sent(parts, range_=0):
+    """A batch as buckets send it: each part a dictionary from shingle to count."""
+    rows = [(i, range_, np.array(sorted(p), np.uint64).tobytes(), near_dedup.pack_counts(np.array([p[h] for h in sorted(p)]))) for i, p in enumerate(parts)]
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["bucket", "range", "shingles", "n"])
+
+
+def answered(batches):
+    out = {}
+    for batch in near_dedup._repeated(True)(iter(batches)):
+        for r in batch.to_pylist():
+            places = np.frombuffer(r["at"], "<u4")
+            told = zip(places.tolist(), np.frombuffer(r["shingles"], np.uint64).tolist(), near_dedup.unpack_counts(r["n"], len(places)).tolist())
+            assert out.setdefault((r["range"], r["bucket"]), list(told)) and len(places)
+    return out
+
+
+def test_a_range_is_summed_over_its_buckets():
+    rng = random.Random(4)
+    top = (1 << 64) - 1
+    parts = [{h: rng.choice([1, 1, 1, 2, 254, 255, 256, 70_000]) for h in rng.sample([0, 1, top, *range(10, 200)], rng.randint(1, 60))} for _ in range(9)]
+    parts += [{7: 1}, {8: 255}]  # one that nobody else holds, once and often
+    whole = Counter()
+    for p in parts:
+        whole.update(p)
+    want = {i: [(k, h, whole[h]) for k, h in enumerate(sorted(p)) if whole[h] > 1] for i, p in enumerate(parts)}
+    want = {i: x for i, x in want.items() if x}
+    batch = sent(parts)
+    assert answered([batch]) == {(0, i): x for i, x in want.items()}
+    assert answered([batch.slice(0, 4), sent([{7: 1}], 3), batch.slice(4)]) == {(0, i): x for i, x in want.items()}
+    assert answered([]) == answered([sent([{7: 1}])]) == {}
+
+
+def test_a_range_takes_little_more_room_than_its_shingles():
+    rng = np.random.default_rng(3)
+    common = rng.integers(0, 1 << 63, 2_000)
+    parts = [dict.fromkeys(np.r_[rng.integers(0, 1 << 63, 8_000), common].tolist(), 1) for _ in range(30)]
+    batch = sent(parts)
+    size = 8 * sum(map(len, parts))
+    tracemalloc.start()
+    rows = sum(x.num_rows for x in near_dedup._repeated(False)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(parts)
+    assert peak < 2.5 * size

@@ -87,12 +87,11 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h[at], np.diff(np.r_[at, len(h)]), np.searchsorted(at, of)
 
 
-def _summed(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values, sorted, and the sums of their counts."""
-    order = np.argsort(h, kind="stable")
-    h = h[order]
+def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, sorted, and how often each stands there; ``h`` is sorted in place."""
+    h.sort()
     first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
-    return h[first], np.add.reduceat(n[order], first) if len(h) else np.zeros(0, np.int64)
+    return h[first], np.diff(np.r_[first, len(h)])
 
 
 def pack_counts(n: np.ndarray) -> bytes:
@@ -100,7 +99,7 @@ def pack_counts(n: np.ndarray) -> bytes:
     return np.minimum(n, 255).astype(np.uint8).tobytes() + n[n >= 255].astype("<i8").tobytes()
 
 
-def unpack_counts(packed: bytes, size: int) -> np.ndarray:
+def unpack_counts(packed: bytes | pa.Buffer, size: int) -> np.ndarray:
     out = np.frombuffer(packed, np.uint8, size).astype(np.int64)
     out[out == 255] = np.frombuffer(packed, "<i8", offset=size)
     return out
@@ -121,8 +120,7 @@ def _distinct_of(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     for chunk in texts.chunks:
         for begin, end in slices(chunk):
             parts.append(shingles(chunk.slice(begin, end - begin))[0])
-    h = np.concatenate([np.zeros(0, U64), *parts])
-    return _summed(h, np.ones(len(h), np.int64))
+    return _distinct(np.concatenate([np.zeros(0, U64), *parts]))
 
 
 def _by_range(ranges: int):
@@ -141,25 +139,49 @@ def _by_range(ranges: int):
     return run
 
 
+def _places(among: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``h`` stand in ``among`` (sorted), and where there."""
+    at = np.searchsorted(among, h)
+    here = np.flatnonzero(among[np.minimum(at, len(among) - 1)] == h) if len(among) else np.zeros(0, np.int64)
+    return here, at[here]
+
+
+def summed(parts: list[tuple[np.ndarray, pa.Buffer]]) -> tuple[np.ndarray, np.ndarray]:
+    """The values, sorted, whose counts add up to more than one, and these sums.
+
+    A part has distinct sorted values and their packed counts. Most values stand once: counts are unpacked
+    for a part at a time, and summed for those alone that repeat, so scratch is about one more copy of the values.
+    """
+    h = np.concatenate([np.zeros(0, U64), *(own for own, _ in parts)])
+    h.sort()
+    again = h[1:][h[1:] == h[:-1]]
+    del h
+    often = (own[np.frombuffer(n, np.uint8, len(own)) > 1] for own, n in parts if len(own))
+    h = _distinct(np.concatenate([again, *often]))[0]
+    sums = np.zeros(len(h), np.int64)
+    for own, n in parts:
+        here, at = _places(h, own)
+        sums[at] += unpack_counts(n, len(own))[here]
+    return h, sums
+
+
 def _repeated(full: bool):
     """For each bucket, which of its shingles of a range stand in more than one document, and in how many."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
         for batch in batches:
-            for bucket, r, h, n in zip(*(c.to_pylist() for c in batch.columns)):
-                held.setdefault(r, []).append((bucket, np.frombuffer(h, U64), unpack_counts(n, len(h) // 8)))
+            # Views of the batch: what a range holds is there once.
+            for bucket, r, h, n in zip(*batch.columns):
+                held.setdefault(r.as_py(), []).append((bucket.as_py(), np.frombuffer(h.as_buffer(), U64), n.as_buffer()))
         while held:
             r, parts = held.popitem()
-            h, n = _summed(np.concatenate([x[1] for x in parts]), np.concatenate([x[2] for x in parts]))
-            h, n = h[n > 1], n[n > 1]
+            h, n = summed([x[1:] for x in parts])
             out = []
             for bucket, own, _ in parts:
-                at = np.searchsorted(h, own)
-                at[at == len(h)] = 0
-                here = np.flatnonzero(h[at] == own) if len(h) else np.zeros(0, np.int64)
+                here, at = _places(h, own)
                 if len(here):
-                    out.append((bucket, r, here.astype("<u4").tobytes(), pack_counts(n[at[here]]), own[here].tobytes() if full else None))
+                    out.append((bucket, r, here.astype("<u4").tobytes(), pack_counts(n[at]), own[here].tobytes() if full else None))
             kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], ["bucket", "range", "at", "n", "shingles"])
 
