@@ -3,6 +3,7 @@ import random
 import re
 import tracemalloc
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import near_dedup, substrings
 from tidemark.llm.components import components
+from tidemark.session import scratch_root, settings
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -291,3 +293,15 @@ def test_a_range_takes_little_more_room_than_its_shingles():
     tracemalloc.stop()
     assert rows == len(parts)
     assert peak < 2.5 * size
+
+
+def test_small_tables_between_jobs_are_few_files(spark):
+    docs = spark.createDataFrame(near_copies(), "doc_id long, text string")
+    scratch = Path(scratch_root(spark).removeprefix("file:"))
+    before = set(scratch.iterdir())
+    with settings(spark, {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        near_dedup.text_classes(near_dedup._keyed(docs))
+    files = {folder.name.rpartition("-")[0]: len(list(folder.glob("*.parquet"))) for folder in set(scratch.iterdir()) - before}
+    assert files.keys() >= {"dedup-copies", "dedup-pairs", "dedup-texts", "dedup-links", "dedup-classes", "edges"}
+    # A file for each core at most, not one for each shuffle partition.
+    assert max(files.values()) <= spark.sparkContext.defaultParallelism < 24

@@ -371,7 +371,7 @@ def agreeing(pairs: DataFrame, distinct: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "samples_a", "samples_b").mapInArrow(map_rows(agree), "a binary, b binary, agreement double").where(F.col("agreement") >= least)
 
 
-def missed(distinct: DataFrame, roots: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def missed(distinct: DataFrame, roots: DataFrame, least: float = SIMILARITY, files: int | None = None) -> DataFrame:
     """(a, b, agreement): texts of different components that may be as near as ``least`` by the weights
     that their shared rare shingles leave."""
     near = distinct.select("digest", "weight", F.explode(F.arrays_zip("prefix", "rest")).alias("p"))
@@ -380,7 +380,7 @@ def missed(distinct: DataFrame, roots: DataFrame, least: float = SIMILARITY) ->
     rare = _rooted(near.select("digest", "weight", level.alias("level"), F.col("p.prefix").alias("shingle"), F.col("p.rest").alias("rest")), roots, "digest")
     # Members of a shingle by component: one alone has no pairs to add.
     mixed = rare.groupBy("shingle").agg(F.min("root_digest").alias("low"), F.max("root_digest").alias("high")).where("low <> high").select("shingle")
-    rare = settle(rare.join(mixed, "shingle"), "dedup-rare")
+    rare = settle(rare.join(mixed, "shingle"), "dedup-rare", files)
     # The largest component of a shingle is only one side of its pairs.
     main = rare.groupBy("shingle", "root_digest").agg(F.count("*").alias("n")).groupBy("shingle").agg(F.max(F.struct("n", "root_digest")).getField("root_digest").alias("main"))
     small = rare.join(main, "shingle").where("root_digest <> main").select(
@@ -452,13 +452,13 @@ def _likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return placed.join(F.broadcast(filled), "__part").where(held).select(*rows.columns)
 
 
-def _texts(pairs: DataFrame, keyed: DataFrame, distinct: DataFrame) -> DataFrame:
+def _texts(pairs: DataFrame, keyed: DataFrame, distinct: DataFrame, files: int | None = None) -> DataFrame:
     """The texts of ``pairs`` and their frequencies. Joined on the id as well, so that copies spread.
 
     Texts that nobody asks for are left out before the join, which shuffles the others.
     """
     ends = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
-    wanted = settle(distinct.select("digest", F.col("doc_id").alias("__id"), "df").join(ends, "digest", "left_semi"), "dedup-ends")
+    wanted = settle(distinct.select("digest", F.col("doc_id").alias("__id"), "df").join(ends, "digest", "left_semi"), "dedup-ends", files)
     keyed = _likely(keyed, wanted)
     same = (keyed["digest"] == wanted["digest"]) & keyed["doc_id"].eqNullSafe(wanted["__id"])
     return keyed.join(wanted, same).select(keyed["digest"], "text", "df")
@@ -477,6 +477,14 @@ def _buckets(keyed: DataFrame) -> int:
     return max(1, -(-size // BUCKET_BYTES))
 
 
+def _files(df: DataFrame, buckets: int) -> int:
+    """Most files of a table between two jobs: one for a bucket's worth of text, or for each core if that is more.
+
+    So they follow the texts, not the number of shuffle partitions, of which each would write its own few rows.
+    """
+    return max(buckets, df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _dealt(keyed: DataFrame, buckets: int | None = None) -> DataFrame:
     """Digest, id and text, in buckets; shuffled once, as all that uses it takes all its columns."""
     rows = keyed.select("digest", F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -491,28 +499,29 @@ def text_classes(keyed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """
     keyed = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "digest")
     buckets = _buckets(keyed)
-    copies = settle(keyed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), "dedup-copies")
+    files = _files(keyed, buckets)
+    copies = settle(keyed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), "dedup-copies", files)
     total = copies.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     chosen = copies.select(_bucket(buckets).alias("bucket"), "digest", "copies")
     distinct = settle(sketches(_dealt(keyed, buckets), chosen, total, least), "dedup-sketches")
-    pairs = settle(candidates(distinct), "dedup-pairs")
-    texts = settle(_texts(pairs, keyed, distinct), "dedup-texts")
+    pairs = settle(candidates(distinct), "dedup-pairs", files)
+    texts = settle(_texts(pairs, keyed, distinct, files), "dedup-texts", files)
     # Each text's best candidate first: most classes are whole after that.
     best = pairs.select("a", "b", "agreement", F.col("a").alias("x")).union(pairs.select("a", "b", "agreement", "b"))
     best = best.groupBy("x").agg(F.max_by(F.struct("a", "b"), F.struct("agreement", "b", "a")).alias("p")).select("p.a", "p.b").distinct()
-    found = settle(links(best, texts, total, least), "dedup-links")
+    found = settle(links(best, texts, total, least), "dedup-links", files)
     roots = components(found)
     open_ = _apart(pairs.join(best, ["a", "b"], "left_anti"), roots).select("a", "b")
-    found = settle(found.union(links(open_, texts, total, least)), "dedup-links")
+    found = settle(found.union(links(open_, texts, total, least)), "dedup-links", files)
     roots = components(found)
-    rest = settle(missed(distinct, roots, least), "dedup-missed")
+    rest = settle(missed(distinct, roots, least, files), "dedup-missed", files)
     if not rest.isEmpty():
-        texts = settle(_texts(rest, keyed, distinct), "dedup-texts")
+        texts = settle(_texts(rest, keyed, distinct, files), "dedup-texts", files)
         best = _apart(rest, roots).groupBy(F.least("root_a", "root_b").alias("x"), F.greatest("root_a", "root_b").alias("y"))
-        best = settle(best.agg(F.max(F.struct("agreement", "a", "b")).alias("p")).select("p.a", "p.b"), "dedup-best")
-        found = settle(found.union(links(best, texts, total, least)), "dedup-links")
+        best = settle(best.agg(F.max(F.struct("agreement", "a", "b")).alias("p")).select("p.a", "p.b"), "dedup-best", files)
+        found = settle(found.union(links(best, texts, total, least)), "dedup-links", files)
         open_ = _apart(rest.join(best, ["a", "b"], "left_anti"), components(found)).select("a", "b")
-        found = settle(found.union(links(open_, texts, total, least)), "dedup-links")
+        found = settle(found.union(links(open_, texts, total, least)), "dedup-links", files)
         roots = components(found)
     degree = found.select(F.col("a").alias("digest")).union(found.select("b")).groupBy("digest").agg(F.count("*").alias("n_links"))
     named = distinct.select("digest", "doc_id", "copies").join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("class_key", F.coalesce("root", "digest"))
@@ -521,6 +530,7 @@ def text_classes(keyed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     return settle(
         named.join(sizes, "class_key").join(degree, "digest", "left").select("digest", "doc_id", "class_id", F.hex("class_key").alias("class_key"), "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"), "speaker"),
         "dedup-classes",
+        files,
     )
 
 
