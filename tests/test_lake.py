@@ -14,7 +14,7 @@ from tidemark.operators.parity import field_diff, multiset_diff, name_collisions
 from tidemark.operators.summary import daily_summary
 from tidemark.plans.etl import run_etl, write_posts
 from tidemark.plans.queries.enrichment import stored_rows
-from tidemark.schema import ENRICHED
+from tidemark.schema import ENRICHED, conform
 from tidemark.sinks import lake as sink
 from tidemark.sources import lake as scan
 
@@ -416,3 +416,31 @@ def test_posts_of_a_document_are_written_next_to_each_other(spark, tmp_path):
     posts = stored_rows(spark, sf).select(F.spark_partition_id().alias("task"), "text").collect()
     stretches = 1 + sum(a != b for a, b in zip(posts, posts[1:]))
     assert len(posts) == 3000 and stretches == 9
+
+
+def test_a_write_packs_texts_and_leaves_no_shuffle_files(spark, tmp_path):
+    import random
+    import time
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(6000)]
+    often = [1 / (1 + i) for i in range(len(words))]
+    texts = spark.createDataFrame([(str(i), " ".join(rng.choices(words, often, k=1500))) for i in range(600)], "id string, said string").coalesce(1)
+    posts = _numbered(spark, 600, 1).join(F.broadcast(texts), "id").withColumn("text", F.col("said")).drop("said")
+    held = lambda: {b.name() for b in _blocks(spark) if b.name().startswith("shuffle_")}
+    before = held()
+    sink.write_event_date(posts.repartition(1, "source"), str(tmp_path / "days"))
+    until = time.time() + 20
+    while held() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not held() - before
+    posts.repartition(1, "source").write.option("compression", "zstd").partitionBy("event_date").parquet(str(tmp_path / "plain"))
+    size = {name: sum(f.stat().st_size for f in (tmp_path / name).rglob("part-*.parquet")) for name in ("days", "plain")}
+    assert size["days"] < 0.985 * size["plain"]
+    assert multiset_diff(scan.read_lake(spark, str(tmp_path / "days"), ENRICHED), conform(posts, ENRICHED)).count() == 0
+
+
+def _blocks(spark):
+    """Files of the running session's block manager: shuffles, broadcasts, cached rows."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return [files.apply(i) for i in range(files.size())]
