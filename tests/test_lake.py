@@ -444,3 +444,80 @@ def _blocks(spark):
     """Files of the running session's block manager: shuffles, broadcasts, cached rows."""
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
     return [files.apply(i) for i in range(files.size())]
+
+
+def _rows_of(df):
+    return sorted((tuple(r) for r in df.select(*ENRICHED.names).collect()), key=repr)
+
+
+@pytest.mark.parametrize("at_a_time", [0, 2**40])
+def test_merges_against_a_plain_merge(spark, tmp_path, monkeypatch, at_a_time):
+    """Updates, repeated ids, posts without an id or a day and unchanged days, some days at a time or all together."""
+    import random
+    from collections import Counter
+
+    monkeypatch.setattr(sink, "MERGE_BYTES", at_a_time)
+    rng, root = random.Random(11), str(tmp_path / "lake")
+
+    def post(ident, day, n):
+        date = None if day is None else dt.date(2026, 1, day)
+        return (ident, str(date), f"text {n}", n, 0, 0, 0, rng.choice(["s", None]), n, 0.5, "neutral", str(date), "x", "1", date)
+
+    def batch():
+        known = [post(str(i), None if i % 7 == 0 else 1 + i % 5, rng.randint(0, 9)) for i in rng.sample(range(40), 15)]
+        again = [(*p[:2], p[2] + "!", *p[3:8], p[8] + 1, *p[9:]) for p in rng.sample(known, 3)] + rng.sample(known, 3)
+        return known + again + [post(rng.choice(["", "None", None]), rng.choice([None, 1, 3]), rng.randint(0, 1)) for _ in range(6)]
+
+    model = Counter()
+    for rows in [first := batch(), batch(), batch(), first, first]:
+        sink.merge_posts(spark.createDataFrame(rows, ENRICHED).repartition(3), root)
+        win = {}
+        for p in rows:
+            if p[0] not in ("", "None", None) and ((p[0], p[14]) not in win or p[8] > win[p[0], p[14]][8]):
+                win[p[0], p[14]] = p
+        nameless = Counter(p for p in rows if p[0] in ("", "None", None))
+        kept = Counter({p: n for p, n in model.items() if p[0] in ("", "None", None) or (p[0], p[14]) not in win})
+        model = (kept | nameless) + Counter(win.values())
+        assert _rows_of(spark.read.schema(ENRICHED).parquet(root)) == sorted(model.elements(), key=repr)
+
+
+def test_a_merge_writes_changed_days_some_at_a_time_and_clears_its_batch(spark, tmp_path, monkeypatch):
+    root, n = str(tmp_path / "lake"), 20
+    days = F.date_add(F.lit("2026-01-01").cast("date"), F.col("id").cast("int") % 5)
+    posts = _numbered(spark, n).withColumns({"event_date": days, "event_day": days.cast("string")})
+    sink.merge_posts(posts, root)
+    files = lambda: {str(p.relative_to(root)) for p in (tmp_path / "lake").rglob("part-*.parquet")}
+    first, written, tables = files(), [], []
+    whole, path = sink.overwrite_days, sink.scratch_path
+    monkeypatch.setattr(sink, "MERGE_BYTES", 0)
+    monkeypatch.setattr(sink, "overwrite_days", lambda rows, at: (written.append({r[0] for r in rows.select("event_day").distinct().collect()}), whole(rows, at)))
+    monkeypatch.setattr(sink, "scratch_path", lambda *a: (tables.append(path(*a)), tables[-1])[1])
+    sink.merge_posts(posts, root)
+    assert written == [] and files() == first
+    update = posts.withColumn("like_count", F.when(F.col("event_day") < "2026-01-04", F.col("like_count") + 1).otherwise(F.col("like_count")))
+    sink.merge_posts(update, root)
+    assert written == [{"2026-01-01"}, {"2026-01-02"}, {"2026-01-03"}]
+    same = {f for f in first if "event_date=2026-01-04" in f or "event_date=2026-01-05" in f}
+    assert same and files() & first == same
+    assert _rows_of(scan.read_lake(spark, root, ENRICHED)) == _rows_of(update)
+    assert len(tables) == 3 and not any((tmp_path / t).exists() for t in tables)
+
+
+def test_what_changes_a_day(spark):
+    base = _numbered(spark, 1).select(*ENRICHED.names).first().asDict()
+
+    def days(batch, stored):
+        rows = lambda some: spark.createDataFrame([tuple({**base, **p}[c] for c in ENRICHED.names) for p in some], ENRICHED)
+        return [r[0] for r in sink.changed_days(rows(stored), rows(batch)).collect()]
+
+    a, nameless = {"id": "a"}, {"id": ""}
+    undated, day = {"id": "a", "event_date": None}, base["event_date"]
+    for batch, stored, want in [
+        ([a], [a], []), ([a, a], [a], []), ([a], [a, {"id": "b"}], []), ([], [a], []), ([undated], [undated, a], []),
+        ([a], [], [day]), ([a], [a, a], [day]), ([a, {**a, "like_count": 9}], [a], [day]), ([undated], [a], [None]),
+        ([{**a, "source": None}], [a], [day]), ([{**a, "source": "", "text": "x"}], [{**a, "source": "x", "text": ""}], [day]),
+        ([{**a, "source": None, "text": "x"}], [{**a, "source": "x", "text": None}], [day]), ([{**a, "text": "Text"}], [a], [day]),
+        ([nameless], [nameless], []), ([nameless], [nameless, nameless], []), ([nameless, nameless], [nameless], [day]),
+        ([{"id": None}], [nameless], [day]), ([{**nameless, "text": "other"}], [nameless], [day]),
+    ]:
+        assert days(batch, stored) == want, (batch, stored)
