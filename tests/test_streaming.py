@@ -1,6 +1,7 @@
 """Streaming: restarts, duplicates, late rows, idempotent merge."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,11 @@ def land(folder, name, posts):
     (folder / f"{name}.jsonl").write_text("\n".join(json.dumps(p) for p in posts))
 
 
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {name for i in range(found.size()) if (name := found.apply(i).name()).startswith("shuffle_")}
+
+
 @pytest.fixture
 def landing(tmp_path):
     land(tmp_path / "in", "a", SAMPLE_POSTS[:3])
@@ -68,6 +74,19 @@ def test_merge_stream_is_idempotent_from_scratch(spark, landing):
     assert lake.agg(F.sum("engagement_total")).first()[0] == 161736
 
 
+def test_a_stream_merged_anew_writes_nothing_and_leaves_no_shuffle_files(spark, landing):
+    out, before = landing / "lake", shuffle_files(spark)
+    posts = enrich_stream(stream_raw(spark, str(landing / "in"))).repartition(3, "id")
+    merge_stream(posts, str(out), str(landing / "s0"))
+    first = {str(p) for p in out.rglob("part-*.parquet")}
+    merge_stream(posts, str(out), str(landing / "s1"))
+    assert first and {str(p) for p in out.rglob("part-*.parquet")} == first
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+
+
 def test_posts_without_id_or_time_are_landed(spark, landing):
     from tidemark.streaming import land_stream
 

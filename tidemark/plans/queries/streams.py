@@ -235,9 +235,9 @@ def q_stream_late_rows(spark, sf):
 )
 def q_stream_merge(spark, sf):
     """Batches merged by id; running the stream anew from the start changes nothing."""
-    out = scratch_path(spark, "stream-merge")
+    out, posts = scratch_path(spark, "stream-merge"), event_stream(spark, sf)
     for _ in range(2):
-        merge_stream(event_stream(spark, sf), out, scratch_path(spark, "stream-state"))
+        merge_stream(posts, out, scratch_path(spark, "stream-state"))
     return spark.read.schema(ENRICHED).parquet(out).groupBy("event_day").agg(
         F.count(F.lit(1)).alias("post_count"), F.count_distinct("id").alias("distinct_posts")
     )

@@ -15,7 +15,7 @@ from tidemark.operators.enrich import LEXICON_SCORER, Scorer, enrich
 from tidemark.operators.normalize import normalize
 from tidemark.operators.summary import score_units
 from tidemark.operators.windows import LOOKBACK_DAYS
-from tidemark.session import settings
+from tidemark.session import TIDY, settings
 from tidemark.sinks.lake import COMPACT, MANY_OPEN, has_id, merge_posts
 from tidemark.streaming.arrivals import ROCKSDB, STATE_STORE, arrivals
 
@@ -122,7 +122,9 @@ def merge_stream(enriched: DataFrame, root: str, checkpoint: str) -> StreamingQu
     def merge(batch: DataFrame, _epoch: int) -> None:
         merge_posts(batch.drop("created_ts", "event_time"), root)
 
-    return _finish(enriched.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    with settings(enriched.sparkSession, TIDY):
+        query = enriched.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _finish(query)
 
 
 def dropped_rows(query: StreamingQuery) -> int:
